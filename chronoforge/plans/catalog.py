@@ -86,3 +86,216 @@ FROM ({_feature_select_sql(EVENTS_HOURLY_SQL)}) q
 """)
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feat.build_features(fx.events_hourly(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------------------------------
+# 2. Sequence operators on raw / keyed series
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.functions import columns as cols  # noqa: E402
+from chronoforge.operators import sequence as seq  # noqa: E402
+from chronoforge.operators import split as spl  # noqa: E402
+from chronoforge.operators import stats as st  # noqa: E402
+
+
+@register("dedupe_first", """
+SELECT time, o_orderkey, round(y, 6) AS y, o_custkey, o_orderpriority FROM (
+  SELECT o_orderdate AS time, o_orderkey, o_totalprice AS y, o_custkey, o_orderpriority,
+         row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) AS rn
+  FROM orders) WHERE rn = 1
+""")
+def q_dedupe_first(spark, sf_dir):
+    return rounded(seq.dedupe_first(fx.orders_raw(spark, sf_dir), [], "time", tiebreak="o_orderkey"))
+
+
+@register("target_lead", """
+SELECT series, time, idx, round(y, 6) AS y, round(y_target, 6) AS y_target FROM (
+  SELECT event_type AS series, ts AS time, value AS y,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS idx,
+         lead(value, 3) OVER (PARTITION BY event_type ORDER BY ts) AS y_target
+  FROM events)
+""")
+def q_target_lead(spark, sf_dir):
+    ev = fx.events_raw(spark, sf_dir).select("series", "time", "y")
+    return rounded(seq.add_target(ev, "y", 3, keys=["series"]))
+
+
+LAG_SPEC = [1, 2, 36]
+
+
+@register("lag_features", f"""
+SELECT time, idx, round(y, 6) AS y, round(x, 6) AS x,
+  {', '.join(f'round(y_lag_{k}, 6) AS y_lag_{k}, round(x_lag_{k}, 6) AS x_lag_{k}' for k in LAG_SPEC)}
+FROM (
+  SELECT ts AS time, value AS y, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x,
+         row_number() OVER w - 1 AS idx,
+         {', '.join(f"lag(value, {k}) OVER w AS y_lag_{k}, lag(CAST(json_extract_string(props, '$.k') AS DOUBLE), {k}) OVER w AS x_lag_{k}" for k in LAG_SPEC)}
+  FROM events WINDOW w AS (ORDER BY ts))
+""")
+def q_lag_features(spark, sf_dir):
+    ev = fx.events_raw(spark, sf_dir, keyed=False).select("time", "y", "x")
+    specs = [(f"{c}_lag_{k}", c, k) for k in LAG_SPEC for c in ("y", "x")]
+    # a small block makes the single 10k-row series span many chunks (halo path exercised)
+    return rounded(seq.shift_columns(ev, specs, [], "time", block_size=512))
+
+
+@register("calendar_features", f"""
+SELECT time, isodow(time) - 1 AS dayofweek, month(time) AS month, hour(time) AS hour,
+       round(sin(2 * pi() * hour(time) / 24), {DIGITS}) + 0.0 AS sin_comp,
+       round(cos(2 * pi() * hour(time) / 24), {DIGITS}) + 0.0 AS cos_comp
+FROM ({EVENTS_HOURLY_SQL}) h
+""")
+def q_calendar_features(spark, sf_dir):
+    h = fx.events_hourly(spark, sf_dir).select("time")
+    return rounded(cols.calendar_features(h))
+
+
+# ------------------------------------------------------------------------------------------
+# 3. Holdouts and splits on the keyed daily series
+# ------------------------------------------------------------------------------------------
+
+@register("month_holdout", f"""
+SELECT series, time, CASE WHEN month(time) = 6 THEN 'predict' ELSE 'train' END AS part
+FROM ({ORDERS_DAILY_SQL}) d
+""")
+def q_month_holdout(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return cols.month_holdout(d, 6)
+
+
+@register("holdout_leadin", f"""
+WITH d AS ({ORDERS_DAILY_SQL}),
+f AS (SELECT series, min(time) AS first FROM d WHERE month(time) = 6 GROUP BY series)
+SELECT d.series, d.time,
+  CASE WHEN month(d.time) = 6 THEN 'predict'
+       WHEN d.time >= f.first - INTERVAL 48 HOUR AND d.time < f.first THEN 'predict'
+       ELSE 'train' END AS part
+FROM d LEFT JOIN f ON d.series = f.series
+""")
+def q_holdout_leadin(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return cols.holdout_with_leadin(d, 6, 48, keys=["series"])
+
+
+def _indexed_daily_sql(label: str) -> str:
+    return f"""
+WITH d AS ({ORDERS_DAILY_SQL}),
+i AS (SELECT series, time, row_number() OVER (PARTITION BY series ORDER BY time) - 1 AS idx,
+             count(*) OVER (PARTITION BY series) AS n FROM d)
+SELECT series, time, idx, n, {label} FROM i
+"""
+
+
+@register("split_80_20", _indexed_daily_sql(
+    "CASE WHEN idx < floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split"))
+def q_split_80_20(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return spl.split_train_test(d, keys=["series"])
+
+
+@register("split_three_way", _indexed_daily_sql("""
+CASE WHEN idx < floor(CAST(0.85 AS DOUBLE) * floor(CAST(0.8 AS DOUBLE) * n)) THEN 'train'
+     WHEN idx < floor(CAST(0.8 AS DOUBLE) * n) THEN 'val' ELSE 'test' END AS split"""))
+def q_split_three_way(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return spl.split_three_way(d, keys=["series"])
+
+
+@register("last_block", _indexed_daily_sql(
+    "CASE WHEN idx < floor(CAST(0.85 AS DOUBLE) * n) THEN 'train' ELSE 'val' END AS split"))
+def q_last_block(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return spl.split_last_block(d, keys=["series"])
+
+
+@register("expanding_folds", _indexed_daily_sql("""
+CASE WHEN n // 6 > 0 THEN greatest(-1, CAST(floor((idx - (n - 5 * (n // 6))) / (n // 6)) AS BIGINT)) END AS block"""))
+def q_expanding_folds(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return spl.expanding_folds(d, keys=["series"])
+
+
+def _prefix_sql() -> str:
+    fr = spl.learning_fractions()
+    m = "(n - 5 * (n // 6))"
+    sizes = [f"least(greatest(CAST(floor(CAST({f!r} AS DOUBLE) * {m}) AS BIGINT), 1), {m})" for f in fr]
+    whens = " ".join(f"WHEN idx < {s} THEN {j}" for j, s in enumerate(sizes))
+    return f"CASE {whens} END AS prefix"
+
+
+@register("learning_prefixes", _indexed_daily_sql(_prefix_sql()))
+def q_learning_prefixes(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir).select("series", "time")
+    return spl.learning_prefixes(d, keys=["series"])
+
+
+# ------------------------------------------------------------------------------------------
+# 4. Profiles and descriptive statistics
+# ------------------------------------------------------------------------------------------
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("null_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n, "
+    f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'value' else ''}) AS missing, "
+    f"count(*) - count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'value' else ''}) AS present "
+    f"FROM events" for c in EVENT_COLS))
+def q_null_profile(spark, sf_dir):
+    return st.null_profile(fx.table(spark, sf_dir, "events"))
+
+
+GRAM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("numeric_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n, round(avg({c}), {DIGITS}) AS mean, "
+    f"round(median({c}), {DIGITS}) AS median, round(stddev_samp({c}), {DIGITS}) AS std, "
+    f"round(skewness({c}), {DIGITS}) AS skewness, round(kurtosis({c}), {DIGITS}) AS kurtosis, "
+    f"count(*) - count({c}) AS missing FROM lineitem" for c in GRAM_COLS))
+def q_numeric_profile(spark, sf_dir):
+    return rounded(st.numeric_profile(fx.lineitem_gram(spark, sf_dir), GRAM_COLS))
+
+
+HOURLY_COLS = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m"]
+
+
+def _long_hourly_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM h WHERE {c} IS NOT NULL"
+                              for c in HOURLY_COLS)
+
+
+@register("histogram", f"""
+WITH h AS ({EVENTS_HOURLY_SQL}), l AS ({_long_hourly_sql()}),
+r AS (SELECT "column", CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo0,
+             CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi0
+      FROM l GROUP BY 1),
+c AS (SELECT l."column", least(CAST(floor((value - lo0) * (CAST(30 AS DOUBLE) / (hi0 - lo0))) AS INTEGER), 29) AS bin,
+             count(*) AS cnt FROM l JOIN r ON l."column" = r."column" GROUP BY 1, 2),
+g AS (SELECT "column", lo0, hi0, CAST(b AS INTEGER) AS bin FROM r, range(0, 30) t(b))
+SELECT g."column", g.bin, round(lo0 + bin * ((hi0 - lo0) / CAST(30 AS DOUBLE)), {DIGITS}) AS lo,
+       round(lo0 + (bin + 1) * ((hi0 - lo0) / CAST(30 AS DOUBLE)), {DIGITS}) AS hi, coalesce(cnt, 0) AS count
+FROM g LEFT JOIN c USING ("column", bin)
+""")
+def q_histogram(spark, sf_dir):
+    return rounded(st.histogram(fx.events_hourly(spark, sf_dir), HOURLY_COLS, bins=30))
+
+
+@register("boxplot_stats", f"""
+WITH h AS ({EVENTS_HOURLY_SQL}), l AS ({_long_hourly_sql()}),
+s AS (SELECT "column", count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q1,
+             quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY 1),
+w AS (SELECT l."column", coalesce(min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1)), any_value(q1)) AS whislo,
+             coalesce(max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1)), any_value(q3)) AS whishi
+      FROM l JOIN s ON l."column" = s."column" GROUP BY 1),
+o AS (SELECT l."column", count(*) FILTER (WHERE value < whislo OR value > whishi) AS n_outliers
+      FROM l JOIN w ON l."column" = w."column" GROUP BY 1)
+SELECT s."column", n, round(mean, {DIGITS}) AS mean, round(q1, {DIGITS}) AS q1, round(median, {DIGITS}) AS median,
+       round(q3, {DIGITS}) AS q3, round(q3 - q1, {DIGITS}) AS iqr, round(whislo, {DIGITS}) AS whislo,
+       round(whishi, {DIGITS}) AS whishi,
+       round(median - 1.57 * (q3 - q1) / sqrt(n), {DIGITS}) AS notch_lo,
+       round(median + 1.57 * (q3 - q1) / sqrt(n), {DIGITS}) AS notch_hi, n_outliers
+FROM s JOIN w USING ("column") JOIN o USING ("column")
+""")
+def q_boxplot_stats(spark, sf_dir):
+    return rounded(st.boxplot_stats(fx.events_hourly(spark, sf_dir), HOURLY_COLS))
