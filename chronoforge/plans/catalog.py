@@ -299,3 +299,82 @@ FROM s JOIN w USING ("column") JOIN o USING ("column")
 """)
 def q_boxplot_stats(spark, sf_dir):
     return rounded(st.boxplot_stats(fx.events_hourly(spark, sf_dir), HOURLY_COLS))
+
+
+# ------------------------------------------------------------------------------------------
+# 5. Diagnostics: ACF, PACF, cross-correlation
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import diagnostics as dg  # noqa: E402
+
+
+def R(expr: str, digits: int = DIGITS) -> str:
+    """Rounded value without negative zero (Spark's round never yields -0.0)."""
+    return f"(round({expr}, {digits}) + 0.0)"
+
+
+def rounded0(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    return rounded(df, digits)
+
+
+@register("acf", f"""
+WITH h AS ({EVENTS_HOURLY_SQL}),
+i AS (SELECT row_number() OVER (ORDER BY time) - 1 AS idx, temperature_2m - avg(temperature_2m) OVER () AS xc
+      FROM h WHERE temperature_2m IS NOT NULL),
+p AS (SELECT l.lag, sum(a.xc * b.xc) AS s, count(*) AS c
+      FROM range(0, 41) l(lag) JOIN i a ON true JOIN i b ON b.idx = a.idx - l.lag GROUP BY l.lag),
+r AS (SELECT lag, s / max(CASE WHEN lag = 0 THEN s END) OVER () AS acf,
+             max(CASE WHEN lag = 0 THEN c END) OVER () AS n FROM p),
+b AS (SELECT *, coalesce(sum(CASE WHEN lag >= 1 THEN acf * acf ELSE 0 END)
+                 OVER (ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum FROM r)
+SELECT CAST(lag AS INTEGER) AS lag, {R('acf')} AS acf,
+       {R(f'CASE WHEN lag = 0 THEN 0 ELSE {dg.Z975} * sqrt((1 + 2 * cum) / n) END')} AS band, n
+FROM b
+""")
+def q_acf(spark, sf_dir):
+    return rounded(dg.acf(fx.events_hourly(spark, sf_dir), "temperature_2m", 40))
+
+
+@register("pacf")
+def q_pacf(spark, sf_dir):
+    a = dg.acf(fx.events_hourly(spark, sf_dir), "temperature_2m", 40)
+    return rounded(dg.pacf(a))
+
+
+def _ccf_sql(src: str, y: str, x: str, keys: list[str], lags: int = 100, h: int = 3) -> str:
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    kc = "".join(f"{k}, " for k in keys)
+    on = "".join(f" AND b.{k} = a.{k}" for k in keys)
+    gk = "".join(f"g.{k}, " for k in keys)
+    gon = " AND ".join([f"g.{k} = p.{k}" for k in keys] + ["g.lag = p.lag"])
+    grid_src = f"(SELECT DISTINCT {', '.join(keys)} FROM i)" if keys else "(SELECT 1 AS one)"
+    return f"""
+WITH s AS (SELECT {kc}time, {y} AS y, {x} AS x FROM ({src}) q WHERE {y} IS NOT NULL AND {x} IS NOT NULL),
+i AS (SELECT {kc}row_number() OVER ({part}ORDER BY time) - 1 AS idx, y, x FROM s),
+p AS (SELECT {''.join(f'a.{k}, ' for k in keys)}l.lag, corr(a.x, b.y) AS r, count(*) AS n
+      FROM range(0, {lags + 1}) l(lag) JOIN i a ON true JOIN i b ON b.idx = a.idx + l.lag + {h}{on}
+      GROUP BY {''.join(f'a.{k}, ' for k in keys)}l.lag),
+g AS (SELECT {kc}CAST(l.lag AS BIGINT) AS lag FROM {grid_src} k, range(0, {lags + 1}) l(lag)),
+o AS (SELECT {gk}g.lag, CASE WHEN coalesce(p.n, 0) >= 10 THEN p.r END AS r, coalesce(p.n, 0) AS n
+      FROM g LEFT JOIN p ON {gon})
+SELECT {kc}CAST(lag AS INTEGER) AS lag, {R('r')} AS correlation, n,
+       {R(f'1.96 / sqrt(min(n) OVER ({part.strip()}))')} AS conf FROM o
+"""
+
+
+@register("cross_correlation", " UNION ALL ".join(
+    f"SELECT '{x}' AS variable, * FROM ({_ccf_sql(EVENTS_HOURLY_SQL, 'temperature_2m', x, [])})"
+    for x in ["relative_humidity_2m", "wind_speed_10m"]))
+def q_cross_correlation(spark, sf_dir):
+    h = fx.events_hourly(spark, sf_dir)
+    parts = [dg.cross_correlation(h, "temperature_2m", x, 100, 3).select(F.lit(x).alias("variable"), "*")
+             for x in ["relative_humidity_2m", "wind_speed_10m"]]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@register("cross_correlation_keyed", _ccf_sql(
+    "SELECT event_type AS series, ts AS time, value AS y, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x FROM events",
+    "y", "x", ["series"]))
+def q_cross_correlation_keyed(spark, sf_dir):
+    ev = fx.events_raw(spark, sf_dir).select("series", "time", "y", "x")
+    return rounded(dg.cross_correlation(ev, "y", "x", 100, 3, keys=["series"]))
