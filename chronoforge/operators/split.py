@@ -76,12 +76,14 @@ def split_last_block(df: DataFrame, keys=None, time="time", tiebreak=None, val_s
     return ensure_index_n(df, keys, time, tiebreak, strategy).withColumn(col, last_block_label(val_size))
 
 
-def fold_block(n_splits: int = 5) -> Column:
+def fold_block(n_splits: int = 5, n: Column | None = None) -> Column:
     """Expanding-window fold block. ``ts = n div (k+1)``; rows before ``n - k*ts`` are the
     initial block (-1); block ``i`` (0..k-1) is fold ``i``'s test set and fold ``i`` trains on
-    every block ``< i``. NULL when ``ts = 0`` (too few rows for ``k`` folds)."""
-    ts = F.floor(F.col(N) / F.lit(n_splits + 1)).cast("long")
-    start = F.col(N) - F.lit(n_splits) * ts
+    every block ``< i``. NULL when ``ts = 0`` (too few rows for ``k`` folds). ``n`` defaults to
+    the series length column."""
+    n = F.col(N) if n is None else n
+    ts = F.floor(n / F.lit(n_splits + 1)).cast("long")
+    start = n - F.lit(n_splits) * ts
     raw = _floor((F.col(IDX) - start) / ts)
     return F.when(ts > 0, F.greatest(F.lit(-1).cast("long"), raw))
 
@@ -96,7 +98,8 @@ def learning_fractions(lo: float = 0.2, hi: float = 0.9, num: int = 8) -> list[f
     return [float(x) for x in np.linspace(lo, hi, num)]
 
 
-def prefix_rank(n_splits: int = 5, fractions: list[float] | None = None) -> Column:
+def prefix_rank(n_splits: int = 5, fractions: list[float] | None = None,
+                n: Column | None = None) -> Column:
     """Index of the smallest learning-curve training size that contains the row.
 
     Sizes are ``int(f * m)`` with ``m`` = the smallest fold's training size ``n - k*ts``,
@@ -104,8 +107,9 @@ def prefix_rank(n_splits: int = 5, fractions: list[float] | None = None) -> Colu
     Rows beyond the largest size get NULL.
     """
     fractions = fractions or learning_fractions()
-    ts = F.floor(F.col(N) / F.lit(n_splits + 1)).cast("long")
-    m = F.col(N) - F.lit(n_splits) * ts
+    n = F.col(N) if n is None else n
+    ts = F.floor(n / F.lit(n_splits + 1)).cast("long")
+    m = n - F.lit(n_splits) * ts
     # built from the largest size inwards, so the smallest matching size is tested first
     out = None
     for j in reversed(range(len(fractions))):

@@ -378,3 +378,202 @@ def q_cross_correlation(spark, sf_dir):
 def q_cross_correlation_keyed(spark, sf_dir):
     ev = fx.events_raw(spark, sf_dir).select("series", "time", "y", "x")
     return rounded(dg.cross_correlation(ev, "y", "x", 100, 3, keys=["series"]))
+
+
+# ------------------------------------------------------------------------------------------
+# 6. Forecast metrics on the naive forecasts of the feature table (SQL-checkable)
+# ------------------------------------------------------------------------------------------
+
+TGT = f"{feat.TARGET}_target"
+FEATURES_SQL = _feature_select_sql(EVENTS_HOURLY_SQL)
+
+
+@register("residuals", f"""
+SELECT time, {R(TGT)} AS actual, {R(feat.TARGET)} AS prediction, {R(f'{TGT} - {feat.TARGET}')} AS error,
+       {R(f'abs({TGT} - {feat.TARGET})')} AS abs_error
+FROM ({FEATURES_SQL}) f
+""")
+def q_residuals(spark, sf_dir):
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    s = f.select("time", F.col(TGT).alias("actual"), F.col(feat.TARGET).alias("prediction"))
+    return rounded(cols.residuals(cols.actual_present(s, "actual"), "actual"))
+
+
+@register("regression_metrics", f"""
+SELECT {R(f'sqrt(avg(({TGT} - {feat.TARGET}) ^ 2))')} AS rmse, {R(f'avg(abs({TGT} - {feat.TARGET}))')} AS mae,
+       {R(f'avg(abs({TGT} - {feat.TARGET}) / (abs({TGT}) + 1e-8)) * 100')} AS mape, count(*) AS n
+FROM ({FEATURES_SQL}) f
+""")
+def q_regression_metrics(spark, sf_dir):
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    return rounded(st.regression_metrics(f, TGT, feat.TARGET))
+
+
+@register("error_summary", f"""
+SELECT {R(f'avg({TGT} - {feat.TARGET})')} AS error_mean, {R(f'stddev_samp({TGT} - {feat.TARGET})')} AS error_std,
+       {R(f'least(min({TGT}), min({feat.TARGET}))')} AS range_min,
+       {R(f'greatest(max({TGT}), max({feat.TARGET}))')} AS range_max, count(*) AS n
+FROM ({FEATURES_SQL}) f
+""")
+def q_error_summary(spark, sf_dir):
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    return rounded(st.error_summary(f, TGT, feat.TARGET))
+
+
+DAILY = f"{feat.TARGET}_lag_24"
+
+
+@register("skill", f"""
+WITH m AS (SELECT sqrt(avg(({TGT} - {feat.TARGET}) ^ 2)) AS ra, avg(abs({TGT} - {feat.TARGET})) AS ma,
+                  sqrt(avg(({TGT} - {DAILY}) ^ 2)) AS rb, avg(abs({TGT} - {DAILY})) AS mb
+           FROM ({FEATURES_SQL}) f)
+SELECT {R('ra')} AS rmse_persistence, {R('ma')} AS mae_persistence, {R('rb')} AS rmse_daily,
+       {R('mb')} AS mae_daily, {R('1 - ra / rb')} AS skill_rmse_vs_daily, {R('1 - ma / mb')} AS skill_mae_vs_daily
+FROM m
+""")
+def q_skill(spark, sf_dir):
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    return rounded(st.skill_scores(f, TGT, feat.TARGET, DAILY, names=("persistence", "daily")))
+
+
+@register("comparison_table", f"""
+SELECT time, {R(TGT)} AS actual, {R(feat.TARGET)} AS pred_persistence, {R(DAILY)} AS pred_daily,
+       {R(f'{TGT} - {feat.TARGET}')} AS error_persistence, {R(f'{TGT} - {DAILY}')} AS error_daily
+FROM ({FEATURES_SQL}) f
+""")
+def q_comparison_table(spark, sf_dir):
+    from chronoforge.operators import compare as cmp
+
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    a = f.select("time", F.col(TGT).alias("actual"), F.col(feat.TARGET).alias("prediction"))
+    b = f.select("time", F.col(TGT).alias("actual"), F.col(DAILY).alias("prediction"))
+    return rounded(cmp.comparison_table(a, b, "actual", ("persistence", "daily")))
+
+
+NAIVE = [feat.TARGET, f"{feat.TARGET}_lag_1", f"{feat.TARGET}_lag_2", f"{feat.TARGET}_lag_3", DAILY]
+
+
+@register("leaderboard", f"""
+WITH m AS ({' UNION ALL '.join(
+    f"SELECT '{c}' AS model, sqrt(avg(({TGT} - {c}) ^ 2)) AS rmse, avg(abs({TGT} - {c})) AS mae FROM ({FEATURES_SQL}) f"
+    for c in NAIVE)})
+SELECT CAST(row_number() OVER (ORDER BY rmse, model) AS INTEGER) AS rank, model, {R('rmse')} AS rmse, {R('mae')} AS mae FROM m
+""")
+def q_leaderboard(spark, sf_dir):
+    from chronoforge.operators import compare as cmp
+
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    long = f.select(TGT, *NAIVE).unpivot([TGT], NAIVE, "model", "prediction")
+    m = st.regression_metrics(long, TGT, "prediction", group=["model"]).select("model", "rmse", "mae")
+    return rounded(cmp.leaderboard(m, "rmse"))
+
+
+@register("topk", """
+SELECT series, time, y, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY y DESC, time) AS rk
+  FROM (SELECT o_orderpriority AS series, o_orderdate AS time, round(sum(o_totalprice), 2) AS y
+        FROM orders GROUP BY 1, 2)) WHERE rk <= 3
+""")
+def q_topk(spark, sf_dir):
+    from chronoforge.operators import compare as cmp
+
+    d = fx.orders_daily(spark, sf_dir).select("series", "time", "y")
+    return cmp.top_k(d, "y", 3, keys=["series"], tiebreak="time")
+
+
+@register("history_summary", f"""
+SELECT series, max(time) AS last_step, {R('arg_max(y, time)')} AS last_value, {R('min(y)')} AS best_value,
+       first(time ORDER BY y, time) AS best_step, count(*) AS steps
+FROM ({ORDERS_DAILY_SQL}) d GROUP BY series
+""")
+def q_history_summary(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir)
+    return rounded(st.history_summary(d, ["series"], step="time", value="y"))
+
+
+# ------------------------------------------------------------------------------------------
+# 7. Gram matrix, scaling and linear models
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import gram as gm  # noqa: E402
+from chronoforge.operators import linear as lin  # noqa: E402
+
+
+def _gram_sql() -> str:
+    sel = []
+    for i, a in enumerate(GRAM_COLS):
+        for j, b in enumerate(GRAM_COLS):
+            sel.append(f"""SELECT {i} AS i, {j} AS j, '{a}' AS feature_i, '{b}' AS feature_j, count(*) AS n,
+  {R(f'avg({a})')} AS mean_i, {R(f'avg({b})')} AS mean_j,
+  {R(f'covar_pop({a}, {b})', 2)} AS cov, {R(f'corr({a}, {b})')} AS corr FROM lineitem""")
+    return " UNION ALL ".join(sel)
+
+
+@register("gram", _gram_sql())
+def q_gram(spark, sf_dir):
+    g = gm.gram_long(fx.lineitem_gram(spark, sf_dir), GRAM_COLS)
+    return rounded(g.withColumn("cov", F.round("cov", 2)))
+
+
+@register("standardize", f"""
+SELECT l_shipdate, l_returnflag, {', '.join(
+    f"{R(f'({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END')} AS {c}_z"
+    for c in GRAM_COLS)}
+FROM lineitem
+""")
+def q_standardize(spark, sf_dir):
+    li = fx.lineitem_gram(spark, sf_dir)
+    out, _ = lin.standardize(li, GRAM_COLS, suffix="_z")
+    return rounded(out.select("l_shipdate", "l_returnflag", *[f"{c}_z" for c in GRAM_COLS]))
+
+
+def hourly_grid(spark: SparkSession, sf_dir: str) -> lin.GridResult:
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    design, feats = lin.prepare_design(f, TGT)
+    return lin.linear_grid_search(design, feats, TGT)
+
+
+@register("linear_grid")
+def q_linear_grid(spark, sf_dir):
+    return lin.results_frame(spark, hourly_grid(spark, sf_dir).results)
+
+
+@register("ridge_path")
+def q_ridge_path(spark, sf_dir):
+    rows = lin.ridge_path(hourly_grid(spark, sf_dir))
+    return spark.createDataFrame(rows, "alpha double, feature string, coef double")
+
+
+@register("ridge_error_curve")
+def q_ridge_error_curve(spark, sf_dir):
+    rows = lin.ridge_error_curve(hourly_grid(spark, sf_dir))
+    return spark.createDataFrame(rows, "alpha double, bias2 double, variance double, test_error double")
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    g = hourly_grid(spark, sf_dir)
+    best = min(g.results, key=lambda r: r["test_rmse"])["model"]
+    rows = lin.learning_curve(g, g.models[best])
+    return spark.createDataFrame(rows, "train_size long, train_rmse_mean double, train_rmse_std double, "
+                                       "cv_rmse_mean double, cv_rmse_std double")
+
+
+@register("linear_scoring")
+def q_linear_scoring(spark, sf_dir):
+    g = hourly_grid(spark, sf_dir)
+    model = g.models["Ridge"]
+    test = g.clean.filter(F.col("split") == "test")
+    scored = lin.score(test, model)
+    return cols.residuals(scored, TGT).select("time", TGT, "prediction", "error", "abs_error")
+
+
+@register("linear_attribution")
+def q_linear_attribution(spark, sf_dir):
+    g = hourly_grid(spark, sf_dir)
+    model = g.models["Ridge"]
+    train = g.clean.filter(F.col("split") == "train")
+    background = dict(zip(g.features, gm.column_means(train, g.features)))
+    test = g.clean.filter(F.col("split") == "test")
+    attr = lin.linear_attribution(test, model, background)
+    return lin.attribution_ranking(attr, g.features)
