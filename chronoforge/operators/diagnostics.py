@@ -41,6 +41,23 @@ def _lag_pairs(indexed: DataFrame, col: str, nlags: int, keys: list[str], extra=
     )
 
 
+def lag_sums(indexed: DataFrame, col: str, nlags: int, keys: list[str] | None = None,
+             strategy: str = "chunked", block_size: int | None = None) -> DataFrame:
+    """``Σ_t v_t · v_{t−k}`` and the pair count for ``k = 0..nlags`` per series, over an indexed
+    frame whose ``col`` has no NULLs. Output ``keys…, lag, s, c`` (``K+1`` rows per series)."""
+    keys = list(keys or [])
+    pairs = _lag_pairs(indexed.select(*keys, IDX, col), col, nlags, keys,
+                       strategy=strategy, block_size=block_size)
+    return pairs.groupBy(*keys, "lag").agg(F.sum(F.col("__cur") * F.col("__past")).alias("s"),
+                                           F.count(F.lit(1)).alias("c"))
+
+
+def centered(df: DataFrame, col: str, keys: list[str], out: str = "__xc") -> DataFrame:
+    """``col − mean(col)`` per series (the per-series mean joined back with a size check)."""
+    mean = df.groupBy(*keys).agg(F.avg(col).alias("__m"))
+    return join_small(df, mean, on=keys).withColumn(out, F.col(col) - F.col("__m")).drop("__m")
+
+
 def acf(df: DataFrame, col: str, nlags: int = 40, keys: list[str] | None = None,
         time: str = "time", z: float = Z975, strategy: str = "chunked",
         block_size: int | None = None) -> DataFrame:
@@ -50,12 +67,9 @@ def acf(df: DataFrame, col: str, nlags: int = 40, keys: list[str] | None = None,
     keys = list(keys or [])
     s = _clean(df, keys, time, [col])
     s = ensure_index(s, keys, time, strategy=strategy)
-    mean = s.groupBy(*keys).agg(F.avg(col).alias("__m"))
-    s = join_small(s, mean, on=keys).withColumn("__xc", F.col(col) - F.col("__m"))
-    pairs = _lag_pairs(s.select(*keys, time, IDX, "__xc"), "__xc", nlags, keys,
-                       strategy=strategy, block_size=block_size)
-    sums = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("__cur") * F.col("__past")).alias("__s"),
-                                           F.count(F.lit(1)).alias("__c"))
+    s = centered(s, col, keys)
+    sums = lag_sums(s, "__xc", nlags, keys, strategy, block_size)
+    sums = sums.withColumnsRenamed({"s": "__s", "c": "__c"})
     wk = Window.partitionBy(*keys)
     r = sums.withColumns({
         "acf": F.col("__s") / F.max(F.when(F.col("lag") == 0, F.col("__s"))).over(wk),

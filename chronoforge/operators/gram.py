@@ -60,6 +60,40 @@ def gram_frame(df: DataFrame, cols: list[str], center: np.ndarray, group: list[s
     return df.groupBy(*group).agg(*aggs)
 
 
+WIDE = 40  # above this many columns the Gram is accumulated with BLAS in Arrow batches
+
+
+def gram_frame_wide(df: DataFrame, cols: list[str], center: np.ndarray,
+                    group: list[str] | None = None, weight: str | None = None) -> DataFrame:
+    """Same output as :func:`gram_frame` for wide designs: ``mapInPandas`` forms ``UᵀU`` per
+    Arrow batch (BLAS) and emits one partial row per group per batch; Spark sums them."""
+    import pandas as pd
+
+    group = list(group or [])
+    p = len(cols)
+    iu = np.triu_indices(p)
+    names = ["n"] + [f"s_{i}" for i in range(p)] + [f"S_{i}_{j}" for i, j in zip(*iu)]
+    c = np.asarray(center, dtype=float)
+
+    def acc(batches):
+        for pdf in batches:
+            parts = pdf.groupby(group, dropna=False, sort=False) if group else [((), pdf)]
+            for key, part in parts:
+                U = part[cols].to_numpy(dtype=float) - c
+                w = part[weight].to_numpy(dtype=float) if weight else np.ones(len(part))
+                S = (U * w[:, None]).T @ U
+                row = {g: [k] for g, k in zip(group, key if isinstance(key, tuple) else (key,))}
+                vals = np.concatenate([[w.sum()], w @ U, S[iu]])
+                row.update({nm: [v] for nm, v in zip(names, vals)})
+                yield pd.DataFrame(row)
+
+    schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group] +
+                       [f"`{nm}` double" for nm in names])
+    src = df.select(*group, *cols, *([weight] if weight else []))
+    part = src.mapInPandas(acc, schema)
+    return part.groupBy(*group).agg(*[F.sum(nm).alias(nm) for nm in names])
+
+
 def collect_moments(frame: DataFrame, p: int, center: np.ndarray, group: list[str] | None = None) -> dict:
     """Driver-side ``{group tuple: Moments}`` from :func:`gram_frame` (``groups × p²`` numbers)."""
     group = list(group or [])
@@ -79,7 +113,8 @@ def moments(df: DataFrame, cols: list[str], group: list[str] | None = None,
     """Per-group centered moments of ``cols`` (rows with a NULL in ``cols`` are dropped)."""
     clean = df.na.drop(subset=cols)
     center = column_means(clean, cols)
-    return collect_moments(gram_frame(clean, cols, center, group, weight), len(cols), center, group)
+    build = gram_frame_wide if len(cols) > WIDE else gram_frame
+    return collect_moments(build(clean, cols, center, group, weight), len(cols), center, group)
 
 
 def gram_long(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -577,3 +577,31 @@ def q_linear_attribution(spark, sf_dir):
     test = g.clean.filter(F.col("split") == "test")
     attr = lin.linear_attribution(test, model, background)
     return lin.attribution_ranking(attr, g.features)
+
+
+# ------------------------------------------------------------------------------------------
+# 8. Unit-root and stationarity tests (driver finishes small matrices; rows-only check)
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import unitroot as ur  # noqa: E402
+
+
+@register("adf")
+def q_adf(spark, sf_dir):
+    return ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("ADF",))
+
+
+@register("kpss")
+def q_kpss(spark, sf_dir):
+    return ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("KPSS",))
+
+
+@register("phillips_perron")
+def q_phillips_perron(spark, sf_dir):
+    return ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("PP",))
+
+
+@register("stationarity_keyed")
+def q_stationarity_keyed(spark, sf_dir):
+    ev = fx.events_raw(spark, sf_dir).select("series", "time", "y")
+    return ur.stationarity(ev, ["y"], keys=["series"])
