@@ -162,7 +162,7 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         se = math.sqrt(sigma2 * np.linalg.pinv(XtX)[1, 1])
         stat = float(beta[1] / se)
         p = mackinnon_p(stat)
-        out.append({**dict(zip(keys, k)), "column": col, "test": "ADF", "statistic": stat, "p_value": p,
+        out.append({"column": col, **dict(zip(keys, k)), "test": "ADF", "statistic": stat, "p_value": p,
                     "conclusion": STATIONARY if p < threshold else NON_STATIONARY,
                     "lags": int(lag), "nobs": int(nobs)})
     return out
@@ -225,7 +225,7 @@ def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "ti
         s_hat /= n
         stat = float(eta[k] / n ** 2 / s_hat)
         p = kpss_p(stat)
-        out.append({**dict(zip(keys, k)), "column": col, "test": "KPSS", "statistic": stat, "p_value": p,
+        out.append({"column": col, **dict(zip(keys, k)), "test": "KPSS", "statistic": stat, "p_value": p,
                     "conclusion": NON_STATIONARY if p < threshold else STATIONARY,
                     "lags": int(L), "nobs": int(n)})
     return out
@@ -291,7 +291,7 @@ def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time
         t = (f["rho"] - 1.0) / f["sigma"]
         stat = math.sqrt(gamma0 / lam2) * t - 0.5 * ((lam2 - gamma0) / lam) * (n * f["sigma"] / math.sqrt(f["s2"]))
         p = mackinnon_p(stat)
-        out.append({**dict(zip(keys, k)), "column": col, "test": "PP", "statistic": float(stat), "p_value": p,
+        out.append({"column": col, **dict(zip(keys, k)), "test": "PP", "statistic": float(stat), "p_value": p,
                     "conclusion": STATIONARY if p < threshold else NON_STATIONARY,
                     "lags": int(L), "nobs": int(lengths[k])})
     return out
@@ -311,16 +311,19 @@ def _coef_frame(spark, keys, schema, fits):
 
 def stationarity(df: DataFrame, cols: list[str], keys: list[str] | None = None, time: str = "time",
                  threshold: float = 0.05, tests=("ADF", "KPSS", "PP")) -> DataFrame:
-    """Tidy table ``(keys…, column, test, statistic, p_value, conclusion, lags, nobs)``."""
+    """Tidy table ``(keys…, column, test, statistic, p_value, conclusion, lags, nobs)``.
+
+    The columns are unpivoted into one long series table keyed by ``(keys…, column)``, so each
+    test runs once for all columns (one set of Spark jobs, not one per column)."""
     keys = list(keys or [])
+    long = (df.select(*keys, time, *[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([*keys, time], cols, "column", "__v"))
+    kk = [*keys, "column"]
     rows = []
-    for c in cols:
-        if "ADF" in tests:
-            rows += adf(df, c, keys, time, threshold=threshold)
-        if "KPSS" in tests:
-            rows += kpss(df, c, keys, time, threshold=threshold)
-        if "PP" in tests:
-            rows += phillips_perron(df, c, keys, time, threshold=threshold)
+    for name, fn in (("ADF", adf), ("KPSS", kpss), ("PP", phillips_perron)):
+        if name in tests:
+            for r in fn(long, "__v", kk, time, threshold=threshold):
+                rows.append(r)
     key_fields = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join(key_fields + [RESULT_SCHEMA])
     names = keys + ["column", "test", "statistic", "p_value", "conclusion", "lags", "nobs"]

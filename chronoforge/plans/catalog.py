@@ -605,3 +605,74 @@ def q_phillips_perron(spark, sf_dir):
 def q_stationarity_keyed(spark, sf_dir):
     ev = fx.events_raw(spark, sf_dir).select("series", "time", "y")
     return ur.stationarity(ev, ["y"], keys=["series"])
+
+
+# ------------------------------------------------------------------------------------------
+# 9. Sliding windows and their scaler
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import windows as win  # noqa: E402
+
+MODEL_FEATURES = ([feat.TARGET, "relative_humidity_2m", "wind_speed_10m"]
+                  + [f"{c}_lag_{k}" for c, ks in feat.LAGS.items() for k in ks]
+                  + cols.CALENDAR)
+
+
+def _hourly_parts(spark, sf_dir) -> DataFrame:
+    f = feat.build_features(fx.events_hourly(spark, sf_dir))
+    train = cols.month_holdout(f, 6).filter(F.col("part") == "train").drop("part")
+    train = cols.calendar_features(train)
+    return spl.split_three_way(train).drop("idx", "n")
+
+
+def _parts_sql() -> str:
+    cal = ("isodow(time) - 1 AS dayofweek, month(time) AS month, hour(time) AS hour, "
+           "sin(2 * pi() * hour(time) / 24) AS sin_comp, cos(2 * pi() * hour(time) / 24) AS cos_comp")
+    return f"""
+WITH f AS (SELECT *, {cal} FROM ({FEATURES_SQL}) q WHERE month(time) IS DISTINCT FROM 6),
+i AS (SELECT *, row_number() OVER (ORDER BY time) - 1 AS idx0, count(*) OVER () AS n0 FROM f),
+s AS (SELECT *, CASE WHEN idx0 < floor(CAST(0.85 AS DOUBLE) * floor(CAST(0.8 AS DOUBLE) * n0)) THEN 'train'
+                     WHEN idx0 < floor(CAST(0.8 AS DOUBLE) * n0) THEN 'val' ELSE 'test' END AS split FROM i)"""
+
+
+@register("sliding_windows", _parts_sql() + f""",
+w AS (SELECT split, time, row_number() OVER (PARTITION BY split ORDER BY time) - 1 AS idx,
+             count(*) OVER (PARTITION BY split ORDER BY time ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS steps,
+             first_value(temperature_2m) OVER (PARTITION BY split ORDER BY time ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS x_first,
+             temperature_2m AS x_last, cos_comp AS x_last_cos,
+             lead({TGT}, 3) OVER (PARTITION BY split ORDER BY time) AS y FROM s)
+SELECT split, time, idx, CAST(steps AS INTEGER) AS steps, CAST(CAST(x_first AS FLOAT) AS DOUBLE) AS x_first,
+       CAST(CAST(x_last AS FLOAT) AS DOUBLE) AS x_last, CAST(CAST(x_last_cos AS FLOAT) AS DOUBLE) AS x_last_cos,
+       CAST(CAST(y AS FLOAT) AS DOUBLE) AS y
+FROM w WHERE steps = 48 AND y IS NOT NULL
+""")
+def q_sliding_windows(spark, sf_dir):
+    parts = _hourly_parts(spark, sf_dir)
+    w = win.sliding_windows(parts, MODEL_FEATURES, TGT, 48, 3, keys=["split"])
+    last = len(MODEL_FEATURES) - 1
+    return w.select("split", "time", "idx", F.size("x").alias("steps"),
+                    F.col("x")[0][0].cast("double").alias("x_first"),
+                    F.col("x")[47][0].cast("double").alias("x_last"),
+                    F.col("x")[47][last].cast("double").alias("x_last_cos"),
+                    F.col("y").cast("double").alias("y"))
+
+
+def _scaler_sql() -> str:
+    parts = []
+    for c in MODEL_FEATURES:
+        v = f"CAST(CAST({c} AS FLOAT) AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", sum(wt * {v}) / sum(wt) AS mean,
+  sqrt(sum(wt * ({v} - m.mu) ^ 2) / sum(wt)) AS sd, sum(wt) AS weight
+FROM t, (SELECT sum(wt * {v}) / sum(wt) AS mu FROM t) m""")
+    return _parts_sql() + f""",
+r AS (SELECT *, row_number() OVER (ORDER BY time) - 1 AS idx, count(*) OVER () AS n FROM s WHERE split = 'train'),
+t AS (SELECT *, greatest(least(idx + 47, n - 4) - greatest(idx, 47) + 1, 0) AS wt FROM r),
+u AS ({' UNION ALL '.join(parts)})
+SELECT "column", {R('mean')} AS mean, {R('CASE WHEN sd > 0 THEN sd ELSE 1 END')} AS scale, CAST(weight AS BIGINT) AS weight FROM u
+"""
+
+
+@register("window_scaler", _scaler_sql())
+def q_window_scaler(spark, sf_dir):
+    parts = _hourly_parts(spark, sf_dir)
+    return rounded(win.window_scaler(parts.filter(F.col("split") == "train"), MODEL_FEATURES, TGT, 48, 3))

@@ -59,3 +59,27 @@ def test_parse_time_drops_bad_rows(spark):
     pdf = pd.DataFrame({"time": ["2024-01-01 00:00:00", "not a time", None], "v": [1.0, 2.0, 3.0]})
     out = cols.parse_time(spark.createDataFrame(pdf)).toPandas()
     assert out["v"].tolist() == [1.0]
+
+
+def test_window_golden_counts_and_scaler(spark):
+    from chronoforge.operators import windows as win
+
+    df = spark.createDataFrame(hourly_grid())
+    f = feat.build_features(df)
+    train = cols.month_holdout(f, 6).filter("part = 'train'").drop("part")
+    train = cols.calendar_features(train)
+    parts = spl.split_three_way(train, col="split").drop("idx", "n")
+    feats = [c for c in train.columns if c not in ("time", "temperature_2m_target")]
+    assert len(feats) == 22
+    w = win.sliding_windows(parts, feats, "temperature_2m_target", 48, 3, keys=["split"], block_size=300)
+    counts = {r["split"]: r["count"] for r in w.groupBy("split").count().collect()}
+    assert counts == {"train": 2405, "val": 384, "test": 673}
+    # the closed-form scaler equals statistics over materialised flattened windows
+    tr = w.filter("split = 'train'").select("x").toPandas()
+    flat = np.concatenate([np.stack(a) for a in tr["x"]]).astype(np.float64)
+    sc = win.window_scaler(parts.filter("split = 'train'"), feats, "temperature_2m_target", 48, 3)
+    sc = sc.toPandas().set_index("column")
+    np.testing.assert_allclose(sc.loc[feats, "mean"], flat.mean(axis=0), rtol=1e-9, atol=1e-12)
+    std = flat.std(axis=0)
+    std[std == 0] = 1
+    np.testing.assert_allclose(sc.loc[feats, "scale"], std, rtol=1e-7)
