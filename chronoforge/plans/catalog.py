@@ -676,3 +676,67 @@ SELECT "column", {R('mean')} AS mean, {R('CASE WHEN sd > 0 THEN sd ELSE 1 END')}
 def q_window_scaler(spark, sf_dir):
     parts = _hourly_parts(spark, sf_dir)
     return rounded(win.window_scaler(parts.filter(F.col("split") == "train"), MODEL_FEATURES, TGT, 48, 3))
+
+
+# ------------------------------------------------------------------------------------------
+# 10. Sources and sinks: round trips through Spark data sources
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.sources import io as sio  # noqa: E402
+
+
+@register("csv_roundtrip", f"""
+SELECT time, {', '.join(f'round({c}, {DIGITS}) AS {c}' for c in HOURLY_COLS)} FROM ({EVENTS_HOURLY_SQL}) h
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    h = fx.events_hourly(spark, sf_dir)
+    path = sio.write_csv(h, sio.scratch_path(spark, "csv"))
+    schema = "time timestamp_ntz, temperature_2m double, relative_humidity_2m double, wind_speed_10m double"
+    return rounded(sio.read_csv(spark, path, schema))
+
+
+@register("payload_ingest", f"""
+SELECT time, {', '.join(f'round({c}, {DIGITS}) AS {c}' for c in HOURLY_COLS)} FROM ({EVENTS_HOURLY_SQL}) h
+""")
+def q_payload_ingest(spark, sf_dir):
+    h = fx.events_hourly(spark, sf_dir)
+    path = sio.scratch_path(spark, "payload")
+    sio.hourly_payloads(h, HOURLY_COLS).write.mode("overwrite").json(path)
+    return rounded(sio.read_hourly_payload(spark, path, HOURLY_COLS))
+
+
+@register("holdout_tables", f"""
+SELECT series, time, round(y, {DIGITS}) AS y, CASE WHEN month(time) = 6 THEN 'predict' ELSE 'train' END AS part
+FROM ({ORDERS_DAILY_SQL}) d
+""")
+def q_holdout_tables(spark, sf_dir):
+    d = cols.month_holdout(fx.orders_daily(spark, sf_dir).select("series", "time", "y"), 6)
+    path = sio.write_table(d, sio.scratch_path(spark, "holdout"), partition_by=["part"])
+    return rounded(sio.read_table(spark, path).select("series", "time", "y", "part"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    import datetime
+
+    g = hourly_grid(spark, sf_dir)
+    best = min(g.results, key=lambda r: r["test_rmse"])
+    model = g.models[best["model"]]
+    mpath = sio.save_linear_model(spark, model, sio.scratch_path(spark, "model"))
+    loaded = sio.load_linear_model(spark, mpath)
+    meta = sio.ModelMetadata(
+        model_name=model.name, trained_at=datetime.datetime.now().isoformat(), version="1.0.0",
+        target=TGT, metrics={k: best[k] for k in ("test_rmse", "test_mae", "cv_rmse", "cv_mae")},
+        hyperparameters=best["best_params"], features=g.features, n_features=len(g.features),
+        n_train=int(g.train_moments.n), n_test=int(g.test_moments.n), model_path=mpath)
+    meta_path = sio.write_metadata(spark, meta, sio.scratch_path(spark, "meta"))
+    test = g.clean.filter(F.col("split") == "test")
+    scored = lin.score(test, loaded)
+    m = st.regression_metrics(scored, TGT, "prediction")
+    return _attach(m, sio.read_metadata(spark, meta_path).select("model_name", "n_features", "n_train", "n_test"))
+
+
+def _attach(a: DataFrame, one_row: DataFrame) -> DataFrame:
+    from chronoforge.plans.strategies import join_small
+
+    return join_small(a, one_row, on=[])
