@@ -118,34 +118,43 @@ def _soft(x, t):
 
 def _polish(Q, q, w, l1, l2):
     """Exact solution on the active set (sign pattern) of ``w``, or None if that solution
-    violates the optimality conditions."""
+    violates the optimality conditions. ``l1``/``l2`` are scalars or per-coordinate vectors."""
+    p = len(w)
+    l1 = np.broadcast_to(np.asarray(l1, dtype=float), (p,))
+    l2 = np.broadcast_to(np.asarray(l2, dtype=float), (p,))
     active = np.flatnonzero(w != 0)
     cand = np.zeros_like(w)
     if active.size:
         s = np.sign(w[active])
         try:
-            wa = np.linalg.solve(Q[np.ix_(active, active)] + l2 * np.eye(active.size), q[active] - l1 * s)
+            wa = np.linalg.solve(Q[np.ix_(active, active)] + np.diag(l2[active]), q[active] - l1[active] * s)
         except np.linalg.LinAlgError:
             return None
         if not np.all(np.sign(wa) == s):
             return None
         cand[active] = wa
     grad = q - Q @ cand - l2 * cand
-    inactive = np.setdiff1d(np.arange(len(w)), active)
-    if np.all(np.abs(grad[inactive]) <= l1 * (1 + 1e-9) + 1e-15):
+    inactive = np.setdiff1d(np.arange(p), active)
+    if np.all(np.abs(grad[inactive]) <= l1[inactive] * (1 + 1e-9) + 1e-15):
         return cand
     return None
 
 
 def _cd_batch(Q: np.ndarray, q: np.ndarray, l1: np.ndarray, l2: np.ndarray,
               tol: float = 1e-12, max_sweeps: int = 20000, check_every: int = 10) -> np.ndarray:
-    """Coordinate descent for ``½wᵀQw − qᵀw + l1‖w‖₁ + ½l2‖w‖²``, all penalties at once.
+    """Coordinate descent for ``½wᵀQw − qᵀw + Σ l1_j|w_j| + ½Σ l2_j w_j²``, all candidates at once
+    (``l1``, ``l2``: one penalty per candidate, or a ``(candidates, p)`` array per coordinate).
 
     Every ``check_every`` sweeps each unfinished candidate is polished: once the sign pattern
     is right, the active-set solve is the exact minimiser (optimality conditions checked) and
     the candidate leaves the batch.
     """
-    n_c, p = len(l1), len(q)
+    p = len(q)
+    l1 = np.asarray(l1, dtype=float)
+    l2 = np.asarray(l2, dtype=float)
+    L1 = l1[:, None] * np.ones(p) if l1.ndim == 1 else l1
+    L2 = l2[:, None] * np.ones(p) if l2.ndim == 1 else l2
+    n_c = L1.shape[0]
     W = np.zeros((n_c, p))
     done = np.zeros(n_c, dtype=bool)
     diag = np.diag(Q)
@@ -154,13 +163,13 @@ def _cd_batch(Q: np.ndarray, q: np.ndarray, l1: np.ndarray, l2: np.ndarray,
         live = np.flatnonzero(~done)
         if live.size == 0:
             break
-        Wl, a1, a2 = W[live], l1[live], l2[live]
+        Wl, a1, a2 = W[live], L1[live], L2[live]
         G = Wl @ Q
         biggest = 0.0
         for j in range(p):
             r = q[j] - G[:, j] + diag[j] * Wl[:, j]
-            den = diag[j] + a2
-            new = np.where(den > 0, _soft(r, a1) / np.where(den > 0, den, 1.0), 0.0)
+            den = diag[j] + a2[:, j]
+            new = np.where(den > 0, _soft(r, a1[:, j]) / np.where(den > 0, den, 1.0), 0.0)
             delta = new - Wl[:, j]
             if np.any(delta):
                 Wl[:, j] = new
@@ -171,12 +180,12 @@ def _cd_batch(Q: np.ndarray, q: np.ndarray, l1: np.ndarray, l2: np.ndarray,
             break
         if sweep % check_every == 0:
             for k in live:
-                exact = _polish(Q, q, W[k], l1[k], l2[k])
+                exact = _polish(Q, q, W[k], L1[k], L2[k])
                 if exact is not None:
                     W[k] = exact
                     done[k] = True
     for k in np.flatnonzero(~done):
-        exact = _polish(Q, q, W[k], l1[k], l2[k])
+        exact = _polish(Q, q, W[k], L1[k], L2[k])
         if exact is not None:
             W[k] = exact
     return W

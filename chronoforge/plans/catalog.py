@@ -740,3 +740,51 @@ def _attach(a: DataFrame, one_row: DataFrame) -> DataFrame:
     from chronoforge.plans.strategies import join_small
 
     return join_small(a, one_row, on=[])
+
+
+# ------------------------------------------------------------------------------------------
+# 11. Seasonal baseline and the holdout comparison (candidate model vs baseline)
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import baseline as bl  # noqa: E402
+
+DAILY_LAGS = {"y": [1, 2, 7], "x1": [1, 7], "x2": [1]}
+
+
+def _daily_features(spark, sf_dir) -> DataFrame:
+    d = fx.orders_total_daily(spark, sf_dir)
+    return feat.build_features(d, target="y", horizon=1, lags=DAILY_LAGS)
+
+
+@register("seasonal_baseline")
+def q_seasonal_baseline(spark, sf_dir):
+    f = _daily_features(spark, sf_dir)
+    part = cols.month_holdout(f, 6)
+    model = bl.fit_seasonal_baseline(part.filter(F.col("part") == "train"), "y_target")
+    pred = model.forecast(part.filter(F.col("part") == "predict").select("time", "y_target"))
+    return cols.residuals(pred, "y_target")
+
+
+def holdout_comparison_frames(spark, sf_dir):
+    """Best linear model (trained without the holdout month) and the seasonal baseline,
+    both scored on the holdout month; returns (side-by-side table, skill table)."""
+    from chronoforge.operators import compare as cmp
+
+    f = _daily_features(spark, sf_dir)
+    design, feats = lin.prepare_design(f, "y_target")
+    g = lin.linear_grid_search(design, feats, "y_target")
+    best = min(g.results, key=lambda r: r["test_rmse"])["model"]
+    part = cols.calendar_features(cols.month_holdout(f, 6))
+    hold = part.filter(F.col("part") == "predict")
+    cand = lin.score(hold, g.models[best]).select("time", "y_target", "prediction")
+    base = bl.fit_seasonal_baseline(part.filter(F.col("part") == "train"), "y_target")
+    bpred = base.forecast(hold.select("time", "y_target"))
+    table = cmp.comparison_table(cand, bpred, "y_target", ("candidate", "baseline"))
+    table = cols.actual_present(table, "y_target")
+    skill = st.skill_scores(table, "y_target", "pred_candidate", "pred_baseline")
+    return table, skill
+
+
+@register("holdout_comparison")
+def q_holdout_comparison(spark, sf_dir):
+    return holdout_comparison_frames(spark, sf_dir)[1]

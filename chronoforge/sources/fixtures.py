@@ -57,3 +57,13 @@ def lineitem_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
                      "l_returnflag")
+
+
+def orders_total_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One daily series over all orders (every calendar month of several years is present)."""
+    o = table(spark, sf_dir, "orders")
+    return o.groupBy(F.col("o_orderdate").alias("time")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("y"),
+        F.count(F.lit(1)).cast("double").alias("x1"),
+        F.round(F.avg("o_totalprice"), 4).alias("x2"),
+    )
