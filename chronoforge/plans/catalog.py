@@ -856,3 +856,53 @@ def q_tree_attribution(spark, sf_dir):
     test = design.na.drop(subset=[*feats, TGT]).filter(F.col("split") == "test")
     attr, _ = tr.tree_attributions(test, nodes, weights, feats)
     return lin.attribution_ranking(attr, feats)
+
+
+# ------------------------------------------------------------------------------------------
+# 13. Remaining relational glue: outlier rows, union of parts, positional column alignment
+# ------------------------------------------------------------------------------------------
+
+from chronoforge.operators import compare as cmp  # noqa: E402
+
+
+@register("boxplot_outliers", f"""
+WITH h AS ({EVENTS_HOURLY_SQL}), l AS ({_long_hourly_sql()}),
+s AS (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY 1),
+w AS (SELECT l."column", coalesce(min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1)), any_value(q1)) AS lo,
+             coalesce(max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1)), any_value(q3)) AS hi
+      FROM l JOIN s ON l."column" = s."column" GROUP BY 1)
+SELECT l."column", round(value, {DIGITS}) AS value FROM l JOIN w ON l."column" = w."column"
+WHERE value < lo OR value > hi
+""")
+def q_boxplot_outliers(spark, sf_dir):
+    return rounded(st.boxplot_outliers(fx.events_hourly(spark, sf_dir), HOURLY_COLS))
+
+
+@register("holdout_union", f"""
+WITH d AS ({ORDERS_DAILY_SQL}),
+f AS (SELECT series, min(time) AS first FROM d WHERE month(time) = 6 GROUP BY series)
+SELECT d.series, d.time, round(d.y, {DIGITS}) AS y FROM d JOIN f ON d.series = f.series
+WHERE d.time >= f.first - INTERVAL 48 HOUR AND d.time < f.first AND month(d.time) <> 6
+UNION ALL
+SELECT series, time, round(y, {DIGITS}) AS y FROM d WHERE month(time) = 6
+""")
+def q_holdout_union(spark, sf_dir):
+    """the holdout part as the union of the lead-in rows and the holdout-month rows."""
+    d = fx.orders_daily(spark, sf_dir).select("series", "time", "y")
+    lab = cols.holdout_with_leadin(d, 6, 48, keys=["series"])
+    month_rows = lab.filter(F.month("time") == 6)
+    lead_in = lab.filter((F.col("part") == "predict") & (F.month("time") != 6))
+    return rounded(cmp.union_parts(lead_in, month_rows).drop("part"))
+
+
+@register("aligned_parts", f"""
+WITH d AS ({ORDERS_DAILY_SQL})
+SELECT series, row_number() OVER (PARTITION BY series ORDER BY time) - 1 AS idx, time,
+       round(x1, {DIGITS}) AS x1, round(y, {DIGITS}) AS y FROM d
+""")
+def q_aligned_parts(spark, sf_dir):
+    """features and label of one indexed table, re-aligned by an equi-join on (keys, idx)."""
+    d = seq.ensure_index(fx.orders_daily(spark, sf_dir), ["series"])
+    x = d.select("series", "idx", "time", "x1")
+    y = d.select("series", "idx", "y")
+    return rounded(cmp.align_columns(x, y, ["series", "idx"]))
