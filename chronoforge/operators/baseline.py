@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoforge.operators.gram import collect_moments, column_means, gram_frame, gram_frame_wide, WIDE
+from chronoforge.operators.gram import column_means, moments_frame
 from chronoforge.operators.linear import _cd_batch
 from chronoforge.operators.sequence import IDX
 from chronoforge.operators.split import N, ensure_index_n
@@ -58,7 +58,7 @@ class BaselineModel:
     names: list[str]
 
     def forecast(self, df: DataFrame, time: str = "time", out: str = "prediction") -> DataFrame:
-        j = join_small(df, self.params, on=self.keys)
+        j = join_small(df, self.params, on=self.keys, materialize=False)
         design = _design(time)
         pred = F.col("__b")
         for i, (nm, expr) in enumerate(design):
@@ -74,49 +74,63 @@ def _design(time: str) -> list[tuple[str, Column]]:
     return cols + fourier_columns(time)
 
 
+def _params_frame(spark, keys, key_types, rows, with_coef: bool) -> DataFrame:
+    fields = [T.StructField(k, t) for k, t in zip(keys, key_types)] + [
+        T.StructField("__t0", T.DoubleType()), T.StructField("__t1", T.DoubleType()),
+        T.StructField("__ymax", T.DoubleType()), T.StructField("__cp", T.ArrayType(T.DoubleType()))]
+    if with_coef:
+        fields += [T.StructField("__b", T.DoubleType()), T.StructField("__w", T.ArrayType(T.DoubleType()))]
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
 def fit_seasonal_baseline(df: DataFrame, target: str, keys: list[str] | None = None,
                           time: str = "time", iterations: int = 2) -> BaselineModel:
-    """Fit per series on all rows of ``df`` with ``target`` present."""
+    """Fit per series on all rows of ``df`` with ``target`` present. Data passes: the
+    positional index, one aggregate of per-series ranges, one lookup of the changepoint rows and
+    one Gram aggregate; the driver sees per-series parameters only."""
     keys = list(keys or [])
     s = df.select(*keys, time, target).na.drop(subset=[time, target])
     ix = ensure_index_n(s, keys, time)
     spark = df.sparkSession
-    stats = ix.groupBy(*keys).agg(
-        F.min(_epoch_seconds(time)).alias("__t0"), F.max(_epoch_seconds(time)).alias("__t1"),
-        F.max(F.abs(target)).alias("__ymax"), F.max(N).alias("__n"))
-    # changepoints: rows at evenly spaced positions of the first 80 % of the history
-    hist = F.floor(F.col("__n") * F.lit(CHANGEPOINT_RANGE)).cast("long")
-    pos = F.transform(F.sequence(F.lit(1), F.lit(N_CHANGEPOINTS)),
-                      lambda i: F.round((hist - 1) * i / F.lit(float(N_CHANGEPOINTS))).cast("long"))
-    cp_idx = stats.select(*keys, F.posexplode(pos).alias("__j", IDX))
-    cps = join_small(ix.select(*keys, IDX, time), cp_idx, on=[*keys, IDX])
-    cps = cps.join(stats.select(*keys, "__t0", "__t1"), on=keys, how="inner") if keys else \
-        join_small(cps, stats.select("__t0", "__t1"), on=[])
-    cp_s = ((_epoch_seconds(time) - F.col("__t0")) / (F.col("__t1") - F.col("__t0")))
-    cp_arr = cps.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__j", cp_s.alias("v")))).alias("__a"))
-    cp_arr = cp_arr.select(*keys, F.transform("__a", lambda r: r["v"]).alias("__cp"))
-    par = join_small(stats, cp_arr, on=keys) if keys else join_small(stats, cp_arr, on=[])
-    par = par.select(*keys, "__t0", "__t1", F.when(F.col("__ymax") > 0, F.col("__ymax")).otherwise(1.0).alias("__ymax"),
-                     "__cp", "__n")
-    from chronoforge.session import reliable_checkpoint
-
-    par = reliable_checkpoint(par)
-    rows = join_small(ix, par.drop("__n"), on=keys, materialize=False)
+    key_types = [ix.schema[k].dataType for k in keys]
+    stats = {tuple(r[k] for k in keys): r for r in ix.groupBy(*keys).agg(
+        F.min(_epoch_seconds(time)).alias("t0"), F.max(_epoch_seconds(time)).alias("t1"),
+        F.max(F.abs(target)).alias("ymax"), F.max(N).alias("n")).collect()}
+    # changepoints: the rows at evenly spaced positions of the first 80 % of each history
+    cp_rows = []
+    for k, r in stats.items():
+        hist = int(math.floor(r["n"] * CHANGEPOINT_RANGE))
+        pos = np.linspace(0, hist - 1, N_CHANGEPOINTS + 1).round().astype(int)[1:]
+        cp_rows += [(*k, j, int(p)) for j, p in enumerate(pos)]
+    cp_schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
+        T.StructField("__j", T.IntegerType()), T.StructField(IDX, T.LongType())])
+    cp_idx = spark.createDataFrame(cp_rows, cp_schema)
+    found = join_small(ix.select(*keys, IDX, _epoch_seconds(time).alias("__sec")), cp_idx,
+                       on=[*keys, IDX], materialize=False).collect()
+    cps: dict = {}
+    for r in found:
+        cps.setdefault(tuple(r[k] for k in keys), {})[r["__j"]] = r["__sec"]
+    par_rows = []
+    for k, r in stats.items():
+        t0, t1 = float(r["t0"]), float(r["t1"])
+        span = (t1 - t0) or 1.0
+        cp = [(cps[k][j] - t0) / span for j in sorted(cps.get(k, {}))]
+        par_rows.append((*k, t0, t1 if t1 > t0 else t0 + 1.0, float(r["ymax"]) or 1.0, cp))
+    par = _params_frame(spark, keys, key_types, par_rows, with_coef=False)
+    rows = join_small(ix, par, on=keys, materialize=False)
     design = _design(time)
     names = [nm for nm, _ in design]
     framed = rows.select(*keys, *[e.alias(nm) for nm, e in design], (F.col(target) / F.col("__ymax")).alias("__y"))
     cols = names + ["__y"]
-    center = column_means(framed, cols)
-    build = gram_frame_wide if len(cols) > WIDE else gram_frame
-    mom = collect_moments(build(framed, cols, center, keys), len(cols), center, keys)
+    mom = moments_frame(framed, cols, column_means(framed, cols), keys)
     p = len(names)
-    fits = {}
+    kinds = np.array([0] + [1] * N_CHANGEPOINTS + [2] * (p - 1 - N_CHANGEPOINTS))
+    fitted = []
     for k, m in mom.items():
         C = m.scatter
         n = m.n
         Q, q = C[:p, :p] / n, C[:p, p] / n
         sigma2 = max(C[p, p] / n, 1e-12)
-        kinds = np.array([0] + [1] * N_CHANGEPOINTS + [2] * (p - 1 - N_CHANGEPOINTS))
         w = np.zeros(p)
         for _ in range(iterations):
             l1 = np.where(kinds == 1, sigma2 / (n * CHANGEPOINT_PRIOR), 0.0)
@@ -125,11 +139,8 @@ def fit_seasonal_baseline(df: DataFrame, target: str, keys: list[str] | None = N
             resid = C[p, p] - 2 * w @ C[:p, p] + w @ C[:p, :p] @ w
             sigma2 = max(resid / n, 1e-12)
         mu = m.mean
-        b = float(mu[p] - mu[:p] @ w)
-        fits[k] = (b, [float(x) for x in w])
-    coef_schema = T.StructType([T.StructField(k, par.schema[k].dataType) for k in keys] + [
-        T.StructField("__b", T.DoubleType()), T.StructField("__w", T.ArrayType(T.DoubleType()))])
-    coef = spark.createDataFrame([(*k, b, w) for k, (b, w) in fits.items()], coef_schema)
-    params = join_small(par.drop("__n"), coef, on=keys) if keys else join_small(par.drop("__n"), coef, on=[])
-    params = reliable_checkpoint(params)
+        fitted.append((k, float(mu[p] - mu[:p] @ w), [float(x) for x in w]))
+    by_key = {row[:len(keys)]: row for row in par_rows}
+    params = _params_frame(spark, keys, key_types,
+                           [(*by_key[k], b, w) for k, b, w in fitted], with_coef=True)
     return BaselineModel(keys, params, names)

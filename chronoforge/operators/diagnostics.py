@@ -22,7 +22,8 @@ Z975 = 1.959963984540054
 
 
 def _clean(df: DataFrame, keys: list[str], time: str, cols: list[str]) -> DataFrame:
-    s = df.select(*keys, time, *cols)
+    carry = [c for c in (IDX, "n") if c in df.columns]
+    s = df.select(*keys, time, *cols, *carry)
     s = nan_to_null(s, cols)
     return s.na.drop(subset=cols)
 

@@ -60,38 +60,70 @@ def gram_frame(df: DataFrame, cols: list[str], center: np.ndarray, group: list[s
     return df.groupBy(*group).agg(*aggs)
 
 
-WIDE = 40  # above this many columns the Gram is accumulated with BLAS in Arrow batches
+WIDE = 12  # above this many columns the Gram is accumulated with BLAS in Arrow batches
 
 
 def gram_frame_wide(df: DataFrame, cols: list[str], center: np.ndarray,
                     group: list[str] | None = None, weight: str | None = None) -> DataFrame:
-    """Same output as :func:`gram_frame` for wide designs: ``mapInPandas`` forms ``UᵀU`` per
-    Arrow batch (BLAS) and emits one partial row per group per batch; Spark sums them."""
+    """Long-form Gram for wide designs: ``mapInPandas`` forms ``UᵀU`` per Arrow batch (BLAS) and
+    emits one packed array ``[n, s…, S upper…]`` per group per batch; ``posexplode`` and a narrow
+    ``groupBy(group, pos).sum`` finish it in the JVM (no aggregate with thousands of outputs).
+    Output ``group…, pos, v``."""
     import pandas as pd
 
     group = list(group or [])
     p = len(cols)
     iu = np.triu_indices(p)
-    names = ["n"] + [f"s_{i}" for i in range(p)] + [f"S_{i}_{j}" for i, j in zip(*iu)]
     c = np.asarray(center, dtype=float)
 
     def acc(batches):
         for pdf in batches:
             parts = pdf.groupby(group, dropna=False, sort=False) if group else [((), pdf)]
+            keys_out = {g: [] for g in group}
+            vals_out = []
             for key, part in parts:
                 U = part[cols].to_numpy(dtype=float) - c
                 w = part[weight].to_numpy(dtype=float) if weight else np.ones(len(part))
                 S = (U * w[:, None]).T @ U
-                row = {g: [k] for g, k in zip(group, key if isinstance(key, tuple) else (key,))}
-                vals = np.concatenate([[w.sum()], w @ U, S[iu]])
-                row.update({nm: [v] for nm, v in zip(names, vals)})
-                yield pd.DataFrame(row)
+                for g, k in zip(group, key if isinstance(key, tuple) else (key,)):
+                    keys_out[g].append(k)
+                vals_out.append(np.concatenate([[w.sum()], w @ U, S[iu]]))
+            out = pd.DataFrame(keys_out)
+            out["vals"] = vals_out
+            yield out
 
     schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group] +
-                       [f"`{nm}` double" for nm in names])
+                       ["vals array<double>"])
     src = df.select(*group, *cols, *([weight] if weight else []))
-    part = src.mapInPandas(acc, schema)
-    return part.groupBy(*group).agg(*[F.sum(nm).alias(nm) for nm in names])
+    packed = src.mapInPandas(acc, schema)
+    long = packed.select(*group, F.posexplode("vals").alias("pos", "v"))
+    return long.groupBy(*group, "pos").agg(F.sum("v").alias("v"))
+
+
+def collect_moments_long(frame: DataFrame, p: int, center: np.ndarray, group: list[str] | None = None) -> dict:
+    """Driver-side ``{group: Moments}`` from :func:`gram_frame_wide` (``groups × p²`` numbers)."""
+    group = list(group or [])
+    iu = np.triu_indices(p)
+    size = 1 + p + len(iu[0])
+    acc: dict = {}
+    for row in frame.collect():
+        k = tuple(row[g] for g in group)
+        acc.setdefault(k, np.zeros(size))[row["pos"]] = row["v"]
+    out = {}
+    for k, v in acc.items():
+        S = np.zeros((p, p))
+        S[iu] = v[1 + p:]
+        S = S + S.T - np.diag(np.diag(S))
+        out[k] = Moments(float(v[0]), v[1:1 + p].copy(), S, center)
+    return out
+
+
+def moments_frame(df: DataFrame, cols: list[str], center: np.ndarray, group: list[str] | None = None,
+                  weight: str | None = None) -> dict:
+    """Centered moments per group, choosing the narrow JVM aggregate or the packed BLAS path."""
+    if len(cols) > WIDE:
+        return collect_moments_long(gram_frame_wide(df, cols, center, group, weight), len(cols), center, group)
+    return collect_moments(gram_frame(df, cols, center, group, weight), len(cols), center, group)
 
 
 def collect_moments(frame: DataFrame, p: int, center: np.ndarray, group: list[str] | None = None) -> dict:
@@ -113,8 +145,7 @@ def moments(df: DataFrame, cols: list[str], group: list[str] | None = None,
     """Per-group centered moments of ``cols`` (rows with a NULL in ``cols`` are dropped)."""
     clean = df.na.drop(subset=cols)
     center = column_means(clean, cols)
-    build = gram_frame_wide if len(cols) > WIDE else gram_frame
-    return collect_moments(build(clean, cols, center, group, weight), len(cols), center, group)
+    return moments_frame(clean, cols, center, group, weight)
 
 
 def gram_long(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoforge.functions.columns import calendar_features, month_holdout
-from chronoforge.operators.gram import Moments, collect_moments, column_means, gram_frame
+from chronoforge.operators.gram import Moments, column_means, moments_frame
 from chronoforge.operators.split import (
     ensure_index_n,
     fold_block,
@@ -245,7 +245,7 @@ def _design_moments(design: DataFrame, feats: list[str], target: str):
     center = column_means(clean.filter(F.col("split") == "train"), cols)
     grp = F.when(F.col("split") == "test", F.lit(TEST_GROUP)).otherwise(F.col("block"))
     framed = clean.withColumn("__g", grp).withColumn("__p", F.coalesce(F.col("prefix"), F.lit(-1)))
-    mom = collect_moments(gram_frame(framed, cols, center, ["__g", "__p"]), len(cols), center, ["__g", "__p"])
+    mom = moments_frame(framed, cols, center, ["__g", "__p"])
     return clean, mom, center
 
 

@@ -83,7 +83,7 @@ class TreeSearch:
 
 def random_search(design: DataFrame, feats: list[str], target: str, n_draws: int = N_DRAWS,
                   max_iter: int = 100, curve_iter: int | None = None, n_splits: int = N_SPLITS,
-                  parallelism: int = 4, seed: int = SEED) -> TreeSearch:
+                  parallelism: int = 8, seed: int = SEED) -> TreeSearch:
     """Seeded random search (mean RMSE over expanding folds), per-round curve of the best
     candidate on the last fold (best round = first minimum of the validation RMSE), refit on the
     whole training part with that many rounds, test RMSE / MAE."""
@@ -93,17 +93,20 @@ def random_search(design: DataFrame, feats: list[str], target: str, n_draws: int
     test = data.filter(F.col("split") == "test")
     draws = draw_params(n_draws, seed)
 
-    def evaluate(params):
-        rm, ma = [], []
-        for i in range(n_splits):
-            m = regressor(params, max_iter, target, seed).fit(train.filter(F.col("block") < i))
-            r, a = _metrics(m, train.filter(F.col("block") == i), target)
-            rm.append(r)
-            ma.append(a)
-        return float(np.mean(rm)), float(np.mean(ma))
-
-    with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(evaluate, draws))
+    tasks = [(d, i) for d in range(len(draws)) for i in range(n_splits)]
+
+    def fit_eval(task):
+        d, i = task
+        m = regressor(draws[d], max_iter, target, seed).fit(train.filter(F.col("block") < i))
+        return _metrics(m, train.filter(F.col("block") == i), target)
+
+    # every (draw, fold) fit is an independent Spark ML job; run them concurrently
+    with cf.ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        fold_scores = list(pool.map(fit_eval, tasks))
+    scores = []
+    for d in range(len(draws)):
+        rows = [fold_scores[k] for k, (dd, _) in enumerate(tasks) if dd == d]
+        scores.append((float(np.mean([r for r, _ in rows])), float(np.mean([a for _, a in rows]))))
     best_i = int(np.argmin([s[0] for s in scores]))
     best = draws[best_i]
     last = n_splits - 1

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoforge.operators.diagnostics import _clean, centered, lag_sums
-from chronoforge.operators.gram import collect_moments, column_means, gram_frame, gram_frame_wide, WIDE
+from chronoforge.operators.gram import column_means, moments_frame
 from chronoforge.operators.sequence import IDX, shift_columns
 from chronoforge.operators.split import N, ensure_index_n
 from chronoforge.plans.strategies import join_small
@@ -85,9 +85,7 @@ def _augmented(m) -> np.ndarray:
 
 
 def _moments_by(df: DataFrame, cols: list[str], group: list[str]) -> dict:
-    center = column_means(df, cols)
-    build = gram_frame_wide if len(cols) > WIDE else gram_frame
-    return collect_moments(build(df, cols, center, group), len(cols), center, group)
+    return moments_frame(df, cols, column_means(df, cols), group)
 
 
 def _per_key_lengths(idx_df: DataFrame, keys: list[str]) -> dict:
@@ -319,6 +317,8 @@ def stationarity(df: DataFrame, cols: list[str], keys: list[str] | None = None,
     long = (df.select(*keys, time, *[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([*keys, time], cols, "column", "__v"))
     kk = [*keys, "column"]
+    # one positional index (and series length) shared by the three tests
+    long = ensure_index_n(_clean(long, kk, time, ["__v"]), kk, time)
     rows = []
     for name, fn in (("ADF", adf), ("KPSS", kpss), ("PP", phillips_perron)):
         if name in tests:

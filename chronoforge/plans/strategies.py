@@ -36,8 +36,8 @@ def join_small(
     """Join ``small`` (statistics, one row per key) onto ``big`` on ``on``.
 
     The small side is checkpointed and counted; it is broadcast only if the count is at most
-    ``max_rows``. With ``on == []`` the small side must have exactly one row; it is attached
-    through a constant join key (an equi-join on one broadcast row).
+    ``max_rows``. With ``on == []`` the small side must have exactly one row; its values are
+    attached as literals (a fixed-size result, not a join).
     """
     if materialize:
         small = reliable_checkpoint(small)
@@ -45,8 +45,9 @@ def join_small(
     if not on:
         if n_small != 1:
             raise ValueError(f"global statistics must have one row, got {n_small}")
-        one = F.broadcast(small.withColumn("__g", F.lit(0)))
-        return big.withColumn("__g", F.lit(0)).join(one, "__g", how).drop("__g")
+        # one verified row of statistics: attach its values as typed literals
+        row = small.first()
+        return big.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in small.schema.fields})
     right = small
     renamed = {c: f"__r_{c}" for c in on}
     for c, r in renamed.items():
