@@ -140,7 +140,8 @@ def q_lag_features(spark, sf_dir):
 
 
 @register("calendar_features", f"""
-SELECT time, isodow(time) - 1 AS dayofweek, month(time) AS month, hour(time) AS hour,
+SELECT time, CAST(isodow(time) - 1 AS INTEGER) AS dayofweek, CAST(month(time) AS INTEGER) AS month,
+       CAST(hour(time) AS INTEGER) AS hour,
        round(sin(2 * pi() * hour(time) / 24), {DIGITS}) + 0.0 AS sin_comp,
        round(cos(2 * pi() * hour(time) / 24), {DIGITS}) + 0.0 AS cos_comp
 FROM ({EVENTS_HOURLY_SQL}) h

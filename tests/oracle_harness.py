@@ -66,6 +66,12 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         res["cols"] = (sorted(spdf.columns), sorted(opdf.columns))
         res["match"] = False
         return res
+    st = {c: str(spdf[c].dtype) for c in spdf.columns}
+    ot = {c: str(opdf[c].dtype) for c in opdf.columns}
+    res["types_equal"] = all(st[c].lower().replace("int", "i").strip("i") == ot[c].lower().replace("int", "i").strip("i")
+                             or st[c] == ot[c] for c in st)
+    if not res["types_equal"]:
+        res["types"] = {c: (st[c], ot[c]) for c in st if st[c] != ot[c]}
     a, b = rows_of(spdf), rows_of(opdf)
     res["match"] = a == b
     if not res["match"] and len(a) == len(b):
