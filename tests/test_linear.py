@@ -55,3 +55,42 @@ def test_lasso_satisfies_optimality(spark):
         on = wz != 0
         np.testing.assert_allclose(g[on], alpha * l1 * np.sign(wz[on]), atol=1e-9)
         assert np.all(np.abs(g[~on]) <= alpha * l1 + 1e-9)
+
+
+def test_grid_search_cv_matches_bruteforce(spark):
+    rng = np.random.default_rng(3)
+    n = 420
+    t = pd.date_range("2024-01-01", periods=n, freq="h")
+    X = rng.normal(size=(n, 3))
+    y = X @ np.array([0.8, -0.5, 0.0]) + 0.3 * np.sin(2 * np.pi * t.hour / 24) + rng.normal(0, 0.5, n)
+    pdf = pd.DataFrame(X, columns=["x0", "x1", "x2"])
+    pdf.insert(0, "time", t)
+    pdf["y"] = y
+    design, feats = lin.prepare_design(spark.createDataFrame(pdf), "y")
+    g = lin.linear_grid_search(design, feats, "y")
+    ridge = next(r for r in g.results if r["model"] == "Ridge")
+
+    d = design.toPandas().sort_values("time")
+    tr = d[d["split"] == "train"]
+    Xf, yf = tr[feats].to_numpy(float), tr["y"].to_numpy(float)
+    m = len(tr)
+    ts = m // 6
+    scores = []
+    for a in lin.LINEAR_ALPHAS:
+        rm, ma = [], []
+        for i in range(5):
+            s0 = m - (5 - i) * ts
+            Xa, ya, Xb, yb = Xf[:s0], yf[:s0], Xf[s0:s0 + ts], yf[s0:s0 + ts]
+            mu, sd = Xa.mean(0), Xa.std(0)
+            sd[sd < 1e-12] = 1.0
+            Z = (Xa - mu) / sd
+            w = np.linalg.solve(Z.T @ Z + a * np.eye(Z.shape[1]), Z.T @ (ya - ya.mean()))
+            pred = ya.mean() + ((Xb - mu) / sd) @ w
+            rm.append(np.sqrt(((yb - pred) ** 2).mean()))
+            ma.append(np.abs(yb - pred).mean())
+        scores.append((np.mean(rm), np.mean(ma), a))
+    best = min(scores, key=lambda s: s[0])
+    np.testing.assert_allclose(ridge["cv_rmse"], best[0], rtol=1e-8)
+    np.testing.assert_allclose(ridge["cv_mae"], best[1], rtol=1e-8)
+    assert ridge["best_params"]["ridge__alpha"] == best[2]
+    assert len(feats) == 8 and len(g.results) == 3
