@@ -565,7 +565,8 @@ def q_linear_scoring(spark, sf_dir):
     g = hourly_grid(spark, sf_dir)
     model = g.models["Ridge"]
     test = g.clean.filter(F.col("split") == "test")
-    scored = lin.score(test, model)
+    feats_only, _ = cols.select_features(test, ["time", TGT, *model.features], strict=True)
+    scored = lin.score(feats_only, model)
     return cols.residuals(scored, TGT).select("time", TGT, "prediction", "error", "abs_error")
 
 

@@ -83,3 +83,13 @@ def test_window_golden_counts_and_scaler(spark):
     std = flat.std(axis=0)
     std[std == 0] = 1
     np.testing.assert_allclose(sc.loc[feats, "scale"], std, rtol=1e-7)
+
+
+def test_select_features_strict_and_lenient(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    out, missing = cols.select_features(df, ["b", "zz", "a"], strict=False)
+    assert out.columns == ["b", "a"] and missing == ["zz"]
+    import pytest
+
+    with pytest.raises(ValueError):
+        cols.select_features(df, ["b", "zz"], strict=True)
