@@ -33,7 +33,7 @@ def parse_time(df: DataFrame, time: str = "time") -> DataFrame:
     elif isinstance(dtype, (T.TimestampType, T.DateType)):
         parsed = F.col(time).cast(T.TimestampNTZType())
     else:
-        parsed = F.try_to_timestamp(F.col(time).cast("string")).cast(T.TimestampNTZType())
+        parsed = F.expr(f"try_cast(CAST(`{time}` AS STRING) AS TIMESTAMP_NTZ)")
     return df.withColumn(time, parsed).na.drop(subset=[time])
 
 

@@ -37,7 +37,11 @@ WEEKLY_ORDER = 3
 
 
 def _epoch_seconds(time: str) -> Column:
-    return F.unix_micros(F.col(time).cast(T.TimestampType())).cast("double") / F.lit(1e6)
+    """Seconds since 1970-01-01 00:00 of a wall-clock (NTZ) timestamp, independent of the
+    session time zone."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                    f"CAST(`{time}` AS TIMESTAMP_NTZ))")
+    return micros.cast("double") / F.lit(1e6)
 
 
 def fourier_columns(time: str = "time") -> list[tuple[str, Column]]:

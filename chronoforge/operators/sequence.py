@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoforge.plans.strategies import join_small, partitions_for
+from chronoforge.plans.strategies import join_small
 from chronoforge.session import reliable_checkpoint
 
 IDX = "idx"
@@ -90,9 +90,13 @@ def positional_index(
     """
     keys = list(keys or [])
     order = _order_cols(time, tiebreak)
-    parts = num_partitions or partitions_for(df)
+    range_cols = [F.col(c) for c in keys + order]
+    # Without an explicit count the session's shuffle parallelism applies and AQE may coalesce
+    # adjacent ranges (a coalesced partition is still one contiguous range).
+    ranged = df.repartitionByRange(num_partitions, *range_cols) if num_partitions else \
+        df.repartitionByRange(*range_cols)
     ranged = (
-        df.repartitionByRange(parts, *[F.col(c) for c in keys + order])
+        ranged
         .sortWithinPartitions(*keys, *order)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mono", F.monotonically_increasing_id())

@@ -17,7 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hourly series with three measures named like the reference's weather variables."""
     ev = table(spark, sf_dir, "events")
-    hour = F.date_trunc("hour", F.col("ts")).cast(T.TimestampNTZType())
+    # wall-clock truncation without a session time zone (NTZ in, NTZ out)
+    hour = F.make_timestamp_ntz(F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"),
+                                F.lit(0), F.lit(0))
     return ev.groupBy(hour.alias("time")).agg(
         F.round(F.avg("value"), 4).alias("temperature_2m"),
         F.round(F.avg(F.get_json_object("props", "$.k").cast("double")), 4).alias("relative_humidity_2m"),

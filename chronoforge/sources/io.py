@@ -98,7 +98,7 @@ def read_hourly_payload(spark: SparkSession, path: str, variables: list[str],
                              .otherwise(F.lit(True)))
     zipped = checked.filter("__ok").select(F.inline(F.arrays_zip(h["time"].alias("time"),
                                                                  *[h[v].alias(v) for v in variables])))
-    return zipped.withColumn("time", F.to_timestamp("time").cast(T.TimestampNTZType()))
+    return zipped.withColumn("time", F.to_timestamp_ntz("time"))
 
 
 def hourly_payloads(df: DataFrame, variables: list[str], time: str = "time") -> DataFrame:
