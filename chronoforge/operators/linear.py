@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -462,4 +462,7 @@ def attribution_ranking(attr: DataFrame, features: list[str], prefix: str = "sha
     """Mean absolute attribution per feature (one aggregate, then long form)."""
     agg = attr.agg(*[F.avg(F.abs(F.col(f"{prefix}{f}"))).alias(f"a{i}") for i, f in enumerate(features)])
     stack = ", ".join(f"'{f}', a{i}" for i, f in enumerate(features))
-    return agg.select(F.expr(f"stack({len(features)}, {stack}) AS (feature, shap_importance)"))
+    long = agg.select(F.expr(f"stack({len(features)}, {stack}) AS (feature, shap_importance)"))
+    # one row per feature: ranking this small table needs no partitioning
+    rank = Window.orderBy(F.col("shap_importance").desc(), F.col("feature"))
+    return long.withColumn("rank", F.row_number().over(rank))

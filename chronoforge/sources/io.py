@@ -101,17 +101,20 @@ def read_hourly_payload(spark: SparkSession, path: str, variables: list[str],
     return zipped.withColumn("time", F.to_timestamp_ntz("time"))
 
 
-def hourly_payloads(df: DataFrame, variables: list[str], time: str = "time") -> DataFrame:
-    """Inverse of :func:`read_hourly_payload` for landing data: one payload per calendar day
-    (24 elements per array at most, so no group grows with the table)."""
+def hourly_payloads(df: DataFrame, variables: list[str], time: str = "time",
+                    keys: list[str] | None = None) -> DataFrame:
+    """Inverse of :func:`read_hourly_payload` for landing data: one payload per series and
+    calendar day. The input is an hourly series (one row per hour per key), so every array holds
+    at most 24 elements and no group grows with the table."""
+    keys = list(keys or [])
     day = F.to_date(time).alias("__day")
     packed = F.struct(F.col(time).alias("t"), *[F.col(v) for v in variables])
-    g = df.groupBy(day).agg(F.array_sort(F.collect_list(packed)).alias("__rows"))
+    g = df.groupBy(*keys, day).agg(F.array_sort(F.collect_list(packed)).alias("__rows"))
 
     def field_of(name):
         return lambda r: r[name]
 
-    return g.select(F.struct(
+    return g.select(*keys, F.struct(
         F.transform("__rows", lambda r: F.date_format(r["t"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
         *[F.transform("__rows", field_of(v)).alias(v) for v in variables]).alias("hourly"))
 
