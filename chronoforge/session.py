@@ -18,6 +18,7 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
 }

@@ -76,3 +76,26 @@ def test_trailing_window_contents(spark):
     last = out.iloc[-1]["x"]
     assert [r["y"] for r in last] == [95.0, 96.0, 97.0, 98.0, 99.0]
     assert len(out.iloc[2]["x"]) == 3
+
+
+def test_hot_key_is_split_into_chunks(spark):
+    # one key holds 90 % of the rows; chunk + halo spreads it over many window groups
+    rng = np.random.default_rng(7)
+    hot = series_frame(rng.normal(size=1800), key="hot")
+    cold = series_frame(rng.normal(size=200), key="cold")
+    df = spark.createDataFrame(pd.concat([hot, cold]))
+    ix = seq.positional_index(df, ["series"], num_partitions=6)
+    expanded, block = seq.halo_expand(ix, back=3, fwd=2, block_size=100)
+    groups = expanded.filter("series = 'hot'").select("__chunk").distinct().count()
+    assert block == 100 and groups >= 18
+    # every row is owned exactly once; halo copies are bounded by (back + fwd) per chunk
+    owned = expanded.filter("__own").groupBy("series", "idx").count().filter("count != 1").count()
+    assert owned == 0
+    assert expanded.count() <= ix.count() + (3 + 2) * (groups + 2 + 2)
+    out = seq.shift_columns(df, [("l3", "y", 3), ("f2", "y", -2)], ["series"], block_size=100).toPandas()
+    exp = pd.concat([hot, cold]).sort_values(["series", "time"])
+    exp["l3"] = exp.groupby("series")["y"].shift(3)
+    exp["f2"] = exp.groupby("series")["y"].shift(-2)
+    got = out.sort_values(["series", "time"])
+    np.testing.assert_allclose(got["l3"].to_numpy(float), exp["l3"].to_numpy(float), equal_nan=True)
+    np.testing.assert_allclose(got["f2"].to_numpy(float), exp["f2"].to_numpy(float), equal_nan=True)
