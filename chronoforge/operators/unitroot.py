@@ -308,7 +308,7 @@ def _coef_frame(spark, keys, schema, fits):
 
 
 def stationarity(df: DataFrame, cols: list[str], keys: list[str] | None = None, time: str = "time",
-                 threshold: float = 0.05, tests=("ADF", "KPSS", "PP")) -> DataFrame:
+                 threshold: float = 0.05, tests=("ADF", "KPSS", "PP"), adf_maxlag: int | None = None) -> DataFrame:
     """Tidy table ``(keys…, column, test, statistic, p_value, conclusion, lags, nobs)``.
 
     The columns are unpivoted into one long series table keyed by ``(keys…, column)``, so each
@@ -322,7 +322,8 @@ def stationarity(df: DataFrame, cols: list[str], keys: list[str] | None = None,
     rows = []
     for name, fn in (("ADF", adf), ("KPSS", kpss), ("PP", phillips_perron)):
         if name in tests:
-            for r in fn(long, "__v", kk, time, threshold=threshold):
+            extra = {"maxlag": adf_maxlag} if name == "ADF" else {}
+            for r in fn(long, "__v", kk, time, threshold=threshold, **extra):
                 rows.append(r)
     key_fields = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join(key_fields + [RESULT_SCHEMA])

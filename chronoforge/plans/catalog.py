@@ -593,9 +593,90 @@ def q_adf(spark, sf_dir):
     return ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("ADF",))
 
 
-@register("kpss")
+def _unitroot_base_sql() -> str:
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", time, {c} AS v FROM h WHERE {c} IS NOT NULL" for c in HOURLY_COLS)
+    return f"WITH h AS ({EVENTS_HOURLY_SQL}), l AS ({long})"
+
+
+KPSS_SQL = _unitroot_base_sql() + f""",
+r AS (SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY time) - 1 AS idx,
+             v - avg(v) OVER (PARTITION BY "column") AS r, count(*) OVER (PARTITION BY "column") AS n FROM l),
+g AS (SELECT a."column", a.idx - b.idx AS lag, sum(a.r * b.r) AS s
+      FROM r a JOIN r b ON a."column" = b."column" AND b.idx <= a.idx GROUP BY 1, 2),
+c AS (SELECT "column", max(n) AS n, CAST(floor(pow(max(n), 2.0 / 9.0)) AS BIGINT) AS cl FROM r GROUP BY 1),
+s AS (SELECT c."column", c.n,
+             sum(CASE WHEN g.lag = 0 THEN g.s / c.n WHEN g.lag <= c.cl THEN g.s / (c.n / 2.0) ELSE 0 END) AS s0,
+             sum(CASE WHEN g.lag >= 1 AND g.lag <= c.cl THEN g.lag * (g.s / (c.n / 2.0)) ELSE 0 END) AS s1
+      FROM c JOIN g ON g."column" = c."column" GROUP BY 1, 2),
+k AS (SELECT "column", n, least(CAST(floor(1.1447 * pow(pow(s1 / s0, 2), 1.0 / 3.0) * pow(n, 1.0 / 3.0)) AS BIGINT),
+                                n - 1) AS lags FROM s),
+sh AS (SELECT k."column", k.n, k.lags,
+              sum(CASE WHEN g.lag = 0 THEN g.s WHEN g.lag <= k.lags THEN 2 * g.s * (1 - g.lag / (k.lags + 1.0))
+                  ELSE 0 END) / k.n AS s_hat
+       FROM k JOIN g ON g."column" = k."column" GROUP BY 1, 2, 3),
+e AS (SELECT "column", sum(cs * cs) AS eta_num FROM (
+        SELECT "column", sum(r) OVER (PARTITION BY "column" ORDER BY idx ROWS UNBOUNDED PRECEDING) AS cs FROM r)
+      GROUP BY 1),
+st AS (SELECT sh."column", sh.n, sh.lags, e.eta_num / (sh.n * sh.n) / sh.s_hat AS stat FROM sh JOIN e USING ("column")),
+pv AS (SELECT *, CASE WHEN stat <= 0.347 THEN 0.10
+                      WHEN stat <= 0.463 THEN 0.10 + (stat - 0.347) * (0.05 - 0.10) / (0.463 - 0.347)
+                      WHEN stat <= 0.574 THEN 0.05 + (stat - 0.463) * (0.025 - 0.05) / (0.574 - 0.463)
+                      WHEN stat <= 0.739 THEN 0.025 + (stat - 0.574) * (0.01 - 0.025) / (0.739 - 0.574)
+                      ELSE 0.01 END AS p FROM st)
+SELECT "column", 'KPSS' AS test, {R('stat')} AS statistic, {R('p')} AS p_value,
+       CASE WHEN p < 0.05 THEN 'non-stationary' ELSE 'stationary' END AS conclusion,
+       CAST(lags AS INTEGER) AS lags, n AS nobs FROM pv
+"""
+
+
+@register("kpss", KPSS_SQL)
 def q_kpss(spark, sf_dir):
-    return ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("KPSS",))
+    return rounded(ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("KPSS",)))
+
+
+PP_SQL = _unitroot_base_sql() + f""",
+r AS (SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY time) - 1 AS idx, v,
+             lag(v) OVER (PARTITION BY "column" ORDER BY time) AS x, count(*) OVER (PARTITION BY "column") AS n0 FROM l),
+p AS (SELECT * FROM r WHERE x IS NOT NULL),
+f AS (SELECT "column", count(*) AS n, max(n0) AS n0, regr_slope(v, x) AS rho, regr_intercept(v, x) AS c,
+             regr_sxx(v, x) AS sxx, CAST(ceil(12 * pow(max(n0) / 100.0, 0.25)) AS BIGINT) AS lags FROM p GROUP BY 1),
+u AS (SELECT p."column", p.idx, p.v - f.rho * p.x - f.c AS u FROM p JOIN f USING ("column")),
+g AS (SELECT a."column", a.idx - b.idx AS lag, sum(a.u * b.u) AS gs
+      FROM u a JOIN u b ON a."column" = b."column" AND b.idx <= a.idx AND a.idx - b.idx <= (SELECT max(lags) FROM f)
+      GROUP BY 1, 2),
+lam AS (SELECT f."column", sum(CASE WHEN g.lag = 0 THEN g.gs WHEN g.lag <= f.lags
+                                    THEN 2 * (1 - g.lag / (f.lags + 1.0)) * g.gs ELSE 0 END) / f.n AS lam2,
+               max(CASE WHEN g.lag = 0 THEN g.gs END) AS ssr
+        FROM f JOIN g USING ("column") GROUP BY f."column", f.n),
+st AS (SELECT f."column", f.n0, f.lags, f.n, f.rho, lam.lam2, lam.ssr / (f.n - 2) AS s2,
+              sqrt(lam.ssr / (f.n - 2) / f.sxx) AS sigma FROM f JOIN lam USING ("column"))
+SELECT "column", 'PP' AS test,
+       {R('sqrt((s2 * (n - 2) / n) / lam2) * ((rho - 1) / sigma) - 0.5 * ((lam2 - s2 * (n - 2) / n) / sqrt(lam2)) * (n * sigma / sqrt(s2))')} AS statistic,
+       CAST(lags AS INTEGER) AS lags, n0 AS nobs FROM st
+"""
+
+
+@register("pp_statistic", PP_SQL)
+def q_pp_statistic(spark, sf_dir):
+    pp = ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("PP",))
+    return rounded(pp.select("column", "test", "statistic", "lags", "nobs"))
+
+
+DF_SQL = _unitroot_base_sql() + f""",
+r AS (SELECT "column", v - lag(v) OVER w AS dy, lag(v) OVER w AS x FROM l WINDOW w AS (PARTITION BY "column" ORDER BY time)),
+f AS (SELECT "column", count(*) AS n, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx, regr_syy(dy, x) AS syy,
+             regr_sxy(dy, x) AS sxy FROM r WHERE x IS NOT NULL GROUP BY 1)
+SELECT "column", 'ADF' AS test, {R('b / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx)')} AS statistic,
+       CAST(0 AS INTEGER) AS lags, n AS nobs FROM f
+"""
+
+
+@register("df_statistic", DF_SQL)
+def q_df_statistic(spark, sf_dir):
+    """ADF with the lag order fixed at 0 (Dickey-Fuller regression), statistic only."""
+    a = ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("ADF",), adf_maxlag=0)
+    return rounded(a.select("column", "test", "statistic", "lags", "nobs"))
 
 
 @register("phillips_perron")
