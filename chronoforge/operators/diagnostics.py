@@ -73,7 +73,8 @@ def acf(df: DataFrame, col: str, nlags: int = 40, keys: list[str] | None = None,
     sums = sums.withColumnsRenamed({"s": "__s", "c": "__c"})
     wk = Window.partitionBy(*keys)
     r = sums.withColumns({
-        "acf": F.col("__s") / F.max(F.when(F.col("lag") == 0, F.col("__s"))).over(wk),
+        # a constant series has zero variance: NULL autocorrelations, not a failed job
+        "acf": F.try_divide(F.col("__s"), F.max(F.when(F.col("lag") == 0, F.col("__s"))).over(wk)),
         "n": F.max(F.when(F.col("lag") == 0, F.col("__c"))).over(wk),
     })
     cum = F.coalesce(F.sum(F.when(F.col("lag") >= 1, F.col("acf") * F.col("acf")).otherwise(0.0)).over(

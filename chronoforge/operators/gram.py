@@ -172,6 +172,6 @@ def gram_long(df: DataFrame, cols: list[str]) -> DataFrame:
                 (F.lit(float(center[i])) + F.col(f"s_{i}") / n).alias("mean_i"),
                 (F.lit(float(center[j])) + F.col(f"s_{j}") / n).alias("mean_j"),
                 cov[(a, b)].alias("cov"),
-                (cov[(a, b)] / F.sqrt(cov[(a, a)] * cov[(b, b)])).alias("corr"),
+                F.try_divide(cov[(a, b)], F.sqrt(cov[(a, a)] * cov[(b, b)])).alias("corr"),
             ))
     return g.select(F.explode(F.array(*rows)).alias("e")).select("e.*")

@@ -242,8 +242,8 @@ def skill_scores(df: DataFrame, actual: str, candidate: str, baseline: str,
         F.sqrt(F.avg(eb * eb)).alias(f"rmse_{b}"), F.avg(F.abs(eb)).alias(f"mae_{b}"),
     )
     return m.withColumns({
-        f"skill_rmse_vs_{b}": 1 - F.col(f"rmse_{a}") / F.col(f"rmse_{b}"),
-        f"skill_mae_vs_{b}": 1 - F.col(f"mae_{a}") / F.col(f"mae_{b}"),
+        f"skill_rmse_vs_{b}": 1 - F.try_divide(F.col(f"rmse_{a}"), F.col(f"rmse_{b}")),
+        f"skill_mae_vs_{b}": 1 - F.try_divide(F.col(f"mae_{a}"), F.col(f"mae_{b}")),
     })
 
 

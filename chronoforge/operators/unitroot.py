@@ -42,6 +42,14 @@ RESULT_SCHEMA = ("column string, test string, statistic double, p_value double,
                  "conclusion string, lags int, nobs long")
 
 
+def _label(p: float, threshold: float, reverse: bool) -> str | None:
+    """'stationary' iff p < threshold (ADF, PP); reversed for KPSS; None when undefined."""
+    if p is None or math.isnan(p):
+        return None
+    small = p < threshold
+    return (NON_STATIONARY if small else STATIONARY) if reverse else (STATIONARY if small else NON_STATIONARY)
+
+
 def normal_cdf(x: float) -> float:
     return 0.5 * math.erfc(-x / math.sqrt(2.0))
 
@@ -143,6 +151,9 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         for lag in range(0, maxlags[k] + 1):
             xcols = [0, 1, *range(2, 2 + lag)]
             _, ssr, _ = _ols_from_gram(A, xcols, y)
+            if ssr <= 0 or nobs <= 0:  # perfect fit (e.g. constant series): -inf AIC
+                aics.append((-math.inf, lag))
+                continue
             llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
             aics.append((-2.0 * llf + 2.0 * len(xcols), lag))
         best[k] = min(aics)[1]
@@ -156,12 +167,12 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         xcols = [0, 1, *range(2, 2 + lag)]
         beta, ssr, XtX = _ols_from_gram(A, xcols, y)
         nobs = m.n
-        sigma2 = ssr / (nobs - len(xcols))
-        se = math.sqrt(sigma2 * np.linalg.pinv(XtX)[1, 1])
-        stat = float(beta[1] / se)
-        p = mackinnon_p(stat)
+        dof = nobs - len(xcols)
+        var = (ssr / dof) * np.linalg.pinv(XtX)[1, 1] if dof > 0 else 0.0
+        stat = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
+        p = mackinnon_p(stat) if not math.isnan(stat) else float("nan")
         out.append({"column": col, **dict(zip(keys, k)), "test": "ADF", "statistic": stat, "p_value": p,
-                    "conclusion": STATIONARY if p < threshold else NON_STATIONARY,
+                    "conclusion": _label(p, threshold, reverse=False),
                     "lags": int(lag), "nobs": int(nobs)})
     return out
 
@@ -203,6 +214,9 @@ def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "ti
             lags[k] = min(nlags, n - 1)
             continue
         g = sums[k]
+        if g[0] <= 0:  # constant series
+            lags[k] = 0
+            continue
         s0 = g[0] / n
         s1 = 0.0
         for i in range(cov_lags[k]):
@@ -221,10 +235,10 @@ def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "ti
         L = lags[k]
         s_hat = g[0] + sum(2.0 * g[i] * (1.0 - i / (L + 1.0)) for i in range(1, L + 1))
         s_hat /= n
-        stat = float(eta[k] / n ** 2 / s_hat)
-        p = kpss_p(stat)
+        stat = float(eta[k] / n ** 2 / s_hat) if s_hat > 0 else float("nan")
+        p = kpss_p(stat) if not math.isnan(stat) else float("nan")
         out.append({"column": col, **dict(zip(keys, k)), "test": "KPSS", "statistic": stat, "p_value": p,
-                    "conclusion": NON_STATIONARY if p < threshold else STATIONARY,
+                    "conclusion": _label(p, threshold, reverse=True),
                     "lags": int(L), "nobs": int(n)})
     return out
 
@@ -265,8 +279,8 @@ def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time
         rho = beta[0]
         # intercept on the raw scale: y - c_y = a + rho (ylag - c_x)
         const = beta[1] + m.center[1] - rho * m.center[0]
-        fits[k] = dict(rho=rho, const=const, t=rho / math.sqrt(cov[0, 0]) if cov[0, 0] > 0 else float("nan"),
-                       sigma=math.sqrt(cov[0, 0]), s2=s2, n=n, k=kx)
+        fits[k] = dict(rho=rho, const=const, sigma=math.sqrt(cov[0, 0]) if cov[0, 0] > 0 else 0.0,
+                       s2=s2, n=n, k=kx)
     # tau is for H0: rho = 1, so the statistic uses (rho - 1) / se
     if keys:
         coef = _coef_frame(df.sparkSession, keys, s.schema, fits)
@@ -284,13 +298,16 @@ def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time
         L = nl[k]
         g = sums[k]
         lam2 = g[0] / n + 2.0 * sum((1.0 - j / (L + 1.0)) * g[j] / n for j in range(1, min(L, len(g) - 1) + 1))
-        lam = math.sqrt(lam2)
         gamma0 = f["s2"] * (n - f["k"]) / n
-        t = (f["rho"] - 1.0) / f["sigma"]
-        stat = math.sqrt(gamma0 / lam2) * t - 0.5 * ((lam2 - gamma0) / lam) * (n * f["sigma"] / math.sqrt(f["s2"]))
-        p = mackinnon_p(stat)
+        if lam2 > 0 and f["sigma"] > 0 and f["s2"] > 0:
+            lam = math.sqrt(lam2)
+            t = (f["rho"] - 1.0) / f["sigma"]
+            stat = math.sqrt(gamma0 / lam2) * t - 0.5 * ((lam2 - gamma0) / lam) * (n * f["sigma"] / math.sqrt(f["s2"]))
+            p = mackinnon_p(stat)
+        else:  # degenerate (constant) series
+            stat, p = float("nan"), float("nan")
         out.append({"column": col, **dict(zip(keys, k)), "test": "PP", "statistic": float(stat), "p_value": p,
-                    "conclusion": STATIONARY if p < threshold else NON_STATIONARY,
+                    "conclusion": _label(p, threshold, reverse=False),
                     "lags": int(L), "nobs": int(lengths[k])})
     return out
 

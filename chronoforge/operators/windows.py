@@ -58,12 +58,12 @@ def window_scaler(df: DataFrame, cols: list[str], target: str, window: int = 48,
         F.sum("__wt").alias("weight"),
         F.sum(F.col("__wt") * F.col("__v")).alias("__sx"),
     )
-    g = g.withColumn("mean", F.col("__sx") / F.col("weight"))
+    g = g.withColumn("mean", F.try_divide(F.col("__sx"), F.col("weight")))
     from chronoforge.plans.strategies import join_small
 
     j = join_small(long, g.select(*keys, COLUMN, "mean"), on=[*keys, COLUMN])
     v = j.groupBy(*keys, COLUMN).agg(
-        (F.sum(F.col("__wt") * (F.col("__v") - F.col("mean")) ** 2) / F.sum("__wt")).alias("__var"))
+        F.try_divide(F.sum(F.col("__wt") * (F.col("__v") - F.col("mean")) ** 2), F.sum("__wt")).alias("__var"))
     out = join_small(g, v, on=[*keys, COLUMN])
     sd = F.sqrt(F.col("__var"))
     return out.select(*keys, COLUMN, "mean", F.when(sd > 0, sd).otherwise(F.lit(1.0)).alias("scale"),
