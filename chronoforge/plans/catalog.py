@@ -318,14 +318,17 @@ def rounded0(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return rounded(df, digits)
 
 
-@register("acf", f"""
-WITH h AS ({EVENTS_HOURLY_SQL}),
+ACF_CTE = f"""
+WITH RECURSIVE h AS ({EVENTS_HOURLY_SQL}),
 i AS (SELECT row_number() OVER (ORDER BY time) - 1 AS idx, temperature_2m - avg(temperature_2m) OVER () AS xc
       FROM h WHERE temperature_2m IS NOT NULL),
 p AS (SELECT l.lag, sum(a.xc * b.xc) AS s, count(*) AS c
       FROM range(0, 41) l(lag) JOIN i a ON true JOIN i b ON b.idx = a.idx - l.lag GROUP BY l.lag),
 r AS (SELECT lag, s / max(CASE WHEN lag = 0 THEN s END) OVER () AS acf,
-             max(CASE WHEN lag = 0 THEN c END) OVER () AS n FROM p),
+             max(CASE WHEN lag = 0 THEN c END) OVER () AS n FROM p)"""
+
+
+@register("acf", ACF_CTE + f""",
 b AS (SELECT *, coalesce(sum(CASE WHEN lag >= 1 THEN acf * acf ELSE 0 END)
                  OVER (ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum FROM r)
 SELECT CAST(lag AS INTEGER) AS lag, {R('acf')} AS acf,
@@ -336,7 +339,26 @@ def q_acf(spark, sf_dir):
     return rounded(dg.acf(fx.events_hourly(spark, sf_dir), "temperature_2m", 40))
 
 
-@register("pacf")
+# Durbin-Levinson recursion over the autocorrelation list (1-based lists: rl.r[k+1] = r_k)
+PACF_SQL = ACF_CTE + f""",
+rl AS (SELECT list(acf ORDER BY lag) AS r, max(n) AS n, count(*) - 1 AS kmax FROM r),
+dl(k, phi, pk) AS (
+  SELECT 1, [r[2]], r[2] FROM rl
+  UNION ALL
+  SELECT d.k + 1,
+         list_concat(list_transform(range(1, d.k + 1), lambda j: d.phi[j] - nx.pk * d.phi[d.k + 1 - j]), [nx.pk]),
+         nx.pk
+  FROM dl d, rl,
+       LATERAL (SELECT (rl.r[d.k + 2] - list_sum(list_transform(range(1, d.k + 1), lambda j: d.phi[j] * rl.r[d.k + 2 - j])))
+                       / (1 - list_sum(list_transform(range(1, d.k + 1), lambda j: d.phi[j] * rl.r[j + 1]))) AS pk) nx
+  WHERE d.k < rl.kmax)
+SELECT CAST(0 AS INTEGER) AS lag, 1.0 AS pacf, 0.0 AS band, n FROM rl
+UNION ALL
+SELECT CAST(dl.k AS INTEGER) AS lag, {R("pk")} AS pacf, {R(f'{dg.Z975} / sqrt(n)')} AS band, n FROM dl, rl
+"""
+
+
+@register("pacf", PACF_SQL)
 def q_pacf(spark, sf_dir):
     a = dg.acf(fx.events_hourly(spark, sf_dir), "temperature_2m", 40)
     return rounded(dg.pacf(a))
