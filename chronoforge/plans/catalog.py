@@ -1011,3 +1011,31 @@ def q_aligned_parts(spark, sf_dir):
     x = d.select("series", "idx", "time", "x1")
     y = d.select("series", "idx", "y")
     return rounded(cmp.align_columns(x, y, ["series", "idx"]))
+
+
+# ------------------------------------------------------------------------------------------
+# 14. Keyed feature table (many series at once)
+# ------------------------------------------------------------------------------------------
+
+KEYED_LAGS = {"y": [1, 2, 7, 28], "x1": [1, 7], "x2": [1, 14]}
+
+
+def _keyed_features_sql() -> str:
+    exprs = ["lead(y, 1) OVER w AS y_target"]
+    names = ["y_target"]
+    for c, ks in KEYED_LAGS.items():
+        for k in ks:
+            exprs.append(f"lag({c}, {k}) OVER w AS {c}_lag_{k}")
+            names.append(f"{c}_lag_{k}")
+    out = ", ".join(f"{R(n)} AS {n}" for n in ["y", "x1", "x2", *names])
+    return f"""
+SELECT series, time, {out} FROM (
+  SELECT *, {', '.join(exprs)} FROM ({ORDERS_DAILY_SQL}) d WINDOW w AS (PARTITION BY series ORDER BY time)) f
+WHERE {' AND '.join(n + ' IS NOT NULL' for n in names)}
+"""
+
+
+@register("features_keyed", _keyed_features_sql())
+def q_features_keyed(spark, sf_dir):
+    d = fx.orders_daily(spark, sf_dir)
+    return rounded(feat.build_features(d, target="y", horizon=1, lags=KEYED_LAGS, keys=["series"]))
