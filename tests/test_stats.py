@@ -49,3 +49,15 @@ def test_history_summary_first_on_ties(spark):
     pdf = pd.DataFrame({"round": [1, 2, 3, 4], "value": [3.0, 1.0, 1.0, 2.0]})
     out = st.history_summary(spark.createDataFrame(pdf)).first()
     assert out["best_step"] == 2 and out["last_value"] == 2.0 and out["best_value"] == 1.0
+
+
+def test_bracketed_quantiles_equal_sorted(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000), "v": rng.gamma(2.0, 1.0, 5000).round(2)})
+    long = spark.createDataFrame(pdf).withColumnRenamed("v", "value")
+    a = st.quantiles_exact(long, [0.1, 0.5, 0.9], ["g"], method="bracket", accuracy=500).orderBy("g").toPandas()
+    b = st.quantiles_exact(long, [0.1, 0.5, 0.9], ["g"], method="sorted").orderBy("g").toPandas()
+    pd.testing.assert_frame_equal(a, b)
+    for g, part in pdf.groupby("g"):
+        np.testing.assert_allclose(a[a["g"] == g][["q10", "q50", "q90"]].to_numpy()[0],
+                                   np.percentile(part["v"], [10, 50, 90]), rtol=1e-12)
