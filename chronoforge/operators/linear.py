@@ -305,6 +305,7 @@ class GridResult:
     models: dict
     fold_moments: list
     fold_test: list
+    block_moments: list
     train_moments: Moments
     test_moments: Moments
     prefix_moments: list
@@ -357,7 +358,9 @@ def linear_grid_search(design: DataFrame, feats: list[str], target: str,
             "best_params": c.params,
         })
         models[fam] = LinearModel(fam, feats, b, w, c.params)
-    return GridResult(results, models, fold_train, fold_test, train_m, test_m, prefix_m, clean, feats, target)
+    block_m = [_sum(mom, p1, center, lambda k, b=b: k[0] == b) for b in range(-1, n_splits)]
+    return GridResult(results, models, fold_train, fold_test, block_m, train_m, test_m, prefix_m, clean,
+                      feats, target)
 
 
 def results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
@@ -386,15 +389,52 @@ def ridge_path(g: GridResult, alphas=RIDGE_PATH_ALPHAS) -> list[tuple[float, str
     return [(float(a), f, float(w[j])) for a, (_, w) in zip(alphas, fits) for j, f in enumerate(g.features)]
 
 
-def ridge_error_curve(g: GridResult, alphas=RIDGE_CURVE_ALPHAS) -> list[tuple[float, float, float, float]]:
+def ridge_error_curve(g: GridResult, alphas=RIDGE_CURVE_ALPHAS, repeats: int = 0,
+                      seed: int = 42) -> list[tuple[float, float, float, float]]:
     """``(alpha, bias², variance, test MSE)`` of raw ridge fits scored on the test part.
-    Repeated fits on identical data are identical, so variance is 0 and bias² = MSE."""
+
+    ``repeats = 0`` reproduces the reference: repeated fits on identical data are identical, so
+    variance is 0 and bias² = MSE. ``repeats > 0`` draws block-bootstrap weights ``Poisson(1)``
+    per (repeat, training block); each repeat is fitted on its weighted block Grams, and
+    bias², variance and test error are quadratic forms in the test Gram (no data pass)."""
     p = len(g.features)
-    fits = ridge_fit(g.train_moments, p, alphas, standardize=False)
+    tm = g.test_moments
+    if repeats <= 0:
+        fits = ridge_fit(g.train_moments, p, alphas, standardize=False)
+        out = []
+        for a, (b, w) in zip(alphas, fits):
+            mse = sse(tm, p, b, w) / tm.n
+            out.append((float(a), float(mse), 0.0, float(mse)))
+        return out
+    blocks = g.block_moments
+    rng = np.random.default_rng(seed)
+    weights = rng.poisson(1.0, size=(repeats, len(blocks)))
+    # raw test second moments of [1, x] (prediction design) and cross terms with y
+    c = tm.center
+    A = np.empty((p + 2, p + 2))
+    A[0, 0] = tm.n
+    A[0, 1:] = A[1:, 0] = tm.s
+    A[1:, 1:] = tm.S
     out = []
-    for a, (b, w) in zip(alphas, fits):
-        mse = sse(g.test_moments, p, b, w) / g.test_moments.n
-        out.append((float(a), float(mse), 0.0, float(mse)))
+    for a in alphas:
+        coefs = []
+        for r in range(repeats):
+            m = Moments.zero(p + 1, blocks[0].center)
+            for wgt, bm in zip(weights[r], blocks):
+                if wgt:
+                    m = m + Moments(wgt * bm.n, wgt * bm.s, wgt * bm.S, bm.center)
+            b, w = ridge_fit(m, p, [a], standardize=False)[0]
+            # prediction in the test centering: y - c_y = d + (x - c_x)·w
+            coefs.append(np.concatenate([[b + c[:p] @ w - c[p]], w]))
+        B = np.array(coefs)                      # repeats x (p+1): [d, w]
+        mean_c = B.mean(axis=0)
+        G = A[:p + 1, :p + 1]                    # Σ [1,u_x][1,u_x]ᵀ
+        gy = A[:p + 1, p + 1]                    # Σ [1,u_x]·u_y
+        yy = A[p + 1, p + 1]
+        bias2 = (mean_c @ G @ mean_c - 2 * mean_c @ gy + yy) / tm.n
+        D = B - mean_c
+        variance = float(np.einsum("ri,ij,rj->", D, G, D) / repeats / tm.n)
+        out.append((float(a), float(bias2), variance, float(bias2 + variance)))
     return out
 
 

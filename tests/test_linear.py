@@ -94,3 +94,38 @@ def test_grid_search_cv_matches_bruteforce(spark):
     np.testing.assert_allclose(ridge["cv_mae"], best[1], rtol=1e-8)
     assert ridge["best_params"]["ridge__alpha"] == best[2]
     assert len(feats) == 8 and len(g.results) == 3
+
+
+def test_ridge_error_curve_bootstrap_identity(spark):
+    rng = np.random.default_rng(8)
+    n = 360
+    t = pd.date_range("2024-01-01", periods=n, freq="h")
+    X = rng.normal(size=(n, 2))
+    pdf = pd.DataFrame(X, columns=["x0", "x1"])
+    pdf.insert(0, "time", t)
+    pdf["y"] = X @ np.array([1.0, -1.0]) + rng.normal(0, 0.3, n)
+    design, feats = lin.prepare_design(spark.createDataFrame(pdf), "y")
+    g = lin.linear_grid_search(design, feats, "y")
+    plain = lin.ridge_error_curve(g, [0.1, 10.0])
+    assert all(v == 0.0 and abs(b - e) < 1e-12 for _, b, v, e in plain)
+    boot = lin.ridge_error_curve(g, [0.1, 10.0], repeats=5, seed=1)
+    # brute force: refit each repeat from weighted rows, score the test rows
+    d = design.toPandas()
+    tr, te = d[d["split"] == "train"], d[d["split"] == "test"]
+    w = np.random.default_rng(1).poisson(1.0, size=(5, 6))
+    for (a, bias2, var, err) in boot:
+        preds = []
+        for r in range(5):
+            rw = tr["block"].map(lambda b: w[r][int(b) + 1]).to_numpy(float)
+            Xa = tr[feats].to_numpy(float)
+            ya = tr["y"].to_numpy(float)
+            mu = (rw @ Xa) / rw.sum()
+            my = (rw @ ya) / rw.sum()
+            Xc = Xa - mu
+            coef = np.linalg.solve(Xc.T @ (Xc * rw[:, None]) + a * np.eye(len(feats)), Xc.T @ (rw * (ya - my)))
+            preds.append(my + (te[feats].to_numpy(float) - mu) @ coef)
+        P = np.array(preds)
+        yt = te["y"].to_numpy(float)
+        np.testing.assert_allclose(bias2, ((P.mean(0) - yt) ** 2).mean(), rtol=1e-8)
+        np.testing.assert_allclose(var, P.var(axis=0).mean(), rtol=1e-8, atol=1e-14)
+        np.testing.assert_allclose(err, ((P - yt) ** 2).mean(), rtol=1e-8)
