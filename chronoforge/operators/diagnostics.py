@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from chronoforge.functions.columns import nan_to_null
 from chronoforge.operators.sequence import IDX, ensure_index, trailing_window
 from chronoforge.plans.strategies import join_small
+from chronoforge.session import ship_package
 
 # Fixed value: standard normal quantile at 0.975 (two-sided 95 % band).
 Z975 = 1.959963984540054
@@ -123,6 +124,7 @@ def pacf(acf_df: DataFrame, keys: list[str] | None = None, z: float = Z975) -> D
         out["n"] = n
         return out
 
+    ship_package(acf_df.sparkSession)
     src = acf_df.select(*keys, "lag", "acf", "n")
     return src.groupBy(*keys).applyInPandas(per_series, schema)
 

@@ -94,6 +94,9 @@ def gram_frame_wide(df: DataFrame, cols: list[str], center: np.ndarray,
 
     schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group] +
                        ["vals array<double>"])
+    from chronoforge.session import ship_package
+
+    ship_package(df.sparkSession)
     src = df.select(*group, *cols, *([weight] if weight else []))
     packed = src.mapInPandas(acc, schema)
     long = packed.select(*group, F.posexplode("vals").alias("pos", "v"))

@@ -265,6 +265,9 @@ def _score_mae(clean: DataFrame, feats: list[str], target: str, coef_table: dict
                  np.array([b for _, b, _ in coef_table[g]]),
                  np.vstack([w for _, _, w in coef_table[g]])) for g in groups}
     spark = clean.sparkSession
+    from chronoforge.session import ship_package
+
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(table)
 
     def score(batches):

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from chronoforge.operators.linear import N_SPLITS
 from chronoforge.operators.stats import regression_metrics
+from chronoforge.session import ship_package
 
 # The reference's random-search lists for boosted trees.
 PARAM_LISTS = {
@@ -282,6 +283,7 @@ def tree_attributions(df: DataFrame, nodes: DataFrame, weights: list[float], fea
     trees = [(_tree_arrays(g), weights[int(t)]) for t, g in pdf.groupby("tree")]
     base = float(sum(w * expected_value(t) for t, w in trees))
     spark = df.sparkSession
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(trees)
     out_cols = [f"{prefix}{f}" for f in feats]
 

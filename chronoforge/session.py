@@ -6,7 +6,10 @@ folder. Here we only read it, and set a private one when it is unset (local test
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,8 +41,35 @@ def get_spark(master: str = "local[8]", app: str = "chronoforge", **conf: str) -
     return spark
 
 
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``mapInPandas`` / ``applyInPandas``
+    functions refer to its helpers): zip the package once per application and ``addPyFile`` it,
+    which distributes the code to every executor. The zip is code, built on the driver."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        path = os.path.join(tempfile.mkdtemp(prefix="chronoforge-code-"), "chronoforge.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for base, _, files in os.walk(pkg_dir):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(base, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(path)
+        _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; a private one only when none is set."""
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
