@@ -178,3 +178,33 @@ def gram_long(df: DataFrame, cols: list[str]) -> DataFrame:
                 F.try_divide(cov[(a, b)], F.sqrt(cov[(a, a)] * cov[(b, b)])).alias("corr"),
             ))
     return g.select(F.explode(F.array(*rows)).alias("e")).select("e.*")
+
+
+# --------------------------------------------------------------------------------------------
+# Per-group moments as rows (for finishers that run per series inside Spark)
+# --------------------------------------------------------------------------------------------
+
+
+def packed_moments(df: DataFrame, cols: list[str], center: np.ndarray,
+                   group: list[str] | None = None) -> DataFrame:
+    """One row per group: ``group…, __vals array<double>`` = ``[n, s…, S upper…]`` of the
+    centered columns. Nothing is collected; per-series finishers read it in ``applyInPandas``."""
+    group = list(group or [])
+    p = len(cols)
+    if p > WIDE:
+        long = gram_frame_wide(df, cols, center, group)
+        packed = long.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("__pv"))
+        return packed.select(*group, F.transform("__pv", lambda e: e["v"]).alias("__vals"))
+    wide = gram_frame(df, cols, center, group)
+    names = ["n"] + [f"s_{i}" for i in range(p)] + [f"S_{i}_{j}" for i in range(p) for j in range(i, p)]
+    return wide.select(*group, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).alias("__vals"))
+
+
+def unpack_moments(vals, p: int, center: np.ndarray) -> Moments:
+    """Inverse of :func:`packed_moments` for one group (runs in a pandas function)."""
+    v = np.asarray(vals, dtype=float)
+    iu = np.triu_indices(p)
+    S = np.zeros((p, p))
+    S[iu] = v[1 + p:]
+    S = S + S.T - np.diag(np.diag(S))
+    return Moments(float(v[0]), v[1:1 + p].copy(), S, np.asarray(center, dtype=float))

@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoforge.operators.diagnostics import _clean, centered, lag_sums
-from chronoforge.operators.gram import column_means, moments_frame
+from chronoforge.operators.gram import column_means, packed_moments
 from chronoforge.operators.sequence import IDX, shift_columns
 from chronoforge.operators.split import N, ensure_index_n
 from chronoforge.plans.strategies import join_small
@@ -92,18 +93,48 @@ def _augmented(m) -> np.ndarray:
     return A
 
 
-def _moments_by(df: DataFrame, cols: list[str], group: list[str]) -> dict:
-    return moments_frame(df, cols, column_means(df, cols), group)
+def _label(p: float, threshold: float, reverse: bool) -> str | None:
+    """'stationary' iff p < threshold (ADF, PP); reversed for KPSS; None when undefined."""
+    if p is None or (isinstance(p, float) and math.isnan(p)):
+        return None
+    small = p < threshold
+    return (NON_STATIONARY if small else STATIONARY) if reverse else (STATIONARY if small else NON_STATIONARY)
+
+
+def _label_col(p: Column, threshold: float, reverse: bool) -> Column:
+    small = p < F.lit(threshold)
+    yes, no = (NON_STATIONARY, STATIONARY) if reverse else (STATIONARY, NON_STATIONARY)
+    return F.when(p.isNull() | F.isnan(p), F.lit(None).cast("string")).when(small, F.lit(yes)).otherwise(F.lit(no))
+
 
+def _mackinnon_series(tau: pd.Series) -> pd.Series:
+    """MacKinnon p-value per series (one value per series, so a plain map is enough)."""
+    return tau.map(lambda t: float("nan") if t is None or math.isnan(t) else mackinnon_p(float(t)))
 
-def _per_key_lengths(idx_df: DataFrame, keys: list[str]) -> dict:
-    rows = idx_df.groupBy(*keys).agg(F.max(N).alias("n")).collect()
-    return {tuple(r[k] for k in keys): int(r["n"]) for r in rows}
 
+def mackinnon_p_udf(col: str) -> Column:
+    """Arrow-batched p-value column (built on use: a pandas UDF needs an active session)."""
+    return F.pandas_udf(_mackinnon_series, T.DoubleType())(F.col(col))
 
-def _threshold_frame(spark, keys, schema, values: dict, name: str) -> DataFrame:
-    fields = [T.StructField(k, schema[k].dataType) for k in keys] + [T.StructField(name, T.LongType())]
-    return spark.createDataFrame([(*k, int(v)) for k, v in values.items()], T.StructType(fields))
+
+def _key_fields(df: DataFrame, keys: list[str]) -> list[str]:
+    return [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
+
+
+def _finish(out: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """Order result columns; the value column's name fills ``column`` unless it is a key."""
+    if "column" not in keys:
+        out = out.withColumn("column", F.lit(col))
+    return out.select(*[k for k in keys if k != "column"], "column", "test", "statistic",
+                      "p_value", "conclusion", F.col("lags").cast("int").alias("lags"),
+                      F.col("nobs").cast("long").alias("nobs"))
+
+
+def _bartlett_sum(sums: DataFrame, lags: Column) -> Column:
+    """``γ0 + 2·Σ_{0<j≤L} (1 − j/(L+1))·γ_j`` as an aggregate over ``(lag, s)`` rows."""
+    w = F.lit(1.0) - F.col("lag") / (lags + F.lit(1.0))
+    return F.sum(F.when(F.col("lag") == 0, F.col("s"))
+                 .when(F.col("lag") <= lags, F.lit(2.0) * w * F.col("s")).otherwise(F.lit(0.0)))
 
 
 # --------------------------------------------------------------------------------------------
@@ -111,16 +142,69 @@ def _threshold_frame(spark, keys, schema, values: dict, name: str) -> DataFrame:
 # --------------------------------------------------------------------------------------------
 
 
+def _adf_best_lag(p_design: int, center: np.ndarray, key_cols: list[str]):
+    """Per series: AIC over lag orders 0..maxlag on the common-sample Gram (pandas function)."""
+    from chronoforge.operators.gram import unpack_moments
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        m = unpack_moments(row["__vals"], p_design, center)
+        A = _augmented(m)
+        y = A.shape[0] - 1
+        aics = []
+        for lag in range(0, int(row["__maxlag"]) + 1):
+            xcols = [0, 1, *range(2, 2 + lag)]
+            _, ssr, _ = _ols_from_gram(A, xcols, y)
+            if ssr <= 0 or m.n <= 0:  # perfect fit (e.g. constant series)
+                aics.append((-math.inf, lag))
+                continue
+            llf = -m.n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m.n) + 1.0)
+            aics.append((-2.0 * llf + 2.0 * len(xcols), lag))
+        out = pdf[key_cols].head(1).copy()
+        out["__best"] = int(min(aics)[1])
+        return out
+    return fn
+
+
+def _adf_stat(p_design: int, center: np.ndarray, key_cols: list[str]):
+    from chronoforge.operators.gram import unpack_moments
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        m = unpack_moments(row["__vals"], p_design, center)
+        A = _augmented(m)
+        y = A.shape[0] - 1
+        lag = int(row["__best"])
+        xcols = [0, 1, *range(2, 2 + lag)]
+        beta, ssr, XtX = _ols_from_gram(A, xcols, y)
+        dof = m.n - len(xcols)
+        var = (ssr / dof) * np.linalg.pinv(XtX)[1, 1] if dof > 0 else 0.0
+        stat = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
+        out = pdf[key_cols].head(1).copy()
+        out["statistic"] = stat
+        out["lags"] = lag
+        out["nobs"] = int(m.n)
+        return out
+    return fn
+
+
 def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "time",
-        maxlag: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> list[dict]:
+        maxlag: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> DataFrame:
     """Augmented Dickey–Fuller test with a constant; lag order by AIC over ``0..maxlag``
     (Schwert bound ``⌈12(n/100)^¼⌉`` capped at ``n//2 − 2``), all candidates compared on the
-    common sample, the winner refitted on its own sample. Returns one dict per series."""
+    common sample, the winner refitted on its own sample. Per-series work (the AIC search and the
+    t-statistic) runs in ``applyInPandas`` over packed per-series Grams; the driver receives only
+    the largest lag order (to build the lag columns) and the column means (centering)."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
-    lengths = _per_key_lengths(s, keys)
-    maxlags = {k: min(n // 2 - 2, schwert_lags(n) if maxlag is None else maxlag) for k, n in lengths.items()}
-    kmax = max([0, *maxlags.values()])
+    n = F.col("__n")
+    schwert = F.ceil(F.lit(12.0) * F.pow(n / F.lit(100.0), F.lit(0.25))).cast("long")
+    bound = schwert if maxlag is None else F.lit(int(maxlag)).cast("long")
+    lengths = s.groupBy(*keys).agg(F.max(N).alias("__n"))
+    lengths = reliable_checkpoint(lengths.withColumn(
+        "__maxlag", F.least(F.floor(n / F.lit(2)).cast("long") - F.lit(2), bound)))
+    kmax = int(lengths.agg(F.max("__maxlag")).first()[0] or 0)
+    kmax = max(kmax, 0)
     specs = [(f"__l{j}", col, j) for j in range(1, kmax + 2)]
     sh = shift_columns(s, specs, keys, time, block_size=block_size)
     lvl = [F.col(col)] + [F.col(f"__l{j}") for j in range(1, kmax + 2)]
@@ -130,51 +214,28 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
     sh = sh.withColumns(dcols).withColumn("__ylag", F.col("__l1"))
     design = ["__ylag", *[f"__d{j}" for j in range(1, kmax + 1)], "__dy"]
     sh = reliable_checkpoint(sh.select(*keys, IDX, *design).filter(F.col("__ylag").isNotNull()))
-    spark = df.sparkSession
+    kf = _key_fields(df, keys)
 
-    def sample_moments(thresholds: dict):
-        if keys:
-            thr = _threshold_frame(spark, keys, s.schema, thresholds, "__thr")
-            j = join_small(sh, thr, on=keys)
-        else:
-            j = sh.withColumn("__thr", F.lit(int(thresholds[()])))
-        return _moments_by(j.filter(F.col(IDX) >= F.col("__thr")), design, keys)
+    def sample(thresholds: DataFrame, first: str) -> tuple[DataFrame, np.ndarray]:
+        j = join_small(sh, thresholds, on=keys, materialize=False)
+        rows = j.filter(F.col(IDX) >= F.col(first) + 1)
+        center = column_means(rows, design)
+        return packed_moments(rows, design, center, keys), center
 
     # pass 1: every lag order on the common sample t >= maxlag + 1
-    common = sample_moments({k: v + 1 for k, v in maxlags.items()})
-    best = {}
-    for k, m in common.items():
-        A = _augmented(m)
-        y = A.shape[0] - 1
-        nobs = m.n
-        aics = []
-        for lag in range(0, maxlags[k] + 1):
-            xcols = [0, 1, *range(2, 2 + lag)]
-            _, ssr, _ = _ols_from_gram(A, xcols, y)
-            if ssr <= 0 or nobs <= 0:  # perfect fit (e.g. constant series): -inf AIC
-                aics.append((-math.inf, lag))
-                continue
-            llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
-            aics.append((-2.0 * llf + 2.0 * len(xcols), lag))
-        best[k] = min(aics)[1]
+    pm, c1 = sample(lengths.select(*keys, "__maxlag"), "__maxlag")
+    pm = join_small(pm, lengths.select(*keys, "__maxlag"), on=keys, materialize=False)
+    best = pm.groupBy(*keys).applyInPandas(_adf_best_lag(len(design), c1, keys),
+                                           ", ".join(kf + ["__best long"]))
+    best = reliable_checkpoint(best)
     # pass 2: the chosen order on its own sample t >= lag + 1
-    own = sample_moments({k: v + 1 for k, v in best.items()})
-    out = []
-    for k, m in own.items():
-        A = _augmented(m)
-        y = A.shape[0] - 1
-        lag = best[k]
-        xcols = [0, 1, *range(2, 2 + lag)]
-        beta, ssr, XtX = _ols_from_gram(A, xcols, y)
-        nobs = m.n
-        dof = nobs - len(xcols)
-        var = (ssr / dof) * np.linalg.pinv(XtX)[1, 1] if dof > 0 else 0.0
-        stat = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
-        p = mackinnon_p(stat) if not math.isnan(stat) else float("nan")
-        out.append({"column": col, **dict(zip(keys, k)), "test": "ADF", "statistic": stat, "p_value": p,
-                    "conclusion": _label(p, threshold, reverse=False),
-                    "lags": int(lag), "nobs": int(nobs)})
-    return out
+    pm2, c2 = sample(best, "__best")
+    pm2 = join_small(pm2, best, on=keys, materialize=False)
+    res = pm2.groupBy(*keys).applyInPandas(_adf_stat(len(design), c2, keys),
+                                           ", ".join(kf + ["statistic double", "lags long", "nobs long"]))
+    res = res.withColumn("p_value", mackinnon_p_udf("statistic"))
+    res = res.withColumns({"test": F.lit("ADF"), "conclusion": _label_col(F.col("p_value"), threshold, False)})
+    return _finish(res, keys, col)
 
 
 # --------------------------------------------------------------------------------------------
@@ -192,62 +253,62 @@ def _running_square_sum(indexed: DataFrame, col: str, keys: list[str], block: in
     j = join_small(ch, tot, on=[*keys, "__ch"])
     inner = Window.partitionBy(*keys, "__ch").orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
     run = j.withColumn("__S", F.col("__off") + F.sum(col).over(inner))
-    return run.groupBy(*keys).agg(F.sum(F.col("__S") * F.col("__S")).alias("eta_num"))
+    return run.groupBy(*keys).agg(F.sum(F.col("__S") * F.col("__S")).alias("__eta"))
 
 
 def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "time",
-         nlags: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> list[dict]:
-    """KPSS level-stationarity test; bandwidth by the Hobijn et al. (1998) rule when
-    ``nlags`` is None; p-value interpolated in the KPSS table and clipped to [0.01, 0.10].
-    The label is reversed with respect to ADF: p < threshold -> non-stationary."""
+         nlags: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> DataFrame:
+    """KPSS level-stationarity test; bandwidth by the Hobijn et al. (1998) rule when ``nlags``
+    is None; p-value interpolated in the KPSS table and clipped to [0.01, 0.10]. The label is
+    reversed with respect to ADF: p < threshold -> non-stationary. All per-series arithmetic is
+    Spark aggregates over lag sums; the driver reads two scalars (largest lag orders)."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
     s = centered(s, col, keys, "__r")
     s = reliable_checkpoint(s.select(*keys, IDX, N, "__r"))
-    lengths = _per_key_lengths(s, keys)
-    cov_lags = {k: int(n ** (2.0 / 9.0)) for k, n in lengths.items()}
-    first = max([1, *cov_lags.values()])
-    sums = _collect_lag_sums(lag_sums(s, "__r", first, keys, block_size=block_size), keys)
-    lags = {}
-    for k, n in lengths.items():
-        if nlags is not None:
-            lags[k] = min(nlags, n - 1)
-            continue
-        g = sums[k]
-        if g[0] <= 0:  # constant series
-            lags[k] = 0
-            continue
-        s0 = g[0] / n
-        s1 = 0.0
-        for i in range(cov_lags[k]):
-            prod = g[i + 1] / (n / 2.0)
-            s0 += prod
-            s1 += (i + 1) * prod
-        auto = int(1.1447 * ((s1 / s0) ** 2) ** (1.0 / 3.0) * n ** (1.0 / 3.0))
-        lags[k] = min(auto, n - 1)
-    need = max([0, *lags.values()])
-    if need > first:
-        sums = _collect_lag_sums(lag_sums(s, "__r", need, keys, block_size=block_size), keys)
-    eta = {tuple(r[k] for k in keys): r["eta_num"] for r in _running_square_sum(s, "__r", keys).collect()}
-    out = []
-    for k, n in lengths.items():
-        g = sums[k]
-        L = lags[k]
-        s_hat = g[0] + sum(2.0 * g[i] * (1.0 - i / (L + 1.0)) for i in range(1, L + 1))
-        s_hat /= n
-        stat = float(eta[k] / n ** 2 / s_hat) if s_hat > 0 else float("nan")
-        p = kpss_p(stat) if not math.isnan(stat) else float("nan")
-        out.append({"column": col, **dict(zip(keys, k)), "test": "KPSS", "statistic": stat, "p_value": p,
-                    "conclusion": _label(p, threshold, reverse=True),
-                    "lags": int(L), "nobs": int(n)})
-    return out
-
-
-def _collect_lag_sums(frame: DataFrame, keys: list[str]) -> dict:
-    out: dict = {}
-    for r in frame.collect():
-        out.setdefault(tuple(r[k] for k in keys), {})[int(r["lag"])] = float(r["s"])
-    return {k: [v.get(i, 0.0) for i in range(max(v) + 1)] for k, v in out.items()}
+    n = F.col("__n")
+    lengths = s.groupBy(*keys).agg(F.max(N).alias("__n"))
+    lengths = reliable_checkpoint(lengths.withColumn("__cl", F.floor(F.pow(n, F.lit(2.0 / 9.0))).cast("long")))
+    k1 = max(1, int(lengths.agg(F.max("__cl")).first()[0] or 1))
+    sums = reliable_checkpoint(lag_sums(s, "__r", k1, keys, block_size=block_size))
+    if nlags is None:
+        j = join_small(sums, lengths, on=keys, materialize=False)
+        half = n / F.lit(2.0)
+        auto = j.groupBy(*keys).agg(
+            F.first("__n").alias("__n"),
+            F.sum(F.when(F.col("lag") == 0, F.col("s") / n)
+                  .when(F.col("lag") <= F.col("__cl"), F.col("s") / half).otherwise(0.0)).alias("__s0"),
+            F.sum(F.when((F.col("lag") >= 1) & (F.col("lag") <= F.col("__cl")),
+                         F.col("lag") * (F.col("s") / half)).otherwise(0.0)).alias("__s1"))
+        ratio = F.try_divide(F.col("__s1"), F.col("__s0"))
+        L = F.floor(F.lit(1.1447) * F.pow(F.pow(ratio, F.lit(2.0)), F.lit(1.0 / 3.0))
+                    * F.pow(n, F.lit(1.0 / 3.0))).cast("long")
+        lags = auto.select(*keys, "__n", F.when(F.col("__s0") > 0, F.least(L, n.cast("long") - 1))
+                           .otherwise(F.lit(0).cast("long")).alias("__L"))
+    else:
+        lags = lengths.select(*keys, "__n", F.least(F.lit(int(nlags)), n.cast("long") - 1).alias("__L"))
+    lags = reliable_checkpoint(lags)
+    need = int(lags.agg(F.max("__L")).first()[0] or 0)
+    if need > k1:
+        sums = lag_sums(s, "__r", need, keys, block_size=block_size)
+    j = join_small(sums, lags, on=keys, materialize=False)
+    s_hat = j.groupBy(*keys).agg(F.first("__n").alias("__n"), F.first("__L").alias("lags"),
+                                 (_bartlett_sum(j, F.col("__L")) / F.first("__n")).alias("__shat"))
+    eta = _running_square_sum(s, "__r", keys)
+    res = join_small(s_hat, eta, on=keys)
+    stat = F.try_divide(F.col("__eta") / (F.col("__n") * F.col("__n")), F.col("__shat"))
+    res = res.withColumn("statistic", F.when(F.col("__shat") > 0, stat).otherwise(F.lit(float("nan"))))
+    x = F.col("statistic")
+    cv, pv = KPSS_CRIT, KPSS_PVALS
+    interp = F.when(x <= cv[0], F.lit(pv[0]))
+    for i in range(len(cv) - 1):
+        slope = (pv[i + 1] - pv[i]) / (cv[i + 1] - cv[i])
+        interp = interp.when(x <= cv[i + 1], F.lit(slope) * (x - F.lit(cv[i])) + F.lit(pv[i]))
+    interp = interp.otherwise(F.lit(pv[-1]))
+    res = res.withColumn("p_value", F.when(F.isnan(x), F.lit(float("nan"))).otherwise(interp))
+    res = res.withColumns({"test": F.lit("KPSS"), "nobs": F.col("__n"),
+                           "conclusion": _label_col(F.col("p_value"), threshold, True)})
+    return _finish(res, keys, col)
 
 
 # --------------------------------------------------------------------------------------------
@@ -257,66 +318,47 @@ def _collect_lag_sums(frame: DataFrame, keys: list[str]) -> dict:
 
 def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "time",
                     lags: int | None = None, threshold: float = 0.05,
-                    block_size: int | None = None) -> list[dict]:
-    """Phillips–Perron tau test with a constant: OLS of ``y_t`` on ``(y_{t−1}, 1)``, Newey–West
-    long-run variance of the residuals with Bartlett weights (``⌈12(n/100)^¼⌉`` lags)."""
+                    block_size: int | None = None) -> DataFrame:
+    """Phillips–Perron tau test with a constant: OLS of ``y_t`` on ``(y_{t−1}, 1)`` per series
+    (``regr_*`` aggregates), Newey–West long-run variance of the residuals with Bartlett weights
+    (``⌈12(n/100)^¼⌉`` lags) from residual lag sums; every step is a Spark aggregate."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
     s = shift_columns(s, [("__ylag", col, 1)], keys, time, block_size=block_size)
     s = reliable_checkpoint(s.select(*keys, IDX, N, col, "__ylag"))
-    lengths = _per_key_lengths(s, keys)
     reg = s.filter(F.col("__ylag").isNotNull())
-    mom = _moments_by(reg, ["__ylag", col], keys)
-    fits = {}
-    for k, m in mom.items():
-        A = _augmented(m)
-        # columns of A: 0 = const, 1 = y_{t-1} (centered), 2 = y_t (centered)
-        beta, ssr, XtX = _ols_from_gram(A, [1, 0], 2)
-        n = m.n
-        kx = 2
-        s2 = ssr / (n - kx)
-        cov = s2 * np.linalg.pinv(XtX)
-        rho = beta[0]
-        # intercept on the raw scale: y - c_y = a + rho (ylag - c_x)
-        const = beta[1] + m.center[1] - rho * m.center[0]
-        fits[k] = dict(rho=rho, const=const, sigma=math.sqrt(cov[0, 0]) if cov[0, 0] > 0 else 0.0,
-                       s2=s2, n=n, k=kx)
-    # tau is for H0: rho = 1, so the statistic uses (rho - 1) / se
-    if keys:
-        coef = _coef_frame(df.sparkSession, keys, s.schema, fits)
-        u = join_small(reg, coef, on=keys)
-        u = u.withColumn("__u", F.col(col) - F.col("__rho") * F.col("__ylag") - F.col("__c"))
+    y, x = F.col(col), F.col("__ylag")
+    fits = reg.groupBy(*keys).agg(
+        F.max(N).alias("__n0"), F.count(F.lit(1)).alias("__n"),
+        F.regr_slope(y, x).alias("__rho"), F.regr_intercept(y, x).alias("__c"),
+        F.regr_sxx(y, x).alias("__sxx"))
+    if lags is None:
+        L = F.ceil(F.lit(12.0) * F.pow(F.col("__n0") / F.lit(100.0), F.lit(0.25))).cast("long")
     else:
-        f = fits[()]
-        u = reg.withColumn("__u", F.col(col) - F.lit(float(f["rho"])) * F.col("__ylag") - F.lit(float(f["const"])))
-    nl = {k: schwert_lags(n) if lags is None else lags for k, n in lengths.items()}
-    sums = _collect_lag_sums(lag_sums(u.select(*keys, IDX, "__u"), "__u", max(nl.values()), keys,
-                                      block_size=block_size), keys)
-    out = []
-    for k, f in fits.items():
-        n = f["n"]
-        L = nl[k]
-        g = sums[k]
-        lam2 = g[0] / n + 2.0 * sum((1.0 - j / (L + 1.0)) * g[j] / n for j in range(1, min(L, len(g) - 1) + 1))
-        gamma0 = f["s2"] * (n - f["k"]) / n
-        if lam2 > 0 and f["sigma"] > 0 and f["s2"] > 0:
-            lam = math.sqrt(lam2)
-            t = (f["rho"] - 1.0) / f["sigma"]
-            stat = math.sqrt(gamma0 / lam2) * t - 0.5 * ((lam2 - gamma0) / lam) * (n * f["sigma"] / math.sqrt(f["s2"]))
-            p = mackinnon_p(stat)
-        else:  # degenerate (constant) series
-            stat, p = float("nan"), float("nan")
-        out.append({"column": col, **dict(zip(keys, k)), "test": "PP", "statistic": float(stat), "p_value": p,
-                    "conclusion": _label(p, threshold, reverse=False),
-                    "lags": int(L), "nobs": int(lengths[k])})
-    return out
-
-
-def _coef_frame(spark, keys, schema, fits):
-    fields = [T.StructField(k, schema[k].dataType) for k in keys] + [
-        T.StructField("__rho", T.DoubleType()), T.StructField("__c", T.DoubleType())]
-    return spark.createDataFrame([(*k, float(f["rho"]), float(f["const"])) for k, f in fits.items()],
-                                 T.StructType(fields))
+        L = F.lit(int(lags)).cast("long")
+    fits = reliable_checkpoint(fits.withColumn("__L", L))
+    u = join_small(reg, fits.select(*keys, "__rho", "__c"), on=keys, materialize=False)
+    u = u.withColumn("__u", F.col(col) - F.col("__rho") * F.col("__ylag") - F.col("__c"))
+    kmax = int(fits.agg(F.max("__L")).first()[0] or 0)
+    sums = lag_sums(u.select(*keys, IDX, "__u"), "__u", kmax, keys, block_size=block_size)
+    j = join_small(sums, fits.select(*keys, "__L"), on=keys, materialize=False)
+    lr = j.groupBy(*keys).agg(_bartlett_sum(j, F.col("__L")).alias("__lr"),
+                              F.max(F.when(F.col("lag") == 0, F.col("s"))).alias("__ssr"))
+    res = join_small(fits, lr, on=keys)
+    nn = F.col("__n")
+    s2 = F.try_divide(F.col("__ssr"), nn - 2)
+    lam2 = F.col("__lr") / nn
+    sigma = F.sqrt(F.try_divide(s2, F.col("__sxx")))
+    gamma0 = s2 * (nn - 2) / nn
+    tau = F.try_divide(F.col("__rho") - 1.0, sigma)
+    stat = (F.sqrt(F.try_divide(gamma0, lam2)) * tau
+            - F.lit(0.5) * F.try_divide(lam2 - gamma0, F.sqrt(lam2)) * F.try_divide(nn * sigma, F.sqrt(s2)))
+    ok = (lam2 > 0) & (s2 > 0) & (F.col("__sxx") > 0)
+    res = res.withColumn("statistic", F.when(ok, stat).otherwise(F.lit(float("nan"))))
+    res = res.withColumn("p_value", mackinnon_p_udf("statistic"))
+    res = res.withColumns({"test": F.lit("PP"), "lags": F.col("__L"), "nobs": F.col("__n0"),
+                           "conclusion": _label_col(F.col("p_value"), threshold, False)})
+    return _finish(res, keys, col)
 
 
 # --------------------------------------------------------------------------------------------
@@ -329,20 +371,18 @@ def stationarity(df: DataFrame, cols: list[str], keys: list[str] | None = None,
     """Tidy table ``(keys…, column, test, statistic, p_value, conclusion, lags, nobs)``.
 
     The columns are unpivoted into one long series table keyed by ``(keys…, column)``, so each
-    test runs once for all columns (one set of Spark jobs, not one per column)."""
+    test runs once for all columns and shares one positional index."""
     keys = list(keys or [])
     long = (df.select(*keys, time, *[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([*keys, time], cols, "column", "__v"))
     kk = [*keys, "column"]
-    # one positional index (and series length) shared by the three tests
     long = ensure_index_n(_clean(long, kk, time, ["__v"]), kk, time)
-    rows = []
+    parts = []
     for name, fn in (("ADF", adf), ("KPSS", kpss), ("PP", phillips_perron)):
         if name in tests:
             extra = {"maxlag": adf_maxlag} if name == "ADF" else {}
-            for r in fn(long, "__v", kk, time, threshold=threshold, **extra):
-                rows.append(r)
-    key_fields = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
-    schema = ", ".join(key_fields + [RESULT_SCHEMA])
-    names = keys + ["column", "test", "statistic", "p_value", "conclusion", "lags", "nobs"]
-    return df.sparkSession.createDataFrame([tuple(r[nm] for nm in names) for r in rows], schema)
+            parts.append(fn(long, "__v", kk, time, threshold=threshold, **extra))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -71,17 +71,17 @@ def _np_pp(y):
 def test_unit_root_tests_match_numpy_and_label(spark):
     for x, stationary in ((white_noise(1500), True), (random_walk(1500), False)):
         df = spark.createDataFrame(series_frame(x))
-        a = ur.adf(df, "y", block_size=256)[0]
+        a = ur.adf(df, "y", block_size=256).collect()[0]
         stat, lag = _np_adf(x)
         assert a["lags"] == lag
         np.testing.assert_allclose(a["statistic"], stat, rtol=1e-7)
         assert (a["conclusion"] == ur.STATIONARY) == stationary
-        k = ur.kpss(df, "y", block_size=256)[0]
+        k = ur.kpss(df, "y", block_size=256).collect()[0]
         kstat, klags = _np_kpss(x)
         assert k["lags"] == klags
         np.testing.assert_allclose(k["statistic"], kstat, rtol=1e-7)
         assert (k["conclusion"] == ur.STATIONARY) == stationary
-        p = ur.phillips_perron(df, "y", block_size=256)[0]
+        p = ur.phillips_perron(df, "y", block_size=256).collect()[0]
         np.testing.assert_allclose(p["statistic"], _np_pp(x), rtol=1e-7)
         assert (p["conclusion"] == ur.STATIONARY) == stationary
 
@@ -97,6 +97,6 @@ def test_keyed_equals_separate_runs(spark):
     a, b = white_noise(400, seed=11), random_walk(400, seed=12)
     pdf = pd.concat([series_frame(a, key="a"), series_frame(b, key="b")])
     df = spark.createDataFrame(pdf)
-    keyed = {r["series"]: r["statistic"] for r in ur.adf(df, "y", keys=["series"])}
-    single_a = ur.adf(spark.createDataFrame(series_frame(a)), "y")[0]["statistic"]
+    keyed = {r["series"]: r["statistic"] for r in ur.adf(df, "y", keys=["series"]).collect()}
+    single_a = ur.adf(spark.createDataFrame(series_frame(a)), "y").collect()[0]["statistic"]
     np.testing.assert_allclose(keyed["a"], single_a, rtol=1e-9)
