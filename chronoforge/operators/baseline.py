@@ -15,15 +15,17 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoforge.operators.gram import column_means, moments_frame
+from chronoforge.operators.gram import column_means, packed_moments
 from chronoforge.operators.linear import _cd_batch
 from chronoforge.operators.sequence import IDX
 from chronoforge.operators.split import N, ensure_index_n
 from chronoforge.plans.strategies import join_small
+from chronoforge.session import reliable_checkpoint
 
 # The reference baseline's configuration (daily and weekly seasonality on, yearly
 # off, changepoint prior scale 0.05) and the model family's documented defaults (25 changepoints
@@ -78,59 +80,16 @@ def _design(time: str) -> list[tuple[str, Column]]:
     return cols + fourier_columns(time)
 
 
-def _params_frame(spark, keys, key_types, rows, with_coef: bool) -> DataFrame:
-    fields = [T.StructField(k, t) for k, t in zip(keys, key_types)] + [
-        T.StructField("__t0", T.DoubleType()), T.StructField("__t1", T.DoubleType()),
-        T.StructField("__ymax", T.DoubleType()), T.StructField("__cp", T.ArrayType(T.DoubleType()))]
-    if with_coef:
-        fields += [T.StructField("__b", T.DoubleType()), T.StructField("__w", T.ArrayType(T.DoubleType()))]
-    return spark.createDataFrame(rows, T.StructType(fields))
+def _solve_penalised(p: int, center: np.ndarray, key_cols: list[str], iterations: int):
+    """Per series: penalised least squares on the packed Gram (pandas function). L1 on the
+    changepoint slopes, ridge on the seasonal terms, penalties scaled by the residual variance
+    (re-estimated ``iterations`` times)."""
+    from chronoforge.operators.gram import unpack_moments
 
-
-def fit_seasonal_baseline(df: DataFrame, target: str, keys: list[str] | None = None,
-                          time: str = "time", iterations: int = 2) -> BaselineModel:
-    """Fit per series on all rows of ``df`` with ``target`` present. Data passes: the
-    positional index, one aggregate of per-series ranges, one lookup of the changepoint rows and
-    one Gram aggregate; the driver sees per-series parameters only."""
-    keys = list(keys or [])
-    s = df.select(*keys, time, target).na.drop(subset=[time, target])
-    ix = ensure_index_n(s, keys, time)
-    spark = df.sparkSession
-    key_types = [ix.schema[k].dataType for k in keys]
-    stats = {tuple(r[k] for k in keys): r for r in ix.groupBy(*keys).agg(
-        F.min(_epoch_seconds(time)).alias("t0"), F.max(_epoch_seconds(time)).alias("t1"),
-        F.max(F.abs(target)).alias("ymax"), F.max(N).alias("n")).collect()}
-    # changepoints: the rows at evenly spaced positions of the first 80 % of each history
-    cp_rows = []
-    for k, r in stats.items():
-        hist = int(math.floor(r["n"] * CHANGEPOINT_RANGE))
-        pos = np.linspace(0, hist - 1, N_CHANGEPOINTS + 1).round().astype(int)[1:]
-        cp_rows += [(*k, j, int(p)) for j, p in enumerate(pos)]
-    cp_schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] + [
-        T.StructField("__j", T.IntegerType()), T.StructField(IDX, T.LongType())])
-    cp_idx = spark.createDataFrame(cp_rows, cp_schema)
-    found = join_small(ix.select(*keys, IDX, _epoch_seconds(time).alias("__sec")), cp_idx,
-                       on=[*keys, IDX], materialize=False).collect()
-    cps: dict = {}
-    for r in found:
-        cps.setdefault(tuple(r[k] for k in keys), {})[r["__j"]] = r["__sec"]
-    par_rows = []
-    for k, r in stats.items():
-        t0, t1 = float(r["t0"]), float(r["t1"])
-        span = (t1 - t0) or 1.0
-        cp = [(cps[k][j] - t0) / span for j in sorted(cps.get(k, {}))]
-        par_rows.append((*k, t0, t1 if t1 > t0 else t0 + 1.0, float(r["ymax"]) or 1.0, cp))
-    par = _params_frame(spark, keys, key_types, par_rows, with_coef=False)
-    rows = join_small(ix, par, on=keys, materialize=False)
-    design = _design(time)
-    names = [nm for nm, _ in design]
-    framed = rows.select(*keys, *[e.alias(nm) for nm, e in design], (F.col(target) / F.col("__ymax")).alias("__y"))
-    cols = names + ["__y"]
-    mom = moments_frame(framed, cols, column_means(framed, cols), keys)
-    p = len(names)
     kinds = np.array([0] + [1] * N_CHANGEPOINTS + [2] * (p - 1 - N_CHANGEPOINTS))
-    fitted = []
-    for k, m in mom.items():
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = unpack_moments(pdf.iloc[0]["__vals"], p + 1, center)
         C = m.scatter
         n = m.n
         Q, q = C[:p, :p] / n, C[:p, p] / n
@@ -143,8 +102,54 @@ def fit_seasonal_baseline(df: DataFrame, target: str, keys: list[str] | None = N
             resid = C[p, p] - 2 * w @ C[:p, p] + w @ C[:p, :p] @ w
             sigma2 = max(resid / n, 1e-12)
         mu = m.mean
-        fitted.append((k, float(mu[p] - mu[:p] @ w), [float(x) for x in w]))
-    by_key = {row[:len(keys)]: row for row in par_rows}
-    params = _params_frame(spark, keys, key_types,
-                           [(*by_key[k], b, w) for k, b, w in fitted], with_coef=True)
+        out = pdf[key_cols].head(1).copy()
+        out["__b"] = float(mu[p] - mu[:p] @ w)
+        out["__w"] = [[float(v) for v in w]]
+        return out
+    return fn
+
+
+def fit_seasonal_baseline(df: DataFrame, target: str, keys: list[str] | None = None,
+                          time: str = "time", iterations: int = 2) -> BaselineModel:
+    """Fit per series on all rows of ``df`` with ``target`` present. Data passes: the
+    positional index, one aggregate of per-series ranges, one lookup of the changepoint rows and
+    one Gram aggregate; the per-series solves run in ``applyInPandas`` (nothing per series is
+    collected to the driver)."""
+    keys = list(keys or [])
+    s = df.select(*keys, time, target).na.drop(subset=[time, target])
+    ix = ensure_index_n(s, keys, time)
+    sec = _epoch_seconds(time)
+    stats = ix.groupBy(*keys).agg(F.min(sec).alias("__t0"), F.max(sec).alias("__t1"),
+                                  F.max(F.abs(target)).alias("__ymax"), F.max(N).alias("__n"))
+    stats = stats.select(
+        *keys, "__t0",
+        F.when(F.col("__t1") > F.col("__t0"), F.col("__t1")).otherwise(F.col("__t0") + 1.0).alias("__t1"),
+        F.when(F.col("__ymax") > 0, F.col("__ymax")).otherwise(F.lit(1.0)).alias("__ymax"), "__n")
+    stats = reliable_checkpoint(stats)
+    # changepoints: the rows at evenly spaced positions j·step, j = 1..25, step = (h−1)/25 of the
+    # first h = ⌊0.8·n⌋ rows, rounded half to even (the last one is exactly h − 1)
+    hist = F.floor(F.col("__n") * F.lit(CHANGEPOINT_RANGE)).cast("long")
+    step = (hist - 1).cast("double") / F.lit(float(N_CHANGEPOINTS))
+    pos = F.transform(F.sequence(F.lit(1), F.lit(N_CHANGEPOINTS)), lambda j: F.when(
+        j == N_CHANGEPOINTS, hist - 1).otherwise(F.bround(j.cast("double") * step, 0).cast("long")))
+    cp_idx = stats.select(*keys, F.posexplode(pos).alias("__j", IDX))
+    cp_rows = join_small(ix.select(*keys, IDX, sec.alias("__sec")), cp_idx, on=[*keys, IDX])
+    cp_rows = join_small(cp_rows, stats.select(*keys, "__t0", "__t1"), on=keys, materialize=False)
+    cp_scaled = (F.col("__sec") - F.col("__t0")) / (F.col("__t1") - F.col("__t0"))
+    cps = cp_rows.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("__j", cp_scaled.alias("v")))).alias("__a"))
+    cps = cps.select(*keys, F.transform("__a", lambda e: e["v"]).alias("__cp"))
+    par = join_small(stats, cps, on=keys, how="left" if keys else "inner")
+    par = reliable_checkpoint(par.select(*keys, "__t0", "__t1", "__ymax", "__cp"))
+    rows = join_small(ix, par, on=keys, materialize=False)
+    design = _design(time)
+    names = [nm for nm, _ in design]
+    framed = rows.select(*keys, *[e.alias(nm) for nm, e in design], (F.col(target) / F.col("__ymax")).alias("__y"))
+    cols = names + ["__y"]
+    center = column_means(framed, cols)
+    pm = packed_moments(framed, cols, center, keys)
+    key_fields = [f"`{k}` {ix.schema[k].dataType.simpleString()}" for k in keys]
+    coef = pm.groupBy(*keys).applyInPandas(_solve_penalised(len(names), center, keys, iterations),
+                                           ", ".join(key_fields + ["__b double", "__w array<double>"]))
+    params = reliable_checkpoint(join_small(par, coef, on=keys))
     return BaselineModel(keys, params, names)

@@ -116,9 +116,10 @@ def _soft(x, t):
     return np.sign(x) * np.maximum(np.abs(x) - t, 0.0)
 
 
-def _polish(Q, q, w, l1, l2):
+def _polish(Q, q, w, l1, l2, atol: float = 0.0):
     """Exact solution on the active set (sign pattern) of ``w``, or None if that solution
-    violates the optimality conditions. ``l1``/``l2`` are scalars or per-coordinate vectors."""
+    violates the optimality conditions (up to ``atol``, relative to the problem's scale).
+    ``l1``/``l2`` are scalars or per-coordinate vectors."""
     p = len(w)
     l1 = np.broadcast_to(np.asarray(l1, dtype=float), (p,))
     l2 = np.broadcast_to(np.asarray(l2, dtype=float), (p,))
@@ -135,7 +136,7 @@ def _polish(Q, q, w, l1, l2):
         cand[active] = wa
     grad = q - Q @ cand - l2 * cand
     inactive = np.setdiff1d(np.arange(p), active)
-    if np.all(np.abs(grad[inactive]) <= l1[inactive] * (1 + 1e-9) + 1e-15):
+    if np.all(np.abs(grad[inactive]) <= l1[inactive] * (1 + 1e-9) + atol + 1e-15):
         return cand
     return None
 
@@ -159,6 +160,7 @@ def _cd_batch(Q: np.ndarray, q: np.ndarray, l1: np.ndarray, l2: np.ndarray,
     done = np.zeros(n_c, dtype=bool)
     diag = np.diag(Q)
     scale = max(np.max(np.abs(q)), 1e-300)
+    atol = 1e-11 * scale  # optimality accepted up to round-off of the problem's own scale
     for sweep in range(1, max_sweeps + 1):
         live = np.flatnonzero(~done)
         if live.size == 0:
@@ -180,12 +182,12 @@ def _cd_batch(Q: np.ndarray, q: np.ndarray, l1: np.ndarray, l2: np.ndarray,
             break
         if sweep % check_every == 0:
             for k in live:
-                exact = _polish(Q, q, W[k], L1[k], L2[k])
+                exact = _polish(Q, q, W[k], L1[k], L2[k], atol)
                 if exact is not None:
                     W[k] = exact
                     done[k] = True
     for k in np.flatnonzero(~done):
-        exact = _polish(Q, q, W[k], L1[k], L2[k])
+        exact = _polish(Q, q, W[k], L1[k], L2[k], atol)
         if exact is not None:
             W[k] = exact
     return W

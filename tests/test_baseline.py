@@ -36,3 +36,16 @@ def test_baseline_keyed_equals_single(spark):
     a = keyed.filter("series = 'a'").orderBy("time").toPandas()["prediction"].to_numpy()
     b = single.orderBy("time").toPandas()["prediction"].to_numpy()
     np.testing.assert_allclose(a, b, rtol=1e-6, atol=1e-6)
+
+
+def test_changepoint_positions_match_linspace(spark):
+    for n in (60, 101, 333):
+        t = pd.date_range("2024-01-01", periods=n, freq="h")
+        pdf = pd.DataFrame({"time": t, "y": np.random.default_rng(n).normal(size=n).cumsum()})
+        model = bl.fit_seasonal_baseline(spark.createDataFrame(pdf), "y")
+        cp = np.array(model.params.first()["__cp"])
+        hist = int(np.floor(n * 0.8))
+        pos = np.linspace(0, hist - 1, 26).round().astype(int)[1:]
+        secs = (t - pd.Timestamp("1970-01-01")).total_seconds().to_numpy()
+        expected = (secs[pos] - secs[0]) / (secs[-1] - secs[0])
+        np.testing.assert_allclose(cp, expected, rtol=0, atol=1e-12)
