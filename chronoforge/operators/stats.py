@@ -95,8 +95,8 @@ def quantiles_sorted(long: DataFrame, probs: list[float], group: list[str],
     return _pick_ranks(ranked, probs, group, value, names, IDX, "__n")
 
 
-# Below this many values a full distributed sort is cheaper than the sketch + bracket passes.
-SORT_MAX_ROWS = 20_000_000
+# Below this estimated input size a full distributed sort is cheaper than sketch + bracket.
+SORT_MAX_BYTES = 2 << 30
 
 
 def quantiles_exact(long: DataFrame, probs: list[float], group: list[str],
@@ -104,11 +104,12 @@ def quantiles_exact(long: DataFrame, probs: list[float], group: list[str],
                     method: str = "auto", accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolation quantiles. ``method="sorted"`` ranks every value
     (:func:`quantiles_sorted`); ``"bracket"`` ranks only rows near the wanted ranks
-    (:func:`quantiles_bracketed`); ``"auto"`` counts the values and picks the sort up to
-    ``SORT_MAX_ROWS`` values, the bracket beyond (no full shuffle of a 100 TB column)."""
+    (:func:`quantiles_bracketed`); ``"auto"`` reads the optimizer's size estimate of the input
+    (no job) and picks the sort up to ``SORT_MAX_BYTES``, the bracket beyond (no full shuffle of
+    a 100 TB column)."""
     if method == "auto":
-        total = long.filter(F.col(value).isNotNull()).count()
-        method = "sorted" if total <= SORT_MAX_ROWS else "bracket"
+        size = long.select(*group, value)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        method = "sorted" if int(str(size)) <= SORT_MAX_BYTES else "bracket"
     if method == "sorted":
         return quantiles_sorted(long, probs, group, value, names)
     return quantiles_bracketed(long, probs, group, value, names, accuracy)

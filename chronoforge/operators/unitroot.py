@@ -142,17 +142,22 @@ def _bartlett_sum(sums: DataFrame, lags: Column) -> Column:
 # --------------------------------------------------------------------------------------------
 
 
-def _adf_best_lag(p_design: int, center: np.ndarray, key_cols: list[str]):
-    """Per series: AIC over lag orders 0..maxlag on the common-sample Gram (pandas function)."""
-    from chronoforge.operators.gram import unpack_moments
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+def _adf_finisher(p_design: int, center: np.ndarray, key_cols: list[str]):
+    """Per series (pandas function): AIC over lag orders 0..maxlag on the common-sample Gram,
+    then the winner's own sample = common sample + the head rows ``t ∈ [lag+1, maxlag]``
+    (moments are additive), and the t-statistic of the lagged level."""
+    from chronoforge.operators.gram import Moments, unpack_moments
+
+    def fn(pdf: pd.DataFrame, head: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:  # a series with no common sample has no test
+            return pd.DataFrame({**{k: [] for k in key_cols}, "statistic": [], "lags": [], "nobs": []})
         row = pdf.iloc[0]
         m = unpack_moments(row["__vals"], p_design, center)
+        maxlag = int(row["__maxlag"])
         A = _augmented(m)
         y = A.shape[0] - 1
         aics = []
-        for lag in range(0, int(row["__maxlag"]) + 1):
+        for lag in range(0, maxlag + 1):
             xcols = [0, 1, *range(2, 2 + lag)]
             _, ssr, _ = _ols_from_gram(A, xcols, y)
             if ssr <= 0 or m.n <= 0:  # perfect fit (e.g. constant series)
@@ -160,28 +165,19 @@ def _adf_best_lag(p_design: int, center: np.ndarray, key_cols: list[str]):
                 continue
             llf = -m.n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m.n) + 1.0)
             aics.append((-2.0 * llf + 2.0 * len(xcols), lag))
-        out = pdf[key_cols].head(1).copy()
-        out["__best"] = int(min(aics)[1])
-        return out
-    return fn
-
-
-def _adf_stat(p_design: int, center: np.ndarray, key_cols: list[str]):
-    from chronoforge.operators.gram import unpack_moments
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        m = unpack_moments(row["__vals"], p_design, center)
+        lag = int(min(aics)[1])
+        if len(head):
+            used = head[head[IDX] >= lag + 1]
+            if len(used):
+                U = np.vstack([np.asarray(v, dtype=float) for v in used["__v"]]) - center
+                m = m + Moments(float(len(U)), U.sum(axis=0), U.T @ U, m.center)
         A = _augmented(m)
-        y = A.shape[0] - 1
-        lag = int(row["__best"])
         xcols = [0, 1, *range(2, 2 + lag)]
         beta, ssr, XtX = _ols_from_gram(A, xcols, y)
         dof = m.n - len(xcols)
         var = (ssr / dof) * np.linalg.pinv(XtX)[1, 1] if dof > 0 else 0.0
-        stat = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
         out = pdf[key_cols].head(1).copy()
-        out["statistic"] = stat
+        out["statistic"] = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
         out["lags"] = lag
         out["nobs"] = int(m.n)
         return out
@@ -192,19 +188,18 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         maxlag: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> DataFrame:
     """Augmented Dickey–Fuller test with a constant; lag order by AIC over ``0..maxlag``
     (Schwert bound ``⌈12(n/100)^¼⌉`` capped at ``n//2 − 2``), all candidates compared on the
-    common sample, the winner refitted on its own sample. Per-series work (the AIC search and the
-    t-statistic) runs in ``applyInPandas`` over packed per-series Grams; the driver receives only
-    the largest lag order (to build the lag columns) and the column means (centering)."""
+    common sample, the winner refitted on its own sample. One Gram pass: the common-sample Gram
+    per series plus that series' first ``maxlag`` rows (bounded), finished per series in
+    ``applyInPandas``. The driver receives only the largest lag order and the column means."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
     n = F.col("__n")
     schwert = F.ceil(F.lit(12.0) * F.pow(n / F.lit(100.0), F.lit(0.25))).cast("long")
     bound = schwert if maxlag is None else F.lit(int(maxlag)).cast("long")
     lengths = s.groupBy(*keys).agg(F.max(N).alias("__n"))
-    lengths = reliable_checkpoint(lengths.withColumn(
-        "__maxlag", F.least(F.floor(n / F.lit(2)).cast("long") - F.lit(2), bound)))
-    kmax = int(lengths.agg(F.max("__maxlag")).first()[0] or 0)
-    kmax = max(kmax, 0)
+    lengths = reliable_checkpoint(lengths.select(
+        *keys, F.least(F.floor(n / F.lit(2)).cast("long") - F.lit(2), bound).alias("__maxlag")))
+    kmax = max(int(lengths.agg(F.max("__maxlag")).first()[0] or 0), 0)
     specs = [(f"__l{j}", col, j) for j in range(1, kmax + 2)]
     sh = shift_columns(s, specs, keys, time, block_size=block_size)
     lvl = [F.col(col)] + [F.col(f"__l{j}") for j in range(1, kmax + 2)]
@@ -213,26 +208,19 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         dcols[f"__d{j}"] = F.coalesce(lvl[j] - lvl[j + 1], F.lit(0.0))
     sh = sh.withColumns(dcols).withColumn("__ylag", F.col("__l1"))
     design = ["__ylag", *[f"__d{j}" for j in range(1, kmax + 1)], "__dy"]
-    sh = reliable_checkpoint(sh.select(*keys, IDX, *design).filter(F.col("__ylag").isNotNull()))
+    sh = sh.select(*keys, IDX, *design).filter(F.col("__ylag").isNotNull())
+    sh = join_small(sh, lengths, on=keys, materialize=False)
+    sh = reliable_checkpoint(sh)
+    common = sh.filter(F.col(IDX) >= F.col("__maxlag") + 1)
+    center = column_means(common, design)
+    pm = packed_moments(common, design, center, keys)
+    # the first maxlag rows of each series (bounded), to extend the sample for the chosen order
+    head = sh.filter(F.col(IDX) <= F.col("__maxlag")).select(*keys, IDX, F.array(*design).alias("__v"))
+    pm = join_small(pm, lengths, on=keys, materialize=False)
     kf = _key_fields(df, keys)
-
-    def sample(thresholds: DataFrame, first: str) -> tuple[DataFrame, np.ndarray]:
-        j = join_small(sh, thresholds, on=keys, materialize=False)
-        rows = j.filter(F.col(IDX) >= F.col(first) + 1)
-        center = column_means(rows, design)
-        return packed_moments(rows, design, center, keys), center
-
-    # pass 1: every lag order on the common sample t >= maxlag + 1
-    pm, c1 = sample(lengths.select(*keys, "__maxlag"), "__maxlag")
-    pm = join_small(pm, lengths.select(*keys, "__maxlag"), on=keys, materialize=False)
-    best = pm.groupBy(*keys).applyInPandas(_adf_best_lag(len(design), c1, keys),
-                                           ", ".join(kf + ["__best long"]))
-    best = reliable_checkpoint(best)
-    # pass 2: the chosen order on its own sample t >= lag + 1
-    pm2, c2 = sample(best, "__best")
-    pm2 = join_small(pm2, best, on=keys, materialize=False)
-    res = pm2.groupBy(*keys).applyInPandas(_adf_stat(len(design), c2, keys),
-                                           ", ".join(kf + ["statistic double", "lags long", "nobs long"]))
+    res = pm.groupBy(*keys).cogroup(head.groupBy(*keys)).applyInPandas(
+        _adf_finisher(len(design), center, keys),
+        ", ".join(kf + ["statistic double", "lags long", "nobs long"]))
     res = res.withColumn("p_value", mackinnon_p_udf("statistic"))
     res = res.withColumns({"test": F.lit("ADF"), "conclusion": _label_col(F.col("p_value"), threshold, False)})
     return _finish(res, keys, col)
