@@ -48,15 +48,20 @@ def join_small(
         # one verified row of statistics: attach its values as typed literals
         row = small.first()
         return big.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in small.schema.fields})
+    # both sides get private key names and the condition uses unbound column names, so a small
+    # side derived from the big one (same attribute ids) never makes the join ambiguous
+    left = big
     right = small
-    renamed = {c: f"__r_{c}" for c in on}
-    for c, r in renamed.items():
-        right = right.withColumnRenamed(c, r)
+    for c in on:
+        left = left.withColumnRenamed(c, f"__l_{c}")
+        right = right.withColumnRenamed(c, f"__r_{c}")
     if n_small <= max_rows:
         right = F.broadcast(right)
-    cond = reduce(lambda a, b: a & b, [big[c].eqNullSafe(right[renamed[c]]) for c in on])
-    out = big.join(right, cond, how)
-    return out.drop(*renamed.values())
+    cond = reduce(lambda a, b: a & b, [F.col(f"__l_{c}").eqNullSafe(F.col(f"__r_{c}")) for c in on])
+    out = left.join(right, cond, how)
+    for c in on:
+        out = out.withColumnRenamed(f"__l_{c}", c)
+    return out.drop(*[f"__r_{c}" for c in on])
 
 
 def partitions_for(df: DataFrame, rows_per_partition: int | None = None) -> int:
