@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoforge.functions.columns import calendar_features, month_holdout
+from chronoforge.functions.columns import calendar_features, feature_label, month_holdout
 from chronoforge.operators.gram import Moments, column_means, moments_frame
 from chronoforge.operators.split import (
     ensure_index_n,
@@ -54,7 +54,7 @@ def prepare_design(features: DataFrame, target: str, month: int = 6, time: str =
     part. Returns the DataFrame and the ordered feature list (B4)."""
     df = month_holdout(features, month, time, "part").filter(F.col("part") == "train").drop("part")
     df = calendar_features(df, time)
-    feats = [c for c in df.columns if c not in (target, time, IDX, "n")]
+    feats = [c for c in feature_label(df, target, time) if c not in (IDX, "n")]
     df = ensure_index_n(df.drop(*[c for c in (IDX, "n") if c in df.columns]), [], time)
     df = df.withColumn("split", train_test_label(0.2))
     # folds and prefixes are positions inside the training part, whose length is ``cut``

@@ -347,9 +347,4 @@ def history_summary(df: DataFrame, group: list[str] | None = None, step: str = "
     )
 
 
-def bartlett_band(n: Column, cum_r2: Column, z: float = 1.96) -> Column:
-    """``z·√((1 + 2·Σ_{j<k} r_j²)/n)`` (growing ACF band)."""
-    return F.lit(z) * F.sqrt((F.lit(1.0) + F.lit(2.0) * cum_r2) / n)
-
-
 __all__ = [name for name in dir() if not name.startswith("_") and name not in {"math", "Window"}]

@@ -39,9 +39,6 @@ KPSS_PVALS = [0.10, 0.05, 0.025, 0.01]
 
 STATIONARY, NON_STATIONARY = "stationary", "non-stationary"
 
-RESULT_SCHEMA = ("column string, test string, statistic double, p_value double, "
-                 "conclusion string, lags int, nobs long")
-
 
 def _label(p: float, threshold: float, reverse: bool) -> str | None:
     """'stationary' iff p < threshold (ADF, PP); reversed for KPSS; None when undefined."""
@@ -69,9 +66,6 @@ def kpss_p(stat: float) -> float:
     return float(np.interp(stat, KPSS_CRIT, KPSS_PVALS))
 
 
-def schwert_lags(nobs: int) -> int:
-    return int(math.ceil(12.0 * (nobs / 100.0) ** 0.25))
-
 
 def _ols_from_gram(A: np.ndarray, xcols: list[int], ycol: int):
     """OLS of column ``ycol`` on ``xcols`` of an augmented raw Gram ``A`` (column 0 = constant)."""

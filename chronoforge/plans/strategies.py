@@ -62,10 +62,3 @@ def join_small(
     for c in on:
         out = out.withColumnRenamed(f"__l_{c}", c)
     return out.drop(*[f"__r_{c}" for c in on])
-
-
-def partitions_for(df: DataFrame, rows_per_partition: int | None = None) -> int:
-    """Target partition count for a range repartition: the session's shuffle parallelism."""
-    spark = df.sparkSession
-    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(conf, spark.sparkContext.defaultParallelism)

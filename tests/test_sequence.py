@@ -99,3 +99,10 @@ def test_hot_key_is_split_into_chunks(spark):
     got = out.sort_values(["series", "time"])
     np.testing.assert_allclose(got["l3"].to_numpy(float), exp["l3"].to_numpy(float), equal_nan=True)
     np.testing.assert_allclose(got["f2"].to_numpy(float), exp["f2"].to_numpy(float), equal_nan=True)
+
+
+def test_order_and_number_drops_null_time(spark):
+    pdf = pd.DataFrame({"time": pd.to_datetime(["2024-01-03", None, "2024-01-01", "2024-01-02"]),
+                        "y": [3.0, 9.0, 1.0, 2.0]})
+    out = seq.order_and_number(spark.createDataFrame(pdf)).orderBy("idx").toPandas()
+    assert out["idx"].tolist() == [0, 1, 2] and out["y"].tolist() == [1.0, 2.0, 3.0]
