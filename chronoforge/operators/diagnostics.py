@@ -155,3 +155,15 @@ def cross_correlation(df: DataFrame, y: str, x: str, lags: int = 100, horizon: i
                      F.when(n >= min_n, F.col("__r")).alias("correlation"), n.alias("n"))
     n_eff = F.min("n").over(Window.partitionBy(*keys))
     return out.withColumn("conf", F.when(n_eff > 0, F.lit(z) / F.sqrt(n_eff)))
+
+
+def cross_correlation_many(df: DataFrame, y: str, xs: list[str], lags: int = 100, horizon: int = 3,
+                           keys: list[str] | None = None, time: str = "time", var_col: str = "variable",
+                           **kw) -> DataFrame:
+    """:func:`cross_correlation` of ``y`` against several columns in one pass: the candidates
+    are unpivoted into ``(keys…, variable, time, y, x)`` and ``variable`` joins the series key
+    (one index, one window exchange). Missing values are dropped per (y, x) pair as before."""
+    keys = list(keys or [])
+    long = (df.select(*keys, time, F.col(y).alias("__y"), *[F.col(x).cast("double").alias(x) for x in xs])
+            .unpivot([*keys, time, "__y"], xs, var_col, "__x"))
+    return cross_correlation(long, "__y", "__x", lags, horizon, [*keys, var_col], time, **kw)

@@ -394,9 +394,8 @@ SELECT {kc}CAST(lag AS INTEGER) AS lag, {R('r')} AS correlation, n,
     for x in ["relative_humidity_2m", "wind_speed_10m"]))
 def q_cross_correlation(spark, sf_dir):
     h = fx.events_hourly(spark, sf_dir)
-    parts = [dg.cross_correlation(h, "temperature_2m", x, 100, 3).select(F.lit(x).alias("variable"), "*")
-             for x in ["relative_humidity_2m", "wind_speed_10m"]]
-    return rounded(parts[0].unionByName(parts[1]))
+    xs = ["relative_humidity_2m", "wind_speed_10m"]
+    return rounded(dg.cross_correlation_many(h, "temperature_2m", xs, 100, 3))
 
 
 @register("cross_correlation_keyed", _ccf_sql(
