@@ -1,9 +1,12 @@
 """Gram matrices (pattern P4): sufficient statistics of linear models, as Spark aggregates.
 
-``moments`` runs two JVM-side aggregations: the global mean ``c`` of every column (one row), then
-per ``group`` the count, ``Σ(u)`` and ``Σ(u uᵀ)`` (upper triangle) of ``u = v − c``. Centering on
-``c`` limits cancellation; partial aggregation keeps the shuffle at one row per group per task.
-Only ``groups × p²`` numbers reach the driver, independent of the row count.
+Two passes: the global mean ``c`` of every column (one row), then per ``group`` the count,
+``Σ(u)`` and ``Σ(u uᵀ)`` (upper triangle) of ``u = v − c``. Centering on ``c`` limits
+cancellation. Up to ``WIDE`` columns the second pass is one JVM aggregate; wider designs form
+``UᵀU`` per Arrow batch in ``mapInPandas`` and finish with a narrow ``groupBy(group, pos).sum``.
+Partial aggregation keeps the shuffle at one row per group per task. ``moments_frame`` brings the
+``groups × p²`` numbers to the driver (one table-level model); ``packed_moments`` keeps them as one
+row per group for per-series finishers that run in ``applyInPandas``.
 """
 
 from __future__ import annotations

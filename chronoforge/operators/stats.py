@@ -1,9 +1,10 @@
 """Aggregations and statistics.
 
 Wide inputs are turned into long form ``(keys…, column, value)`` with ``unpivot`` so that one
-``groupBy`` serves every column. Exact order statistics (median, quartiles) use the distributed
-positional index over the sorted values: rank ``k`` is the row with ``idx = k``. That is a
-range shuffle, never a single buffer holding every distinct value of a column.
+``groupBy`` serves every column. Exact order statistics (median, quartiles) never hold every
+distinct value in one buffer: small inputs are ranked with the distributed positional index
+(rank ``k`` is the row with ``idx = k``); large inputs are bracketed with ``percentile_approx``
+and only the rows inside each bracket are ranked.
 """
 
 from __future__ import annotations

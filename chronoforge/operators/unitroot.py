@@ -1,9 +1,11 @@
 """Unit-root and stationarity tests (E7 ADF, E8 KPSS, E9 Phillips–Perron).
 
 The data-sized work is Spark aggregates over the positional index: Gram matrices of lagged
-levels and differences (ADF, PP), lag-product sums (KPSS, PP) and a distributed running sum
-(KPSS). The driver receives only per-series matrices of fixed size and finishes with small
-linear algebra and the published p-value approximations.
+levels and differences (ADF), ``regr_*`` fits and lag-product sums (PP, KPSS) and a distributed
+running sum (KPSS). Per-series finishing stays in Spark too: KPSS and PP are column expressions
+over those aggregates, ADF's AIC search and t-statistic run in ``applyInPandas`` over one packed
+Gram row per series, and p-values come from a pandas UDF over one value per series. The driver
+reads only scalars (largest lag orders, column means).
 """
 
 from __future__ import annotations
