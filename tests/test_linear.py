@@ -129,3 +129,25 @@ def test_ridge_error_curve_bootstrap_identity(spark):
         np.testing.assert_allclose(bias2, ((P.mean(0) - yt) ** 2).mean(), rtol=1e-8)
         np.testing.assert_allclose(var, P.var(axis=0).mean(), rtol=1e-8, atol=1e-14)
         np.testing.assert_allclose(err, ((P - yt) ** 2).mean(), rtol=1e-8)
+
+
+def test_wide_gram_path_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    n, p = 700, 15
+    X = rng.normal(size=(n, p)) * np.linspace(0.1, 50, p) + np.linspace(-5, 5, p)
+    cols = [f"c{i}" for i in range(p)]
+    pdf = pd.DataFrame(X, columns=cols)
+    pdf["g"] = rng.integers(0, 3, n)
+    df = spark.createDataFrame(pdf)
+    assert p > gm.WIDE
+    mom = gm.moments(df, cols, group=["g"])
+    packed = gm.packed_moments(df, cols, gm.column_means(df, cols), ["g"]).collect()
+    for gval, part in pdf.groupby("g"):
+        V = part[cols].to_numpy()
+        m = mom[(gval,)]
+        np.testing.assert_allclose(m.mean, V.mean(axis=0), rtol=1e-10, atol=1e-9)
+        C = (V - V.mean(0)).T @ (V - V.mean(0))
+        np.testing.assert_allclose(m.scatter, C, rtol=1e-9, atol=1e-6)
+        row = next(r for r in packed if r["g"] == gval)
+        m2 = gm.unpack_moments(row["__vals"], p, m.center)
+        np.testing.assert_allclose(m2.scatter, C, rtol=1e-9, atol=1e-6)
