@@ -223,13 +223,26 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, keys: list[str] |
     )
     rng = reliable_checkpoint(rng)
     joined = join_small(long, rng, on=group, materialize=False)
-    b = F.floor((F.col(VALUE) - F.col("__lo")) * (F.lit(float(bins)) / (F.col("__hi") - F.col("__lo"))))
-    binned = joined.withColumn("bin", F.least(b.cast("int"), F.lit(bins - 1)))
+    # bin = ⌊(x − lo)·B/(hi − lo)⌋, then corrected against the exact edges lo + i·step (last edge
+    # = hi) so that values on an edge land where an edge-array search puts them
+    b0 = F.least(F.floor((F.col(VALUE) - F.col("__lo")) * (F.lit(float(bins)) / (F.col("__hi") - F.col("__lo"))))
+                 .cast("int"), F.lit(bins - 1))
+    step = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
+
+    def edge(i):
+        return F.when(i >= F.lit(bins), F.col("__hi")).otherwise(i * step + F.col("__lo"))
+
+    b1 = F.when(F.col(VALUE) < edge(F.col("__b0")), F.col("__b0") - 1).otherwise(F.col("__b0"))
+    b2 = F.when((F.col("__b1") != bins - 1) & (F.col(VALUE) >= edge(F.col("__b1") + 1)),
+                F.col("__b1") + 1).otherwise(F.col("__b1"))
+    binned = (joined.withColumn("__b0", b0).withColumn("__b1", b1).withColumn("bin", b2.cast("int"))
+              .drop("__b0", "__b1"))
     counts = binned.groupBy(*group, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
-    grid = grid.withColumns({"lo": F.col("__lo") + F.col("bin") * width,
-                             "hi": F.col("__lo") + (F.col("bin") + 1) * width})
+    grid = grid.withColumns({"lo": F.col("bin") * width + F.col("__lo"),
+                             "hi": F.when(F.col("bin") + 1 >= bins, F.col("__hi"))
+                                    .otherwise((F.col("bin") + 1) * width + F.col("__lo"))})
     out = grid.join(counts, on=[*group, "bin"], how="left")
     return out.select(*group, "bin", "lo", "hi", F.coalesce(F.col("count"), F.lit(0)).alias("count"))
 

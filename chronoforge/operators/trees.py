@@ -50,8 +50,20 @@ FEATURES_VEC = "__features"
 
 
 def draw_params(n_draws: int = N_DRAWS, seed: int = SEED) -> list[dict]:
-    rng = np.random.default_rng(seed)
-    return [{k: v[int(rng.integers(len(v)))] for k, v in PARAM_LISTS.items()} for _ in range(n_draws)]
+    """``n_draws`` distinct points of the full parameter grid (sampling without replacement, as
+    a randomized grid search over lists does; the random stream itself is NumPy's)."""
+    names = list(PARAM_LISTS)
+    sizes = [len(PARAM_LISTS[k]) for k in names]
+    total = int(np.prod(sizes))
+    picks = np.random.default_rng(seed).choice(total, size=min(n_draws, total), replace=False)
+    out = []
+    for code in picks:
+        point, rest = {}, int(code)
+        for k, size in zip(reversed(names), reversed(sizes)):
+            rest, i = divmod(rest, size)
+            point[k] = PARAM_LISTS[k][i]
+        out.append({k: point[k] for k in names})
+    return out
 
 
 def regressor(params: dict, max_iter: int, label: str, seed: int = SEED) -> GBTRegressor:

@@ -281,11 +281,17 @@ WITH h AS ({EVENTS_HOURLY_SQL}), l AS ({_long_hourly_sql()}),
 r AS (SELECT "column", CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo0,
              CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi0
       FROM l GROUP BY 1),
-c AS (SELECT l."column", least(CAST(floor((value - lo0) * (CAST(30 AS DOUBLE) / (hi0 - lo0))) AS INTEGER), 29) AS bin,
-             count(*) AS cnt FROM l JOIN r ON l."column" = r."column" GROUP BY 1, 2),
+b0 AS (SELECT l."column", value, lo0, hi0, (hi0 - lo0) / CAST(30 AS DOUBLE) AS step,
+              least(CAST(floor((value - lo0) * (CAST(30 AS DOUBLE) / (hi0 - lo0))) AS INTEGER), 29) AS b0
+       FROM l JOIN r ON l."column" = r."column"),
+b1 AS (SELECT *, CASE WHEN value < b0 * step + lo0 THEN b0 - 1 ELSE b0 END AS b1 FROM b0),
+b2 AS (SELECT *, CASE WHEN b1 <> 29 AND value >= CASE WHEN b1 + 1 >= 30 THEN hi0 ELSE (b1 + 1) * step + lo0 END
+                      THEN b1 + 1 ELSE b1 END AS bin FROM b1),
+c AS (SELECT "column", CAST(bin AS INTEGER) AS bin, count(*) AS cnt FROM b2 GROUP BY 1, 2),
 g AS (SELECT "column", lo0, hi0, CAST(b AS INTEGER) AS bin FROM r, range(0, 30) t(b))
-SELECT g."column", g.bin, round(lo0 + bin * ((hi0 - lo0) / CAST(30 AS DOUBLE)), {DIGITS}) AS lo,
-       round(lo0 + (bin + 1) * ((hi0 - lo0) / CAST(30 AS DOUBLE)), {DIGITS}) AS hi, coalesce(cnt, 0) AS count
+SELECT g."column", g.bin, round(bin * ((hi0 - lo0) / CAST(30 AS DOUBLE)) + lo0, {DIGITS}) AS lo,
+       round(CASE WHEN bin + 1 >= 30 THEN hi0 ELSE (bin + 1) * ((hi0 - lo0) / CAST(30 AS DOUBLE)) + lo0 END, {DIGITS}) AS hi,
+       coalesce(cnt, 0) AS count
 FROM g LEFT JOIN c USING ("column", bin)
 """)
 def q_histogram(spark, sf_dir):

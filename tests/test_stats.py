@@ -61,3 +61,13 @@ def test_bracketed_quantiles_equal_sorted(spark):
     for g, part in pdf.groupby("g"):
         np.testing.assert_allclose(a[a["g"] == g][["q10", "q50", "q90"]].to_numpy()[0],
                                    np.percentile(part["v"], [10, 50, 90]), rtol=1e-12)
+
+
+def test_histogram_edge_values_match_numpy(spark):
+    # values sitting exactly on bin edges (multiples of the bin width)
+    vals = np.concatenate([np.arange(0, 3.01, 0.1), np.arange(0, 3.01, 0.3), [1e-9, 2.9999999]])
+    df = spark.createDataFrame(pd.DataFrame({"a": vals}))
+    out = st.histogram(df, ["a"], bins=30).toPandas().sort_values("bin")
+    counts, edges = np.histogram(vals, bins=30)
+    assert out["count"].tolist() == counts.tolist()
+    np.testing.assert_array_equal(out["hi"].to_numpy(), edges[1:])
