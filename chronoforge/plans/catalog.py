@@ -1024,3 +1024,45 @@ WHERE {' AND '.join(n + ' IS NOT NULL' for n in names)}
 def q_features_keyed(spark, sf_dir):
     d = fx.orders_daily(spark, sf_dir)
     return rounded(feat.build_features(d, target="y", horizon=1, lags=KEYED_LAGS, keys=["series"]))
+
+
+# ------------------------------------------------------------------------------------------
+# 15. Scaled sequence windows and the boosted-tree model round trip
+# ------------------------------------------------------------------------------------------
+
+
+@register("scaled_windows")
+def q_scaled_windows(spark, sf_dir):
+    """C5 + G2: windows of the three parts, scaled with the scaler fitted on the training part's
+    windows (closed form), as sequence-model inputs."""
+    parts = _hourly_parts(spark, sf_dir)
+    w = win.sliding_windows(parts, MODEL_FEATURES, TGT, 48, 3, keys=["split"])
+    sc = win.window_scaler(parts.filter(F.col("split") == "train"), MODEL_FEATURES, TGT, 48, 3)
+    scaled = win.apply_window_scaler(w, sc, MODEL_FEATURES)
+    return scaled.select("split", "time", "idx", "y", "x")
+
+
+@register("tree_model_roundtrip")
+def q_tree_model_roundtrip(spark, sf_dir):
+    """A6 + A7 for boosted trees: Spark ML persistence of the fitted model, reload, score the
+    test part, and a metadata record with the round count."""
+    import datetime
+
+    from pyspark.ml.regression import GBTRegressionModel
+
+    design, feats, data, model = _default_tree_model(spark, sf_dir)
+    path = sio.scratch_path(spark, "gbt-model")
+    model.write().overwrite().save(path)
+    loaded = GBTRegressionModel.load(path)
+    test = data.filter(F.col("split") == "test")
+    m = st.regression_metrics(loaded.transform(test), TGT, "prediction")
+    row = m.first()
+    meta = sio.ModelMetadata(
+        model_name="GBT", trained_at=datetime.datetime.now().isoformat(), version="1.0.0", target=TGT,
+        metrics={"test_rmse": row["rmse"], "test_mae": row["mae"]},
+        hyperparameters={k: float(v) for k, v in tr.DEFAULT_PARAMS.items()}, features=feats,
+        n_features=len(feats), n_train=int(data.filter(F.col("split") == "train").count()),
+        n_test=int(row["n"]), model_path=path, best_iterations=int(loaded.getNumTrees))
+    meta_path = sio.write_metadata(spark, meta, sio.scratch_path(spark, "gbt-meta"))
+    return _attach(m, sio.read_metadata(spark, meta_path).select("model_name", "n_features", "n_train",
+                                                                  "n_test", "best_iterations"))

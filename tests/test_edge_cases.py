@@ -52,3 +52,17 @@ def test_window_scaler_without_windows(spark):
     assert sc["weight"] == 0 and sc["mean"] is None
     w = win.sliding_windows(df, ["y"], "t", window=48, horizon=3)
     assert w.count() == 0
+
+
+def test_apply_window_scaler(spark):
+    rng = np.random.default_rng(2)
+    pdf = series_frame(rng.normal(5, 2, 120)).assign(t=lambda d: d["y"].shift(-1).fillna(0), z=lambda d: d["y"] * 3)
+    df = spark.createDataFrame(pdf)
+    w = win.sliding_windows(df, ["y", "z"], "t", window=10, horizon=2)
+    sc = win.window_scaler(df, ["y", "z"], "t", window=10, horizon=2)
+    params = {r["column"]: (r["mean"], r["scale"]) for r in sc.collect()}
+    out = win.apply_window_scaler(w, sc, ["y", "z"]).orderBy("idx").first()
+    raw = w.orderBy("idx").first()
+    for j, c in enumerate(["y", "z"]):
+        m, s = params[c]
+        np.testing.assert_allclose(out["x"][3][j], (raw["x"][3][j] - m) / s, rtol=1e-6)
