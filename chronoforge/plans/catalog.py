@@ -68,7 +68,8 @@ FROM events GROUP BY 1
 
 ORDERS_DAILY_SQL = """
 SELECT o_orderpriority AS series, o_orderdate AS time, round(sum(o_totalprice), 2) AS y,
-       CAST(count(*) AS DOUBLE) AS x1, round(avg(o_totalprice), 4) AS x2
+       CAST(count(*) AS DOUBLE) AS x1,
+       ((sum(CAST(round(o_totalprice * 100) AS BIGINT)) * 200 + count(*)) // (2 * count(*))) / 10000.0 AS x2
 FROM orders GROUP BY 1, 2
 """
 

@@ -27,14 +27,28 @@ def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cents_and_count(price: str = "o_totalprice"):
+    """Aggregates for an exact average of two-decimal prices: sum of integer cents and rows."""
+    return [F.sum(F.round(F.col(price) * 100).cast("long")).alias("__cents"),
+            F.count(F.lit(1)).alias("__n")]
+
+
+def _avg_price_4dp():
+    """Average price rounded half-up to 4 decimals in integer arithmetic: with ``S`` = sum of
+    cents and ``n`` rows, ``round(S/(100n), 4) = ((200·S + n) div 2n) / 10⁴``. Every engine gets
+    the same value, ties included, and ``div`` stays exact for any realistic sum."""
+    return F.expr("(__cents * 200 + __n) div (__n * 2)") / F.lit(10000.0)
+
+
 def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five keyed daily series (``series`` = order priority) spanning several years."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy(F.col("o_orderpriority").alias("series"), F.col("o_orderdate").alias("time")).agg(
+    g = o.groupBy(F.col("o_orderpriority").alias("series"), F.col("o_orderdate").alias("time")).agg(
         F.round(F.sum("o_totalprice"), 2).alias("y"),
         F.count(F.lit(1)).cast("double").alias("x1"),
-        F.round(F.avg("o_totalprice"), 4).alias("x2"),
+        *_cents_and_count(),
     )
+    return g.select("series", "time", "y", "x1", _avg_price_4dp().alias("x2"))
 
 
 def events_raw(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
@@ -64,8 +78,9 @@ def lineitem_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_total_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One daily series over all orders (every calendar month of several years is present)."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy(F.col("o_orderdate").alias("time")).agg(
+    g = o.groupBy(F.col("o_orderdate").alias("time")).agg(
         F.round(F.sum("o_totalprice"), 2).alias("y"),
         F.count(F.lit(1)).cast("double").alias("x1"),
-        F.round(F.avg("o_totalprice"), 4).alias("x2"),
+        *_cents_and_count(),
     )
+    return g.select("time", "y", "x1", _avg_price_4dp().alias("x2"))
