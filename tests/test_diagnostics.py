@@ -43,3 +43,20 @@ def test_cross_correlation_matches_pandas(spark):
         al = pd.concat([sub["x"].shift(k), ys], axis=1).dropna()
         assert out["n"].iloc[k] == len(al)
         np.testing.assert_allclose(out["correlation"].iloc[k], al.iloc[:, 0].corr(al.iloc[:, 1]), atol=1e-10)
+
+
+def test_cross_correlation_many_equals_separate_runs(spark):
+    rng = np.random.default_rng(9)
+    n = 300
+    y = rng.normal(size=n).cumsum()
+    a = np.roll(y, 4) + rng.normal(size=n)
+    b = rng.normal(size=n)
+    b[::23] = np.nan
+    pdf = pd.DataFrame({"time": pd.date_range("2024-01-01", periods=n, freq="h"), "y": y, "a": a, "b": b})
+    df = spark.createDataFrame(pdf)
+    many = dg.cross_correlation_many(df, "y", ["a", "b"], 12, 3).toPandas()
+    for x in ("a", "b"):
+        one = dg.cross_correlation(df, "y", x, 12, 3).toPandas().sort_values("lag").reset_index(drop=True)
+        part = many[many["variable"] == x].sort_values("lag").reset_index(drop=True)
+        assert part["n"].tolist() == one["n"].tolist()
+        np.testing.assert_allclose(part["correlation"], one["correlation"], atol=1e-12)
