@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: bytes of text that a kernel handles at once; a longer text forms a slice of its own
 SLICE_BYTES = 4 << 20
@@ -57,7 +58,7 @@ def slices(sizes: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, end row, texts) of each run of rows; only one run is held as Python objects."""
     col = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lens = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+    lens = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
     for lo, hi in slices(lens, limit):
         yield lo, hi, text_bytes(col.slice(lo, hi - lo))
 
