@@ -7,14 +7,15 @@ is removed; strings are judged on the input.
   the choice depends on the window's bytes alone, so equal windows anywhere have equal anchors at
   equal places. Only suffixes that start at anchors are indexed (about 2 / (span - k + 2) of all).
   Consecutive windows of one anchor form an entry: (fingerprint of the anchor's k bytes, fingerprint of all
-  bytes that the entry's windows cover, document, place).
+  bytes that the entry's windows cover, document, place, and one-byte prints of the anchor with half
+  of the missing bytes to its left and to its right: a match of ``span`` bytes has one of the two).
 * Index family. Entries are dealt to buckets by the anchor; the number of buckets follows the
   input. In a bucket new batches are sorted into a suffix array (by fingerprint: only equality of
   prefixes is asked, so any order that keeps equal prefixes together serves), merge-scanned
   against the existing levels, and pushed; levels of equal size merge, so each entry is merged log times.
 * An entry whose whole cover occurs in a smaller document is removed at once. An entry that shares only
-  its anchor (the edges of a match) is decided exactly: the fingerprints of all its windows
-  are compared with those of every entry left of the same anchor.
+  its anchor and a side print (the edges of a match) is decided exactly: the fingerprints of all its
+  windows are compared with those of every entry left of the same anchor and side.
 * Hot passages. Before any shuffle, a slice of input keeps one entry of equal cover, with the
   smallest doc_id, and one of equal windows; the others are decided there. An anchor with more than
   ``HOT`` different covers in a slice goes straight to windows, which spread by their own hash.
@@ -41,7 +42,7 @@ SPAN = 50
 #: bytes of an anchor
 ANCHOR = 24
 #: index entries of one bucket on average, and of one batch of a bucket's family
-BUCKET_ENTRIES = 800_000
+BUCKET_ENTRIES = 1_200_000
 BATCH_ENTRIES = 100_000
 #: different covers of one anchor in one slice from which its windows are indexed instead
 HOT = 64
@@ -84,11 +85,13 @@ class Prints:
 
 
 def entries(texts: list[bytes], span: int = SPAN, k: int = ANCHOR):
-    """The entries of some texts: text, first window, last window, anchor's print, cover's print."""
+    """The entries of some texts: text, first window, last window, anchor's print, cover's print, left
+    and right side print (0: a text's edge is nearer)."""
     buf, off = K.join_texts(texts)
     none = np.zeros(0, np.int64)
+    nothing = none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(np.uint8), none.astype(np.uint8)
     if len(buf) < span:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     prints = Prints(buf)
     at = np.arange(len(buf) - k + 1)
     low = int(len(buf)).bit_length()
@@ -106,7 +109,7 @@ def entries(texts: list[bytes], span: int = SPAN, k: int = ANCHOR):
     np.add.at(valid, off[:-1][full] + n_windows[full], -1)
     p = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
     if not len(p):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     a = anchor[p]
     first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)])
     last = np.r_[first[1:], len(p)] - 1
@@ -115,7 +118,13 @@ def entries(texts: list[bytes], span: int = SPAN, k: int = ANCHOR):
     with np.errstate(over="ignore"):
         kh = prints.of(a, a + k)
         cover = K.mix64(prints.of(lo, hi + span) + (a - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + kh)
-    return text, lo - off[text], hi - off[text], kh, cover
+    side = (span - k + 1) // 2
+    near, far = np.maximum(a - side, 0), np.minimum(a + k + side, len(buf))
+    left = (prints.of(near, a + k) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    right = (prints.of(a, far) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    left[a - side < off[text]] = 0
+    right[a + k + side > off[text + 1] - 1] = 0
+    return text, lo - off[text], hi - off[text], kh, cover, left, right
 
 
 class Family:
@@ -215,27 +224,28 @@ def _emit(rows):
 
 def _index(buckets: int, parts: int, span: int, k: int):
     def slice_rows(key, texts):
-        text, lo, hi, kh, cover = entries(texts, span, k)
+        text, lo, hi, kh, cover, left, right = entries(texts, span, k)
         doc = key[0][text]
         o = np.lexsort((doc, cover))
-        text, lo, hi, kh, cover, doc = (x[o] for x in (text, lo, hi, kh, cover, doc))
+        text, lo, hi, kh, cover, left, right, doc = (x[o] for x in (text, lo, hi, kh, cover, left, right, doc))
         head = np.flatnonzero(np.r_[True, cover[1:] != cover[:-1]]) if len(cover) else np.zeros(0, np.int64)
         least = np.repeat(doc[head], np.diff(np.r_[head, len(cover)]))
         late = doc > least
         yield from _gone(key, text[late], lo[late], (hi - lo)[late] + span, parts)
-        text, lo, hi, kh, cover = (x[~late] for x in (text, lo, hi, kh, cover))
-        u, of, count = np.unique(kh, return_inverse=True, return_counts=True)
-        hot = count[of] > HOT
+        u, count = np.unique(kh[head], return_counts=True)
+        u = u[count > HOT]
+        text, lo, hi, kh, cover, left, right = (x[~late] for x in (text, lo, hi, kh, cover, left, right))
+        hot = np.isin(kh, u)
         if hot.any():
             buf, off = K.join_texts(texts)
             yield from _window_rows(key, text[hot], lo[hot], hi[hot], Prints(buf), off, buckets, parts, span)
-        mark = np.r_[kh[~hot], u[count > HOT]]  # a hot anchor leaves a mark: an entry of length 0
-        n_hot = int((count > HOT).sum())
-        zero = np.zeros(n_hot, np.int64)
+        mark = np.r_[kh[~hot], u]  # a hot anchor leaves a mark: an entry of length 0
+        zero = np.zeros(len(u), np.int64)
         yield from _parts(
             _ENTRY, (mark % np.uint64(buckets)).astype(np.int64), key, np.r_[text[~hot], zero],
             (mark >> np.uint64(32)).astype(np.uint32), np.r_[cover[~hot], zero.view(np.uint64)],
-            np.r_[lo[~hot], zero].astype(np.uint32), np.r_[(hi - lo)[~hot] + 1, zero].astype(np.uint8))
+            np.r_[lo[~hot], zero].astype(np.uint32), np.r_[(hi - lo)[~hot] + 1, zero].astype(np.uint8),
+            np.r_[left[~hot], zero.astype(np.uint8)], np.r_[right[~hot], zero.astype(np.uint8)])
 
     def run(batches):
         for b in batches:
@@ -248,28 +258,43 @@ def _index(buckets: int, parts: int, span: int, k: int):
 def _family(parts: int, span: int):
     """One bucket: batches into the family of levels, then what is covered and what is open."""
 
-    def run(table: pa.Table) -> pa.Table:
-        doc, t, kh, cover, lo, n = _open(table.column("blob").to_pylist(), np.uint32, np.uint64, np.uint32, np.uint8)
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() != _ENTRY:  # decided in its slice: handed on
+            return table
+        doc, t, kh, cover, lo, n, left, right = _open(
+            table.column("blob").to_pylist(), np.uint32, np.uint64, np.uint32, np.uint8, np.uint8, np.uint8)
         mark = n == 0
         hot = np.unique(kh[mark])
-        doc, t, kh, cover, lo, n = (x[~mark] for x in (doc, t, kh, cover, lo, n))
+        doc, t, kh, cover, lo, n, left, right = (x[~mark] for x in (doc, t, kh, cover, lo, n, left, right))
         family = Family(len(kh))
         for at in range(0, len(kh), BATCH_ENTRIES):
             s = slice(at, at + BATCH_ENTRIES)
             family.insert(kh[s], cover[s], doc[s], np.arange(at, min(at + BATCH_ENTRIES, len(kh))))
         gone = family.covered
-        left = ~gone & (family.shared | np.isin(kh, hot))
+        # what is left of an anchor that other documents have too is open where a side agrees
+        rest = np.flatnonzero(~gone & family.shared)
+        open_ = ~gone & np.isin(kh, hot)
+        for side in (left, right):
+            o = rest[side[rest] > 0]
+            both = kh[o].astype(np.uint64) << np.uint64(8) | side[o]
+            by = np.lexsort((doc[o], both))
+            o, both = o[by], both[by]
+            head = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(o) else o
+            size = np.diff(np.r_[head, len(o)])
+            open_[o[np.repeat(doc[o][head] != doc[o][head + size - 1], size)]] = True
         key, row = (doc, t), np.arange(len(doc))
         rows = list(_gone(key, row[gone], lo[gone], n[gone].astype(np.int64) + span - 1, parts))
-        part = (K.mix64(doc.view(np.uint64))[left] % np.uint64(parts)).astype(np.int64)
-        rows += _parts(_OPEN, part, key, row[left], lo[left], n[left].astype(np.uint32))
+        part = (K.mix64(doc.view(np.uint64))[open_] % np.uint64(parts)).astype(np.int64)
+        rows += _parts(_OPEN, part, key, row[open_], lo[open_], n[open_].astype(np.uint32))
         return table_of(_OUT, dict(zip(_OUT.names, zip(*rows), strict=True)) if rows else {c: [] for c in _OUT.names})
 
     return run
 
 
 def _windows(parts: int, span: int):
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() != _WINDOW:  # decided before: handed on
+            return table
         doc, t, wh, p = _open(table.column("blob").to_pylist(), np.uint64, np.uint32)
         o = np.lexsort((doc, wh))
         wh, doc, t, p = wh[o], doc[o], t[o], p[o]
@@ -340,14 +365,12 @@ def removed_ranges(docs: DataFrame, span: int = SPAN, k: int = ANCHOR) -> DataFr
     parts = max(24, int(n_bytes / 64e6))
     ddl_ranges = "doc_id long, t long, ranges binary"
 
-    index = scratch(docs.mapInArrow(_index(buckets, parts, span, k), _DDL))
-    judged = scratch(index.where(f"kind = {_ENTRY}").groupBy("part").applyInArrow(_family(parts, span), _DDL))
+    index = docs.mapInArrow(_index(buckets, parts, span, k), _DDL)
+    judged = scratch(index.groupBy("kind", "part").applyInArrow(_family(parts, span), _DDL))
     open_ = scratch(judged.where(f"kind = {_OPEN}").groupBy("part").applyInArrow(_by_document(False), ddl_ranges))
-    again = scratch(_attach(docs, open_, "inner").mapInArrow(_open_windows(buckets, parts, span), _DDL))
-    windows = index.where(f"kind = {_WINDOW}").unionByName(again.where(f"kind = {_WINDOW}"))
-    decided = windows.groupBy("part").applyInArrow(_windows(parts, span), _DDL)
-    gone = index.unionByName(judged).unionByName(again).where(f"kind = {_GONE}").unionByName(decided)
-    return scratch(gone.groupBy("part").applyInArrow(_by_document(True), ddl_ranges))
+    again = _attach(docs, open_, "inner").mapInArrow(_open_windows(buckets, parts, span), _DDL)
+    gone = judged.where(f"kind != {_OPEN}").unionByName(again).groupBy("kind", "part").applyInArrow(_windows(parts, span), _DDL)
+    return gone.groupBy("part").applyInArrow(_by_document(True), ddl_ranges)
 
 
 def cut(text: bytes, ranges: bytes | None) -> tuple[bytes, int, int]:
