@@ -80,20 +80,36 @@ def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
+#: spans up to this length are hashed eight bytes at a time
+_SHORT_SPAN = 128
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit multilinear hash of each span of bytes (disjoint, increasing, not empty)."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+    """A 64-bit multilinear hash of each span of bytes."""
     length = end - start
-    total = int(length.sum())
-    first = np.zeros(len(start), np.int64)
-    np.cumsum(length[:-1], out=first[1:])
-    within = np.arange(total, dtype=np.int64) - np.repeat(first, length)
-    at = within + np.repeat(start, length)
-    k = constants(int(length.max()), seed)
+    h = length.astype(np.uint64)
+    if not len(start):
+        return h
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    load = np.ndarray((len(buf) + 1,), "<u8", buffer=padded, strides=(1,))
+    k = constants(_SHORT_SPAN // 8 + 1, seed)
+    h *= k[-1]
+    short = length <= _SHORT_SPAN
     with np.errstate(over="ignore"):
-        v = (buf[at].astype(np.uint64) + np.uint64(1)) * k[within]
-        h = np.add.reduceat(v, first) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        at = np.flatnonzero(short)
+        for j in range(_SHORT_SPAN // 8):
+            rest = length[at] - 8 * j
+            at, rest = at[rest > 0], rest[rest > 0]
+            if not len(at):
+                break
+            h[at] += mix64((load[start[at] + 8 * j] & _MASK[np.minimum(rest, 8)]) + k[j]) * k[j]
+        at = np.flatnonzero(~short)
+        if len(at):
+            n, first = length[at], np.cumsum(length[at]) - length[at]
+            within = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n)
+            value = (buf[within + np.repeat(start[at], n)].astype(np.uint64) + np.uint64(1)) * constants(int(n.max()), seed + 1)[within]
+            h[at] += np.add.reduceat(value, first)
     return mix64(h)
 
 

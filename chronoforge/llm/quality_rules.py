@@ -87,7 +87,7 @@ def common_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int =
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
-    """(doc_id, counts, removed_words, base_failed, kept), one row for each row of ``docs``."""
+    """(doc_id, counts, removed_words, base_failed, kept, and the hashes t and host of text and host), one row for each row of ``docs``."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     F.xxhash64(F.col(host_col).cast("string")).alias("host"),
                     F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("t"))
@@ -101,5 +101,5 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     removed = F.coalesce("removed_words", F.lit(0).cast("long"))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        removed.alias("removed_words"),
+        removed.alias("removed_words"), "t", "host",
         (~F.col("base_failed") & (removed <= F.col("n_words") * max_lost)).alias("kept"))

@@ -6,29 +6,72 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from chronoforge.llm.byte_bpe import byte_bpe
 from chronoforge.llm.common import read_documents
 from chronoforge.llm.exact_dedup import exact_dedup
+from chronoforge.llm.hilbert_sharding import hilbert_shards
+from chronoforge.llm.line_quality import line_quality
 from chronoforge.llm.ngram_join import ngram_join
+from chronoforge.llm.packing import pack
 from chronoforge.llm.quality_rules import quality_rules
+from chronoforge.llm.sentence_spans import sentence_spans
+from chronoforge.llm.suffix_dedup import suffix_dedup
+from chronoforge.llm.toxicity import toxicity
+
+#: vocabulary files, read where they are installed
+PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+BPE_TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_documents(spark, sf_dir), PACK_TOKENIZER)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read_documents(spark, sf_dir))
+
+
+def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards(read_documents(spark, sf_dir))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_documents(spark, sf_dir))
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans(read_documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(read_documents(spark, sf_dir))
+    return quality_rules(read_documents(spark, sf_dir)).drop("t", "host")
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe(read_documents(spark, sf_dir), BPE_TOKENIZER)
+
+
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(read_documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_exact_dedup": op5_exact_dedup,
-    "op7_quality_rules": op7_quality_rules,
-    "op10_ngram_join": op10_ngram_join,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_toxicity, op2_best_fit_packing, op3_suffix_dedup, op4_hilbert_sharding, op5_exact_dedup,
+    op6_sentence_spans, op7_quality_rules, op8_byte_bpe, op9_line_quality, op10_ngram_join)}
 
 ORACLE: dict[str, str] = {}
 
