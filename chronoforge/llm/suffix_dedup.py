@@ -41,8 +41,10 @@ from chronoforge.llm.common import BROADCAST_BYTES, batch_of, inputs, scratch, s
 SPAN = 50
 #: bytes of an anchor
 ANCHOR = 24
+#: bytes of text indexed at once
+SLICE = 2 << 20
 #: index entries of one bucket on average, and of one batch of a bucket's family
-BUCKET_ENTRIES = 1_200_000
+BUCKET_ENTRIES = 1_000_000
 BATCH_ENTRIES = 100_000
 #: different covers of one anchor in one slice from which its windows are indexed instead
 HOT = 64
@@ -61,7 +63,7 @@ _ENTRY, _WINDOW, _GONE, _OPEN = 0, 1, 2, 3
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
-        m = max(n, K.SLICE_BYTES + 65536)
+        m = max(n, SLICE + 65536)
         with np.errstate(over="ignore"):
             for name, b in (("up", _BASE), ("down", _INVERSE)):
                 p = np.full(m, b, np.uint64)
@@ -249,7 +251,7 @@ def _index(buckets: int, parts: int, span: int, k: int):
 
     def run(batches):
         for b in batches:
-            for lo, hi, texts in K.text_slices(b.column("text")):
+            for lo, hi, texts in K.text_slices(b.column("text"), SLICE):
                 yield from _emit(slice_rows(_keys(b, lo, hi), texts))
 
     return run
@@ -337,7 +339,7 @@ def _by_document(merge: bool):
 def _open_windows(buckets: int, parts: int, span: int):
     def run(batches):
         for b in batches:
-            for a, z, texts in K.text_slices(b.column("text")):
+            for a, z, texts in K.text_slices(b.column("text"), SLICE):
                 key = _keys(b, a, z)
                 buf, off = K.join_texts(texts)
                 r = [np.frombuffer(x, np.uint32).reshape(-1, 2).astype(np.int64) for x in b.column("ranges").slice(a, z - a).to_pylist()]
@@ -348,11 +350,15 @@ def _open_windows(buckets: int, parts: int, span: int):
     return run
 
 
-def _attach(rows: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-    """Ranges to their texts; broadcast only while their measured bytes are within the bound."""
-    n, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("ranges")), F.lit(0))).first()
+def _attach(rows: DataFrame, ranges: DataFrame, how: str, sized: bool = True) -> DataFrame:
+    """Ranges to their texts; broadcast only while their measured bytes are within the bound. Without
+    ``sized`` (ranges of most documents) both sides shuffle at every size."""
     r = ranges.withColumnRenamed("doc_id", "__d").withColumnRenamed("t", "__t")
-    r = small(r, size + 32 * n, BROADCAST_BYTES)
+    if sized:
+        n, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("ranges")), F.lit(0))).first()
+        r = small(r, size + 32 * n, BROADCAST_BYTES)
+    else:
+        r = r.hint("merge")
     return rows.join(r, (F.col("doc_id") == F.col("__d")) & (F.col("t") == F.col("__t")), how).drop("__d", "__t")
 
 
@@ -368,7 +374,7 @@ def removed_ranges(docs: DataFrame, span: int = SPAN, k: int = ANCHOR) -> DataFr
     index = docs.mapInArrow(_index(buckets, parts, span, k), _DDL)
     judged = scratch(index.groupBy("kind", "part").applyInArrow(_family(parts, span), _DDL))
     open_ = scratch(judged.where(f"kind = {_OPEN}").groupBy("part").applyInArrow(_by_document(False), ddl_ranges))
-    again = _attach(docs, open_, "inner").mapInArrow(_open_windows(buckets, parts, span), _DDL)
+    again = _attach(docs, open_, "inner", sized=False).mapInArrow(_open_windows(buckets, parts, span), _DDL)
     gone = judged.where(f"kind != {_OPEN}").unionByName(again).groupBy("kind", "part").applyInArrow(_windows(parts, span), _DDL)
     return gone.groupBy("part").applyInArrow(_by_document(True), ddl_ranges)
 
