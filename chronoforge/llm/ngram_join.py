@@ -13,8 +13,8 @@ Documents link when 100 * intersection >= 75 * union.
    its prefix extends the prefix over its whole set and indexes 2-token combinations, the adjacent
    pairs in the global order. Similar sets of union u share at least u/2 - 1 of them, since each
    differing token parts at most one adjacent pair, so n - 1 - ceil(n/2 - 1) + 1 suffice.
-   A combination with at most ``rare`` owners yields its pairs. Beyond that its owners meet a single
-   pivot first; only owners still outside the group's main component meet the others.
+   The owners of a combination meet a single pivot first; only owners that are then still outside the
+   group's main component meet the others, so a group of near copies costs a row for each member.
 5. Candidates pass the length bound and a parity sketch (a lower bound of the symmetric difference,
    so it loses nothing), and survivors are verified on the whole sets.
 6. Links give components; every copy takes its representative's.
@@ -43,12 +43,14 @@ from chronoforge.llm.common import batch_of, having_ids, inputs, scratch, small,
 from chronoforge.llm.components import components
 
 WIDTH = 5
-#: tokens and combinations with at most so many owners yield their pairs directly
+#: tokens with at most so many owners yield their pairs directly
 RARE = 32
 #: a shingle in at least this share of the sets is heavy
-PHI = 0.001
+PHI = 0.0003
+#: tokens that a task counts at once
+COUNT_TOKENS = 4_000_000
 #: index entries that one bucket (one task) holds on average
-BUCKET_ENTRIES = 400_000
+BUCKET_ENTRIES = 1_500_000
 
 _SIG = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
 _ENTRY = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())])
@@ -73,21 +75,30 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
 
 def _signatures(phi: float):
     def run(batches):
+        held, docs = [], 0
+
+        def heavy():  # a token in phi of all sets is in phi of the sets of at least one run
+            nonlocal docs
+            u, c = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            top = c >= max(2, phi * docs)
+            zero = np.zeros(int(top.sum()), np.int64)
+            yield batch_of(_SIG, {"kind": zero.astype(np.int32) + 1, "id": u[top].view(np.int64), "n": c[top], "s1": zero, "s2": zero})
+            held.clear()
+            docs = 0
+
         for ids, v, off in _runs(batches):
             n = np.diff(off)
             with np.errstate(over="ignore"):
                 c1 = np.r_[np.uint64(0), np.cumsum(v, dtype=np.uint64)]
                 c2 = np.r_[np.uint64(0), np.cumsum(K.mix64(v ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)]
                 s1, s2 = c1[off[1:]] - c1[off[:-1]], c2[off[1:]] - c2[off[:-1]]
-            # a token in phi of all sets is in phi of the sets of at least one run
-            u, c = np.unique(v, return_counts=True)
-            top = c >= max(2, phi * len(ids))
-            u, c = u[top], c[top]
-            yield batch_of(_SIG, {
-                "kind": np.r_[np.zeros(len(ids), np.int32), np.ones(len(u), np.int32)],
-                "id": np.r_[ids, u.view(np.int64)], "n": np.r_[n, c],
-                "s1": np.r_[s1.view(np.int64), np.zeros(len(u), np.int64)],
-                "s2": np.r_[s2.view(np.int64), np.zeros(len(u), np.int64)]})
+            zero = np.zeros(len(ids), np.int32)
+            yield batch_of(_SIG, {"kind": zero, "id": ids, "n": n, "s1": s1.view(np.int64), "s2": s2.view(np.int64)})
+            held.append(v)
+            docs += len(ids)
+            if sum(map(len, held)) > COUNT_TOKENS:
+                yield from heavy()
+        yield from heavy()
 
     return run
 
@@ -172,7 +183,8 @@ def _index(order_of, prefix_of, buckets: int, rare: int, sketch: bool, members:
 
 
 def _pairs_of(keys, ids, n, rare):
-    """Distinct pairs within runs of one key of 2 to ``rare`` owners, by the length bound."""
+    """Distinct pairs within runs of one key of 2 to ``rare`` owners, by the length bound, and the owners
+    of keys that have more."""
     out = []
     o = np.lexsort((ids, keys))
     keys, ids, n = keys[o], ids[o], n[o]
@@ -193,7 +205,8 @@ def _pairs_of(keys, ids, n, rare):
 
 
 def _bucket(rare: int, members: bool):
-    """Reduce side: the pairs of rare keys, and the owners of frequent keys."""
+    """Reduce side: the pairs of rare keys and the owners of frequent ones; with ``members`` the owners of
+    every key that has two or more."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, ids, n, hot = [], [], [], []
@@ -203,7 +216,7 @@ def _bucket(rare: int, members: bool):
             keys.append(k), ids.append(i[ref]), n.append(m[ref]), hot.append(h)
         keys, ids, n, hot = map(np.concatenate, (keys, ids, n, hot))
         known = np.isin(keys, hot)
-        pairs, fk, fi, fn = _pairs_of(keys[~known], ids[~known], n[~known], rare)
+        pairs, fk, fi, fn = _pairs_of(keys[~known], ids[~known], n[~known], 1 if members else rare)
         fk, fi, fn = np.r_[fk, keys[known]], np.r_[fi, ids[known]], np.r_[fn, n[known]]
         if not members:
             fi, at = np.unique(fi, return_index=True)
@@ -313,8 +326,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "key", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"))
     star = members.join(pivots, "key").where("id != pid AND 4 * least(n, pn) >= 3 * greatest(n, pn)").select(
         F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b"))
-    pairs = found.where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(
-        grouped.where(f"kind = {_CANDIDATE}").select("a", "b")).unionByName(star).distinct()
+    pairs = found.where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(star).distinct()
     links = scratch(_links(own, pairs, sketches))
 
     # owners of a frequent combination that its pivot did not connect meet all the others
