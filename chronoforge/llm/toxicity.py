@@ -2,8 +2,8 @@
 
 Tokens are words, lower-cased A-Z. A token's features are its word, its first four and five bytes and the
 first five bytes of both neighbours. Only documents are labelled, so the training tokens are: a token of a
-toxic document is toxic if one of its own features occurs in ``MIN_TOXIC`` toxic sample documents that
-are no near copies of each other, and nearly never in others. The field is fitted on a sample of at most ``SAMPLE`` documents of each
+toxic document is toxic if one of its own features occurs in more toxic sample documents (no near copies of
+each other) than chance allows, and nearly never in others. The field is fitted on a sample of at most ``SAMPLE`` documents of each
 class (a documented bound); forward-backward marginals of all tokens of every whole text
 give the offending offsets (marginal 0.5 or more) and, by their maximum and sum, the document score,
 scaled by a logistic regression on the same sample.
@@ -30,8 +30,9 @@ from chronoforge.llm.training import held_out, sample
 SAMPLE = 1500
 #: sample documents in which a feature must occur
 MIN_DOCS = 4
-#: toxic sample documents that make a feature a sign of toxicity, and the others allowed for each of them
-MIN_TOXIC = 20
+#: chance that a neutral feature occurs in toxic sample documents alone, below which it is a sign of
+#: toxicity (this sets how many documents it takes), and the others allowed for each of them
+CHANCE = 1e-6
 CLEAN_SHARE = 0.02
 STEPS = 30
 THRESHOLD = 0.7
@@ -105,6 +106,8 @@ def fit_toxicity(rows: list[tuple[bytes, int]]):
     least = np.where(at[1:] > at[:-1], np.append(sets, np.uint64(0))[at[:-1]], np.uint64(0))
     _, kin = np.unique(np.stack([least, y_doc.astype(np.uint64)]), axis=1, return_inverse=True)
     kin = kin.reshape(-1)[doc]
+    share = len(np.unique(kin[y_doc[doc] == 1])) / len(np.unique(kin))
+    min_toxic = max(3.0, np.log(CHANCE) / np.log(max(share, 1e-3)))
     signs, seen = [], []
     for x in h:
         o = np.lexsort((kin, x))
@@ -113,7 +116,7 @@ def fit_toxicity(rows: list[tuple[bytes, int]]):
         toxic = y_doc[doc[o][new]]
         n1 = np.bincount(of[new], toxic, len(u))
         n0 = np.bincount(of[new], 1 - toxic, len(u))
-        signs.append(u[(n1 >= MIN_TOXIC) & (n0 <= CLEAN_SHARE * n1)])
+        signs.append(u[(n1 >= min_toxic) & (n0 <= CLEAN_SHARE * n1)])
         seen.append(u[n1 + n0 >= MIN_DOCS])
     lexicon = Lexicon(np.unique(np.concatenate(seen)))
     y = np.zeros(n, np.int64)
