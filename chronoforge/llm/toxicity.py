@@ -30,10 +30,10 @@ from chronoforge.llm.training import held_out, sample
 SAMPLE = 1500
 #: sample documents in which a feature must occur
 MIN_DOCS = 4
-#: chance that a neutral feature occurs in toxic sample documents alone, below which it is a sign of
-#: toxicity (this sets how many documents it takes), and the others allowed for each of them
-CHANCE = 1e-6
-CLEAN_SHARE = 0.02
+#: a feature is a sign of toxicity if its share of the toxic sample documents is so many times that of
+#: the others, and further above it than so many standard errors
+LIFT = 6.0
+ERRORS = 5.0
 STEPS = 30
 THRESHOLD = 0.7
 _BITS = 20
@@ -106,8 +106,8 @@ def fit_toxicity(rows: list[tuple[bytes, int]]):
     least = np.where(at[1:] > at[:-1], np.append(sets, np.uint64(0))[at[:-1]], np.uint64(0))
     _, kin = np.unique(np.stack([least, y_doc.astype(np.uint64)]), axis=1, return_inverse=True)
     kin = kin.reshape(-1)[doc]
-    share = len(np.unique(kin[y_doc[doc] == 1])) / len(np.unique(kin))
-    min_toxic = max(3.0, np.log(CHANCE) / np.log(max(share, 1e-3)))
+    kin_toxic = len(np.unique(kin[y_doc[doc] == 1]))
+    kin_other = len(np.unique(kin[y_doc[doc] == 0]))
     signs, seen = [], []
     for x in h:
         o = np.lexsort((kin, x))
@@ -116,7 +116,9 @@ def fit_toxicity(rows: list[tuple[bytes, int]]):
         toxic = y_doc[doc[o][new]]
         n1 = np.bincount(of[new], toxic, len(u))
         n0 = np.bincount(of[new], 1 - toxic, len(u))
-        signs.append(u[(n1 >= min_toxic) & (n0 <= CLEAN_SHARE * n1)])
+        s1, s0, both = n1 / max(kin_toxic, 1), n0 / max(kin_other, 1), (n1 + n0) / (kin_toxic + kin_other)
+        error = np.sqrt(both * (1 - both) * (1 / max(kin_toxic, 1) + 1 / max(kin_other, 1))) + 1e-12
+        signs.append(u[(n1 >= MIN_DOCS) & (s1 >= LIFT * s0) & (s1 - s0 >= ERRORS * error)])
         seen.append(u[n1 + n0 >= MIN_DOCS])
     lexicon = Lexicon(np.unique(np.concatenate(seen)))
     y = np.zeros(n, np.int64)
