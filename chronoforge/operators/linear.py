@@ -479,8 +479,9 @@ def standardize(df: DataFrame, cols: list[str], fit_on: Column | None = None,
     """G1: ``(x − mean) / std_pop`` with statistics from the rows selected by ``fit_on``
     (default: all). Zero variance -> scale 1. Returns the frame and ``{col: (mean, scale)}``."""
     src = df.filter(fit_on) if fit_on is not None else df
-    row = src.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    known = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]  # NaN counts as missing
+    row = src.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(known)],
+                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(known)]).first()
     params = {}
     for i, c in enumerate(cols):
         m = row[f"m{i}"]

@@ -300,12 +300,20 @@ def boxplot_outliers(df: DataFrame, cols: list[str], keys: list[str] | None = No
 # --------------------------------------------------------------------------------------------
 
 
+def _present(*cols: str):
+    """Neither NULL nor NaN in any of ``cols``."""
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
 def regression_metrics(df: DataFrame, actual: str, prediction: str,
                        group: list[str] | None = None, eps: float = 1e-8) -> DataFrame:
     """RMSE, MAE, MAPE (%) and n over rows where both values are present."""
     group = list(group or [])
     e = F.col(actual) - F.col(prediction)
-    ok = df.filter(F.col(actual).isNotNull() & F.col(prediction).isNotNull())
+    ok = df.filter(_present(actual, prediction))
     return ok.groupBy(*group).agg(
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
@@ -318,10 +326,10 @@ def skill_scores(df: DataFrame, actual: str, candidate: str, baseline: str,
                  group: list[str] | None = None,
                  names: tuple[str, str] = ("candidate", "baseline")) -> DataFrame:
     """RMSE and MAE of both forecasts and ``1 - metric_candidate / metric_baseline``.
-    One aggregate pass over rows with the actual present."""
+    One aggregate pass over the rows that have the actual and both forecasts, so both are judged alike."""
     group = list(group or [])
     a, b = names
-    ok = df.filter(F.col(actual).isNotNull())
+    ok = df.filter(_present(actual, candidate, baseline))
     ea = F.col(actual) - F.col(candidate)
     eb = F.col(actual) - F.col(baseline)
     m = ok.groupBy(*group).agg(
@@ -338,7 +346,7 @@ def error_summary(df: DataFrame, actual: str, prediction: str, group: list[str]
     """Mean and sample std of the error; value range shared by actual and predicted."""
     group = list(group or [])
     e = F.col(actual) - F.col(prediction)
-    ok = df.filter(F.col(actual).isNotNull() & F.col(prediction).isNotNull())
+    ok = df.filter(_present(actual, prediction))
     return ok.groupBy(*group).agg(
         F.avg(e).alias("error_mean"), F.stddev_samp(e).alias("error_std"),
         F.least(F.min(actual), F.min(prediction)).alias("range_min"),

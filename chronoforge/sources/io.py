@@ -7,9 +7,8 @@ session's shared checkpoint folder, never a machine-local temporary folder.
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -155,27 +154,22 @@ METADATA_SCHEMA = T.StructType([
 ])
 
 
-def _native(x):
-    if isinstance(x, np.integer):
-        return int(x)
-    if isinstance(x, np.floating):
-        return float(x)
-    if isinstance(x, np.ndarray):
-        return [_native(v) for v in x.tolist()]
-    if isinstance(x, dict):
-        return {k: _native(v) for k, v in x.items()}
-    if isinstance(x, (list, tuple)):
-        return [_native(v) for v in x]
-    return x
+def _as_type(value, kind: T.DataType):
+    """``value`` as the schema's type wants it; the schema alone decides."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        return tuple(_as_type(value.get(f.name), f.dataType) for f in kind.fields)
+    if isinstance(kind, T.MapType):
+        return {str(k): _as_type(v, kind.valueType) for k, v in value.items()}
+    if isinstance(kind, T.ArrayType):
+        return [_as_type(v, kind.elementType) for v in value]
+    return {T.StringType: str, T.DoubleType: float, T.IntegerType: int}[type(kind)](value)
 
 
 def write_metadata(spark: SparkSession, meta: ModelMetadata, path: str) -> str:
-    """One-row nested record (struct / map / array) written as JSON; NumPy scalars -> native."""
-    d = _native(asdict(meta))
-    row = (d["model_name"], d["trained_at"], d["version"], d["target"],
-           tuple(float(d["metrics"].get(n, float("nan"))) for n in ("test_rmse", "test_mae", "cv_rmse", "cv_mae")),
-           {k: float(v) for k, v in d["hyperparameters"].items()}, d["features"], d["n_features"],
-           d["n_train"], d["n_test"], d["model_path"], d["curve_path"], d["best_iterations"])
+    """One-row nested record (struct / map / array) written as JSON, each field cast as METADATA_SCHEMA says."""
+    row = _as_type(vars(meta), METADATA_SCHEMA)
     spark.createDataFrame([row], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
     return path
 
@@ -205,7 +199,3 @@ def load_linear_model(spark: SparkSession, path: str):
 
     r = spark.read.schema(LINEAR_MODEL_SCHEMA).parquet(path).first()
     return LinearModel(r["name"], list(r["features"]), r["intercept"], np.array(r["coef"]), dict(r["params"]))
-
-
-def metadata_json(meta: ModelMetadata) -> str:
-    return json.dumps(_native(asdict(meta)), ensure_ascii=False, indent=2)

@@ -66,3 +66,29 @@ def test_apply_window_scaler(spark):
     for j, c in enumerate(["y", "z"]):
         m, s = params[c]
         np.testing.assert_allclose(out["x"][3][j], (raw["x"][3][j] - m) / s, rtol=1e-6)
+
+
+def test_metrics_skip_nan_and_compare_equal_rows(spark):
+    from chronoforge.operators.linear import standardize
+    from chronoforge.operators.stats import error_summary, regression_metrics, skill_scores
+
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 2.0, 4.0), (nan, 1.0, 1.0), (3.0, 9.0, None)], "y double, a double, b double")
+    r = regression_metrics(df, "y", "a").first()
+    assert r["n"] == 3 and abs(r["mae"] - 7 / 3) < 1e-12
+    assert error_summary(df, "y", "a").first()["n"] == 3
+    s = skill_scores(df, "y", "a", "b").first()
+    assert s["mae_candidate"] == 0.5 and s["mae_baseline"] == 2.0
+    _, params = standardize(df, ["y"])
+    assert params["y"][0] == 2.0
+
+
+def test_metadata_follows_the_schema(spark, tmp_path):
+    import numpy as np
+
+    from chronoforge.sources.io import ModelMetadata, read_metadata, write_metadata
+
+    m = ModelMetadata("m", "now", "1", "y", {"test_rmse": np.float64(1.5)}, {"alpha": np.int64(2)}, ["f"], np.int64(1), 10, 5, "p")
+    r = read_metadata(spark, write_metadata(spark, m, str(tmp_path / "m"))).first()
+    assert r["metrics"]["test_rmse"] == 1.5 and r["metrics"]["cv_mae"] is None and r["hyperparameters"] == {"alpha": 2.0}
+    assert r["n_features"] == 1 and r["best_iterations"] is None
