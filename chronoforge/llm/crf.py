@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
+#: tokens whose messages are computed at once
+PART = 1 << 17
 
 
 def _chain(m: np.ndarray) -> np.ndarray:
@@ -58,13 +60,27 @@ def messages(e: np.ndarray, first: np.ndarray, trans: np.ndarray):
     return forward, backward
 
 
+def _parts(first: np.ndarray):
+    """Ranges of whole sequences of about ``PART`` tokens (a longer sequence is a range of its own), so that
+    the messages of all tokens never stand in memory together."""
+    start = np.flatnonzero(first)
+    lo = 0
+    while lo < len(first):
+        at = np.searchsorted(start, lo + PART, side="right") - 1
+        at += start[at] <= lo
+        hi = int(start[at]) if at < len(start) and lo + PART < len(first) else len(first)
+        yield lo, hi
+        lo = hi
+
+
 def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """Probability of label 1 of each token."""
-    if not len(e):
-        return np.zeros(0)
-    f, b = messages(e, first, trans)
-    p = f * b
-    return p[1] / p.sum(0)
+    out = np.zeros(len(e))
+    for lo, hi in _parts(first):
+        f, b = messages(e[lo:hi], first[lo:hi], trans)
+        p = f * b
+        out[lo:hi] = p[1] / p.sum(0)
+    return out
 
 
 def fit(score, gradient, size: int, y: np.ndarray, first: np.ndarray, steps: int, l2: float, rate: float = 0.3):
@@ -78,15 +94,17 @@ def fit(score, gradient, size: int, y: np.ndarray, first: np.ndarray, steps: int
     n = len(y)
     for k in range(1, steps + 1):
         e = score(w)
-        f, b = messages(e, first, trans)
-        p = f * b
-        p = p[1] / p.sum(0)
-        x = np.exp(np.clip(e, -40, 40))
         t = np.exp(trans)
-        emit = np.stack([1.0 / np.maximum(x, 1), x / np.maximum(x, 1)])
-        pair = np.stack([f[i, :-1] * t[i, j] * emit[j, 1:] * b[j, 1:] for i in (0, 1) for j in (0, 1)])
-        pair = (pair / pair.sum(0))[:, inner[1:]].sum(1).reshape(2, 2)
-        g = np.append(gradient(y - p) / n - l2 * w, ((seen - pair) / n - l2 * trans).ravel())
+        rest, pairs = np.empty(n), np.zeros(4)
+        for lo, hi in _parts(first):
+            f, b = messages(e[lo:hi], first[lo:hi], trans)
+            p = f * b
+            rest[lo:hi] = y[lo:hi] - p[1] / p.sum(0)
+            x = np.exp(np.clip(e[lo:hi], -40, 40))
+            emit = np.stack([1.0 / np.maximum(x, 1), x / np.maximum(x, 1)])
+            pair = np.stack([f[i, :-1] * t[i, j] * emit[j, 1:] * b[j, 1:] for i in (0, 1) for j in (0, 1)])
+            pairs += (pair / pair.sum(0))[:, inner[lo + 1:hi]].sum(1)
+        g = np.append(gradient(rest) / n - l2 * w, ((seen - pairs.reshape(2, 2)) / n - l2 * trans).ravel())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         d = rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
         w, trans = w + d[:size], trans + d[size:].reshape(2, 2)

@@ -27,6 +27,8 @@ from chronoforge.llm.training import held_out, sample
 #: labelled documents that the model is fitted on at most
 SAMPLE = 6000
 STEPS = 250
+#: bytes of sample text whose lines are described at once
+FIT_BYTES = 1 << 20
 THRESHOLD = 0.7
 
 _KINDS = np.zeros((256, 8), np.uint8)
@@ -101,10 +103,10 @@ def line_features(texts: list[bytes]):
     return np.concatenate([out, before, after], axis=1), size, bound
 
 
-def _summary(p: np.ndarray, size: np.ndarray, bound: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _summary(p: np.ndarray, size: np.ndarray, bound: np.ndarray) -> np.ndarray:
     """Of each text: log-odds of the length-weighted marginal, and the log of its length."""
     n = len(bound) - 1
-    mean, total, rep = np.full(n, 1e-4), np.zeros(n), np.zeros(n)
+    mean, total = np.full(n, 1e-4), np.zeros(n)
     some = np.flatnonzero(bound[1:] > bound[:-1])
     if len(some):
         total[some] = np.add.reduceat(size, bound[some])
@@ -119,13 +121,19 @@ def fit_quality(rows: list[tuple[bytes, int]]):
     y_doc = np.array([y for _, y in rows], np.int64)
     if not len(rows) or y_doc.min() == y_doc.max():
         return None
-    x, size, bound = line_features([t for t, _ in rows])
+    parts = []  # a few megabytes of text at once: the bytes' and words' arrays are many times their texts
+    for lo, hi in K.slices(np.array([len(t) for t, _ in rows]), FIT_BYTES):
+        x, size, bound = line_features([t for t, _ in rows[lo:hi]])
+        parts.append((x.astype(np.float32), size, np.diff(bound)))
+    x, size, counts = (np.concatenate(c) for c in zip(*parts))
+    del parts
+    bound = np.append(0, np.cumsum(counts))
     y = np.repeat(y_doc, np.diff(bound))
     first = np.zeros(len(y), bool)
     first[bound[:-1][bound[:-1] < len(y)]] = True
-    w, trans = crf.fit(lambda w: x @ w, lambda d: d @ x, x.shape[1], y, first, STEPS, 1e-5, 0.1)
-    p = crf.marginals(x @ w, first, trans)
-    return w, trans, crf.logistic(_summary(p, size, bound, x), y_doc)
+    w, trans = crf.fit(lambda w: (x @ w.astype(np.float32)).astype(np.float64), lambda d: (d.astype(np.float32) @ x).astype(np.float64), x.shape[1], y, first, STEPS, 1e-5, 0.1)
+    p = crf.marginals((x @ w.astype(np.float32)).astype(np.float64), first, trans)
+    return w, trans, crf.logistic(_summary(p, size, bound), y_doc)
 
 
 def score_texts(texts: list[bytes], model) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +146,7 @@ def score_texts(texts: list[bytes], model) -> tuple[np.ndarray, np.ndarray]:
     first[bound[:-1][bound[:-1] < len(x)]] = True
     p = crf.marginals(x @ w, first, trans)
     good = np.append(0, np.cumsum(p >= 0.5))
-    z = _summary(p, size, bound, x)
+    z = _summary(p, size, bound)
     return crf.sigmoid(z @ scale[:-1] + scale[-1]), (good[bound[1:]] - good[bound[:-1]]) / np.maximum(np.diff(bound), 1)
 
 
