@@ -126,11 +126,15 @@ def fit_toxicity(rows: list[tuple[bytes, int]]):
         y |= np.isin(x, s)
     y &= y_doc[doc]
     first = _firsts(bound, n)
-    ids = _features(h, first, lexicon)
+    ids = _features(h, first, lexicon).astype(np.int32)
+    del h, doc, kin, sets
     size = 3 * lexicon.size + 1
 
     def score(w):
-        return w[ids].sum(0) + w[-1]
+        e = np.full(n, w[-1])
+        for row in ids:
+            e += w[row]
+        return e
 
     def gradient(d):
         g = np.zeros(size)
