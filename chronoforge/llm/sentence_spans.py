@@ -5,12 +5,13 @@ consecutive sentences is hashed in normal form (lower case, white space runs fol
 over the whole corpus: the first occurrence of a hash is the smallest (doc_id, place), and all sentences
 covered by any other occurrence are removed.
 
-The join is an aggregate that folds a hot span to one row a task before it shuffles, and only spans that
-occur more than once are joined back; that join's sides are plain exchanges, which AQE splits. Rows that
+The join is a hash aggregate (count and least doc_id) that folds a hot span to one row a task before it
+shuffles, and only spans that occur more than once are joined back; that join's sides are plain exchanges,
+which AQE splits. Rows that
 repeat a doc_id are told apart by the hash of their text; identical rows get the same result.
 
 Edge cases: null or blank text has no sentence; a text with fewer sentences than ``span`` loses
-nothing; an empty table gives an empty result; a null doc_id counts as the smallest. Only the id and text
+nothing; an empty table gives an empty result; a null doc_id counts as the smallest, like -2^63. Only the id and text
 columns are read. Spans are compared by two 64-bit hashes.
 """
 
@@ -51,11 +52,14 @@ def _spans(docs: DataFrame, span: int) -> DataFrame:
 
 def repeated_parts(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """(doc_id, t, parts): the sorted numbers of the parts of each text that a non-first span covers."""
-    spans = _spans(docs, span)
-    where = F.struct("doc_id", "t", "place")
-    first = scratch(spans.groupBy("h", "g").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-                    .where("NOT first <=> last").drop("last"))
-    late = spans.join(first, ["h", "g"]).where(~where.eqNullSafe(F.col("first")))
+    spans = _spans(docs, span).withColumn("d", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    again = scratch(spans.groupBy("h", "g").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
+    met = scratch(spans.join(again, ["h", "g"]).withColumn("late", F.expr("d > least")).drop("d", "least"))
+    # within the first document only the first place is the first occurrence
+    own, where = met.where("NOT late"), F.struct("t", "place")
+    first = own.groupBy("h", "g").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    late = met.where("late").drop("late", "h", "g").unionByName(
+        own.join(first, ["h", "g"]).where(where != F.col("first")).drop("late", "first", "h", "g"))
     covered = late.select("doc_id", "t", F.explode(F.sequence("place", "until")).alias("part")).distinct()
     return covered.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list("part")).alias("parts"))
 
