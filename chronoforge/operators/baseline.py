@@ -64,7 +64,8 @@ class BaselineModel:
     names: list[str]
 
     def forecast(self, df: DataFrame, time: str = "time", out: str = "prediction") -> DataFrame:
-        j = join_small(df, self.params, on=self.keys, materialize=False)
+        """Point forecasts; a series that the fit has not seen keeps its rows, with a NULL prediction."""
+        j = join_small(df, self.params, on=self.keys, how="left" if self.keys else "inner", materialize=False)
         design = _design(time)
         pred = F.col("__b")
         for i, (nm, expr) in enumerate(design):

@@ -49,3 +49,12 @@ def test_changepoint_positions_match_linspace(spark):
         secs = (t - pd.Timestamp("1970-01-01")).total_seconds().to_numpy()
         expected = (secs[pos] - secs[0]) / (secs[-1] - secs[0])
         np.testing.assert_allclose(cp, expected, rtol=0, atol=1e-12)
+
+
+def test_unseen_series_keeps_its_rows(spark):
+    hours = "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')"
+    train = spark.range(200).selectExpr("'a' AS k", f"{hours} AS time", "10 + sin(id) AS y")
+    model = bl.fit_seasonal_baseline(train, "y", ["k"])
+    new = spark.range(200, 202).selectExpr("explode(array('a', 'b')) AS k", f"{hours} AS time")
+    got = {(r["k"], r["prediction"] is None) for r in model.forecast(new).collect()}
+    assert got == {("a", False), ("b", True)}
