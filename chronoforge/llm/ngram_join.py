@@ -7,20 +7,24 @@ Documents link when 100 * intersection >= 75 * union.
    group of copies before anything is shuffled, so a third of all rows being copies costs nothing.
 2. Heavy shingles (in at least ``phi`` of all sets; at most average set size / phi of them, so their
    broadcast is bounded whatever the input) come last in the global order; the rest is by hash.
-3. Rare class: every representative indexes single tokens of its prefix, n - ceil(3n/4) + 1 tokens
-   in that order. A token with at most ``rare`` owners yields its pairs.
-4. Frequent class: a representative that has a heavy token or one with more than ``rare`` owners in
-   its prefix extends the prefix over its whole set and indexes 2-token combinations, the adjacent
-   pairs in the global order. Similar sets of union u share at least u/2 - 1 of them, since each
-   differing token parts at most one adjacent pair, so n - 1 - ceil(n/2 - 1) + 1 suffice.
-   The owners of a combination meet a single pivot first; only owners that are then still outside the
-   group's main component meet the others, so a group of near copies costs a row for each member.
+3. Single tokens: every representative indexes an extended prefix of that order, n - ceil(3n/4) + 1 + s
+   tokens with s = n div 8. A token with at most ``rare`` owners yields its pairs. Similar sets share at
+   least 1 + min(s, s') of these tokens, so a set with no more than min(s, s') tokens of the frequent
+   class (heavy, or more than ``rare`` owners) shares a rare one with every similar set: it is done.
+4. Combinations: the other sets index 2-token combinations, the adjacent pairs in the global order.
+   Similar sets of union u share at least c = u/2 - 1 of them, since each differing token parts at most
+   two adjacent pairs. Their prefix is extended in the same way, by n div 4, and a set with no more
+   frequent combinations than that is done. Only the sets that remain (large groups of near copies)
+   look at the owners of frequent combinations of the plain prefix: these meet a single pivot first, and
+   only owners that are then still outside the group's main component meet the others, so a group of
+   near copies costs a row for each member.
 5. Candidates pass the length bound and a parity sketch (a lower bound of the symmetric difference,
    so it loses nothing), and survivors are verified on the whole sets.
 6. Links give components; every copy takes its representative's.
 
-Any pair over the threshold shares a rare prefix token, or both sides are in the frequent class and
-share a combination: no link is lost. A pair whose sides are already connected need not be verified.
+Any pair over the threshold shares a rare token or a rare combination, or both sides remain and share a
+frequent combination: no link is lost. Index keys are cut to a bucket and 32 bits within it: a collision
+only joins two tokens to one, which adds candidates. A pair whose sides are already connected need not be verified.
 
 Edge cases: null or wordless text has an empty set and links with nothing (component_id = doc_id);
 fewer than five words make one shingle of the whole sequence; a null doc_id links with nothing and has
@@ -43,8 +47,8 @@ from chronoforge.llm.common import batch_of, having_ids, inputs, scratch, small,
 from chronoforge.llm.components import components
 
 WIDTH = 5
-#: tokens with at most so many owners yield their pairs directly
-RARE = 32
+#: tokens and combinations with at most so many owners yield their pairs directly
+RARE = 8
 #: a shingle in at least this share of the sets is heavy
 PHI = 0.0003
 #: tokens that a task counts at once
@@ -56,7 +60,9 @@ _SIG = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), (
 _ENTRY = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())])
 _PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64())])
 _ENTRIES, _SKETCH, _FREQUENT = 0, 1, 2
-_CANDIDATE, _MEMBER = 0, 1
+_CANDIDATE, _MEMBER, _COUNT = 0, 1, 2
+#: tokens and combinations that a prefix is extended by, as SQL of the least size ``q`` of a similar set
+_SLACK_SINGLE, _SLACK_PAIR = "q div 8", "greatest(0, least(q div 4, (q - 1) div 2 - 1))"
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -119,62 +125,60 @@ def _apart(p: bytes, q: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _blobs(keys, owner, ids, sizes, buckets: int, rare: int):
-    """Index entries (key, row of owner) packed by bucket. A key with more than ``rare`` owners in
-    this run is frequent for certain: its owners are reported at once and only the key travels."""
+def _blobs(tokens, owner, base, ids, sizes, buckets: int, rare: int):
+    """Index entries (32-bit key, 2 * row of owner + base) packed by bucket, then the run's hot entries
+    (key with its bucket, owner, base). A key with more than ``rare`` owners in this run is frequent for
+    certain: its owners are reported at once and only the key travels."""
+    b = np.uint64(buckets)
+    keys = ((tokens % b) << np.uint64(32)) | ((tokens // b) & np.uint64(0xFFFFFFFF))
     order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
+    keys, owner, base = keys[order], owner[order], base[order]
     edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     count = np.diff(np.r_[edge, len(keys)])
-    hot_run = count > rare
-    hot = np.repeat(hot_run, count)
-    hot_keys = keys[edge[hot_run]]
-    cold_keys, cold_owner = keys[~hot], owner[~hot]
-    of = (cold_keys % np.uint64(buckets)).astype(np.int64)
-    of_hot = (hot_keys % np.uint64(buckets)).astype(np.int64)
-    o = np.argsort(of, kind="stable")
-    cold_keys, cold_owner, of = cold_keys[o], cold_owner[o], of[o]
-    cuts = np.searchsorted(of, np.arange(buckets + 1)) if buckets <= len(of) else None
-    present = np.unique(np.r_[of, of_hot])
-    for bucket in present:
-        lo, hi = (cuts[bucket], cuts[bucket + 1]) if cuts is not None else np.searchsorted(of, [bucket, bucket + 1])
-        rows, ref = np.unique(cold_owner[lo:hi], return_inverse=True)
-        ref = ref.astype(np.uint16 if len(rows) <= 65536 else np.uint32)
-        yield int(bucket), K.pack(cold_keys[lo:hi], ref, ids[rows], sizes[rows].astype(np.int64), hot_keys[of_hot == bucket],
-                                  np.array([ref.itemsize], np.uint8))
-    return_owner = owner[hot], keys[hot]
-    yield -1, return_owner
+    hot = np.repeat(count > rare, count)
+    hot_keys = keys[edge[count > rare]]
+    cold, of, flag = keys[~hot], owner[~hot], base[~hot]
+    present = np.unique(np.r_[cold, hot_keys] >> np.uint64(32))
+    low, low_hot = cold.astype(np.uint32), hot_keys.astype(np.uint32)
+    cuts, cuts_hot = (np.searchsorted(k, np.r_[present, b] << np.uint64(32)) for k in (cold, hot_keys))
+    out = []
+    for j, bucket in enumerate(present.tolist()):
+        lo, hi = cuts[j], cuts[j + 1]
+        rows, ref = np.unique(of[lo:hi], return_inverse=True)
+        ref = (2 * ref + flag[lo:hi]).astype(np.uint16 if len(rows) <= 32768 else np.uint32)
+        out.append((bucket, K.pack(low[lo:hi], ref, ids[rows], sizes[rows].astype(np.uint32),
+                                   low_hot[cuts_hot[j]:cuts_hot[j + 1]], np.array([ref.itemsize], np.uint8))))
+    return out, (keys[hot], owner[hot], base[hot])
 
 
 def _index(order_of, prefix_of, buckets: int, rare: int, sketch: bool, members: bool):
-    """Map side of both indexes. order_of(set) -> (keys in the global order, has heavy in prefix)."""
+    """Map side of both indexes. prefix_of(set in the global order, size) -> (tokens of the extended
+    prefix, how many of them are of the plain one, frequent tokens of it that are not indexed)."""
 
     def run(batches):
         for ids, v, off in _runs(batches):
             n = np.diff(off)
-            keys, owner, frequent, prints = [], [], set(), []
+            keys, owner, base, prints = [], [], [], []
+            frequent = np.zeros(len(ids), np.int64)
             for d in range(len(ids)):
                 if not n[d]:
                     continue
                 s = v[off[d]:off[d + 1]]
                 if sketch:
                     prints.append((ids[d], n[d], _parity(s)))
-                got, heavy = prefix_of(order_of(s), len(s))
+                got, plain, frequent[d] = prefix_of(order_of(s), len(s))
                 keys.append(got)
                 owner.append(np.full(len(got), d, np.int64))
-                if heavy:
-                    frequent.add(d)
+                base.append(np.arange(len(got)) < plain)
             keys = np.concatenate(keys) if keys else v[:0]
             owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-            rows = []
-            for bucket, blob in _blobs(keys, owner, ids, n, buckets, rare):
-                if bucket >= 0:
-                    rows.append((_ENTRIES, bucket, 0, 0, blob))
-                elif members:  # owners of a combination that is frequent in this run
-                    rows += [(_MEMBER + 10, int(k), int(ids[d]), int(n[d]), b"") for d, k in zip(blob[0], blob[1].view(np.int64))]
-                else:
-                    frequent.update(blob[0].tolist())
-            rows += [(_FREQUENT, 0, int(ids[d]), int(n[d]), b"") for d in sorted(frequent)]
+            base = np.concatenate(base) if base else np.zeros(0, bool)
+            blobs, (hot, of, flag) = _blobs(keys, owner, base, ids, n, buckets, rare)
+            rows = [(_ENTRIES, bucket, 0, 0, blob) for bucket, blob in blobs]
+            if members:  # owners of a combination that is frequent in this run
+                rows += [(_MEMBER + 10, int(k), int(ids[d]), int(n[d]), b"") for d, k in zip(of[flag], hot[flag].view(np.int64))]
+            frequent += np.bincount(of, minlength=len(ids))
+            rows += [(_FREQUENT, int(frequent[d]), int(ids[d]), int(n[d]), b"") for d in np.flatnonzero(frequent)]
             rows += [(_SKETCH, 0, int(i), int(m), p) for i, m, p in prints]
             if rows:
                 yield batch_of(_ENTRY, dict(zip(_ENTRY.names, zip(*rows), strict=True)))
@@ -182,53 +186,61 @@ def _index(order_of, prefix_of, buckets: int, rare: int, sketch: bool, members:
     return run
 
 
-def _pairs_of(keys, ids, n, rare):
-    """Distinct pairs within runs of one key of 2 to ``rare`` owners, by the length bound, and the owners
-    of keys that have more."""
+def _pairs_of(keys, ids, n, base, rare, known):
+    """Distinct pairs within runs of one key of 2 to ``rare`` owners, by the length bound, and the entries
+    (key, id, size, base) of keys that have more or are ``known`` to be frequent."""
     out = []
-    o = np.lexsort((ids, keys))
-    keys, ids, n = keys[o], ids[o], n[o]
+    o = np.lexsort((~base, ids, keys))
+    keys, ids, n, base = keys[o], ids[o], n[o], base[o]
     same = np.r_[False, (keys[1:] == keys[:-1]) & (ids[1:] == ids[:-1])] if len(keys) else np.zeros(0, bool)
-    keys, ids, n = keys[~same], ids[~same], n[~same]
+    keys, ids, n, base = keys[~same], ids[~same], n[~same], base[~same]
     edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     count = np.diff(np.r_[edge, len(keys)])
-    for m in np.unique(count[(count >= 2) & (count <= rare)]):
-        at = edge[count == m][:, None] + np.arange(m)
+    frequent = (count > rare) | np.isin(keys[edge], known)
+    for m in np.unique(count[(count >= 2) & ~frequent]):
+        at = edge[(count == m) & ~frequent][:, None] + np.arange(m)
         g = np.unique(np.concatenate([ids[at], n[at]], axis=1), axis=0)
         i, j = np.triu_indices(m, 1)
         p = np.stack([g[:, i].ravel(), g[:, j].ravel(), g[:, m + i].ravel(), g[:, m + j].ravel()], axis=1)
         lo, hi = np.minimum(p[:, 2], p[:, 3]), np.maximum(p[:, 2], p[:, 3])
         out.append(p[4 * lo >= 3 * hi])
-    big = np.repeat(count > rare, count)
+    big = np.repeat(frequent, count)
     pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), np.int64)
-    return pairs, keys[big], ids[big], n[big]
+    return pairs, keys[big], ids[big], n[big], base[big]
 
 
 def _bucket(rare: int, members: bool):
-    """Reduce side: the pairs of rare keys and the owners of frequent ones; with ``members`` the owners of
-    every key that has two or more."""
+    """Reduce side: the pairs of rare keys, the number of frequent keys of each owner (and its size, ``na``),
+    and with ``members`` the owners of the frequent keys of plain prefixes."""
 
-    def run(table: pa.Table) -> pa.Table:
-        keys, ids, n, hot = [], [], [], []
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        keys, ids, n, base, hot = [], [], [], [], []
         for blob in table.column("blob").to_pylist():
-            k, ref, i, m, h, w = K.unpack(blob, np.uint64, np.uint8, np.int64, np.int64, np.uint64, np.uint8)
+            k, ref, i, m, h, w = K.unpack(blob, np.uint32, np.uint8, np.int64, np.uint32, np.uint32, np.uint8)
             ref = ref.view(np.uint16 if w[0] == 2 else np.uint32)
-            keys.append(k), ids.append(i[ref]), n.append(m[ref]), hot.append(h)
-        keys, ids, n, hot = map(np.concatenate, (keys, ids, n, hot))
-        known = np.isin(keys, hot)
-        pairs, fk, fi, fn = _pairs_of(keys[~known], ids[~known], n[~known], 1 if members else rare)
-        fk, fi, fn = np.r_[fk, keys[known]], np.r_[fi, ids[known]], np.r_[fn, n[known]]
-        if not members:
-            fi, at = np.unique(fi, return_index=True)
-            fk, fn = np.zeros(len(fi), np.uint64), fn[at]
+            row = ref >> 1
+            keys.append(k), ids.append(i[row]), n.append(m[row].astype(np.int64)), base.append((ref & 1).astype(bool)), hot.append(h)
+        pairs, fk, fi, fn, fb = _pairs_of(*map(np.concatenate, (keys, ids, n, base)), rare, np.unique(np.concatenate(hot)))
+        ci, at, many = np.unique(fi, return_index=True, return_counts=True)
+        cn = fn[at]
+        fk = fk[fb].astype(np.int64) + (key[0].as_py() << 32) if members else fk[:0].astype(np.int64)
+        fi, fn = (fi[fb], fn[fb]) if members else (fi[:0], fn[:0])
+        kinds = [np.full(len(x), k, np.int32) for x, k in ((pairs, _CANDIDATE), (fi, _MEMBER), (ci, _COUNT))]
         return table_of(_PAIR, {
-            "kind": np.r_[np.full(len(pairs), _CANDIDATE, np.int32), np.full(len(fi), _MEMBER, np.int32)],
-            "a": np.r_[pairs[:, 0], fk.view(np.int64)], "b": np.r_[pairs[:, 1], fi],
-            "na": np.r_[pairs[:, 2], np.zeros(len(fi), np.int64)], "nb": np.r_[pairs[:, 3], fn]})
+            "kind": np.concatenate(kinds), "a": np.r_[pairs[:, 0], fk, ci], "b": np.r_[pairs[:, 1], fi, many],
+            "na": np.r_[pairs[:, 2], np.zeros(len(fi), np.int64), cn], "nb": np.r_[pairs[:, 3], fn, cn]})
 
     return run
 
 
+def _open(index: DataFrame, found: DataFrame, slack: str) -> DataFrame:
+    """(id) of the sets that own more frequent keys than the extension of any similar set's prefix."""
+    counts = index.where(f"kind = {_FREQUENT}").select("id", "n", F.col("bucket").alias("many")).unionByName(
+        found.where(f"kind = {_COUNT}").select(F.col("a").alias("id"), F.col("na").alias("n"), F.col("b").alias("many")))
+    return counts.groupBy("id").agg(F.sum("many").alias("many"), F.min("n").alias("n")).withColumn(
+        "q", F.expr("(3 * n + 3) div 4")).where(f"many > {slack}").select("id")
+
+
 def _survivors(batches):
     """Candidates whose sketches allow the threshold."""
     for b in batches:
@@ -296,37 +308,41 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def singles(ordered, n):
         s, light = ordered
-        p = n - -(-3 * n // 4) + 1
-        return s[:min(p, light)], light < p  # heavy tokens are frequent for certain: not indexed
+        plain = n - -(-3 * n // 4) + 1
+        p = plain + n // 8
+        return s[:min(p, light)], plain, max(0, p - light)  # heavy tokens are frequent for certain: not indexed
 
     def combinations(ordered, n):
         s, _ = ordered
         if n < 3:  # a similar, different set needs three tokens
-            return s[:0], False
+            return s[:0], 0, 0
         k = K.constants(2, 11)
         with np.errstate(over="ignore"):
             c = K.mix64(s[:-1] * k[0] + s[1:] * k[1])
         c.sort()
-        return c[:n - 1 - -(-(n - 2) // 2) + 1], False
+        shared = (n - 1) // 2
+        plain = n - shared
+        return c[:plain + max(0, min(n // 4, shared - 1))], plain, 0
 
-    buckets = max(24, int(n_tokens * 0.27 / BUCKET_ENTRIES))
+    buckets = max(24, int(n_tokens * 0.39 / BUCKET_ENTRIES))
     index = scratch(own.mapInArrow(_index(order_of, singles, buckets, rare, True, False), _ddl(_ENTRY)))
     sketches = index.where(f"kind = {_SKETCH}").select("id", "n", "blob")
     found = scratch(index.where(f"kind = {_ENTRIES}").select("bucket", "blob").groupBy("bucket")
                     .applyInArrow(_bucket(rare, False), _ddl(_PAIR)))
-    frequent = scratch(index.where(f"kind = {_FREQUENT}").select("id").unionByName(
-        found.where(f"kind = {_MEMBER}").select(F.col("b").alias("id"))).distinct())
+    frequent = scratch(_open(index, found, _SLACK_SINGLE))
 
     combined = scratch(having_ids(own, frequent).mapInArrow(_index(order_of, combinations, buckets, rare, False, True), _ddl(_ENTRY)))
     grouped = scratch(combined.where(f"kind = {_ENTRIES}").select("bucket", "blob").groupBy("bucket")
                       .applyInArrow(_bucket(rare, True), _ddl(_PAIR)))
-    members = scratch(grouped.where(f"kind = {_MEMBER}").select(F.col("a").alias("key"), F.col("b").alias("id"), F.col("nb").alias("n"))
-                      .unionByName(combined.where(f"kind = {_MEMBER + 10}").select(F.col("bucket").alias("key"), "id", "n")))
+    remaining = scratch(_open(combined, grouped, _SLACK_PAIR))
+    owners = grouped.where(f"kind = {_MEMBER}").select(F.col("a").alias("key"), F.col("b").alias("id"), F.col("nb").alias("n")).unionByName(
+        combined.where(f"kind = {_MEMBER + 10}").select(F.col("bucket").alias("key"), "id", "n"))
+    members = scratch(owners.join(small(remaining, remaining.count()), "id", "left_semi"))
     pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("p")).select(
         "key", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"))
     star = members.join(pivots, "key").where("id != pid AND 4 * least(n, pn) >= 3 * greatest(n, pn)").select(
         F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b"))
-    pairs = found.where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(star).distinct()
+    pairs = found.unionByName(grouped).where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(star).distinct()
     links = scratch(_links(own, pairs, sketches))
 
     # owners of a frequent combination that its pivot did not connect meet all the others
