@@ -16,8 +16,8 @@ Documents link when 100 * intersection >= 75 * union.
    two adjacent pairs. Their prefix is extended in the same way, by n div 4, and a set with no more
    frequent combinations than that is done. Only the sets that remain (large groups of near copies)
    look at the owners of frequent combinations of the plain prefix: these meet a single pivot first, and
-   only owners that are then still outside the group's main component meet the others, so a group of
-   near copies costs a row for each member.
+   owners that are then outside the combination's main component meet a fixed number of further pivots,
+   round by round while that halves them, and only the rest meets all the others.
 5. Candidates pass the length bound and a parity sketch (a lower bound of the symmetric difference,
    so it loses nothing), and survivors are verified on the whole sets.
 6. Links give components; every copy takes its representative's.
@@ -49,6 +49,8 @@ from chronoforge.llm.components import components
 WIDTH = 5
 #: tokens and combinations with at most so many owners yield their pairs directly
 RARE = 8
+#: owners that the ones outside a combination's main component meet in one round
+PIVOTS = 16
 #: a shingle in at least this share of the sets is heavy
 PHI = 0.0003
 #: tokens that a task counts at once
@@ -345,18 +347,30 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = found.unionByName(grouped).where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(star).distinct()
     links = scratch(_links(own, pairs, sketches))
 
-    # owners of a frequent combination that its pivot did not connect meet all the others
-    at = components(links)
-    placed = members.join(at, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    shares = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-    main = scratch(shares.groupBy("key").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
-                   .where("parts > 1").select("key", F.col("m.c").alias("main")))
-    if not main.isEmpty():
+    # owners of a frequent combination outside its main component meet further pivots while that at least
+    # halves them; those that are left meet all the others
+    before = None
+    while True:
+        at = components(links)
+        placed = members.join(at, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+        shares = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
+        main = scratch(shares.groupBy("key").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
+                       .where("parts > 1").select("key", F.col("m.c").alias("main")))
+        if main.isEmpty():
+            break
         open_ = scratch(placed.join(main, "key"))
         out = open_.where("c != main").select("key", F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"))
-        more = open_.join(out, "key").where("c != oc AND 4 * least(n, on) >= 3 * greatest(n, on)").select(
+        outside = out.count()
+        last = before is not None and 2 * outside > before
+        before = outside
+        others = open_.select("key", "id", "n", "c") if last else open_.groupBy("key").agg(
+            F.array(*[F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id", "n", "c")) for i in range(PIVOTS)]).alias("p")).select(
+            "key", F.explode(F.array_distinct(F.transform("p", lambda x: x.dropFields("h")))).alias("p")).select("key", "p.*")
+        more = others.join(out, "key").where("c != oc AND 4 * least(n, on) >= 3 * greatest(n, on)").select(
             F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")).distinct()
-        links = links.unionByName(scratch(_links(own, more, sketches)))
+        links = scratch(links.unionByName(_links(own, more, sketches)))
+        if last:
+            break
 
     rows = scratch(in_class)
     again = rows.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("a", "b")
