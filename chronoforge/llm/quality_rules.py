@@ -5,7 +5,8 @@ space runs folded, trimmed) are hashed, the distinct documents of each (host, li
 line in more than ``max_share`` of the host's distinct documents, and in more than ``min_docs``, is
 boilerplate. It is removed from every document of the host, and a document that loses more than
 ``max_lost`` of its words that way is rejected as depleted. Copies of one text count as one document,
-so a page is not boilerplate because it was crawled often.
+so a page is not boilerplate because it was crawled often. ``quality_rules`` gives counts and verdicts,
+``clean_texts`` the documents that are kept, without these lines.
 
 The host is the ``source`` column (null is a host of its own). The counts fold (host, line, text)
 before they shuffle, a hot line is one partial count per task, and the table of lines above the limit
@@ -32,6 +33,8 @@ MAX_REPEAT_PERCENT = 50
 MAX_SHARE = 0.05
 MIN_DOCS = 10
 MAX_LOST = 0.5
+#: rows of rejected or changed documents that are broadcast
+CHANGED = 500_000
 
 
 def base_stats(docs: DataFrame) -> DataFrame:
@@ -86,8 +89,10 @@ def common_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int =
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
-    """(doc_id, counts, removed_words, base_failed, kept, and the hashes t and host of text and host), one row for each row of ``docs``."""
+                  max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_lost: float = MAX_LOST,
+                  keep_places: bool = False) -> DataFrame:
+    """(doc_id, counts, removed_words, base_failed, kept, and the hashes t and host of text and host), one row for each row of ``docs``;
+    with ``keep_places`` also the numbers of the lines that are removed (null: none)."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     F.xxhash64(F.col(host_col).cast("string")).alias("host"),
                     F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("t"))
@@ -95,11 +100,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hits = _lines(d).join(small(common, common.count()), (F.col("host") == F.col("__host")) & (F.col("line") == F.col("__line")))
     lost = (hits.select("doc_id", "t", "host", "place", "words").distinct()  # repeated rows count once
             .groupBy(F.col("doc_id").alias("__i"), F.col("t").alias("__t"), F.col("host").alias("__h"))
-            .agg(F.sum("words").cast("long").alias("removed_words")))
+            .agg(F.sum("words").cast("long").alias("removed_words"), *[F.sort_array(F.collect_list("place")).alias("places")] * keep_places))
     out = base_stats(d).join(
         lost, F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("t") == F.col("__t")) & (F.col("host") == F.col("__h")), "left")
     removed = F.coalesce("removed_words", F.lit(0).cast("long"))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         removed.alias("removed_words"), "t", "host",
-        (~F.col("base_failed") & (removed <= F.col("n_words") * max_lost)).alias("kept"))
+        (~F.col("base_failed") & (removed <= F.col("n_words") * max_lost)).alias("kept"), *["places"] * keep_places)
+
+
+def clean_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns, their text without the common lines of the host. The verdict
+    depends on (id, text, host), so a repeated id is judged text by text."""
+    verdict = quality_rules(docs, id_col, text_col, host_col, keep_places=True, **limits)
+    changed = scratch(verdict.where("NOT kept OR places IS NOT NULL").select(
+        F.col("doc_id").alias("__i"), F.col("t").alias("__u"), F.col("host").alias("__g"), F.col("kept").alias("__kept"),
+        F.when(F.col("kept"), F.col("places")).alias("__places")).distinct())
+    text = F.col(text_col).cast("string")
+    keyed = docs.withColumn("__t", F.xxhash64(F.coalesce(text, F.lit("")))).withColumn("__h", F.xxhash64(F.col(host_col).cast("string")))
+    on = F.col(id_col).cast("long").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")) & (F.col("__h") == F.col("__g"))
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("__places", i)), "\n")
+    return (keyed.join(small(changed, changed.count(), CHANGED), on, "left").where(F.coalesce("__kept", F.lit(True)))
+            .withColumn(text_col, F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(left)).select(*docs.columns))

@@ -8,23 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoforge.llm.common import having_ids, read_documents, scratch, small
+from chronoforge.llm.common import having_ids, read_documents, scratch
 from chronoforge.llm.exact_dedup import drop_copies
 from chronoforge.llm.ngram_join import ngram_join
 from chronoforge.llm.packing import pack
-from chronoforge.llm.quality_rules import quality_rules
+from chronoforge.llm.quality_rules import clean_texts
 from chronoforge.llm.queries import PACK_TOKENIZER
 from chronoforge.llm.suffix_dedup import cut_texts
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. The verdict depends on (doc_id, text), so a repeated doc_id is
-    judged text by text."""
-    verdict = quality_rules(docs)
-    keyed = docs.withColumn("__t", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("__h", F.xxhash64("source"))
-    lost = scratch(verdict.where("NOT kept").select(F.col("doc_id").alias("__i"), F.col("t").alias("__u"), F.col("host").alias("__g")).distinct())
-    on = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")) & (F.col("__h") == F.col("__g"))
-    return keyed.join(small(lost, lost.count(), 500_000), on, "left_anti").select(*docs.columns)
+    """Documents that the quality rules keep, without the common lines of their host."""
+    return clean_texts(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,6 +160,20 @@ def test_common_lines_deplete(spark):
     assert all(got[i]["kept"] == bool(i % 2) for i in got if not got[i]["base_failed"])
 
 
+def test_common_lines_leave_the_text(spark):
+    import corpus_pipeline as P
+
+    menu = "Home  about contact"
+    rows = [(i, f"{menu}\n{_text(300 + i, 60)}\n\n{menu.lower()} ", "en", "h" if i < 30 else "other" if i < 45 else None, 0, "k") for i in range(48)]
+    rows += [(None, rows[0][1], "en", "h", 0, "k"), rows[1]]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, places string")
+    want = collections.Counter()
+    for i, t, lang, host, _, more in rows:
+        lines = [x for x in t.split("\n") if host is None or " ".join(x.lower().split()) != menu.lower().replace("  ", " ")]
+        want[(i, "\n".join(lines), lang, host, len("\n".join(lines)), more)] += 1
+    assert _bag(P.quality(spark, d, "")) == want  # three documents without a host are too few for the limit
+
+
 def test_sentence_spans(docs, rows, empty):
     span, parts, first = 3, [], {}
     cut = re.compile(CUT)
