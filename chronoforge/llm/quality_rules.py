@@ -8,6 +8,11 @@ boilerplate. It is removed from every document of the host, and a document that
 so a page is not boilerplate because it was crawled often. ``quality_rules`` gives counts and verdicts,
 ``clean_texts`` the documents that are kept, without these lines.
 
+Near copies are distinct texts, so in a large group of them every member's lines are above the limits and every
+member is depleted. With ``keep_first`` one text of each common line keeps it, the one with the smallest doc_id
+among those that pass the base rules: the group's first member stays, the others go. The query follows its SQL twin, where
+no text keeps such a line; the pipeline, whose near-duplicate stage comes later, keeps the first.
+
 The host is the ``source`` column (null is a host of its own). The counts fold (host, line, text)
 before they shuffle, a hot line is one partial count per task, and the table of lines above the limit
 is broadcast only within a counted bound; beyond it the join shuffles and AQE splits a hot line.
@@ -88,20 +93,35 @@ def common_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int =
                    .where(F.col("c") > F.col("docs") * max_share).select("host", "line", "c"))
 
 
+def _without_first(hits: DataFrame, stats: DataFrame, n_common: int) -> DataFrame:
+    """Common lines in texts, less those in the text that keeps them: of each (host, line), the one with the
+    smallest doc_id that passes the base rules."""
+    failed = stats.select(F.col("doc_id").alias("__i"), F.col("t").alias("__t"), F.col("host").alias("__h"), "base_failed").distinct()
+    of = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("t") == F.col("__t")) & (F.col("host") == F.col("__h"))
+    first = scratch(hits.join(failed, of).groupBy(F.col("host").alias("__h"), F.col("line").alias("__l"))
+                    .agg(F.min(F.struct("base_failed", F.col("doc_id").isNull(), "doc_id", "t"))["t"].alias("__t")))
+    return hits.join(small(first, n_common), (F.col("host") == F.col("__h")) & (F.col("line") == F.col("__l"))).where("t != __t")
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_lost: float = MAX_LOST,
-                  keep_places: bool = False) -> DataFrame:
+                  keep_places: bool = False, keep_first: bool = False) -> DataFrame:
     """(doc_id, counts, removed_words, base_failed, kept, and the hashes t and host of text and host), one row for each row of ``docs``;
     with ``keep_places`` also the numbers of the lines that are removed (null: none)."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                     F.xxhash64(F.col(host_col).cast("string")).alias("host"),
                     F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("t"))
     common = common_lines(d, max_share, min_docs).select(F.col("host").alias("__host"), F.col("line").alias("__line"))
-    hits = _lines(d).join(small(common, common.count()), (F.col("host") == F.col("__host")) & (F.col("line") == F.col("__line")))
+    n_common = common.count()
+    hits = _lines(d).join(small(common, n_common), (F.col("host") == F.col("__host")) & (F.col("line") == F.col("__line")))
+    stats = base_stats(d)
+    if keep_first:
+        stats = scratch(stats)
+        hits = _without_first(scratch(hits.select("doc_id", "t", "host", "place", "line", "words").distinct()), stats, n_common)
     lost = (hits.select("doc_id", "t", "host", "place", "words").distinct()  # repeated rows count once
             .groupBy(F.col("doc_id").alias("__i"), F.col("t").alias("__t"), F.col("host").alias("__h"))
             .agg(F.sum("words").cast("long").alias("removed_words"), *[F.sort_array(F.collect_list("place")).alias("places")] * keep_places))
-    out = base_stats(d).join(
+    out = stats.join(
         lost, F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("t") == F.col("__t")) & (F.col("host") == F.col("__h")), "left")
     removed = F.coalesce("removed_words", F.lit(0).cast("long"))
     return out.select(

@@ -18,8 +18,9 @@ from chronoforge.llm.suffix_dedup import cut_texts
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, without the common lines of their host."""
-    return clean_texts(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Documents that the quality rules keep, without the common lines of their host. One text keeps each line, so
+    that a large group of near copies is not lost before its own stage."""
+    return clean_texts(docs, keep_first=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from chronoforge.llm.exact_dedup import drop_copies, exact_dedup
 from chronoforge.llm.hilbert_sharding import hilbert_index, hilbert_shards
 from chronoforge.llm.line_quality import line_quality
 from chronoforge.llm.ngram_join import ngram_join
-from chronoforge.llm.quality_rules import quality_rules
+from chronoforge.llm.quality_rules import clean_texts, quality_rules
 from chronoforge.llm.sentence_spans import CUT, sentence_spans
 from chronoforge.llm.suffix_dedup import cut_texts, suffix_dedup
 from chronoforge.llm.toxicity import toxicity
@@ -161,8 +161,6 @@ def test_common_lines_deplete(spark):
 
 
 def test_common_lines_leave_the_text(spark):
-    import corpus_pipeline as P
-
     menu = "Home  about contact"
     rows = [(i, f"{menu}\n{_text(300 + i, 60)}\n\n{menu.lower()} ", "en", "h" if i < 30 else "other" if i < 45 else None, 0, "k") for i in range(48)]
     rows += [(None, rows[0][1], "en", "h", 0, "k"), rows[1]]
@@ -170,8 +168,24 @@ def test_common_lines_leave_the_text(spark):
     want = collections.Counter()
     for i, t, lang, host, _, more in rows:
         lines = [x for x in t.split("\n") if host is None or " ".join(x.lower().split()) != menu.lower().replace("  ", " ")]
-        want[(i, "\n".join(lines), lang, host, len("\n".join(lines)), more)] += 1
-    assert _bag(P.quality(spark, d, "")) == want  # three documents without a host are too few for the limit
+        want[(i, "\n".join(lines), lang, host, 0, more)] += 1
+    assert _bag(clean_texts(d)) == want  # three documents without a host are too few for the limit
+
+
+def test_near_copies_of_a_host_keep_the_first(spark):
+    import corpus_pipeline as P
+
+    menu, page = "home about contact", _text(400, 120).split("\n")
+    short = (1, f"{page[0]}\n{menu}")  # smallest doc_id of a line, but fails the base rules
+    group = [(i, "\n".join([*page[:i % 9], page[i % 9] + f" changed{i}", *page[i % 9 + 1:], menu])) for i in range(10, 260)]
+    rest = [(i, f"{menu}\n{_text(500 + i, 60)}") for i in range(260, 760)]
+    rows = [(i, t, "en", "h", len(t)) for i, t in [short, *group, *rest]]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    got = {r["doc_id"]: r for r in P.quality(spark, d, "").collect()}
+    assert got[10]["text"] == group[0][1]  # the first of the group keeps all, with its menu
+    assert set(got) == {10, *range(260, 760)}
+    assert all(got[i]["text"] == t[len(menu) + 1:] and got[i]["n_chars"] == len(got[i]["text"]) for i, t in rest)
+    assert not any(r["kept"] for r in quality_rules(d).where("doc_id < 260").collect())  # the SQL twin's rule
 
 
 def test_sentence_spans(docs, rows, empty):
