@@ -9,7 +9,8 @@ each code point. State and class tell whether a piece starts there: no regular e
 
 Pieces are named by a 64-bit hash; those that a worker has not met are merged once (the tokenizer's own
 pair merging) and kept in its cache, which is emptied when it is full. Each id keeps its byte offset,
-and decoding looks the ids up in the vocabulary.
+and decoding looks the ids up in the vocabulary. A tokenizers file's added tokens are cut out of the
+texts first, the earliest and then the longest; what lies between them is split as texts of their own.
 
 Edge cases: null and empty texts have no ids; rows are independent of each other, so repeated rows,
 ties and further columns change nothing; an empty table gives an empty result; a null doc_id is carried.
@@ -20,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -157,8 +159,11 @@ class Cache:
     """Ids of pieces by hash; ``merge`` gives the ids of each of some byte strings. Each hash has one
     place; a piece that another one displaces is simply merged again when it comes back."""
 
-    def __init__(self, merge: Callable[[list[bytes]], list[list[int]]]):
+    def __init__(self, merge: Callable[[list[bytes]], list[list[int]]], added: dict[str, int] | None = None):
         self.merge = merge
+        self.added = added or {}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.clear()
 
     def clear(self) -> None:
@@ -212,23 +217,62 @@ def _read(path: str) -> dict[bytes, int]:
     return {bytes(map(signs.__getitem__, k)): v for k, v in vocabulary.items() if all(c in signs for c in k)}
 
 
+def _added(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a tokenizers JSON, which match in the text as they stand."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    tokens = file.get("added_tokens") or []
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or (t["normalized"] and file.get("normalizer")) for t in tokens):
+        raise ValueError(f"{path}: added tokens that take in what is around them are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def tokenizer(path: str) -> tuple[Cache, list[bytes]]:
     """A worker's cache over a vocabulary file, and the bytes of each id."""
     if path not in _MERGERS:
         import tiktoken
 
-        ranks = _read(path)
+        added = _added(path)
+        ranks = {k: v for k, v in _read(path).items() if v not in added.values()}
         core = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        vocabulary = [b""] * (max(ranks.values()) + 1)
-        for k, v in ranks.items():
+        vocabulary = [b""] * (max([*ranks.values(), *added.values()]) + 1)
+        for k, v in [*ranks.items(), *((k.encode(), v) for k, v in added.items())]:
             vocabulary[v] = k
         one = core._core_bpe.encode_single_piece
-        _MERGERS[path] = Cache(lambda got: [one(x) for x in got]), vocabulary
+        _MERGERS[path] = Cache(lambda got: [one(x) for x in got], added), vocabulary
     return _MERGERS[path]
 
 
 def encode(texts: list[str], cache: Cache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts, the first id of each text (n + 1), and how many ids each piece has."""
+    if cache.cut and any(cache.cut.search(t) for t in texts):
+        return _encode_cut(texts, cache)
+    return _encode(texts, cache)
+
+
+def _encode_cut(texts: list[str], cache: Cache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``encode`` of texts with added tokens; each of them is a piece of one id."""
+    parts = [cache.cut.split(t) for t in texts]  # text, token, text, ..., text
+    ids, first, size = _encode([x for p in parts for x in p[::2]], cache)
+    n_pieces = np.append(0, np.cumsum(size))
+    out_ids, out_size, starts, k, reached = [], [], [0], 0, 0
+    for p in parts:
+        for j in range(0, len(p), 2):
+            lo, hi = np.searchsorted(n_pieces, first[k:k + 2])
+            out_ids.append(ids[first[k]:first[k + 1]])
+            out_size.append(size[lo:hi])
+            if j + 1 < len(p):
+                out_ids.append(np.array([cache.added[p[j + 1]]], np.uint32))
+                out_size.append(np.ones(1, np.int64))
+            reached += len(out_ids[-1]) if j + 1 == len(p) else int(first[k + 1] - first[k]) + 1
+            k += 1
+        starts.append(reached)
+    return np.concatenate(out_ids), np.array(starts, np.int64), np.concatenate(out_size)
+
+
+def _encode(texts: list[str], cache: Cache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buf, start, end, first = pieces(texts)
     if not len(start):
         return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)

@@ -264,6 +264,32 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_packing_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = ["a " + end + " b", end, end * 3, f"x  {end}  y\n", f"don'{end}t <|endoftext| >", "plain", "", f"{_text(9, 900)}{end}{_text(10, 900)}"]
+    assert 50256 in t.encode(texts[0], add_special_tokens=False).ids
+    cache, vocabulary = B.tokenizer(path)
+    ids, first, size = B.encode(texts, cache)
+    got = [ids[a:z].tolist() for a, z in zip(first[:-1], first[1:])]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in texts] and size.sum() == len(ids)
+    assert [B.decode(np.array(x, int), vocabulary).decode() for x in got] == texts
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lengths = {r["doc_id"]: r["n"] for r in packing.pack(d, path).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert lengths == {i: len(x) + 1 for i, x in enumerate(got)}
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from([end, "a", " ", "\n", "'s", "<|", "é", "1"]), max_size=12).map("".join), min_size=1, max_size=4))
+    def same(texts):
+        ids, first, _ = B.encode(texts, cache)
+        assert [ids[a:z].tolist() for a, z in zip(first[:-1], first[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+    same()
+
+
 def test_configuration_program():
     rng = np.random.default_rng(3)
     counts = np.zeros(1025, np.int64)
