@@ -40,6 +40,9 @@ PARAM_LISTS = {
     "learning_rate": [0.01, 0.03, 0.05, 0.1],
 }
 N_DRAWS = 40
+#: trees of each candidate of the search, and rounds of the best candidate's curve
+SEARCH_ROUNDS = 5000
+CURVE_ROUNDS = 2000
 SEED = 42
 UNMAPPED = ("reg_alpha", "reg_lambda")
 
@@ -95,7 +98,7 @@ class TreeSearch:
 
 
 def random_search(design: DataFrame, feats: list[str], target: str, n_draws: int = N_DRAWS,
-                  max_iter: int = 100, curve_iter: int | None = None, n_splits: int = N_SPLITS,
+                  max_iter: int = SEARCH_ROUNDS, curve_iter: int = CURVE_ROUNDS, n_splits: int = N_SPLITS,
                   parallelism: int = 8, seed: int = SEED) -> TreeSearch:
     """Seeded random search (mean RMSE over expanding folds), per-round curve of the best
     candidate on the last fold (best round = first minimum of the validation RMSE), refit on the
@@ -125,8 +128,7 @@ def random_search(design: DataFrame, feats: list[str], target: str, n_draws: int
     last = n_splits - 1
     fit_tr = train.filter(F.col("block") < last)
     fit_va = train.filter(F.col("block") == last)
-    rounds = curve_iter or max_iter
-    cm = regressor(best, rounds, target, seed).fit(fit_tr)
+    cm = regressor(best, curve_iter, target, seed).fit(fit_tr)
     tr_curve = np.sqrt(cm.evaluateEachIteration(fit_tr, "squared"))
     va_curve = np.sqrt(cm.evaluateEachIteration(fit_va, "squared"))
     curve = [(k + 1, "train", float(v)) for k, v in enumerate(tr_curve)]

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -891,42 +890,25 @@ def q_holdout_comparison(spark, sf_dir):
 # ------------------------------------------------------------------------------------------
 
 
-# Registered search size: the library default is the reference's 40 draws; the registered query
-# keeps a small draw count and round budget so that the check and the bench stay bounded.
-QUERY_DRAWS = 3
-QUERY_ROUNDS = 20
-
-
 def _hourly_design(spark, sf_dir):
     f = feat.build_features(fx.events_hourly(spark, sf_dir))
     return lin.prepare_design(f, TGT)
 
 
-@register("boosted_trees")
-def q_boosted_trees(spark, sf_dir):
+def _tree_search(spark, sf_dir):
+    """Search, curve and refit at the reference's budget (the defaults of ``random_search``)."""
     design, feats = _hourly_design(spark, sf_dir)
-    res = tr.random_search(design, feats, TGT, n_draws=QUERY_DRAWS, max_iter=QUERY_ROUNDS)
-    return tr.search_frame(spark, res.results)
+    return design, feats, tr.random_search(design, feats, TGT)
 
 
-def _default_tree_model(spark, sf_dir, rounds: int | None = QUERY_ROUNDS):
-    design, feats = _hourly_design(spark, sf_dir)
-    data = tr.assemble(design.na.drop(subset=[*feats, TGT]), feats)
-    train = data.filter(F.col("split") == "train")
-    model = tr.regressor(tr.DEFAULT_PARAMS, rounds, TGT).fit(train) if rounds else None
-    return design, feats, data, model
+@register("boosted_trees")
+def q_boosted_trees(spark, sf_dir):
+    return tr.search_frame(spark, _tree_search(spark, sf_dir)[2].results)
 
 
 @register("boosting_curve")
 def q_boosting_curve(spark, sf_dir):
-    design, feats, data, _ = _default_tree_model(spark, sf_dir, rounds=None)
-    last = lin.N_SPLITS - 1
-    train = data.filter(F.col("split") == "train")
-    fit_tr, fit_va = train.filter(F.col("block") < last), train.filter(F.col("block") == last)
-    m = tr.regressor(tr.DEFAULT_PARAMS, 2 * QUERY_ROUNDS, TGT).fit(fit_tr)
-    rows = [(k + 1, part, float(v)) for part, d in (("train", fit_tr), ("validation", fit_va))
-            for k, v in enumerate(np.sqrt(m.evaluateEachIteration(d, "squared")))]
-    return spark.createDataFrame(rows, "round int, split string, rmse double")
+    return spark.createDataFrame(_tree_search(spark, sf_dir)[2].curve, "round int, split string, rmse double")
 
 
 @register("boosting_summary")
@@ -937,15 +919,15 @@ def q_boosting_summary(spark, sf_dir):
 
 @register("tree_importance")
 def q_tree_importance(spark, sf_dir):
-    _, feats, _, model = _default_tree_model(spark, sf_dir)
-    nodes, _ = tr.node_table(spark, model, sio.scratch_path(spark, "gbt"))
+    _, feats, res = _tree_search(spark, sf_dir)
+    nodes, _ = tr.node_table(spark, res.model, sio.scratch_path(spark, "gbt"))
     return tr.feature_importance(nodes, feats)
 
 
 @register("tree_attribution")
 def q_tree_attribution(spark, sf_dir):
-    design, feats, data, model = _default_tree_model(spark, sf_dir)
-    nodes, weights = tr.node_table(spark, model, sio.scratch_path(spark, "gbt"))
+    design, feats, res = _tree_search(spark, sf_dir)
+    nodes, weights = tr.node_table(spark, res.model, sio.scratch_path(spark, "gbt"))
     test = design.na.drop(subset=[*feats, TGT]).filter(F.col("split") == "test")
     attr, _ = tr.tree_attributions(test, nodes, weights, feats)
     return lin.attribution_ranking(attr, feats)
@@ -1051,9 +1033,10 @@ def q_tree_model_roundtrip(spark, sf_dir):
 
     from pyspark.ml.regression import GBTRegressionModel
 
-    design, feats, data, model = _default_tree_model(spark, sf_dir)
+    design, feats, res = _tree_search(spark, sf_dir)
+    data = tr.assemble(design.na.drop(subset=[*feats, TGT]), feats)
     path = sio.scratch_path(spark, "gbt-model")
-    model.write().overwrite().save(path)
+    res.model.write().overwrite().save(path)
     loaded = GBTRegressionModel.load(path)
     test = data.filter(F.col("split") == "test")
     m = st.regression_metrics(loaded.transform(test), TGT, "prediction")
@@ -1061,7 +1044,7 @@ def q_tree_model_roundtrip(spark, sf_dir):
     meta = sio.ModelMetadata(
         model_name="GBT", trained_at=datetime.datetime.now().isoformat(), version="1.0.0", target=TGT,
         metrics={"test_rmse": row["rmse"], "test_mae": row["mae"]},
-        hyperparameters={k: float(v) for k, v in tr.DEFAULT_PARAMS.items()}, features=feats,
+        hyperparameters=res.results["best_params"], features=feats,
         n_features=len(feats), n_train=int(data.filter(F.col("split") == "train").count()),
         n_test=int(row["n"]), model_path=path, best_iterations=int(loaded.getNumTrees))
     meta_path = sio.write_metadata(spark, meta, sio.scratch_path(spark, "gbt-meta"))

@@ -57,3 +57,40 @@ def test_gbt_shap_exact_and_additive(spark, tmp_path):
     assert abs(imp["gain_norm"].sum() - 1) < 1e-12
     top = set(imp.sort_values("rank")["feature"].iloc[:3])
     assert {"a", "b", "c"} <= top | set(imp["feature"]) and "a" in top
+
+
+def _design(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"x": rng.normal(size=120)})
+    pdf["y"], pdf["split"], pdf["block"] = pdf["x"] * 2, ["train"] * 100 + ["test"] * 20, np.arange(120) // 34 - 1
+    return spark.createDataFrame(pdf)
+
+
+def test_random_search_curve_and_refit(spark):
+    res = tr.random_search(_design(spark), ["x"], "y", n_draws=2, max_iter=2, curve_iter=4, n_splits=2)
+    valid = [v for _, part, v in res.curve if part == "validation"]
+    assert len(res.curve) == 8 and res.best_round == int(np.argmin(valid)) + 1 == res.model.getNumTrees
+
+
+def test_registered_tree_queries_take_the_whole_budget(spark, monkeypatch):
+    from chronoforge.plans import catalog
+
+    class Stop(Exception):
+        pass
+
+    seen, draws = [], tr.draw_params
+
+    def regressor(params, max_iter, *rest):
+        seen.append(max_iter)
+        raise Stop
+
+    monkeypatch.setattr(catalog, "_hourly_design", lambda s, d: (_design(s).withColumnRenamed("y", catalog.TGT), ["x"]))
+    monkeypatch.setattr(tr, "draw_params", lambda n, seed: seen.append(n) or draws(n, seed))
+    monkeypatch.setattr(tr, "regressor", regressor)
+    for name in ("boosted_trees", "boosting_curve", "boosting_summary", "tree_importance", "tree_attribution", "tree_model_roundtrip"):
+        seen.clear()
+        try:
+            catalog.QUERIES[name](spark, "")
+        except Stop:
+            pass
+        assert seen[0] == 40 and set(seen[1:]) == {5000}, name
