@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 
 def comparison_table(a: DataFrame, b: DataFrame, actual: str, names: tuple[str, str],
                      on: list[str] | None = None, prediction: str = "prediction") -> DataFrame:
-    """side-by-side table of two scored tables (equi-join on ``on``, default ``time``):
-    actual, both predictions and both errors (actual − prediction)."""
-    on = on or ["time"]
+    """side-by-side table of two scored tables (equi-join on ``on``): actual, both predictions and
+    both errors (actual − prediction). Without ``on`` the tables hold one series each and join on ``time``; a time that
+    repeats raises then, as rows of different series would be paired."""
+    if not on:
+        on = ["time"]
+        for t in (a, b):
+            if not t.groupBy(*on).count().where("count > 1").isEmpty():
+                raise ValueError("a time repeats: give the keys of the series in `on`")
     na, nb = names
     left = a.select(*on, actual, F.col(prediction).alias(f"pred_{na}"))
     right = b.select(*on, F.col(prediction).alias(f"pred_{nb}"))

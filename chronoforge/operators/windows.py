@@ -70,10 +70,26 @@ def window_scaler(df: DataFrame, cols: list[str], target: str, window: int = 48,
                       F.col("weight").cast("long").alias("weight"))
 
 
-def apply_window_scaler(windows: DataFrame, scaler: DataFrame, cols: list[str]) -> DataFrame:
-    """Scale every step of ``x`` with the per-feature mean/scale (a single-row parameter set)."""
-    row = {r[COLUMN]: (r["mean"], r["scale"]) for r in scaler.collect()}
-    ms = [row[c] for c in cols]
-    scaled = F.transform("x", lambda step: F.array(*[
-        ((step[i] - F.lit(float(m))) / F.lit(float(s))).cast("float") for i, (m, s) in enumerate(ms)]))
-    return windows.withColumn("x", scaled)
+def apply_window_scaler(windows: DataFrame, scaler: DataFrame, cols: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Scale every step of ``x`` with the per-feature mean/scale: of one parameter set, or of the row's series by
+    ``keys`` (default: the key columns of ``scaler``). A series without parameters keeps its rows with NULL steps."""
+    keys = [c for c in scaler.columns if c not in (COLUMN, "mean", "scale", "weight")] if keys is None else list(keys)
+    if missing := [c for c in keys if c not in windows.columns]:
+        raise ValueError(f"scaler keys not in the windows: {missing}")
+    if not keys:
+        found = scaler.limit(len(cols) + 1000).collect()  # one row for each column
+        row = {r[COLUMN]: (r["mean"], r["scale"]) for r in found}
+        if len(row) < len(found):
+            raise ValueError("more than one parameter set: give the scaler's keys")
+        ms = [tuple(F.lit(None if v is None else float(v)).cast("double") for v in row[c]) for c in cols]
+        return windows.withColumn("x", _scaled(ms))
+    from chronoforge.plans.strategies import join_small
+
+    of = lambda c, v: F.max(F.when(F.col(COLUMN) == c, F.col(v)))
+    wide = scaler.groupBy(*keys).agg(*[of(c, v).alias(f"__{v}{i}") for i, c in enumerate(cols) for v in ("mean", "scale")])
+    out = join_small(windows, wide, on=keys, how="left")
+    return out.withColumn("x", _scaled([(F.col(f"__mean{i}"), F.col(f"__scale{i}")) for i in range(len(cols))])).select(*windows.columns)
+
+
+def _scaled(ms: list[tuple]):
+    return F.transform("x", lambda step: F.array(*[((step[i] - m) / s).cast("float") for i, (m, s) in enumerate(ms)]))

@@ -477,7 +477,7 @@ def q_comparison_table(spark, sf_dir):
     f = feat.build_features(fx.events_hourly(spark, sf_dir))
     a = f.select("time", F.col(TGT).alias("actual"), F.col(feat.TARGET).alias("prediction"))
     b = f.select("time", F.col(TGT).alias("actual"), F.col(DAILY).alias("prediction"))
-    return rounded(cmp.comparison_table(a, b, "actual", ("persistence", "daily")))
+    return rounded(cmp.comparison_table(a, b, "actual", ("persistence", "daily"), on=["time"]))
 
 
 NAIVE = [feat.TARGET, f"{feat.TARGET}_lag_1", f"{feat.TARGET}_lag_2", f"{feat.TARGET}_lag_3", DAILY]
@@ -874,7 +874,7 @@ def holdout_comparison_frames(spark, sf_dir):
     cand = lin.score(hold, g.models[best]).select("time", "y_target", "prediction")
     base = bl.fit_seasonal_baseline(part.filter(F.col("part") == "train"), "y_target")
     bpred = base.forecast(hold.select("time", "y_target"))
-    table = cmp.comparison_table(cand, bpred, "y_target", ("candidate", "baseline"))
+    table = cmp.comparison_table(cand, bpred, "y_target", ("candidate", "baseline"), on=["time"])
     table = cols.actual_present(table, "y_target")
     skill = st.skill_scores(table, "y_target", "pred_candidate", "pred_baseline")
     return table, skill

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from chronoforge.functions.columns import nan_to_null
 from chronoforge.session import checkpoint_dir
 
 
@@ -32,12 +33,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              missing_ok: bool = False) -> DataFrame:
     """CSV with header. Give a schema (no inference pass at scale). A missing path raises,
-    unless ``missing_ok`` (then an empty DataFrame with ``schema``)."""
+    unless ``missing_ok`` (then an empty DataFrame with ``schema``). NaN is read as NULL."""
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
     try:
-        return reader.csv(path)
+        return nan_to_null(reader.csv(path))
     except AnalysisException as e:
         if missing_ok and "PATH_NOT_FOUND" in str(e) and schema is not None:
             st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
@@ -69,7 +70,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet table; NaN is read as NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 # --------------------------------------------------------------------------------------------
@@ -81,7 +83,7 @@ def read_hourly_payload(spark: SparkSession, path: str, variables: list[str],
                         multiline: bool = False) -> DataFrame:
     """Landed JSON payloads ``{"hourly": {"time": [...], var: [...], ...}}`` -> one row per hour
     with ``time`` as TIMESTAMP_NTZ. A payload without ``hourly.time`` or with arrays of unequal
-    length raises (``arrays_zip`` would pad silently)."""
+    length raises (``arrays_zip`` would pad silently). NaN is read as NULL."""
     schema = T.StructType([T.StructField("hourly", T.StructType(
         [T.StructField("time", T.ArrayType(T.StringType()))]
         + [T.StructField(v, T.ArrayType(T.DoubleType())) for v in variables]))])
@@ -97,7 +99,7 @@ def read_hourly_payload(spark: SparkSession, path: str, variables: list[str],
                              .otherwise(F.lit(True)))
     zipped = checked.filter("__ok").select(F.inline(F.arrays_zip(h["time"].alias("time"),
                                                                  *[h[v].alias(v) for v in variables])))
-    return zipped.withColumn("time", F.to_timestamp_ntz("time"))
+    return nan_to_null(zipped.withColumn("time", F.to_timestamp_ntz("time")))
 
 
 def hourly_payloads(df: DataFrame, variables: list[str], time: str = "time",

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -92,3 +93,19 @@ def test_metadata_follows_the_schema(spark, tmp_path):
     r = read_metadata(spark, write_metadata(spark, m, str(tmp_path / "m"))).first()
     assert r["metrics"]["test_rmse"] == 1.5 and r["metrics"]["cv_mae"] is None and r["hyperparameters"] == {"alpha": 2.0}
     assert r["n_features"] == 1 and r["best_iterations"] is None
+
+
+def test_apply_window_scaler_by_series(spark):
+    rows = [(k, i, float(i * (k + 1) + 100 * k), float(i)) for k in range(3) for i in range(40)]
+    df = spark.createDataFrame(rows, "series int, time int, y double, t double")
+    w = win.sliding_windows(df, ["y"], "t", window=10, horizon=2, keys=["series"])
+    sc = win.window_scaler(df.where("series < 2"), ["y"], "t", window=10, horizon=2, keys=["series"])
+    out = win.apply_window_scaler(w, sc, ["y"])
+    got = {(r["series"], r["idx"]): r["x"][3][0] for r in out.collect()}
+    p = {r["series"]: (r["mean"], r["scale"]) for r in sc.collect()}
+    assert out.columns == w.columns and len(got) == w.count()
+    for r in w.collect():
+        v = got[r["series"], r["idx"]]
+        assert v is None if r["series"] == 2 else abs(v - (r["x"][3][0] - p[r["series"]][0]) / p[r["series"]][1]) < 1e-5
+    with pytest.raises(ValueError):
+        win.apply_window_scaler(w, sc, ["y"], keys=[])

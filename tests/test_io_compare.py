@@ -66,3 +66,21 @@ def test_null_profile_counts_nan(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "c")], "x double, s string")
     out = {r["column"]: (r["n"], r["missing"]) for r in st.null_profile(df).collect()}
     assert out == {"x": (3, 2), "s": (3, 1)}
+
+
+def test_comparison_of_several_series(spark):
+    t = spark.createDataFrame([(k, i, float(i), float(i + 10 * k)) for k in range(2) for i in range(3)], "series int, time int, y double, prediction double")
+    with pytest.raises(ValueError):
+        cmp.comparison_table(t, t, "y", ("a", "b"))
+    out = cmp.comparison_table(t, t, "y", ("a", "b"), on=["series", "time"]).collect()
+    assert len(out) == 6 and all(r["pred_a"] == r["pred_b"] for r in out)
+
+
+def test_readers_take_nan_as_null(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c")], "x double, s string").coalesce(1)
+    paths = [sio.write_csv(df, str(tmp_path / "c")), sio.write_table(df, str(tmp_path / "p"))]
+    for out in (sio.read_csv(spark, paths[0], "x double, s string"), sio.read_table(spark, paths[1])):
+        assert {r["s"]: r["x"] for r in out.collect()} == {"a": 1.0, "b": None, "c": None}
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "p.json").write_text('{"hourly": {"time": ["2024-01-01T00:00"], "v": ["NaN"]}}')
+    assert sio.read_hourly_payload(spark, str(tmp_path / "j"), ["v"]).first()["v"] is None
