@@ -1,32 +1,31 @@
-"""Boosted regression trees (G7-G9), tree importance (F1) and tree attributions.
+"""Boosted regression trees (G7-G9), tree importance (F1), scoring and tree attributions.
 
-Training uses Spark ML's ``GBTRegressor`` on the design table (expanding-fold blocks from
-``linear.prepare_design``). Candidates of the random search are fitted concurrently from a
-driver thread pool; every fit is a distributed Spark ML job. Results match boosted trees in kind,
-not in numbers: parameters without a Spark equivalent are recorded and ignored.
+Training is ``operators.boosting``: second-order boosting on binned features, with all eight parameters of the
+search lists. A model is its node table (tree, node, left, right, feature, threshold, value, cover, gain), a DataFrame,
+so that importance is a query and persistence is Parquet. Scoring and attributions send the node table, which is
+bounded by trees times leaves, to the tasks and pass over the rows once.
 
-Feature importance is a query over the fitted model's node table (``model.write()`` ->
-Parquet). Attributions use path-dependent TreeSHAP (Lundberg, Erion & Lee 2018), vectorised over
-the rows of an Arrow batch in ``mapInPandas``; the node table (bounded by trees × leaves, not by
-data) is broadcast.
+Attributions are the path-dependent Shapley values of Lundberg, Erion & Lee (2018), by a table instead of a recursion:
+a leaf's path has at most ``max_depth`` distinct features, a row satisfies a subset of their conditions, and the
+leaf's contribution to each feature depends on that subset alone. The table of all subsets is computed once for a
+leaf; a row costs one lookup in it.
 """
 
 from __future__ import annotations
 
-import concurrent.futures as cf
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronoforge.operators import boosting
 from chronoforge.operators.linear import N_SPLITS
-from chronoforge.operators.stats import regression_metrics
-from chronoforge.session import ship_package
+from chronoforge.session import reliable_checkpoint, ship_package
 
 # The reference's random-search lists for boosted trees.
 PARAM_LISTS = {
@@ -44,12 +43,13 @@ N_DRAWS = 40
 SEARCH_ROUNDS = 5000
 CURVE_ROUNDS = 2000
 SEED = 42
-UNMAPPED = ("reg_alpha", "reg_lambda")
 
 DEFAULT_PARAMS = {"max_depth": 4, "min_child_weight": 1, "subsample": 1.0, "colsample_bytree": 1.0,
                   "gamma": 0.0, "reg_alpha": 0.0, "reg_lambda": 1.0, "learning_rate": 0.1}
 
-FEATURES_VEC = "__features"
+NODE_SQL = "tree int, node int, left int, right int, feature int, threshold double, value double, cover double, gain double"
+#: (row, leaf) pairs that an attribution step or a scoring step holds at once
+PAIRS = 1 << 19
 
 
 def draw_params(n_draws: int = N_DRAWS, seed: int = SEED) -> list[dict]:
@@ -69,78 +69,157 @@ def draw_params(n_draws: int = N_DRAWS, seed: int = SEED) -> list[dict]:
     return out
 
 
-def regressor(params: dict, max_iter: int, label: str, seed: int = SEED) -> GBTRegressor:
-    col = params.get("colsample_bytree", 1.0)
-    return GBTRegressor(
-        featuresCol=FEATURES_VEC, labelCol=label, predictionCol="prediction",
-        maxIter=int(max_iter), maxDepth=int(params["max_depth"]), stepSize=float(params["learning_rate"]),
-        subsamplingRate=float(params["subsample"]), minInstancesPerNode=int(params["min_child_weight"]),
-        minInfoGain=float(params["gamma"]),
-        featureSubsetStrategy="all" if col >= 1.0 else str(float(col)), seed=seed, lossType="squared")
+# --------------------------------------------------------------------------------------------
+# Models as node tables
+# --------------------------------------------------------------------------------------------
+
+
+@dataclass
+class TreeModel:
+    """A boosted ensemble: prediction = ``base`` + the values of the leaves that a row reaches. A row goes left where
+    ``x[feature] <= threshold``; nodes are heap numbers, ``left`` is -1 at leaves."""
+
+    features: list[str]
+    base: float
+    nodes: DataFrame
+    params: dict
+
+    def arrays(self) -> "_Forest":
+        return _Forest(self.nodes.toPandas())  # model-sized: trees x nodes
+
+
+class _Forest:
+    """Node table as dense arrays (tree x heap number)."""
+
+    def __init__(self, pdf: pd.DataFrame) -> None:
+        self.n_trees = int(pdf["tree"].max()) + 1 if len(pdf) else 0
+        width = int(pdf["node"].max()) + 1 if len(pdf) else 1
+        self.depth = (width + 1).bit_length() - 1 if width > 1 else 0
+        at = pdf["tree"].to_numpy(np.int64), pdf["node"].to_numpy(np.int64)
+        self.feature = np.full((self.n_trees, width), -1)
+        self.feature[at] = np.where(pdf["left"].to_numpy() < 0, -1, pdf["feature"].to_numpy())
+        self.threshold, self.value, self.cover = (np.zeros((self.n_trees, width)) for _ in range(3))
+        for name in ("threshold", "value", "cover"):
+            getattr(self, name)[at] = pdf[name].to_numpy(float)
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Sum of the reached leaves' values for each row of ``x``."""
+        out = np.zeros(len(x))
+        step = max(1, PAIRS // max(len(x), 1))
+        rows = np.arange(len(x))[:, None]
+        for lo in range(0, self.n_trees, step):
+            t = np.arange(lo, min(lo + step, self.n_trees))
+            node = np.zeros((len(x), len(t)), np.int64)
+            for _ in range(self.depth):
+                f = self.feature[t, node]
+                node = np.where(f >= 0, 2 * node + 1 + (x[rows, f] > self.threshold[t, node]), node)
+            out += self.value[t, node].sum(axis=1)
+        return out
+
+
+def node_table(spark: SparkSession, trees: list[boosting.Tree], edges: list[np.ndarray]) -> DataFrame:
+    """The node table of ``trees``; thresholds are the upper edges of the bins at which they split."""
+    parts = []
+    for t, tree in enumerate(trees):
+        reached = np.zeros(len(tree.feature), bool)
+        reached[0] = True
+        for i in np.flatnonzero(tree.feature >= 0):  # heap order: parents first
+            reached[[2 * i + 1, 2 * i + 2]] = True
+        at = np.flatnonzero(reached)
+        inner = tree.feature[at] >= 0
+        cut = [float(edges[f][b]) if f >= 0 else None for f, b in zip(tree.feature[at], tree.bin[at])]
+        parts.append(pd.DataFrame({
+            "tree": t, "node": at, "left": np.where(inner, 2 * at + 1, -1), "right": np.where(inner, 2 * at + 2, -1), "feature": tree.feature[at],
+            "threshold": np.array(cut, float), "value": tree.value[at], "cover": tree.cover[at].astype(float), "gain": tree.gain[at]}))
+    pdf = pd.concat(parts) if parts else pd.DataFrame(columns=[c.split()[0] for c in NODE_SQL.split(", ")])
+    pdf = pdf.astype({c: "int32" for c in ("tree", "node", "left", "right", "feature")})
+    return reliable_checkpoint(spark.createDataFrame(pdf, NODE_SQL).withColumn("threshold", F.nanvl("threshold", F.lit(None).cast("double"))))
+
+
+def predict(df: DataFrame, model: TreeModel, out: str = "prediction") -> DataFrame:
+    """G11 for trees: ``df`` with the prediction as a further column; a NULL feature gives a NULL prediction."""
+    spark = df.sparkSession
+    ship_package(spark)
+    held = spark.sparkContext.broadcast(model.arrays())
+    feats, base = model.features, model.base
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for cols in batches:
+            x = np.column_stack([c.to_numpy(float) for c in cols])
+            yield pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, base + held.value.sums(x)))
+
+    got = run(*[F.col(c).cast("double") for c in feats])
+    return df.withColumn(out, F.nanvl(got, F.lit(None).cast("double")))
 
 
-def assemble(df: DataFrame, feats: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=feats, outputCol=FEATURES_VEC, handleInvalid="keep").transform(df)
+def save_model(model: TreeModel, path: str) -> str:
+    """Node table and one row of features, base and parameters, as Parquet."""
+    spark = model.nodes.sparkSession
+    model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame([(model.features, float(model.base), {k: float(v) for k, v in model.params.items()})],
+                          "features array<string>, base double, params map<string,double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+    return path
 
 
-def _metrics(model, df: DataFrame, label: str) -> tuple[float, float]:
-    r = regression_metrics(model.transform(df), label, "prediction").first()
-    return float(r["rmse"]), float(r["mae"])
+def load_model(spark: SparkSession, path: str) -> TreeModel:
+    row = spark.read.parquet(f"{path}/model").first()
+    return TreeModel(list(row["features"]), row["base"], spark.read.schema(NODE_SQL).parquet(f"{path}/nodes"), dict(row["params"]))
+
+
+# --------------------------------------------------------------------------------------------
+# Search, curve, refit
+# --------------------------------------------------------------------------------------------
 
 
 @dataclass
 class TreeSearch:
     results: dict
     best_params: dict
-    model: GBTRegressionModel
+    model: TreeModel
     curve: list
     best_round: int
+    candidates: list
+
+
+def fit(design: DataFrame, feats: list[str], target: str, params: dict, rounds: int, seed: int = SEED, one_task_bytes: int | None = None) -> TreeModel:
+    """One ensemble on the training part of ``design`` (split, block, idx)."""
+    data = design.na.drop(subset=[*feats, target])
+    edges = boosting.bin_edges(data.filter(F.col("split") == "train"), feats)
+    table = boosting.shards(data, feats, target, edges)
+    return _fit(table, data, feats, target, params, rounds, seed, edges, one_task_bytes)[0]
+
+
+def _fit(table, data, feats, target, params, rounds, seed, edges, one_task_bytes=None) -> tuple[TreeModel, boosting.Fitted]:
+    base = boosting.base_of(data, target, {None})
+    got = boosting.train(table, [boosting.Model(0, params, rounds, None, seed)], base, keep=True, one_task_bytes=one_task_bytes)
+    return TreeModel(feats, base.mean[None], node_table(table.sparkSession, got.trees[0], edges), params), got
 
 
 def random_search(design: DataFrame, feats: list[str], target: str, n_draws: int = N_DRAWS,
                   max_iter: int = SEARCH_ROUNDS, curve_iter: int = CURVE_ROUNDS, n_splits: int = N_SPLITS,
-                  parallelism: int = 8, seed: int = SEED) -> TreeSearch:
-    """Seeded random search (mean RMSE over expanding folds), per-round curve of the best
-    candidate on the last fold (best round = first minimum of the validation RMSE), refit on the
+                  seed: int = SEED, one_task_bytes: int | None = None) -> TreeSearch:
+    """Seeded random search (mean RMSE over expanding folds; every (draw, fold) model in the same job), per-round
+    curve of the best candidate on the last fold (best round = first minimum of the validation RMSE), refit on the
     whole training part with that many rounds, test RMSE / MAE."""
-    data = assemble(design.na.drop(subset=[*feats, target]), feats).select(
-        FEATURES_VEC, target, "split", "block")
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
+    data = design.na.drop(subset=[*feats, target])
+    edges = boosting.bin_edges(data.filter(F.col("split") == "train"), feats)
+    table = boosting.shards(data, feats, target, edges)
+    base = boosting.base_of(data, target, set(range(n_splits)))
     draws = draw_params(n_draws, seed)
-
-    tasks = [(d, i) for d in range(len(draws)) for i in range(n_splits)]
-
-    def fit_eval(task):
-        d, i = task
-        m = regressor(draws[d], max_iter, target, seed).fit(train.filter(F.col("block") < i))
-        return _metrics(m, train.filter(F.col("block") == i), target)
-
-    # every (draw, fold) fit is an independent Spark ML job; run them concurrently
-    with cf.ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
-        fold_scores = list(pool.map(fit_eval, tasks))
-    scores = []
-    for d in range(len(draws)):
-        rows = [fold_scores[k] for k, (dd, _) in enumerate(tasks) if dd == d]
-        scores.append((float(np.mean([r for r, _ in rows])), float(np.mean([a for _, a in rows]))))
+    models = [boosting.Model(d * n_splits + i, draws[d], max_iter, i, seed) for d in range(len(draws)) for i in range(n_splits)]
+    tried = boosting.train(table, models, base, one_task_bytes=one_task_bytes)
+    scores = [tuple(float(np.mean([f(d * n_splits + i, "validation") for i in range(n_splits)])) for f in (tried.rmse, tried.mae)) for d in range(len(draws))]
     best_i = int(np.argmin([s[0] for s in scores]))
     best = draws[best_i]
-    last = n_splits - 1
-    fit_tr = train.filter(F.col("block") < last)
-    fit_va = train.filter(F.col("block") == last)
-    cm = regressor(best, curve_iter, target, seed).fit(fit_tr)
-    tr_curve = np.sqrt(cm.evaluateEachIteration(fit_tr, "squared"))
-    va_curve = np.sqrt(cm.evaluateEachIteration(fit_va, "squared"))
-    curve = [(k + 1, "train", float(v)) for k, v in enumerate(tr_curve)]
-    curve += [(k + 1, "validation", float(v)) for k, v in enumerate(va_curve)]
-    best_round = int(np.argmin(va_curve)) + 1
-    final = regressor(best, best_round, target, seed).fit(train)
-    test_rmse, test_mae = _metrics(final, test, target)
+    seen = boosting.train(table, [boosting.Model(0, best, curve_iter, n_splits - 1, seed)], base, curve=True, one_task_bytes=one_task_bytes)
+    curve = [(k + 1, part, float(v[i])) for i, part in enumerate(("train", "validation")) for k, v in enumerate(seen.curves[0])]
+    best_round = int(np.argmin([v for _, v in seen.curves[0]])) + 1
+    final, fitted = _fit(table, data, feats, target, best, best_round, seed, edges, one_task_bytes)
     results = {"model": "GBT", "cv_rmse": scores[best_i][0], "cv_mae": scores[best_i][1],
-               "test_rmse": test_rmse, "test_mae": test_mae, "best_round": best_round,
-               "curve_test_rmse": _metrics(cm, test, target)[0],
-               "best_params": {k: float(v) for k, v in best.items()}}
-    return TreeSearch(results, best, final, curve, best_round)
+               "test_rmse": fitted.rmse(0, "test"), "test_mae": fitted.mae(0, "test"), "best_round": best_round,
+               "curve_test_rmse": seen.rmse(0, "test"), "best_params": {k: float(v) for k, v in best.items()}}
+    return TreeSearch(results, best, final, curve, best_round, [(d, *s, draws[d]) for d, s in enumerate(scores)])
 
 
 def search_frame(spark: SparkSession, res: dict) -> DataFrame:
@@ -148,37 +227,27 @@ def search_frame(spark: SparkSession, res: dict) -> DataFrame:
         T.StructField("model", T.StringType()), T.StructField("cv_rmse", T.DoubleType()),
         T.StructField("cv_mae", T.DoubleType()), T.StructField("test_rmse", T.DoubleType()),
         T.StructField("test_mae", T.DoubleType()), T.StructField("best_round", T.IntegerType()),
+        T.StructField("curve_test_rmse", T.DoubleType()),
         T.StructField("best_params", T.MapType(T.StringType(), T.DoubleType())),
-        T.StructField("unmapped_params", T.ArrayType(T.StringType())),
     ])
     return spark.createDataFrame([(res["model"], res["cv_rmse"], res["cv_mae"], res["test_rmse"],
-                                   res["test_mae"], res["best_round"], res["best_params"], list(UNMAPPED))], schema)
+                                   res["test_mae"], res["best_round"], res["curve_test_rmse"], res["best_params"])], schema)
 
 
-# --------------------------------------------------------------------------------------------
-# Node table, importance (F1)
-# --------------------------------------------------------------------------------------------
+def candidates_frame(spark: SparkSession, search: TreeSearch) -> DataFrame:
+    """Every candidate of the search: draw, mean validation RMSE and MAE over the folds, its parameters."""
+    rows = [(d, rmse, mae, *[float(p[k]) for k in PARAM_LISTS]) for d, rmse, mae, p in search.candidates]
+    return spark.createDataFrame(rows, "draw int, cv_rmse double, cv_mae double, " + ", ".join(f"{k} double" for k in PARAM_LISTS))
 
 
-def node_table(spark: SparkSession, model: GBTRegressionModel, path: str) -> tuple[DataFrame, list[float]]:
-    """Persist the model (Spark ML format) and read its node table:
-    ``tree, node, left, right, feature, threshold, value, cover, gain``."""
-    model.write().overwrite().save(path)
-    raw = spark.read.parquet(f"{path}/data")
-    nodes = raw.select(
-        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"),
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold"),
-        F.col("nodeData.prediction").alias("value"), F.col("nodeData.rawCount").cast("double").alias("cover"),
-        F.col("nodeData.gain").alias("gain"))
-    return nodes, [float(w) for w in model.treeWeights]
+# --------------------------------------------------------------------------------------------
+# Importance (F1)
+# --------------------------------------------------------------------------------------------
 
 
 def feature_importance(nodes: DataFrame, feats: list[str]) -> DataFrame:
-    """per feature the mean split gain, mean cover and number of splits (three aggregates
-    over internal nodes, full outer join on the feature, missing -> 0), ``gain_norm`` and rank
-    by gain. Gain is Spark's impurity decrease, not the reference library's loss reduction."""
+    """per feature the mean split gain, mean cover (sum of second derivatives) and number of splits (three
+    aggregates over internal nodes, full outer join on the feature, missing -> 0), ``gain_norm`` and rank by gain."""
     spark = nodes.sparkSession
     internal = nodes.filter(F.col("left") >= 0)
     names = spark.createDataFrame(list(enumerate(feats)), "feature int, name string")
@@ -195,125 +264,128 @@ def feature_importance(nodes: DataFrame, feats: list[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------------------------
-# TreeSHAP (G10), vectorised over a batch of rows
+# Attributions
 # --------------------------------------------------------------------------------------------
 
 
-def _tree_arrays(pdf: pd.DataFrame) -> dict:
-    n = int(pdf["node"].max()) + 1
-    t = {k: np.full(n, -1 if k in ("left", "right", "feature") else np.nan) for k in
-         ("left", "right", "feature", "threshold", "value", "cover")}
-    idx = pdf["node"].to_numpy()
-    for k in t:
-        vals = pdf[k].to_numpy()
-        if k in ("left", "right", "feature"):
-            t[k] = t[k].astype(np.int64)
-            vals = np.nan_to_num(vals.astype(float), nan=-1).astype(np.int64)
-        t[k][idx] = vals
-    return t
-
-
-def expected_value(tree: dict) -> float:
-    leaves = tree["left"] < 0
-    return float((tree["cover"][leaves] * tree["value"][leaves]).sum() / tree["cover"][0])
-
-
-def tree_shap(X: np.ndarray, tree: dict) -> np.ndarray:
-    """Path-dependent TreeSHAP of one tree for every row of ``X`` (rows x features)."""
-    B, M = X.shape
-    phi = np.zeros((B, M))
-    left, right, feat, thr = tree["left"], tree["right"], tree["feature"], tree["threshold"]
-    value, cover = tree["value"], tree["cover"]
-
-    def extend(path, z, o, d):
-        depth = len(path)
-        w0 = np.ones(B) if depth == 0 else np.zeros(B)
-        path = [[e[0], e[1], e[2], e[3].copy()] for e in path] + [[d, z, o, w0]]
-        for i in range(depth - 1, -1, -1):
-            path[i + 1][3] = path[i + 1][3] + o * path[i][3] * (i + 1) / (depth + 1)
-            path[i][3] = z * path[i][3] * (depth - i) / (depth + 1)
-        return path
-
-    def unwind(path, k):
-        depth = len(path) - 1
-        z, o = path[k][1], path[k][2]
-        nxt = path[depth][3].copy()
-        path = [[e[0], e[1], e[2], e[3].copy()] for e in path]
-        nz = o != 0
-        o_safe = np.where(nz, o, 1.0)
-        for i in range(depth - 1, -1, -1):
-            tmp = path[i][3]
-            w_nz = nxt * (depth + 1) / ((i + 1) * o_safe)
-            w_z = tmp * (depth + 1) / (z * (depth - i)) if z != 0 else np.zeros(B)
-            new_w = np.where(nz, w_nz, w_z)
-            nxt = np.where(nz, tmp - new_w * z * (depth - i) / (depth + 1), nxt)
-            path[i][3] = new_w
-        for i in range(k, depth):
-            path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-        return path[:depth]
-
-    def unwound_sum(path, k):
-        depth = len(path) - 1
-        z, o = path[k][1], path[k][2]
-        nxt = path[depth][3].copy()
-        total = np.zeros(B)
-        nz = o != 0
-        o_safe = np.where(nz, o, 1.0)
-        for i in range(depth - 1, -1, -1):
-            tmp = nxt * (depth + 1) / ((i + 1) * o_safe)
-            zero_branch = (path[i][3] / z) / ((depth - i) / (depth + 1)) if z != 0 else np.zeros(B)
-            total = total + np.where(nz, tmp, zero_branch)
-            nxt = np.where(nz, path[i][3] - tmp * z * ((depth - i) / (depth + 1)), nxt)
-        return total
-
-    def recurse(node, path, z, o, d):
-        path = extend(path, z, o, d)
-        if left[node] < 0:
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[:, path[i][0]] += w * (path[i][2] - path[i][1]) * value[node]
-            return
-        f = feat[node]
-        goes_left = X[:, f] <= thr[node]
-        inc_z, inc_o = 1.0, np.ones(B)
-        k = next((i for i in range(len(path)) if path[i][0] == f), None)
-        if k is not None:
-            inc_z, inc_o = path[k][1], path[k][2]
-            path = unwind(path, k)
-        l, r = left[node], right[node]
-        recurse(l, path, inc_z * cover[l] / cover[node], inc_o * goes_left, f)
-        recurse(r, path, inc_z * cover[r] / cover[node], inc_o * ~goes_left, f)
-
-    recurse(0, [], 1.0, np.ones(B), -1)
-    return phi
-
-
-def tree_attributions(df: DataFrame, nodes: DataFrame, weights: list[float], feats: list[str],
-                      keep: list[str] | None = None, prefix: str = "shap_") -> tuple[DataFrame, float]:
-    """Per-row attributions ``shap_{feature}`` plus ``base_value``; attributions + base value
-    equal the ensemble prediction. Returns the frame and the base value."""
-    keep = list(keep or [])
-    pdf = nodes.toPandas()  # model-sized: trees x nodes
-    trees = [(_tree_arrays(g), weights[int(t)]) for t, g in pdf.groupby("tree")]
-    base = float(sum(w * expected_value(t) for t, w in trees))
+@dataclass
+class Leaves:
+    """The leaves of an ensemble with the distinct features of their paths: a row satisfies a feature's conditions if
+    ``lo < x <= hi``; ``z`` is the share of rows that pass them. Padded with features (-1) that change nothing."""
+
+    feature: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    z: np.ndarray
+    value: np.ndarray
+
+    def expected(self) -> float:
+        return float((self.value * self.z.prod(axis=1)).sum())
+
+
+def leaves_of(forest: _Forest) -> Leaves:
+    """Paths of all leaves; a feature that occurs several times on a path becomes one interval."""
+    rows = []
+    for t in range(forest.n_trees):
+        stack = [(0, {})]
+        while stack:
+            node, path = stack.pop()
+            f = int(forest.feature[t, node])
+            if f < 0:
+                rows.append((path, forest.value[t, node]))
+                continue
+            cut, cover = forest.threshold[t, node], forest.cover[t, node]
+            lo, hi, z = path.get(f, (-np.inf, np.inf, 1.0))
+            left, right = 2 * node + 1, 2 * node + 2
+            stack.append((left, {**path, f: (lo, min(hi, cut), z * forest.cover[t, left] / cover)}))
+            stack.append((right, {**path, f: (max(lo, cut), hi, z * forest.cover[t, right] / cover)}))
+    width = max([len(p) for p, _ in rows] + [1])
+    feature = np.full((len(rows), width), -1)
+    lo, hi, z = np.full(feature.shape, -np.inf), np.full(feature.shape, np.inf), np.ones(feature.shape)
+    for i, (path, _) in enumerate(rows):
+        for j, (f, (a, b, share)) in enumerate(path.items()):
+            feature[i, j], lo[i, j], hi[i, j], z[i, j] = f, a, b, share
+    return Leaves(feature, lo, hi, z, np.array([v for _, v in rows]))
+
+
+def subset_tables(z: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(leaf, subset of satisfied features as a bit mask, feature): the leaf's contribution to the feature.
+
+    In the game v(S) = value * prod(o_i, i in S) * prod(z_i, i not in S) the players other than j enter by the
+    coefficients of prod(z_i + o_i t); the coefficient of t^k has the weight k! (m - 1 - k)! / m!."""
+    n, m = z.shape
+    weight = np.array([math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)])
+    met = (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(float)
+    out = np.empty((n, 1 << m, m))
+    for j in range(m):
+        poly = np.zeros((n, 1 << m, m))
+        poly[:, :, 0] = 1.0
+        for i in range(m):
+            if i != j:
+                grown = poly * z[:, i, None, None]
+                grown[:, :, 1:] += poly[:, :, :-1] * met[None, :, i, None]
+                poly = grown
+        out[:, :, j] = (poly @ weight) * (met[None, :, j] - z[:, j, None]) * value[:, None]
+    return out
+
+
+def attribute_rows(x: np.ndarray, leaves: Leaves, tables: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+    """Attributions (rows x features) of the rows of ``x``, by one table lookup for each row and leaf."""
+    out = np.zeros(x.shape)
+    for lo, table in tables:
+        n, m = table.shape[0], table.shape[2]
+        part = slice(lo, lo + n)
+        feature = leaves.feature[part]
+        onehot = np.zeros((m, n, x.shape[1]))
+        for j in range(m):
+            at = np.flatnonzero(feature[:, j] >= 0)
+            onehot[j, at, feature[at, j]] = 1.0
+        step = max(1, PAIRS // n)
+        for r in range(0, len(x), step):
+            rows = x[r:r + step]
+            mask = np.zeros((len(rows), n), np.int64)
+            for j in range(m):
+                v = rows[:, feature[:, j]]
+                mask |= (((v > leaves.lo[part, j]) & (v <= leaves.hi[part, j])) | (feature[:, j] < 0)).astype(np.int64) << j
+            found = table[np.arange(n), mask]
+            for j in range(m):
+                out[r:r + step] += found[:, :, j] @ onehot[j]
+    return out
+
+
+def _tables(leaves: Leaves) -> Iterator[tuple[int, np.ndarray]]:
+    """Subset tables of runs of leaves, some megabytes each."""
+    m = leaves.z.shape[1]
+    step = max(1, PAIRS // (m << m))
+    for lo in range(0, len(leaves.value), step):
+        yield lo, subset_tables(leaves.z[lo:lo + step], leaves.value[lo:lo + step])
+
+
+def tree_attributions(df: DataFrame, model: TreeModel, keep: list[str] | None = None, prefix: str = "shap_") -> tuple[DataFrame, float]:
+    """Per-row attributions ``shap_{feature}`` plus ``base_value``; attributions + base value equal the ensemble
+    prediction. Returns the frame and the base value. Rows with a NULL feature get NULL attributions."""
+    keep, feats = list(keep or []), model.features
+    leaves = leaves_of(model.arrays())
+    base = model.base + leaves.expected()
     spark = df.sparkSession
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(trees)
+    held = spark.sparkContext.broadcast(leaves)
     out_cols = [f"{prefix}{f}" for f in feats]
 
-    def attribute(batches):
-        ts = bc.value
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        small = held.value.z.shape[1] * len(held.value.value) << held.value.z.shape[1] <= 16 * PAIRS
+        kept = list(_tables(held.value)) if small else None
         for b in batches:
-            X = b[feats].to_numpy(dtype=float)
-            phi = np.zeros_like(X)
-            for t, w in ts:
-                phi += w * tree_shap(X, t)
+            x = b[[f"__{i}" for i in range(len(feats))]].to_numpy(float)
+            phi = attribute_rows(x, held.value, kept if small else _tables(held.value))
+            phi[np.isnan(x).any(axis=1)] = np.nan
             out = b[keep].copy() if keep else pd.DataFrame(index=b.index)
             for j, c in enumerate(out_cols):
                 out[c] = phi[:, j]
             out["base_value"] = base
             yield out
 
-    schema = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] +
-                       [f"`{c}` double" for c in out_cols] + ["base_value double"])
-    return df.select(*keep, *[c for c in feats if c not in keep]).mapInPandas(attribute, schema), base
+    schema = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + [f"`{c}` double" for c in out_cols] + ["base_value double"])
+    narrow = df.select(*keep, *[F.col(c).cast("double").alias(f"__{i}") for i, c in enumerate(feats)])
+    got = narrow.mapInPandas(run, schema)
+    return got.select(*keep, *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in out_cols], "base_value"), base
