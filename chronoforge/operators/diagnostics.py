@@ -1,9 +1,7 @@
 """Time-series diagnostics: ACF (E4), PACF (E5), lagged cross-correlation.
 
-Lag products (pattern P3): every row carries the array of its last ``K+1`` values (a trailing
-window inside chunk + halo groups), ``posexplode`` turns it into ``(lag, product)`` pairs and one
-``groupBy(keys, lag)`` with partial aggregation sums them. The work is ``O(n·K)`` and spreads over
-all chunks of all series; the result has ``K+1`` rows per series.
+Lag sums (pattern P3, ``operators.lagsums``): each chunk of a series yields its ``K+1`` sums of lag products
+in one array call, and one ``groupBy(keys, lag)`` adds them up; the result has ``K+1`` rows per series.
 """
 
 from __future__ import annotations
@@ -14,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoforge.functions.columns import nan_to_null
-from chronoforge.operators.sequence import IDX, ensure_index, trailing_window
+from chronoforge.operators.lagsums import lag_correlations, lag_sums
+from chronoforge.operators.sequence import IDX, ensure_index
 from chronoforge.plans.strategies import join_small
 from chronoforge.session import ship_package
 
@@ -29,31 +28,6 @@ def _clean(df: DataFrame, keys: list[str], time: str, cols: list[str]) -> DataFr
     return s.na.drop(subset=cols)
 
 
-def _lag_pairs(indexed: DataFrame, col: str, nlags: int, keys: list[str], extra=None,
-               strategy: str = "chunked", block_size: int | None = None) -> DataFrame:
-    """Rows ``(keys…, [extra…], cur, lag, past)``: ``past`` = ``col`` ``lag`` rows earlier."""
-    w = trailing_window(indexed, [col], nlags + 1, out="__w", keys=keys, extra=extra,
-                        strategy=strategy, block_size=block_size)
-    keep = [*keys, *[n for n, _, _ in (extra or [])]]
-    return (
-        w.select(*keep, F.col(col).alias("__cur"), F.posexplode("__w").alias("__pos", "__past"),
-                 F.size("__w").alias("__size"))
-        .select(*keep, "__cur", (F.col("__size") - 1 - F.col("__pos")).alias("lag"),
-                F.col(f"__past.{col}").alias("__past"))
-    )
-
-
-def lag_sums(indexed: DataFrame, col: str, nlags: int, keys: list[str] | None = None,
-             strategy: str = "chunked", block_size: int | None = None) -> DataFrame:
-    """``Σ_t v_t · v_{t−k}`` and the pair count for ``k = 0..nlags`` per series, over an indexed
-    frame whose ``col`` has no NULLs. Output ``keys…, lag, s, c`` (``K+1`` rows per series)."""
-    keys = list(keys or [])
-    pairs = _lag_pairs(indexed.select(*keys, IDX, col), col, nlags, keys,
-                       strategy=strategy, block_size=block_size)
-    return pairs.groupBy(*keys, "lag").agg(F.sum(F.col("__cur") * F.col("__past")).alias("s"),
-                                           F.count(F.lit(1)).alias("c"))
-
-
 def centered(df: DataFrame, col: str, keys: list[str], out: str = "__xc") -> DataFrame:
     """``col − mean(col)`` per series (the per-series mean joined back with a size check)."""
     mean = df.groupBy(*keys).agg(F.avg(col).alias("__m"))
@@ -70,7 +44,7 @@ def acf(df: DataFrame, col: str, nlags: int = 40, keys: list[str] | None = None,
     s = _clean(df, keys, time, [col])
     s = ensure_index(s, keys, time, strategy=strategy)
     s = centered(s, col, keys)
-    sums = lag_sums(s, "__xc", nlags, keys, strategy, block_size)
+    sums = lag_sums(s, "__xc", nlags, keys, block_size)
     sums = sums.withColumnsRenamed({"s": "__s", "c": "__c"})
     wk = Window.partitionBy(*keys)
     r = sums.withColumns({
@@ -140,11 +114,10 @@ def cross_correlation(df: DataFrame, y: str, x: str, lags: int = 100, horizon: i
     keys = list(keys or [])
     s = _clean(df, keys, time, [y, x])
     s = ensure_index(s, keys, time, strategy=strategy)
-    pairs = _lag_pairs(s.select(*keys, time, IDX, x, y), x, lags, keys,
-                       extra=[("__ylead", y, -horizon)], strategy=strategy, block_size=block_size)
-    pairs = pairs.filter(F.col("__ylead").isNotNull())
-    agg = pairs.groupBy(*keys, "lag").agg(F.corr("__past", "__ylead").alias("__r"),
-                                          F.count(F.lit(1)).alias("__n"))
+    s = s.select(*keys, IDX, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
+    s = centered(centered(s, "__x", keys, "__xc"), "__y", keys, "__yc")
+    agg = lag_correlations(s, "__xc", "__yc", lags, horizon, keys, block_size)
+    agg = agg.withColumnsRenamed({"r": "__r", "n": "__n"})
     if keys:
         grid = s.select(*keys).distinct().withColumn("lag", F.explode(F.sequence(F.lit(0), F.lit(lags))))
     else:

@@ -1,11 +1,10 @@
 """Unit-root and stationarity tests (E7 ADF, E8 KPSS, E9 Phillips–Perron).
 
-The data-sized work is Spark aggregates over the positional index: Gram matrices of lagged
-levels and differences (ADF), ``regr_*`` fits and lag-product sums (PP, KPSS) and a distributed
-running sum (KPSS). Per-series finishing stays in Spark too: KPSS and PP are column expressions
-over those aggregates, ADF's AIC search and t-statistic run in ``applyInPandas`` over one packed
-Gram row per series, and p-values come from a pandas UDF over one value per series. The driver
-reads only scalars (largest lag orders, column means).
+The data-sized work is Spark aggregates over the positional index: lag sums of each series (ADF, the bandwidth
+rule of KPSS), ``regr_*`` fits (PP), a distributed running sum and its squared moving differences (KPSS, PP).
+Per-series finishing stays in Spark too: KPSS and PP are column expressions over those aggregates, ADF's AIC search
+and t-statistic run in ``applyInPandas`` over one row of sums per series, and p-values come from a pandas UDF over
+one value per series. The driver reads only scalars (largest lag orders).
 """
 
 from __future__ import annotations
@@ -18,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoforge.operators.diagnostics import _clean, centered, lag_sums
-from chronoforge.operators.gram import column_means, packed_moments
+from chronoforge.operators.diagnostics import _clean, centered
+from chronoforge.operators.lagsums import bartlett_sum, chunk_apply, lag_sums, running_sum
 from chronoforge.operators.sequence import IDX, shift_columns
 from chronoforge.operators.split import N, ensure_index_n
 from chronoforge.plans.strategies import join_small
@@ -42,14 +41,6 @@ KPSS_PVALS = [0.10, 0.05, 0.025, 0.01]
 STATIONARY, NON_STATIONARY = "stationary", "non-stationary"
 
 
-def _label(p: float, threshold: float, reverse: bool) -> str | None:
-    """'stationary' iff p < threshold (ADF, PP); reversed for KPSS; None when undefined."""
-    if p is None or math.isnan(p):
-        return None
-    small = p < threshold
-    return (NON_STATIONARY if small else STATIONARY) if reverse else (STATIONARY if small else NON_STATIONARY)
-
-
 def normal_cdf(x: float) -> float:
     return 0.5 * math.erfc(-x / math.sqrt(2.0))
 
@@ -68,7 +59,6 @@ def kpss_p(stat: float) -> float:
     return float(np.interp(stat, KPSS_CRIT, KPSS_PVALS))
 
 
-
 def _ols_from_gram(A: np.ndarray, xcols: list[int], ycol: int):
     """OLS of column ``ycol`` on ``xcols`` of an augmented raw Gram ``A`` (column 0 = constant)."""
     XtX = A[np.ix_(xcols, xcols)]
@@ -78,25 +68,6 @@ def _ols_from_gram(A: np.ndarray, xcols: list[int], ycol: int):
     return beta, max(ssr, 0.0), XtX
 
 
-def _augmented(m) -> np.ndarray:
-    """Raw-form Gram ``[[n, sᵀ], [s, S]]`` of ``[1, u]`` (``u`` centered; OLS slopes and
-    t-statistics are unchanged by the shift)."""
-    p = len(m.s)
-    A = np.empty((p + 1, p + 1))
-    A[0, 0] = m.n
-    A[0, 1:] = A[1:, 0] = m.s
-    A[1:, 1:] = m.S
-    return A
-
-
-def _label(p: float, threshold: float, reverse: bool) -> str | None:
-    """'stationary' iff p < threshold (ADF, PP); reversed for KPSS; None when undefined."""
-    if p is None or (isinstance(p, float) and math.isnan(p)):
-        return None
-    small = p < threshold
-    return (NON_STATIONARY if small else STATIONARY) if reverse else (STATIONARY if small else NON_STATIONARY)
-
-
 def _label_col(p: Column, threshold: float, reverse: bool) -> Column:
     small = p < F.lit(threshold)
     yes, no = (NON_STATIONARY, STATIONARY) if reverse else (STATIONARY, NON_STATIONARY)
@@ -126,56 +97,103 @@ def _finish(out: DataFrame, keys: list[str], col: str) -> DataFrame:
                       F.col("nobs").cast("long").alias("nobs"))
 
 
-def _bartlett_sum(sums: DataFrame, lags: Column) -> Column:
-    """``γ0 + 2·Σ_{0<j≤L} (1 − j/(L+1))·γ_j`` as an aggregate over ``(lag, s)`` rows."""
-    w = F.lit(1.0) - F.col("lag") / (lags + F.lit(1.0))
-    return F.sum(F.when(F.col("lag") == 0, F.col("s"))
-                 .when(F.col("lag") <= lags, F.lit(2.0) * w * F.col("s")).otherwise(F.lit(0.0)))
-
-
 # --------------------------------------------------------------------------------------------
 # ADF
 # --------------------------------------------------------------------------------------------
 
 
-def _adf_finisher(p_design: int, center: np.ndarray, key_cols: list[str]):
-    """Per series (pandas function): AIC over lag orders 0..maxlag on the common-sample Gram,
-    then the winner's own sample = common sample + the head rows ``t ∈ [lag+1, maxlag]``
-    (moments are additive), and the t-statistic of the lagged level."""
-    from chronoforge.operators.gram import Moments, unpack_moments
+def _adf_chunk(lags: int):
+    """Sums of one chunk (``z`` with ``lags + 2`` positions in front): per lag k ``Σ d_t d_{t−k}``, ``Σ z_t d_{t−k}``; and
+    under lag −1 ``Σ d_t z_{t−1}``, ``Σ z_t``, ``Σ z_t²``, ``Σ d_t``."""
+    def run(values: np.ndarray, first: int, size: int) -> dict:
+        z = values[0]
+        d = np.append(np.nan, np.diff(z))
+        here = lags + 2
+        zz, dd = np.nan_to_num(z), np.nan_to_num(d)
+        own_z, own_d = zz[here:], dd[here:]
+        past = dd[here - lags:]
+        s1, s2 = (np.correlate(past, own, "valid")[::-1] for own in (own_d, own_z))
+        before = float(dd[here:] @ zz[here - 1:-1])
+        lag = np.append(np.arange(lags + 1), [-1, -2, -3, -4])
+        return {"lag": lag, "dd": np.append(s1, [before, own_z.sum(), own_z @ own_z, own_d.sum()]), "zd": np.append(s2, np.zeros(4))}
+    return run
+
+
+def adf_gram(lag: int, n: int, dd: np.ndarray, zd: np.ndarray, dz: float, sz: float, szz: float, sd: float,
+             head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Gram of ``[1, z_{t−1}, d_{t−1}, …, d_{t−lag}, d_t]`` over t = lag+1 … n−1, from sums over the whole series.
+
+    ``dd[k] = Σ d_t d_{t−k}``, ``zd[k] = Σ z_t d_{t−k}``, ``dz = Σ d_t z_{t−1}``, totals of z, z² and d; ``head`` and ``tail`` are the
+    first and last values of z (``lag + 2`` of them at least, or the whole series). An entry is a whole sum minus the
+    pairs in which t would lie outside."""
+    p = lag
+    zh, zt = np.asarray(head, float), np.asarray(tail, float)
+    first_tail = n - len(zt)
+    z = dict(enumerate(zh)) | {first_tail + i: v for i, v in enumerate(zt)}
+    d = {t: z[t] - z[t - 1] for t in z if t - 1 in z}
+    size = p + 3
+    A = np.zeros((size, size))
+    y = size - 1
+    col = {0: y, **{j: 1 + j for j in range(1, p + 1)}}  # column of d_{t−j}
+    A[0, 0] = n - 1 - p
+    A[0, 1] = sz - z[n - 1] - sum(z[t] for t in range(0, p))          # z_{t−1}: t−1 = p … n−2
+    A[1, 1] = szz - z[n - 1] ** 2 - sum(z[t] ** 2 for t in range(0, p))
+    for j in range(p + 1):                                            # d_{t−j}: p+1−j … n−1−j
+        A[0, col[j]] = sd - sum(d[s] for s in range(1, p + 1 - j)) - sum(d[s] for s in range(n - j, n))
+        if j == 0:
+            A[1, col[0]] = dz - sum(d[t] * z[t - 1] for t in range(1, p + 1))
+        else:                                                         # z_u d_{u−k}, u = t−1, k = j−1: u = p … n−2
+            k = j - 1
+            A[1, col[j]] = zd[k] - sum(z[u] * d[u - k] for u in range(k + 1, p)) - z[n - 1] * d[n - 1 - k]
+    for k in range(p + 1):                                            # d_s d_{s−k}, s = t−i: p+1−i … n−1−i
+        low = np.cumsum([0.0] + [d[s] * d[s - k] for s in range(k + 1, p + 1)])
+        high = np.cumsum([0.0] + [d[s] * d[s - k] for s in range(n - 1, n - 1 - p + k, -1)])
+        for i in range(p + 1 - k):
+            A[col[i], col[i + k]] = dd[k] - low[max(p - i - k, 0)] - high[i]
+            A[col[i + k], col[i]] = A[col[i], col[i + k]]
+    A[1:, 0], A[2:, 1] = A[0, 1:], A[1, 2:]
+    return A
+
 
-    def fn(pdf: pd.DataFrame, head: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:  # a series with no common sample has no test
-            return pd.DataFrame({**{k: [] for k in key_cols}, "statistic": [], "lags": [], "nobs": []})
+def _adf_finisher(kmax: int, key_cols: list[str]):
+    """Per series (pandas function): AIC over lag orders 0..maxlag on the common-sample Gram, then the winner's own
+    sample, and the t-statistic of the lagged level."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        m = unpack_moments(row["__vals"], p_design, center)
-        maxlag = int(row["__maxlag"])
-        A = _augmented(m)
-        y = A.shape[0] - 1
+        n, maxlag = int(row["__n"]), int(row["__maxlag"])
+        if maxlag < 0 or n < 3:
+            return pd.DataFrame({**{k: [] for k in key_cols}, "statistic": [], "lags": [], "nobs": []})
+        dd, zd = np.zeros(kmax + 1), np.zeros(kmax + 1)
+        rest = {}
+        for e in row["__sums"]:
+            if e["lag"] >= 0:
+                dd[e["lag"]], zd[e["lag"]] = e["dd"], e["zd"]
+            else:
+                rest[e["lag"]] = e["dd"]
+        ends = [[v for _, v in sorted((e[IDX], e["z"]) for e in row[side])] for side in ("__head", "__tail")]
+        sums = (dd, zd, rest[-1], rest[-2], rest[-3], rest[-4], *ends)
+        A = adf_gram(maxlag, n, *sums)
+        y, obs = A.shape[0] - 1, A[0, 0]
         aics = []
         for lag in range(0, maxlag + 1):
             xcols = [0, 1, *range(2, 2 + lag)]
             _, ssr, _ = _ols_from_gram(A, xcols, y)
-            if ssr <= 0 or m.n <= 0:  # perfect fit (e.g. constant series)
+            if ssr <= 0 or obs <= 0:  # perfect fit (e.g. constant series)
                 aics.append((-math.inf, lag))
                 continue
-            llf = -m.n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m.n) + 1.0)
+            llf = -obs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / obs) + 1.0)
             aics.append((-2.0 * llf + 2.0 * len(xcols), lag))
         lag = int(min(aics)[1])
-        if len(head):
-            used = head[head[IDX] >= lag + 1]
-            if len(used):
-                U = np.vstack([np.asarray(v, dtype=float) for v in used["__v"]]) - center
-                m = m + Moments(float(len(U)), U.sum(axis=0), U.T @ U, m.center)
-        A = _augmented(m)
+        A = adf_gram(lag, n, *sums)
+        y, obs = A.shape[0] - 1, A[0, 0]
         xcols = [0, 1, *range(2, 2 + lag)]
         beta, ssr, XtX = _ols_from_gram(A, xcols, y)
-        dof = m.n - len(xcols)
+        dof = obs - len(xcols)
         var = (ssr / dof) * np.linalg.pinv(XtX)[1, 1] if dof > 0 else 0.0
         out = pdf[key_cols].head(1).copy()
         out["statistic"] = float(beta[1] / math.sqrt(var)) if var > 0 else float("nan")
         out["lags"] = lag
-        out["nobs"] = int(m.n)
+        out["nobs"] = int(obs)
         return out
     return fn
 
@@ -184,42 +202,34 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
         maxlag: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> DataFrame:
     """Augmented Dickey–Fuller test with a constant; lag order by AIC over ``0..maxlag``
     (Schwert bound ``⌈12(n/100)^¼⌉`` capped at ``n//2 − 2``), all candidates compared on the
-    common sample, the winner refitted on its own sample. One Gram pass: the common-sample Gram
-    per series plus that series' first ``maxlag`` rows (bounded), finished per series in
-    ``applyInPandas``. The driver receives only the largest lag order and the column means."""
+    common sample, the winner refitted on its own sample. The Gram of levels and lagged differences comes
+    from p + 1 lag sums of the series (``adf_gram``), corrected by its first and last p + 2 values; no design of p columns
+    is built. Each series is finished in ``applyInPandas`` from those sums; the driver receives only the largest lag order."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
+    given, keys = keys, keys or ["__all"]  # one series is the only value of a key
+    s = centered(s.withColumn("__all", F.lit(0)), col, keys, "__z")
+    s = reliable_checkpoint(s.select(*keys, F.col(IDX).cast("long").alias(IDX), F.col(N).cast("long").alias(N), "__z"))
     n = F.col("__n")
     schwert = F.ceil(F.lit(12.0) * F.pow(n / F.lit(100.0), F.lit(0.25))).cast("long")
     bound = schwert if maxlag is None else F.lit(int(maxlag)).cast("long")
     lengths = s.groupBy(*keys).agg(F.max(N).alias("__n"))
     lengths = reliable_checkpoint(lengths.select(
-        *keys, F.least(F.floor(n / F.lit(2)).cast("long") - F.lit(2), bound).alias("__maxlag")))
+        *keys, "__n", F.least(F.floor(n / F.lit(2)).cast("long") - F.lit(2), bound).alias("__maxlag")))
     kmax = max(int(lengths.agg(F.max("__maxlag")).first()[0] or 0), 0)
-    specs = [(f"__l{j}", col, j) for j in range(1, kmax + 2)]
-    sh = shift_columns(s, specs, keys, time, block_size=block_size)
-    lvl = [F.col(col)] + [F.col(f"__l{j}") for j in range(1, kmax + 2)]
-    dcols = {"__dy": lvl[0] - lvl[1]}
-    for j in range(1, kmax + 1):
-        dcols[f"__d{j}"] = F.coalesce(lvl[j] - lvl[j + 1], F.lit(0.0))
-    sh = sh.withColumns(dcols).withColumn("__ylag", F.col("__l1"))
-    design = ["__ylag", *[f"__d{j}" for j in range(1, kmax + 1)], "__dy"]
-    sh = sh.select(*keys, IDX, *design).filter(F.col("__ylag").isNotNull())
-    sh = join_small(sh, lengths, on=keys, materialize=False)
-    sh = reliable_checkpoint(sh)
-    common = sh.filter(F.col(IDX) >= F.col("__maxlag") + 1)
-    center = column_means(common, design)
-    pm = packed_moments(common, design, center, keys)
-    # the first maxlag rows of each series (bounded), to extend the sample for the chosen order
-    head = sh.filter(F.col(IDX) <= F.col("__maxlag")).select(*keys, IDX, F.array(*design).alias("__v"))
-    pm = join_small(pm, lengths, on=keys, materialize=False)
-    kf = _key_fields(df, keys)
-    res = pm.groupBy(*keys).cogroup(head.groupBy(*keys)).applyInPandas(
-        _adf_finisher(len(design), center, keys),
-        ", ".join(kf + ["statistic double", "lags long", "nobs long"]))
+    sums = chunk_apply(s, ["__z"], kmax + 2, 0, keys, [("lag", "long"), ("dd", "double"), ("zd", "double")], _adf_chunk(kmax), block_size)
+    sums = sums.groupBy(*keys, "lag").agg(F.sum("dd").alias("dd"), F.sum("zd").alias("zd"))
+    sums = sums.groupBy(*keys).agg(F.collect_list(F.struct("lag", "dd", "zd")).alias("__sums"))  # kmax + 5 of them
+    edge = F.struct(F.col(IDX), F.col("__z").alias("z"))
+    near = s.where((F.col(IDX) < kmax + 2) | (F.col(IDX) >= F.col(N) - (kmax + 2)))
+    ends = near.groupBy(*keys).agg(F.collect_list(F.when(F.col(IDX) < kmax + 2, edge)).alias("__head"),
+                                   F.collect_list(F.when(F.col(IDX) >= F.col(N) - (kmax + 2), edge)).alias("__tail"))
+    res = join_small(join_small(sums, lengths, on=keys, materialize=False), ends, on=keys)
+    kf = _key_fields(df, given)
+    res = res.groupBy(*keys).applyInPandas(_adf_finisher(kmax, given), ", ".join(kf + ["statistic double", "lags long", "nobs long"]))
     res = res.withColumn("p_value", mackinnon_p_udf("statistic"))
     res = res.withColumns({"test": F.lit("ADF"), "conclusion": _label_col(F.col("p_value"), threshold, False)})
-    return _finish(res, keys, col)
+    return _finish(res, given, col)
 
 
 # --------------------------------------------------------------------------------------------
@@ -227,25 +237,13 @@ def adf(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "tim
 # --------------------------------------------------------------------------------------------
 
 
-def _running_square_sum(indexed: DataFrame, col: str, keys: list[str], block: int = 1 << 20) -> DataFrame:
-    """``Σ_t S_t²`` per series with ``S_t`` the running sum of ``col`` in ``idx`` order: chunk
-    totals -> offsets (a window over the small chunk table) -> running sums inside chunks."""
-    ch = indexed.withColumn("__ch", F.floor(F.col(IDX) / F.lit(block)).cast("long"))
-    tot = ch.groupBy(*keys, "__ch").agg(F.sum(col).alias("__tot"))
-    w = Window.partitionBy(*keys).orderBy("__ch").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("__off", F.coalesce(F.sum("__tot").over(w), F.lit(0.0))).drop("__tot")
-    j = join_small(ch, tot, on=[*keys, "__ch"])
-    inner = Window.partitionBy(*keys, "__ch").orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
-    run = j.withColumn("__S", F.col("__off") + F.sum(col).over(inner))
-    return run.groupBy(*keys).agg(F.sum(F.col("__S") * F.col("__S")).alias("__eta"))
-
-
 def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "time",
          nlags: int | None = None, threshold: float = 0.05, block_size: int | None = None) -> DataFrame:
     """KPSS level-stationarity test; bandwidth by the Hobijn et al. (1998) rule when ``nlags``
     is None; p-value interpolated in the KPSS table and clipped to [0.01, 0.10]. The label is
-    reversed with respect to ADF: p < threshold -> non-stationary. All per-series arithmetic is
-    Spark aggregates over lag sums; the driver reads two scalars (largest lag orders)."""
+    reversed with respect to ADF: p < threshold -> non-stationary. The bandwidth rule needs ``n^(2/9)`` lag
+    sums; the long-run variance is a sum of squared moving sums of each series' own length (``lagsums.bartlett_sum``),
+    so its work doesn't grow with the bandwidth. The driver reads one scalar (the largest order of the rule)."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
     s = centered(s, col, keys, "__r")
@@ -272,14 +270,10 @@ def kpss(df: DataFrame, col: str, keys: list[str] | None = None, time: str = "ti
     else:
         lags = lengths.select(*keys, "__n", F.least(F.lit(int(nlags)), n.cast("long") - 1).alias("__L"))
     lags = reliable_checkpoint(lags)
-    need = int(lags.agg(F.max("__L")).first()[0] or 0)
-    if need > k1:
-        sums = lag_sums(s, "__r", need, keys, block_size=block_size)
-    j = join_small(sums, lags, on=keys, materialize=False)
-    s_hat = j.groupBy(*keys).agg(F.first("__n").alias("__n"), F.first("__L").alias("lags"),
-                                 (_bartlett_sum(j, F.col("__L")) / F.first("__n")).alias("__shat"))
-    eta = _running_square_sum(s, "__r", keys)
-    res = join_small(s_hat, eta, on=keys)
+    run = reliable_checkpoint(running_sum(s.select(*keys, IDX, "__r"), "__r", keys))
+    eta = run.groupBy(*keys).agg(F.sum(F.col("__S") * F.col("__S")).alias("__eta"))
+    res = join_small(join_small(lags, bartlett_sum(run, keys, lags), on=keys), eta, on=keys)
+    res = res.select(*keys, "__n", F.col("__L").alias("lags"), (F.col("__lr") / F.col("__n")).alias("__shat"), "__eta")
     stat = F.try_divide(F.col("__eta") / (F.col("__n") * F.col("__n")), F.col("__shat"))
     res = res.withColumn("statistic", F.when(F.col("__shat") > 0, stat).otherwise(F.lit(float("nan"))))
     x = F.col("statistic")
@@ -305,7 +299,7 @@ def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time
                     block_size: int | None = None) -> DataFrame:
     """Phillips–Perron tau test with a constant: OLS of ``y_t`` on ``(y_{t−1}, 1)`` per series
     (``regr_*`` aggregates), Newey–West long-run variance of the residuals with Bartlett weights
-    (``⌈12(n/100)^¼⌉`` lags) from residual lag sums; every step is a Spark aggregate."""
+    (``⌈12(n/100)^¼⌉`` lags) as squared moving sums of the residuals; every step is a Spark aggregate."""
     keys = list(keys or [])
     s = ensure_index_n(_clean(df, keys, time, [col]), keys, time)
     s = shift_columns(s, [("__ylag", col, 1)], keys, time, block_size=block_size)
@@ -323,11 +317,9 @@ def phillips_perron(df: DataFrame, col: str, keys: list[str] | None = None, time
     fits = reliable_checkpoint(fits.withColumn("__L", L))
     u = join_small(reg, fits.select(*keys, "__rho", "__c"), on=keys, materialize=False)
     u = u.withColumn("__u", F.col(col) - F.col("__rho") * F.col("__ylag") - F.col("__c"))
-    kmax = int(fits.agg(F.max("__L")).first()[0] or 0)
-    sums = lag_sums(u.select(*keys, IDX, "__u"), "__u", kmax, keys, block_size=block_size)
-    j = join_small(sums, fits.select(*keys, "__L"), on=keys, materialize=False)
-    lr = j.groupBy(*keys).agg(_bartlett_sum(j, F.col("__L")).alias("__lr"),
-                              F.max(F.when(F.col("lag") == 0, F.col("s"))).alias("__ssr"))
+    u = reliable_checkpoint(running_sum(u.select(*keys, IDX, "__u"), "__u", keys))
+    ssr = u.groupBy(*keys).agg(F.sum(F.col("__u") * F.col("__u")).alias("__ssr"))
+    lr = join_small(bartlett_sum(u, keys, fits.select(*keys, "__L")), ssr, on=keys)
     res = join_small(fits, lr, on=keys)
     nn = F.col("__n")
     s2 = F.try_divide(F.col("__ssr"), nn - 2)

@@ -100,3 +100,51 @@ def test_keyed_equals_separate_runs(spark):
     keyed = {r["series"]: r["statistic"] for r in ur.adf(df, "y", keys=["series"]).collect()}
     single_a = ur.adf(spark.createDataFrame(series_frame(a)), "y").collect()[0]["statistic"]
     np.testing.assert_allclose(keyed["a"], single_a, rtol=1e-9)
+
+
+def test_adf_gram_equals_the_design(spark):
+    rng = np.random.default_rng(4)
+    for n, lag in ((40, 0), (40, 3), (60, 11), (9, 2), (7, 1)):
+        x = rng.normal(size=n).cumsum()
+        z = x - x.mean()
+        d = np.append(np.nan, np.diff(z))
+        rows = [[1.0, z[t - 1], *[d[t - j] for j in range(1, lag + 1)], d[t]] for t in range(lag + 1, n)]
+        dd = np.array([sum(d[t] * d[t - k] for t in range(k + 1, n)) for k in range(lag + 1)])
+        zd = np.array([sum(z[t] * d[t - k] for t in range(k + 1, n)) for k in range(lag + 1)])
+        A = ur.adf_gram(lag, n, dd, zd, sum(d[t] * z[t - 1] for t in range(1, n)), z.sum(), z @ z, np.nansum(d), z[:lag + 2], z[-(lag + 2):])
+        np.testing.assert_allclose(A, np.array(rows).T @ np.array(rows), atol=1e-9)
+
+
+def test_adf_search_on_short_and_many_series(spark):
+    parts = [white_noise(n, seed=n) if n % 2 else random_walk(n, seed=n) for n in (12, 25, 61, 130, 333)]
+    df = spark.createDataFrame(pd.concat([series_frame(x, key=f"s{len(x)}") for x in parts]))
+    got = {r["series"]: r for r in ur.adf(df, "y", keys=["series"], block_size=16).collect()}
+    for x in parts:
+        stat, lag = _np_adf(x)
+        assert got[f"s{len(x)}"]["lags"] == lag and got[f"s{len(x)}"]["nobs"] == len(x) - 1 - lag
+        np.testing.assert_allclose(got[f"s{len(x)}"]["statistic"], stat, rtol=1e-6)
+
+
+def test_bartlett_sum_equals_its_lag_form(spark):
+    from chronoforge.operators import lagsums as ls
+
+    rng = np.random.default_rng(8)
+    series = {"a": rng.normal(size=50), "b": rng.normal(size=7) + 3, "c": rng.normal(size=1)}
+    wanted = {"a": 12, "b": 11, "c": 4}  # b and c: a window longer than the series
+    rows = [(k, i + 1, float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    run = ls.running_sum(spark.createDataFrame(rows, "k string, idx long, v double"), "v", ["k"], block=8)
+    lags = spark.createDataFrame(list(wanted.items()), "k string, __L long")
+    got = {r["k"]: r["__lr"] for r in ls.bartlett_sum(run, ["k"], lags).collect()}
+    for k, x in series.items():
+        m = wanted[k] + 1
+        want = x @ x + 2 * sum((1 - j / m) * (x[j:] @ x[:-j]) for j in range(1, min(m, len(x))))
+        np.testing.assert_allclose(got[k], want, rtol=1e-10)
+
+
+def test_phillips_perron_keyed_with_own_lags(spark):
+    parts = [random_walk(n, seed=n) for n in (30, 90, 400)]
+    df = spark.createDataFrame(pd.concat([series_frame(x, key=f"s{len(x)}") for x in parts]))
+    for fn, brute in ((ur.phillips_perron, lambda x: (_np_pp(x), None)), (ur.kpss, _np_kpss)):
+        got = {r["series"]: r for r in fn(df, "y", keys=["series"], block_size=32).collect()}
+        for x in parts:
+            np.testing.assert_allclose(got[f"s{len(x)}"]["statistic"], brute(x)[0], rtol=1e-7)
