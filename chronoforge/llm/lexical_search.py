@@ -41,15 +41,15 @@ from chronoforge.llm.common import batch_of, inputs, scratch, table_of
 from chronoforge.llm.kernels import pack, text_slices, unpack
 
 #: documents of a block on average, at most
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 2048
 #: postings that a task collects before it sends them on
-FLUSH_POSTINGS = 2_000_000
+FLUSH_POSTINGS = 1_000_000
 #: bytes of index blocks that a task weighs against each other before it visits them
-VISIT_BYTES = 64 << 20
+VISIT_BYTES = 12 << 20
 #: terms of all items that are searched together
 ITEM_TERMS = 500_000
 #: entries of a task's memory of term hashes
-MEMO = 400_000
+MEMO = 200_000
 
 _NO_ID = np.iinfo(np.int64).max
 _SEPARATORS = {*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)}
@@ -214,17 +214,17 @@ def _impact(tf: np.ndarray, m: int) -> np.ndarray:
 
 
 class _Stratum:
-    """One block of a stratum with the places of the vocabulary in it."""
+    """One block of a stratum with the terms of the vocabulary that it has; what it keeps besides the block grows
+    with those terms, not with the vocabulary."""
 
     def __init__(self, m: int, block: bytes, items: _Items) -> None:
         self.ids, known, end, self.tf, self.doc = _opened(block)
         self.m = m
         found = np.minimum(np.searchsorted(known, items.vocab), max(len(known) - 1, 0))
         self.at = np.flatnonzero(known[found] == items.vocab) if len(known) else np.zeros(0, np.int64)
-        self.begin, self.end = np.where(found > 0, end[found - 1], 0)[self.at].astype(np.int64), end[found][self.at].astype(np.int64)
+        mine = found[self.at]
+        self.begin, self.end = np.where(mine > 0, end[mine - 1], 0).astype(np.int64), end[mine].astype(np.int64)
         self.bound = items.bounds(self.at, _impact(self.tf[self.begin], m))  # the first posting of a term has its largest tf
-        self.slot = np.full(len(items.vocab), -1, np.int64)
-        self.slot[self.at] = np.arange(len(self.at))
         self.impacts: dict[int, np.ndarray] = {}
 
     def impact(self, k: int) -> np.ndarray:
@@ -238,9 +238,9 @@ class _Stratum:
 
     def scores(self, words: np.ndarray, weight: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.ids), np.int64)
-        for w in words:
-            k = self.slot[w]
-            if k >= 0:
+        slots = np.searchsorted(self.at, words)
+        for w, k in zip(words.tolist(), slots.tolist()):
+            if k < len(self.at) and self.at[k] == w:
                 out[self.doc[self.begin[k]:self.end[k]]] += weight[w] * self.impact(k)
         return out
 
@@ -266,8 +266,7 @@ class _Best:
 def _visit(blocks: DataFrame, items: _Items, least: list[int], k: int) -> DataFrame:
     """(item, doc_id, score): each task's best k documents of each item, those at or above ``least``."""
 
-    def visit(held: list[tuple[int, bytes]], best: list[_Best]) -> None:
-        strata = [_Stratum(m, block, items) for m, block in held]
+    def visit(strata: list[_Stratum], best: list[_Best]) -> None:
         bounds = np.stack([s.bound for s in strata], axis=1)
         for i, b in enumerate(best):
             words = items.term[items.start[i]:items.start[i + 1]]
@@ -280,8 +279,8 @@ def _visit(blocks: DataFrame, items: _Items, least: list[int], k: int) -> DataFr
         best, held, size = [_Best(k, x) for x in least], [], 0
         for batch in batches:
             for m, block in zip(batch.column("m").to_pylist(), batch.column("block").to_pylist()):
-                held.append((m, block))
-                size += len(block)
+                held.append(_Stratum(m, block, items))
+                size += len(block) + held[-1].bound.nbytes
                 if size > VISIT_BYTES:
                     visit(held, best)
                     held, size = [], 0
@@ -330,7 +329,9 @@ def _query_blocks(items: DataFrame, item_terms: int) -> Iterator[list]:
     total = found.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // item_terms)
     for b in range(blocks):
-        yield found.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).orderBy("item").collect()
+        rows = found.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).orderBy("item").collect()
+        if rows:
+            yield rows
 
 
 def search(index: LexicalIndex, items: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = 10,
