@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from chronoforge.llm.common import batch_of, inputs, scratch, table_of
 from chronoforge.llm.kernels import pack, text_slices, unpack
 
-#: documents of a block on average, at most
+#: documents of a block on average, at most; and terms of a block, unless one document has more
 BLOCK_DOCS = 2048
+BLOCK_TERMS = 500_000
 #: postings that a task collects before it sends them on
 FLUSH_POSTINGS = 1_000_000
 #: bytes of index blocks that a task weighs against each other before it visits them
@@ -119,7 +120,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lengths = scratch(_lengths(docs).where("n > 0"))
     total = lengths.agg(F.sum("c").cast("long"), F.sum(F.col("n").cast("decimal(38,0)") * F.col("c"))).first()
     n_docs, n_terms = int(total[0] or 0), int(total[1] or 0)
-    # strata of more than block_docs documents: at most sqrt(2 L / block_docs) of them, as each has its own length
+    # strata of more than one block: at most N / block_docs + L / BLOCK_TERMS of them, and fewer than there are lengths
     wide = _wide_strata(lengths, n_docs, n_terms, block_docs)
 
     def flush(held: dict, nth: int) -> Iterator[dict]:
@@ -180,13 +181,14 @@ def _rows(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
 
 
 def _wide_strata(lengths: DataFrame, n_docs: int, n_terms: int, block_docs: int) -> dict[int, int]:
-    """Parts of each stratum of more than ``block_docs`` documents."""
+    """Parts of each stratum that has more than one: enough for ``block_docs`` documents and ``BLOCK_TERMS`` terms a part."""
     if not n_docs:
         return {}
     # a stratum unites the lengths with one value of m; in decimals, as 90 * n * N can pass 64 bits
     m = F.expr(f"10 + CAST((CAST(n AS DECIMAL(38,0)) * {90 * n_docs}) DIV {n_terms} AS LONG)")
-    strata = lengths.groupBy(m.alias("m")).agg(F.sum("c").alias("c")).where(F.col("c") > block_docs)
-    return {r["m"]: -(-r["c"] // block_docs) for r in strata.collect()}
+    strata = lengths.groupBy(m.alias("m")).agg(F.sum("c").alias("c"), F.sum(F.col("n") * F.col("c")).alias("t"))
+    parts = F.greatest(F.ceil(F.col("c") / block_docs), F.least(F.ceil(F.col("t") / BLOCK_TERMS), F.col("c"))).alias("parts")
+    return {r["m"]: r["parts"] for r in strata.select("m", parts).where("parts > 1").collect()}
 
 
 @dataclass
