@@ -2,9 +2,7 @@
 
 Wide inputs are turned into long form ``(keys…, column, value)`` with ``unpivot`` so that one
 ``groupBy`` serves every column. Exact order statistics (median, quartiles) never hold every
-distinct value in one buffer: small inputs are ranked with the distributed positional index
-(rank ``k`` is the row with ``idx = k``); large inputs are bracketed with ``percentile_approx``
-and only the rows inside each bracket are ranked.
+distinct value in one buffer and never sort: see ``operators.quantiles``.
 """
 
 from __future__ import annotations
@@ -16,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoforge.functions.columns import numeric_columns
-from chronoforge.operators.sequence import IDX, positional_index
+from chronoforge.operators.quantiles import quantiles_exact
 from chronoforge.plans.strategies import join_small
 from chronoforge.session import reliable_checkpoint
 
@@ -60,113 +58,6 @@ def null_profile(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     ).withColumn("present", F.col("n") - F.col("missing"))
 
 
-# --------------------------------------------------------------------------------------------
-# Exact order statistics
-# --------------------------------------------------------------------------------------------
-
-
-def _pick_ranks(ranked: DataFrame, probs: list[float], group: list[str], value: str,
-                names: list[str], rank_col: str, n_col: str) -> DataFrame:
-    """Interpolate ``v[floor(h)] + frac·(v[ceil(h)] − v[floor(h)])`` with ``h = (n−1)p`` from rows
-    that carry their global rank ``rank_col`` (only the needed ranks are kept)."""
-    h = [(F.col(n_col) - 1) * F.lit(float(p)) for p in probs]
-    lo = [F.floor(x).cast("long") for x in h]
-    hi = [F.ceil(x).cast("long") for x in h]
-    needed = None
-    for a, b in zip(lo, hi):
-        c = (F.col(rank_col) == a) | (F.col(rank_col) == b)
-        needed = c if needed is None else needed | c
-    aggs = []
-    for i, (a, b, x) in enumerate(zip(lo, hi, h)):
-        aggs += [F.max(F.when(F.col(rank_col) == a, F.col(value))).alias(f"__lo{i}"),
-                 F.max(F.when(F.col(rank_col) == b, F.col(value))).alias(f"__hi{i}"),
-                 F.first(x - F.floor(x)).alias(f"__fr{i}")]
-    g = ranked.filter(needed).groupBy(*group).agg(*aggs)
-    return g.select(*group, *[
-        (F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm)
-        for i, nm in enumerate(names)])
-
-
-def quantiles_sorted(long: DataFrame, probs: list[float], group: list[str],
-                     value: str = VALUE, names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles by ranking every value with the distributed positional index."""
-    names = names or [f"q{int(round(p * 100))}" for p in probs]
-    vals = long.filter(F.col(value).isNotNull()).select(*group, value)
-    ranked = positional_index(vals, group, time=value, n_col="__n")
-    return _pick_ranks(ranked, probs, group, value, names, IDX, "__n")
-
-
-# Below this estimated input size a full distributed sort is cheaper than sketch + bracket.
-SORT_MAX_BYTES = 2 << 30
-
-
-def quantiles_exact(long: DataFrame, probs: list[float], group: list[str],
-                    value: str = VALUE, names: list[str] | None = None,
-                    method: str = "auto", accuracy: int = 10000) -> DataFrame:
-    """Exact linear-interpolation quantiles. ``method="sorted"`` ranks every value
-    (:func:`quantiles_sorted`); ``"bracket"`` ranks only rows near the wanted ranks
-    (:func:`quantiles_bracketed`); ``"auto"`` reads the optimizer's size estimate of the input
-    (no job) and picks the sort up to ``SORT_MAX_BYTES``, the bracket beyond (no full shuffle of
-    a 100 TB column)."""
-    if method == "auto":
-        size = long.select(*group, value)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        method = "sorted" if int(str(size)) <= SORT_MAX_BYTES else "bracket"
-    if method == "sorted":
-        return quantiles_sorted(long, probs, group, value, names)
-    return quantiles_bracketed(long, probs, group, value, names, accuracy)
-
-
-def quantiles_bracketed(long: DataFrame, probs: list[float], group: list[str],
-                        value: str = VALUE, names: list[str] | None = None,
-                        accuracy: int = 10000) -> DataFrame:
-    """Linear-interpolation quantiles (``h = (n-1)p``) per ``group`` over non-null ``value``,
-    exact, without sorting the data.
-
-    1. ``percentile_approx`` (rank error at most ``n/accuracy``) at ``p ± 3/accuracy`` gives a
-       value bracket around the ranks ``floor(h)`` and ``ceil(h)`` of every requested quantile.
-    2. One aggregate counts the rows below each bracket; only rows inside a bracket (about
-       ``6n/accuracy`` per quantile) are ranked, with the positional index keyed by
-       ``(group, quantile)``.
-    3. Global rank = rows below + rank inside the bracket. If a bracket ever misses its ranks,
-       the full sort (:func:`quantiles_sorted`) is used instead.
-    """
-    names = names or [f"q{int(round(p * 100))}" for p in probs]
-    k = len(probs)
-    vals = long.filter(F.col(value).isNotNull()).select(*group, value)
-    eps = 3.0 / accuracy
-    stats = vals.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), *[
-        F.percentile_approx(value, [max(0.0, p - eps), min(1.0, p + eps)], accuracy).alias(f"__b{i}")
-        for i, p in enumerate(probs)])
-    stats = reliable_checkpoint(stats)
-    n_groups = stats.count()
-    j = join_small(vals, stats, on=group, materialize=False)
-    lo = [F.col(f"__b{i}")[0] for i in range(k)]
-    hi = [F.col(f"__b{i}")[1] for i in range(k)]
-    below = j.groupBy(*group).agg(F.array(*[F.count_if(F.col(value) < lo[i]) for i in range(k)]).alias("__below"))
-    tags = F.filter(F.array(*[F.when((F.col(value) >= lo[i]) & (F.col(value) <= hi[i]), F.lit(i))
-                              for i in range(k)]), lambda x: x.isNotNull())
-    inside = j.select(*group, value, "__n", F.explode(tags).alias("__q"))
-    ranked = positional_index(inside, [*group, "__q"], time=value, n_col="__m")
-    ranked = join_small(ranked, below, on=group)
-    ranked = ranked.withColumn("__rank", F.element_at("__below", F.col("__q") + 1) + F.col(IDX))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__q") + 1)
-    h = (F.col("__n") - 1) * prob
-    first_rank = F.element_at("__below", F.col("__q") + 1)
-    covered = (F.floor(h) >= first_rank) & (F.ceil(h) < first_rank + F.col("__m"))
-    picked = ranked.filter((F.col("__rank") == F.floor(h)) | (F.col("__rank") == F.ceil(h)))
-    per_q = picked.groupBy(*group, "__q").agg(
-        F.max(F.when(F.col("__rank") == F.floor(h), F.col(value))).alias("__vlo"),
-        F.max(F.when(F.col("__rank") == F.ceil(h), F.col(value))).alias("__vhi"),
-        F.first(h - F.floor(h)).alias("__fr"),
-        F.min(covered.cast("int")).alias("__ok"))
-    per_q = reliable_checkpoint(per_q)
-    check = per_q.agg(F.count(F.lit(1)).alias("c"), F.sum("__ok").alias("ok")).first()
-    if check["c"] != n_groups * k or (check["ok"] or 0) != n_groups * k:
-        return quantiles_sorted(long, probs, group, value, names)
-    q = F.col("__vlo") + F.col("__fr") * (F.col("__vhi") - F.col("__vlo"))
-    return per_q.groupBy(*group).agg(*[F.max(F.when(F.col("__q") == i, q)).alias(nm) for i, nm in enumerate(names)])
-
-
 # --------------------------------------------------------------------------------------------
 # Numeric profile
 # --------------------------------------------------------------------------------------------

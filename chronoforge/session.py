@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +88,11 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` to the checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_table(df: DataFrame) -> DataFrame:
+    """Cut lineage by a Parquet table in the checkpoint folder. For loops: unlike a checkpoint, the table's size
+    estimate is that of its files, so estimates do not multiply from round to round."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,9 @@
+import math
+
 import numpy as np
 import pandas as pd
 
+from chronoforge.operators import quantiles as qt
 from chronoforge.operators import stats as st
 
 
@@ -51,16 +54,34 @@ def test_history_summary_first_on_ties(spark):
     assert out["best_step"] == 2 and out["last_value"] == 2.0 and out["best_value"] == 1.0
 
 
-def test_bracketed_quantiles_equal_sorted(spark):
-    rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000), "v": rng.gamma(2.0, 1.0, 5000).round(2)})
-    long = spark.createDataFrame(pdf).withColumnRenamed("v", "value")
-    a = st.quantiles_exact(long, [0.1, 0.5, 0.9], ["g"], method="bracket", accuracy=500).orderBy("g").toPandas()
-    b = st.quantiles_exact(long, [0.1, 0.5, 0.9], ["g"], method="sorted").orderBy("g").toPandas()
-    pd.testing.assert_frame_equal(a, b)
-    for g, part in pdf.groupby("g"):
-        np.testing.assert_allclose(a[a["g"] == g][["q10", "q50", "q90"]].to_numpy()[0],
-                                   np.percentile(part["v"], [10, 50, 90]), rtol=1e-12)
+def test_quantiles_equal_numpy_on_hard_values(spark):
+    rng = np.random.default_rng(3)
+    groups = {
+        "ties": np.repeat([3.0, 1.0, 2.0], [500, 3, 200]), "one": np.array([7.0]), "constant": np.full(40, -2.5),
+        "wide": np.concatenate([10.0 ** rng.uniform(-300, 300, 300), -(10.0 ** rng.uniform(-300, 300, 200))]),
+        "edge": np.array([-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324, 1.0]), "normal": rng.normal(size=1500),
+        "near": 1.0 + rng.integers(0, 9, 300) * 2.0 ** -52, None: rng.normal(size=33) * 1e-200,
+        "infinite": np.array([-np.inf, -1.0, 0.5, 2.0, np.inf])}
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("ties", None), ("nothing", None)]
+    long = spark.createDataFrame(rows, "g string, value double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: list(r)[1:] for r in qt.quantiles_exact(long, probs, ["g"]).collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        s = np.sort(x)
+        for p, v in zip(probs, got[k]):
+            h = (len(s) - 1) * p
+            a, b = s[math.floor(h)], s[math.ceil(h)]
+            with np.errstate(invalid="ignore"):
+                np.testing.assert_equal(v, a if a == b else a + (h - math.floor(h)) * (b - a), f"{k} {p}")
+    assert qt.quantiles_exact(long.filter("g = 'ties'").select("value"), [0.5], [], names=["median"]).first()["median"] == 3.0
+    assert qt.quantiles_exact(long.limit(0), [0.5], ["g"]).count() == 0
+
+
+def test_quantiles_never_sort_or_collect_the_values(spark):
+    long = spark.range(5000).selectExpr("'a' AS g", "cast(id % 97 AS double) AS value")
+    order = qt.order_statistics(long, spark.createDataFrame([("a", 10), ("a", 4999)], "g string, rank long"), ["g"], "value")
+    assert sorted((r["rank"], r["value"]) for r in order.collect()) == [(10, 0.0), (4999, 96.0)]
 
 
 def test_histogram_edge_values_match_numpy(spark):
