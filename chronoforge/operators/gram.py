@@ -3,7 +3,7 @@
 Two passes: the global mean ``c`` of every column (one row), then per ``group`` the count,
 ``Σ(u)`` and ``Σ(u uᵀ)`` (upper triangle) of ``u = v − c``. Centering on ``c`` limits
 cancellation. Up to ``WIDE`` columns the second pass is one JVM aggregate; wider designs form
-``UᵀU`` per Arrow batch in ``mapInPandas`` and finish with a narrow ``groupBy(group, pos).sum``.
+``UᵀU`` per task in ``mapInPandas`` and finish with a narrow ``groupBy(group, pos).sum``.
 Partial aggregation keeps the shuffle at one row per group per task. ``moments_frame`` brings the
 ``groups × p²`` numbers to the driver (one table-level model); ``packed_moments`` keeps them as one
 row per group for per-series finishers that run in ``applyInPandas``.
@@ -63,13 +63,14 @@ def gram_frame(df: DataFrame, cols: list[str], center: np.ndarray, group: list[s
     return df.groupBy(*group).agg(*aggs)
 
 
+TASK_NUMBERS = 4_000_000  # Gram entries that a task holds before it sends them on
 WIDE = 12  # above this many columns the Gram is accumulated with BLAS in Arrow batches
 
 
 def gram_frame_wide(df: DataFrame, cols: list[str], center: np.ndarray,
                     group: list[str] | None = None, weight: str | None = None) -> DataFrame:
-    """Long-form Gram for wide designs: ``mapInPandas`` forms ``UᵀU`` per Arrow batch (BLAS) and
-    emits one packed array ``[n, s…, S upper…]`` per group per batch; ``posexplode`` and a narrow
+    """Long-form Gram for wide designs: ``mapInPandas`` forms ``UᵀU`` per Arrow batch (BLAS), sums it
+    over the task and emits one packed array ``[n, s…, S upper…]`` per group; ``posexplode`` and a narrow
     ``groupBy(group, pos).sum`` finish it in the JVM (no aggregate with thousands of outputs).
     Output ``group…, pos, v``."""
     import pandas as pd
@@ -79,21 +80,30 @@ def gram_frame_wide(df: DataFrame, cols: list[str], center: np.ndarray,
     iu = np.triu_indices(p)
     c = np.asarray(center, dtype=float)
 
+    size = 1 + p + len(iu[0])
+
+    def emit(sums: dict) -> "pd.DataFrame":
+        out = pd.DataFrame(list(sums), columns=group, dtype=object) if group else pd.DataFrame(index=range(len(sums)))
+        out["vals"] = list(sums.values())
+        return out
+
     def acc(batches):
+        # summed within the task; many groups are sent on in between, so that memory stays bounded
+        sums: dict = {}
         for pdf in batches:
             parts = pdf.groupby(group, dropna=False, sort=False) if group else [((), pdf)]
-            keys_out = {g: [] for g in group}
-            vals_out = []
             for key, part in parts:
                 U = part[cols].to_numpy(dtype=float) - c
                 w = part[weight].to_numpy(dtype=float) if weight else np.ones(len(part))
                 S = (U * w[:, None]).T @ U
-                for g, k in zip(group, key if isinstance(key, tuple) else (key,)):
-                    keys_out[g].append(k)
-                vals_out.append(np.concatenate([[w.sum()], w @ U, S[iu]]))
-            out = pd.DataFrame(keys_out)
-            out["vals"] = vals_out
-            yield out
+                vals = np.concatenate([[w.sum()], w @ U, S[iu]])
+                key = tuple(None if pd.isna(k) else k for k in (key if isinstance(key, tuple) else (key,)))
+                sums[key] = vals if key not in sums else sums[key] + vals
+            if len(sums) * size > TASK_NUMBERS:
+                yield emit(sums)
+                sums = {}
+        if sums:
+            yield emit(sums)
 
     schema = ", ".join([f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group] +
                        ["vals array<double>"])

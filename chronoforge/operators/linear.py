@@ -91,7 +91,9 @@ def _system(m: Moments, p: int, standardize: bool):
     n = m.n
     sigma = np.sqrt(np.maximum(np.diag(C)[:p], 0.0) / n) if standardize else np.ones(p)
     tiny = 10 * np.finfo(float).eps * np.maximum(np.abs(mu[:p]), 1.0)
-    sigma = np.where(sigma < tiny, 1.0, sigma) if standardize else sigma
+    # what cancellation leaves of a constant column's scatter is no variance either
+    constant = (sigma < tiny) | (np.diag(C)[:p] <= 1e-12 * np.diag(m.S)[:p])
+    sigma = np.where(constant, 1.0, sigma) if standardize else sigma
     ZtZ = C[:p, :p] / np.outer(sigma, sigma)
     Zty = C[:p, p] / sigma
     return ZtZ, Zty, sigma, mu, n
@@ -209,7 +211,7 @@ def sse(m: Moments, p: int, b: float, w: np.ndarray) -> float:
     c = m.center
     a = np.concatenate([-w, [1.0]])
     d = c[p] - b - c[:p] @ w
-    return float(a @ m.S @ a + 2 * d * (a @ m.s) + m.n * d * d)
+    return max(float(a @ m.S @ a + 2 * d * (a @ m.s) + m.n * d * d), 0.0)  # rounding can leave a perfect fit below zero
 
 
 # --------------------------------------------------------------------------------------------
@@ -314,9 +316,33 @@ class GridResult:
     train_moments: Moments
     test_moments: Moments
     prefix_moments: list
-    clean: DataFrame
-    features: list[str]
-    target: str
+    clean: DataFrame | None = None
+    features: list[str] = field(default_factory=list)
+    target: str = ""
+
+
+def grid_moments(mom: dict, p: int, center: np.ndarray, n_splits: int = N_SPLITS) -> GridResult:
+    """Sums of the block moments ``{(group, prefix): Moments}`` that the folds, the prefixes and the parts need."""
+    p1 = p + 1
+    return GridResult(
+        [], {},
+        [_sum(mom, p1, center, lambda k, i=i: k[0] != TEST_GROUP and k[0] < i) for i in range(n_splits)],
+        [_sum(mom, p1, center, lambda k, i=i: k[0] == i) for i in range(n_splits)],
+        [_sum(mom, p1, center, lambda k, b=b: k[0] == b) for b in range(-1, n_splits)],
+        _sum(mom, p1, center, lambda k: k[0] != TEST_GROUP), _sum(mom, p1, center, lambda k: k[0] == TEST_GROUP),
+        [_sum(mom, p1, center, lambda k, j=j: k[0] == -1 and 0 <= k[1] <= j) for j in range(len(learning_fractions()))])
+
+
+def best_candidates(g: GridResult, p: int, families=("Lasso", "Ridge", "ElasticNet"), cands: list[Candidate] | None = None) -> dict[str, Candidate]:
+    """Per family the candidate with the least mean CV RMSE (first on ties)."""
+    cands = cands or _candidates(g.fold_moments, g.train_moments, p)
+    best = {}
+    for fam in families:
+        mine = [c for c in cands if c.family == fam]
+        for c in mine:
+            c.cv_rmse = [np.sqrt(sse(m, p, *fit) / m.n) for m, fit in zip(g.fold_test, c.fits)]
+        best[fam] = mine[int(np.argmin([float(np.mean(c.cv_rmse)) for c in mine]))]
+    return best
 
 
 def linear_grid_search(design: DataFrame, feats: list[str], target: str,
@@ -325,22 +351,10 @@ def linear_grid_search(design: DataFrame, feats: list[str], target: str,
     (first on ties), refit on the whole training part, test RMSE / MAE."""
     p = len(feats)
     clean, mom, center = _design_moments(design, feats, target)
-    p1 = p + 1
-    fold_train = [_sum(mom, p1, center, lambda k, i=i: k[0] != TEST_GROUP and k[0] < i) for i in range(n_splits)]
-    fold_test = [_sum(mom, p1, center, lambda k, i=i: k[0] == i) for i in range(n_splits)]
-    train_m = _sum(mom, p1, center, lambda k: k[0] != TEST_GROUP)
-    test_m = _sum(mom, p1, center, lambda k: k[0] == TEST_GROUP)
-    n_pref = len(learning_fractions())
-    prefix_m = [_sum(mom, p1, center, lambda k, j=j: k[0] == -1 and 0 <= k[1] <= j) for j in range(n_pref)]
-
-    cands = _candidates(fold_train, train_m, p)
-    for c in cands:
-        c.cv_rmse = [np.sqrt(sse(fold_test[i], p, *c.fits[i]) / fold_test[i].n) for i in range(n_splits)]
-    best = {}
-    for fam in ("Lasso", "Ridge", "ElasticNet"):
-        fam_c = [c for c in cands if c.family == fam]
-        scores = [float(np.mean(c.cv_rmse)) for c in fam_c]
-        best[fam] = fam_c[int(np.argmin(scores))]
+    g = grid_moments(mom, p, center, n_splits)
+    test_m = g.test_moments
+    cands = _candidates(g.fold_moments, g.train_moments, p)
+    best = best_candidates(g, p, cands=cands)
 
     coef_table: dict = {}
     for mi, c in enumerate(cands):
@@ -363,9 +377,8 @@ def linear_grid_search(design: DataFrame, feats: list[str], target: str,
             "best_params": c.params,
         })
         models[fam] = LinearModel(fam, feats, b, w, c.params)
-    block_m = [_sum(mom, p1, center, lambda k, b=b: k[0] == b) for b in range(-1, n_splits)]
-    return GridResult(results, models, fold_train, fold_test, block_m, train_m, test_m, prefix_m, clean,
-                      feats, target)
+    g.results, g.models, g.clean, g.features, g.target = results, models, clean, feats, target
+    return g
 
 
 def results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:

@@ -19,6 +19,7 @@ from chronoforge.operators import diagnostics as dg
 from chronoforge.operators import features as feat
 from chronoforge.operators import gram as gm
 from chronoforge.operators import linear as lin
+from chronoforge.operators import linear_keyed as lk
 from chronoforge.operators import sequence as seq
 from chronoforge.operators import split as spl
 from chronoforge.operators import stats as st
@@ -1048,6 +1049,154 @@ def q_features_keyed(spark, sf_dir):
     return rounded(feat.build_features(d, target="y", horizon=1, lags=KEYED_LAGS, keys=["series"]))
 
 
+# ------------------------------------------------------------------------------------------
+# 14b. Linear models of many series at once
+# ------------------------------------------------------------------------------------------
+
+
+def _keyed_design(spark, sf_dir, lags=KEYED_LAGS, drop=()) -> lk.KeyedDesign:
+    f = feat.build_features(fx.orders_daily(spark, sf_dir), target="y", horizon=1, lags=lags, keys=["series"])
+    design, feats = lk.prepare_design(f, "y_target", ["series"])
+    return lk.keyed_grams(design, [c for c in feats if c not in drop], "y_target", ["series"])
+
+
+@register("linear_grid_keyed")
+def q_linear_grid_keyed(spark, sf_dir):
+    """G3 for every series: parameters, errors and size of the best model of each family."""
+    return lk.grid_search(_keyed_design(spark, sf_dir)).models.drop("intercept", "coef")
+
+
+@register("ridge_path_keyed")
+def q_ridge_path_keyed(spark, sf_dir):
+    return lk.ridge_path(_keyed_design(spark, sf_dir))
+
+
+@register("ridge_error_curve_keyed")
+def q_ridge_error_curve_keyed(spark, sf_dir):
+    return lk.ridge_error_curve(_keyed_design(spark, sf_dir))
+
+
+@register("learning_curve_keyed")
+def q_learning_curve_keyed(spark, sf_dir):
+    return lk.learning_curve(_keyed_design(spark, sf_dir), "Ridge")
+
+
+@register("linear_scoring_keyed")
+def q_linear_scoring_keyed(spark, sf_dir):
+    """G11 for every series: its best ridge model on its test part, with residuals."""
+    d = _keyed_design(spark, sf_dir)
+    scored = lk.score(d.rows.filter(F.col("split") == "test"), lk.grid_search(d), "Ridge")
+    return cols.residuals(scored.select("series", "time", "y_target", "prediction"), "y_target")
+
+
+@register("linear_attribution_keyed")
+def q_linear_attribution_keyed(spark, sf_dir):
+    d = _keyed_design(spark, sf_dir)
+    attr = lk.attributions(d.rows.filter(F.col("split") == "test"), lk.grid_search(d), "Ridge")
+    return lk.attribution_ranking(attr, ["series"], d.features)
+
+
+@register("standardize_keyed", f"""
+SELECT series, time, {', '.join(
+    f"{R(f'({c} - avg({c}) OVER w) / CASE WHEN stddev_pop({c}) OVER w > 0 THEN stddev_pop({c}) OVER w ELSE 1 END')} AS {c}_z"
+    for c in ('y', 'x1', 'x2'))}
+FROM ({ORDERS_DAILY_SQL}) d WINDOW w AS (PARTITION BY series)
+""")
+def q_standardize_keyed(spark, sf_dir):
+    out, _ = lk.standardize(fx.orders_daily(spark, sf_dir), ["y", "x1", "x2"], ["series"], suffix="_z")
+    return rounded(out.select("series", "time", "y_z", "x1_z", "x2_z"))
+
+
+# Two features per series have normal equations that SQL can state: the twins of G4, G5 and G11
+PAIR = ["y", "x1"]
+PAIR_DROP = ("x2", *cols.CALENDAR)
+PAIR_ALPHAS = [10.0 ** k for k in range(-2, 13)]
+PAIR_ALPHA = 1000.0
+
+
+def _pair_sql(select: str, tail: str = "") -> str:
+    """Ridge on y and x1 (raw values, unpenalised intercept) per series by Cramer's rule; ``f`` has the design, ``w`` the solution
+    for every alpha."""
+    alphas = ", ".join(f"({a!r}::DOUBLE)" for a in PAIR_ALPHAS)
+    return f"""
+WITH l AS (SELECT series, time, y, x1, lead(y) OVER (PARTITION BY series ORDER BY time) AS t FROM ({ORDERS_DAILY_SQL}) d),
+i AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY time) - 1 AS idx, count(*) OVER (PARTITION BY series) AS n
+      FROM l WHERE t IS NOT NULL AND month(time) <> 6),
+f AS (SELECT *, CASE WHEN idx < floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split FROM i),
+s AS (SELECT series, avg(y) AS m1, avg(x1) AS m2, avg(t) AS mt, count(*) * covar_pop(y, y) AS a, count(*) * covar_pop(y, x1) AS b,
+             count(*) * covar_pop(x1, x1) AS d, count(*) * covar_pop(y, t) AS p, count(*) * covar_pop(x1, t) AS q
+      FROM f WHERE split = 'train' GROUP BY series),
+w AS (SELECT series, alpha, (p * (d + alpha) - b * q) / ((a + alpha) * (d + alpha) - b * b) AS w1,
+             ((a + alpha) * q - b * p) / ((a + alpha) * (d + alpha) - b * b) AS w2, m1, m2, mt FROM s, (VALUES {alphas}) v(alpha)),
+e AS (SELECT f.*, w.alpha, mt + w1 * (f.y - m1) + w2 * (f.x1 - m2) AS prediction FROM f JOIN w ON f.series IS NOT DISTINCT FROM w.series)
+{select}"""
+
+
+def _pair_design(spark, sf_dir) -> lk.KeyedDesign:
+    return _keyed_design(spark, sf_dir, lags={}, drop=PAIR_DROP)
+
+
+@register("ridge_path_pair", _pair_sql("""
+SELECT series, alpha, 'y' AS feature, round(w1, 6) + 0.0 AS coef FROM w UNION ALL SELECT series, alpha, 'x1', round(w2 * 1e-3, 6) + 0.0 FROM w
+"""))
+def q_ridge_path_pair(spark, sf_dir):
+    """G4 with two features for every series (x1's coefficient in thousands; adding zero drops the sign of zero)."""
+    path = lk.ridge_path(_pair_design(spark, sf_dir), PAIR_ALPHAS)
+    shown = rounded(path.withColumn("coef", F.when(F.col("feature") == "x1", F.col("coef") * 1e-3).otherwise(F.col("coef"))))
+    return shown.withColumn("coef", F.col("coef") + F.lit(0.0))
+
+
+_GRID_SQL = ", ".join(f"({k}, {float(a)!r}::DOUBLE)" for k, a in enumerate(lin.LINEAR_ALPHAS))
+
+
+@register("ridge_grid_pair", _pair_sql(f""",
+b AS (SELECT *, floor(CAST(0.8 AS DOUBLE) * n) AS cut, floor(floor(CAST(0.8 AS DOUBLE) * n) / 6) AS ts FROM f),
+k AS (SELECT *, CASE WHEN split = 'train' THEN greatest(-1, floor((idx - (cut - 5 * ts)) / ts)) ELSE 5 END AS block FROM b),
+r AS (SELECT k.*, fold, CASE WHEN block < fold THEN 'fit' WHEN block = fold THEN 'check' END AS use FROM k, (SELECT unnest(range(0, 6)) AS fold)),
+z AS (SELECT series, fold, count(*) AS n, avg(y) AS m1, avg(x1) AS m2, avg(t) AS mt, stddev_pop(y) AS s1, stddev_pop(x1) AS s2,
+             count(*) * corr(y, x1) AS b, count(*) * covar_pop(y, t) / stddev_pop(y) AS p, count(*) * covar_pop(x1, t) / stddev_pop(x1) AS q
+      FROM r WHERE use = 'fit' GROUP BY series, fold),
+v AS (SELECT z.*, nth, alpha, (p * (n + alpha) - b * q) / ((n + alpha) ^ 2 - b * b) AS v1, ((n + alpha) * q - b * p) / ((n + alpha) ^ 2 - b * b) AS v2
+      FROM z, (VALUES {_GRID_SQL}) g(nth, alpha)),
+h AS (SELECT r.series, r.fold, nth, sqrt(avg((t - mt - v1 * (r.y - m1) / s1 - v2 * (r.x1 - m2) / s2) ^ 2)) AS rmse,
+             avg(abs(t - mt - v1 * (r.y - m1) / s1 - v2 * (r.x1 - m2) / s2)) AS mae
+      FROM r JOIN v ON r.series IS NOT DISTINCT FROM v.series AND r.fold = v.fold WHERE use = 'check' GROUP BY ALL),
+c AS (SELECT series, nth, avg(rmse) AS cv_rmse, avg(mae) AS cv_mae FROM h WHERE fold < 5 GROUP BY ALL),
+best AS (SELECT series, arg_min(nth, (cv_rmse, nth)) AS nth FROM c GROUP BY series)
+SELECT series, nth AS alpha_place, round(cv_rmse / 1e3, 6) AS cv_rmse, round(cv_mae / 1e3, 6) AS cv_mae, round(rmse / 1e3, 6) AS test_rmse,
+       round(mae / 1e3, 6) AS test_mae
+FROM best JOIN c USING (series, nth) JOIN (SELECT * FROM h WHERE fold = 5) USING (series, nth)
+"""))
+def q_ridge_grid_pair(spark, sf_dir):
+    """G3 with two features for every series: the winner of the ridge grid over five expanding folds, errors in thousands."""
+    m = lk.grid_search(_pair_design(spark, sf_dir)).models.filter(F.col("model") == "Ridge")
+    place = F.array_position(F.array(*[F.lit(float(a)) for a in lin.LINEAR_ALPHAS]), F.col("params")["ridge__alpha"]) - 1
+    return rounded(m.select("series", place.cast("int").alias("alpha_place"), *[(F.col(c) / 1e3).alias(c) for c in ("cv_rmse", "cv_mae", "test_rmse", "test_mae")]))
+
+
+@register("ridge_error_pair", _pair_sql("""
+SELECT series, alpha, round(sqrt(avg((t - prediction) * (t - prediction))) / 1e3, 6) AS rmse_thousands
+FROM e WHERE split = 'test' GROUP BY series, alpha
+"""))
+def q_ridge_error_pair(spark, sf_dir):
+    """G5 with two features for every series: the square root of the test error, in thousands."""
+    curve = lk.ridge_error_curve(_pair_design(spark, sf_dir), PAIR_ALPHAS)
+    return rounded(curve.select("series", "alpha", (F.sqrt("test_error") / 1e3).alias("rmse_thousands")))
+
+
+@register("ridge_scoring_pair", _pair_sql(f"""
+SELECT series, time, round(t / 1e3, 6) AS actual, round(prediction / 1e3, 6) AS prediction, round((t - prediction) / 1e3, 6) AS error
+FROM e WHERE split = 'test' AND alpha = {PAIR_ALPHA!r}
+"""))
+def q_ridge_scoring_pair(spark, sf_dir):
+    """G11 with two features for every series: the ridge model of one penalty on the test part, in thousands."""
+    d = _pair_design(spark, sf_dir)
+    scored = lk.score(d.rows.filter(F.col("split") == "test"), lk.KeyedGrid(d, lk.ridge_models(d, PAIR_ALPHA)), "Ridge")
+    k = F.lit(1e3)
+    return rounded(scored.select("series", "time", (F.col("y_target") / k).alias("actual"), (F.col("prediction") / k).alias("prediction"),
+                                 ((F.col("y_target") - F.col("prediction")) / k).alias("error")))
+
+
 # ------------------------------------------------------------------------------------------
 # 15. Scaled sequence windows and the boosted-tree model round trip
 # ------------------------------------------------------------------------------------------
