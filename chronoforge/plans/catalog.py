@@ -28,6 +28,7 @@ from chronoforge.operators import unitroot as ur
 from chronoforge.operators import windows as win
 from chronoforge.sources import fixtures as fx
 from chronoforge.sources import io as sio
+from chronoforge.sources import stored
 from chronoforge.plans.strategies import join_small
 from chronoforge.session import reliable_checkpoint
 
@@ -1233,3 +1234,180 @@ def q_tree_model_roundtrip(spark, sf_dir):
     meta_path = sio.write_metadata(spark, meta, sio.scratch_path(spark, "gbt-meta"))
     return _attach(m, sio.read_metadata(spark, meta_path).select("model_name", "n_features", "n_train",
                                                                   "n_test", "best_iterations"))
+
+
+# ------------------------------------------------------------------------------------------
+# 16. Series and months kept on storage
+# ------------------------------------------------------------------------------------------
+
+
+@register("stored_lag_features", ORACLE["lag_features"])
+def q_stored_lag_features(spark, sf_dir):
+    """C1-C3 on a stored series: the lags of ``lag_features`` from a bucketed table, without an exchange."""
+    ev = fx.events_raw(spark, sf_dir, keyed=False).select("time", "y", "x")
+    s = stored.store_series(ev, [], "time", back=max(LAG_SPEC), fwd=1, block=512)
+    return rounded(stored.shift_stored(s, [(f"{c}_lag_{k}", c, k) for k in LAG_SPEC for c in ("y", "x")]))
+
+
+@register("stored_appended", ORACLE["lag_features"])
+def q_stored_appended(spark, sf_dir):
+    """The same from a series that is stored in two batches: the second goes on from the manifest."""
+    ev = reliable_checkpoint(fx.events_raw(spark, sf_dir, keyed=False).select("time", "y", "x"))
+    half = ev.agg(F.expr("timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(time), max(time)) div 2, min(time))").alias("t")).first()["t"]
+    cut = F.col("time") < F.lit(half)
+    s = stored.store_series(ev.filter(cut), [], "time", back=max(LAG_SPEC), fwd=1, block=512)
+    s = stored.append_series(s, ev.filter(~cut))
+    return rounded(stored.shift_stored(s, [(f"{c}_lag_{k}", c, k) for k in LAG_SPEC for c in ("y", "x")]))
+
+
+@register("stored_holdout", f"""
+WITH d AS ({ORDERS_DAILY_SQL}),
+f AS (SELECT series, min(time) AS first FROM d WHERE month(time) = 6 GROUP BY series)
+SELECT d.series, d.time, round(d.y, {DIGITS}) AS y FROM d JOIN f ON d.series = f.series
+WHERE month(d.time) = 6 OR (d.time >= f.first - INTERVAL 48 HOUR AND d.time < f.first)
+""")
+def q_stored_holdout(spark, sf_dir):
+    """B7 and B8 from a table in monthly folders: the held-out month and its lead-in, reading two months."""
+    path = stored.write_monthly(fx.orders_daily(spark, sf_dir).select("series", "time", "y"), sio.scratch_path(spark, "monthly"))
+    return rounded(stored.read_holdout(spark, path, "predict", 6, 48, ["series"]))
+
+
+# ------------------------------------------------------------------------------------------
+# 17. Whole windows, profiles without a column list, bad timestamps, missing actuals
+# ------------------------------------------------------------------------------------------
+
+
+def _cells_sql(scale: bool) -> str:
+    """Per window and feature the sum of its 48 values and their sum weighted by the step: every cell counts."""
+    names = ", ".join(f"({j}, '{c}')" for j, c in enumerate(MODEL_FEATURES))
+    values = ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE)" for c in MODEL_FEATURES)
+    v = "CAST(CAST((v - sc.mean) / sc.scale AS FLOAT) AS DOUBLE)" if scale else "v"
+    scaler = f", sc AS ({_scaler_body_sql()})" if scale else ""
+    join = 'JOIN sc ON sc."column" = c.feature' if scale else ""
+    return _parts_sql() + f"""{scaler},
+p AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY time) - 1 AS idx,
+             lead({TGT}, 3) OVER (PARTITION BY split ORDER BY time) AS y, [{values}] AS vals FROM s),
+c AS (SELECT split, idx, y, feature, vals[nth + 1] AS v FROM p, (VALUES {names}) n(nth, feature)),
+z AS (SELECT split, idx, y, feature, {v} AS v FROM c {join}),
+w AS (SELECT split, idx, feature, y, count(*) OVER k AS steps, sum(v) OVER k AS total, sum(v * idx) OVER k - (idx - 47) * sum(v) OVER k AS weighted
+      FROM z WINDOW k AS (PARTITION BY split, feature ORDER BY idx ROWS BETWEEN 47 PRECEDING AND CURRENT ROW))
+SELECT split, idx, feature, round(total, 3) + 0.0 AS total, round(weighted / 48, 3) + 0.0 AS weighted FROM w WHERE steps = 48 AND y IS NOT NULL
+"""
+
+
+def _scaler_body_sql() -> str:
+    """The scaler's parameters, unrounded, on the CTEs of ``_parts_sql``."""
+    parts = " UNION ALL ".join(f"""SELECT '{c}' AS "column", sum(wt * v) / sum(wt) AS mean,
+  CASE WHEN sum(wt * (v - mu) ^ 2) > 0 THEN sqrt(sum(wt * (v - mu) ^ 2) / sum(wt)) ELSE 1 END AS scale
+FROM (SELECT wt, CAST(CAST({c} AS FLOAT) AS DOUBLE) AS v, sum(wt * CAST(CAST({c} AS FLOAT) AS DOUBLE)) OVER () / sum(wt) OVER () AS mu FROM tw)""" for c in MODEL_FEATURES)
+    weighed = """SELECT *, greatest(least(idx + 47, n - 4) - greatest(idx, 47) + 1, 0) AS wt FROM (
+  SELECT *, row_number() OVER (ORDER BY time) - 1 AS idx, count(*) OVER () AS n FROM s WHERE split = 'train')"""
+    return f"WITH tw AS ({weighed}) {parts}"
+
+
+def _cells(windows: DataFrame) -> DataFrame:
+    steps = F.posexplode("x").alias("step", "vals")
+    cells = windows.select("split", "idx", steps).select("split", "idx", "step", F.posexplode("vals").alias("nth", "v"))
+    sums = cells.groupBy("split", "idx", "nth").agg(F.sum(F.col("v").cast("double")).alias("total"), F.sum(F.col("v").cast("double") * F.col("step")).alias("weighted"))
+    feature = F.element_at(F.array(*[F.lit(c) for c in MODEL_FEATURES]), F.col("nth") + 1)
+    return sums.select("split", "idx", feature.alias("feature"), (F.round("total", 3) + 0.0).alias("total"), (F.round(F.col("weighted") / 48, 3) + 0.0).alias("weighted"))
+
+
+@register("window_cells", _cells_sql(False))
+def q_window_cells(spark, sf_dir):
+    """All 48 x 22 cells of every window, as sums and step-weighted sums per feature."""
+    return _cells(win.sliding_windows(_hourly_parts(spark, sf_dir), MODEL_FEATURES, TGT, 48, 3, keys=["split"]))
+
+
+@register("scaled_window_cells", _cells_sql(True))
+def q_scaled_window_cells(spark, sf_dir):
+    """C5 + G2: the same for the scaled windows."""
+    return _cells(q_scaled_windows(spark, sf_dir))
+
+
+CUSTOMER_NUMBERS = ["c_custkey", "c_nationkey", "c_acctbal"]
+
+
+@register("profile_all_numeric", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n, round(avg({c}), {DIGITS}) AS mean, "
+    f"round(median({c}), {DIGITS}) AS median, round(stddev_samp({c}), {DIGITS}) AS std, "
+    f"round(skewness({c}), {DIGITS}) AS skewness, round(kurtosis({c}), {DIGITS}) AS kurtosis, "
+    f"count(*) - count({c}) AS missing FROM customer" for c in CUSTOMER_NUMBERS))
+def q_profile_all_numeric(spark, sf_dir):
+    """B1 + E1: the profile of a table's numeric columns, found by type."""
+    return rounded(st.numeric_profile(fx.table(spark, sf_dir, "customer")))
+
+
+@register("parsed_times", """
+WITH t AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'not a time' WHEN 1 THEN NULL WHEN 2 THEN '2024-13-45 99:00:00'
+                            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time FROM events)
+SELECT event_id, TRY_CAST(time AS TIMESTAMP) AS time FROM t WHERE TRY_CAST(time AS TIMESTAMP) IS NOT NULL
+""")
+def q_parsed_times(spark, sf_dir):
+    """B2 on text: unparsable and missing times are dropped."""
+    kind = F.col("event_id") % 5
+    text = (F.when(kind == 0, F.lit("not a time")).when(kind == 1, F.lit(None).cast("string")).when(kind == 2, F.lit("2024-13-45 99:00:00"))
+            .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    return cols.parse_time(fx.table(spark, sf_dir, "events").select("event_id", text.alias("time")))
+
+
+@register("scored_actuals", f"""
+SELECT o_orderkey, round(o_totalprice, {DIGITS}) AS actual, round(o_totalprice - 1000 * (o_orderkey % 7), {DIGITS}) AS prediction,
+       round(o_totalprice - round(o_totalprice - 1000 * (o_orderkey % 7), {DIGITS}), 3) AS error
+FROM orders WHERE o_orderkey % 3 = 0
+""")
+def q_scored_actuals(spark, sf_dir):
+    """B9 on a scored table whose actual is NULL or NaN in two rows of three."""
+    kind = F.col("o_orderkey") % 3
+    actual = F.when(kind == 1, F.lit(float("nan"))).when(kind == 0, F.col("o_totalprice").cast("double"))
+    scored = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", actual.alias("actual"), F.round(F.col("o_totalprice").cast("double") - 1000 * (F.col("o_orderkey") % 7), DIGITS).alias("prediction"))
+    kept = cols.residuals(cols.actual_present(scored, "actual"), "actual").drop("abs_error")
+    return kept.withColumn("actual", F.round("actual", DIGITS)).withColumn("error", F.round("error", 3))
+
+
+@register("pp_conclusion", f"""
+SELECT "column", statistic, CASE WHEN statistic > 2.74 THEN 'non-stationary' WHEN statistic < -18.83 THEN 'stationary'
+  WHEN (CASE WHEN statistic <= -1.61 THEN 2.1659 + 1.4412 * statistic + 0.038269 * statistic ^ 2
+        ELSE 1.7339 + 0.93202 * statistic - 0.12745 * statistic ^ 2 - 0.010368 * statistic ^ 3 END) < -1.6448536269514722
+  THEN 'stationary' ELSE 'non-stationary' END AS conclusion FROM ({PP_SQL}) pp
+""")
+def q_pp_conclusion(spark, sf_dir):
+    """Statistic and label (a p-value below 0.05 is a response surface below the normal 5 % point)."""
+    return rounded(ur.stationarity(fx.events_hourly(spark, sf_dir), HOURLY_COLS, tests=("PP",)).select("column", "statistic", "conclusion"))
+
+
+# ------------------------------------------------------------------------------------------
+# 18. The holdout month scored side by side
+# ------------------------------------------------------------------------------------------
+
+
+@register("holdout_side_by_side")
+def q_holdout_side_by_side(spark, sf_dir):
+    """Actual, both predictions and both errors of every row of the held-out month (linear candidate, baseline)."""
+    return holdout_comparison_frames(spark, sf_dir)[0]
+
+
+def boosted_holdout_frames(spark, sf_dir):
+    """G13 with the boosted candidate: the search's parameters and round count, trained without the held-out month."""
+    found = _tree_search(spark, sf_dir)[2]
+    f = _daily_features(spark, sf_dir)
+    design, feats = lin.prepare_design(f, "y_target")
+    model = tr.fit(design.withColumn("split", F.lit("train")), feats, "y_target", found.best_params, found.best_round)
+    part = cols.calendar_features(cols.month_holdout(f, 6))
+    hold = part.filter(F.col("part") == "predict")
+    cand = tr.predict(hold, model).select("time", "y_target", "prediction")
+    base = bl.fit_seasonal_baseline(part.filter(F.col("part") == "train"), "y_target")
+    table = cmp.comparison_table(cand, base.forecast(hold.select("time", "y_target")), "y_target", ("boosted", "baseline"), on=["time"])
+    table = cols.actual_present(table, "y_target")
+    return table, st.skill_scores(table, "y_target", "pred_boosted", "pred_baseline")
+
+
+@register("boosted_side_by_side")
+def q_boosted_side_by_side(spark, sf_dir):
+    return boosted_holdout_frames(spark, sf_dir)[0]
+
+
+@register("boosted_comparison")
+def q_boosted_comparison(spark, sf_dir):
+    return boosted_holdout_frames(spark, sf_dir)[1]
