@@ -15,9 +15,13 @@ Documents link when 100 * intersection >= 75 * union.
    Similar sets of union u share at least c = u/2 - 1 of them, since each differing token parts at most
    two adjacent pairs. Their prefix is extended in the same way, by n div 4, and a set with no more
    frequent combinations than that is done. Only the sets that remain (large groups of near copies)
-   look at the owners of frequent combinations of the plain prefix: these meet a single pivot first, and
-   owners that are then outside the combination's main component meet a fixed number of further pivots,
-   round by round while that halves them, and only the rest meets all the others.
+   look at the owners of frequent combinations of the plain prefix: these meet a single pivot first. Combinations
+   whose owners then lie in several components are taken up by differences (``_group_links``): their owners form
+   groups, a group has a base set (the tokens of most of a few members; any base gives the same links), and a
+   member is its difference D to the base. Two members without a common token in their differences are |D| + |D'|
+   apart, so if any such pair links, both link with the member nearest to the base: one star. Any other pair with
+   a link shares a token of the differences, and a member outside the group's main component needs only
+   |D| - o + 1 of its tokens, the ones seen least, to find it, o being the least overlap that a link takes.
 5. Candidates pass the length bound and a parity sketch (a lower bound of the symmetric difference,
    so it loses nothing), and survivors are verified on the whole sets.
 6. Links give components; every copy takes its representative's.
@@ -43,14 +47,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoforge.llm import kernels as K
-from chronoforge.llm.common import batch_of, having_ids, inputs, scratch, small, table_of
+from chronoforge.llm.common import BROADCAST_BYTES, batch_of, having_ids, inputs, scratch, small, table_of
 from chronoforge.llm.components import components
 
 WIDTH = 5
 #: tokens and combinations with at most so many owners yield their pairs directly
 RARE = 8
-#: owners that the ones outside a combination's main component meet in one round
-PIVOTS = 16
+#: members whose common tokens make a group's base
+SAMPLE = 15
 #: a shingle in at least this share of the sets is heavy
 PHI = 0.0003
 #: tokens that a task counts at once
@@ -284,6 +288,82 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return tried.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_verified, "a long, b long")
 
 
+_BASE = pa.schema([("g", pa.int64()), ("base", pa.binary()), ("seen", pa.binary()), ("times", pa.binary())])
+_DELTA = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("a", pa.int64()), ("delta", pa.binary())])
+_TOKEN = pa.schema([("g", pa.int64()), ("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64())])
+
+
+def _base_of(key: tuple, table: pa.Table) -> pa.Table:
+    """Tokens of more than half of a group's sample, and how often each token of the sample occurs."""
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("s").to_pylist()]  # SAMPLE of them
+    seen, times = np.unique(np.concatenate(sets), return_counts=True)
+    return table_of(_BASE, {"g": [key[0].as_py()], "base": [seen[2 * times > len(sets)].tobytes()], "seen": [seen.tobytes()], "times": [times.astype("<i4").tobytes()]})
+
+
+def _deltas(batches):
+    """Differences to the base: first the tokens that the sample has least often, then the base's missing ones."""
+    for b in batches:
+        rows = []
+        for g, i, c, s, base, seen, times in zip(*(b.column(k).to_pylist() for k in ("g", "id", "c", "s", "base", "seen", "times"))):
+            x, base, seen, times = np.frombuffer(s, np.uint64), np.frombuffer(base, np.uint64), np.frombuffer(seen, np.uint64), np.frombuffer(times, "<i4")
+            own, missing = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
+            at = np.minimum(np.searchsorted(seen, own), max(len(seen) - 1, 0))
+            known = np.where(seen[at] == own, times[at], 0) if len(seen) else np.zeros(len(own), np.int64)
+            delta = np.concatenate([own[np.argsort(known, kind="stable")], missing])
+            rows.append((g, i, len(x), c, len(delta), delta.tobytes()))
+        if rows:
+            yield batch_of(_DELTA, dict(zip(_DELTA.names, zip(*rows), strict=True)))
+
+
+def _tokens(batches):
+    """The first ``take`` tokens of each difference, one a row."""
+    for b in batches:
+        take = b.column("take").to_numpy()
+        d = [np.frombuffer(x, np.int64)[:t] for x, t in zip(b.column("delta").to_pylist(), take)]
+        size = np.array([len(x) for x in d], np.int64)
+        yield batch_of(_TOKEN, {"token": np.concatenate(d) if d else np.zeros(0, np.int64),
+                                **{k: np.repeat(b.column(k).to_numpy(), size) for k in ("g", "id", "n", "c")}})
+
+
+def _group_links(own: DataFrame, members: DataFrame, links: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Further links among the owners of frequent combinations, ``members(key, id, n)``: with them, every linked pair
+    that shares a combination is in one component."""
+    similar = "4 * least(n, on) >= 3 * greatest(n, on)"
+    placed = members.join(components(links), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+    opened = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("p")).where("lo < hi")
+    groups = scratch(placed.join(opened.select("key", F.col("p.id").alias("g")), "key").select("g", "id", "c").distinct())
+    if groups.isEmpty():
+        return links.limit(0)
+    sets = scratch(having_ids(own, scratch(groups.select("id").distinct())).mapInArrow(_sets, "id long, s binary"))
+    sample = groups.groupBy("g").agg(F.array(*[F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id")) for i in range(SAMPLE)]).alias("p"))
+    sample = sample.select("g", F.explode(F.array_distinct(F.transform("p", lambda x: x["id"]))).alias("id"))
+    base = scratch(sample.join(sets, "id").groupBy("g").applyInArrow(_base_of, _ddl(_BASE)))
+    size = base.agg(F.sum(F.length("base") + F.length("seen") + F.length("times"))).first()[0] or 0
+    deltas = scratch(groups.join(sets, "id").join(F.broadcast(base) if size <= BROADCAST_BYTES else base, "g").mapInArrow(_deltas, _ddl(_DELTA)))
+    nearest = scratch(deltas.groupBy("g").agg(F.min(F.struct((7 * F.col("a") - F.col("n")).alias("s"), "id", "n", "c")).alias("p"))
+                      .select("g", F.col("p.s").alias("s"), F.col("p.id").alias("oid"), F.col("p.n").alias("on"), F.col("p.c").alias("oc")))
+    n_groups = nearest.count()
+    star = deltas.join(small(nearest, n_groups), "g").where("c != oc AND " + similar)
+    pair = [F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")]
+    found = scratch(_links(own, star.select(*pair).distinct(), sketches))
+
+    at = components(links.unionByName(found))
+    now = scratch(deltas.drop("c").join(at, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"))
+    main = now.groupBy("g", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
+    main = scratch(main.where("parts > 1").select("g", F.col("m.c").alias("main")).join(nearest.select("g", "s"), "g"))
+    still = now.join(small(main, n_groups), "g")
+    overlap = F.greatest(F.lit(1), F.ceil((7 * F.col("a") - F.col("n") + F.col("s")) / 14))
+    # a difference of fewer tokens than the overlap that a link takes has none
+    outside = still.where("c != main").withColumn("take", F.greatest(F.col("a") - overlap + 1, F.lit(0)).cast("long"))
+    asked = scratch(outside.select("g", "id", "n", "c", "take", "delta").mapInArrow(_tokens, _ddl(_TOKEN)))
+    keys = scratch(asked.select("g", "token").distinct())
+    every = still.withColumn("take", F.col("a")).select("g", "id", "n", "c", "take", "delta").mapInArrow(_tokens, _ddl(_TOKEN))
+    others = every.join(small(keys, keys.count()), ["g", "token"], "left_semi").select(
+        "g", "token", F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"))
+    more = asked.join(others, ["g", "token"]).where("c != oc AND " + similar).select(*pair).distinct()
+    return found.unionByName(_links(own, more, sketches))
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, phi: float = PHI) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
     docs = inputs(docs, id_col, text_col)
@@ -347,30 +427,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = found.unionByName(grouped).where(f"kind = {_CANDIDATE}").select("a", "b").unionByName(star).distinct()
     links = scratch(_links(own, pairs, sketches))
 
-    # owners of a frequent combination outside its main component meet further pivots while that at least
-    # halves them; those that are left meet all the others
-    before = None
-    while True:
-        at = components(links)
-        placed = members.join(at, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-        shares = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-        main = scratch(shares.groupBy("key").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
-                       .where("parts > 1").select("key", F.col("m.c").alias("main")))
-        if main.isEmpty():
-            break
-        open_ = scratch(placed.join(main, "key"))
-        out = open_.where("c != main").select("key", F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"))
-        outside = out.count()
-        last = before is not None and 2 * outside > before
-        before = outside
-        others = open_.select("key", "id", "n", "c") if last else open_.groupBy("key").agg(
-            F.array(*[F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id", "n", "c")) for i in range(PIVOTS)]).alias("p")).select(
-            "key", F.explode(F.array_distinct(F.transform("p", lambda x: x.dropFields("h")))).alias("p")).select("key", "p.*")
-        more = others.join(out, "key").where("c != oc AND 4 * least(n, on) >= 3 * greatest(n, on)").select(
-            F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b")).distinct()
-        links = scratch(links.unionByName(_links(own, more, sketches)))
-        if last:
-            break
+    links = scratch(links.unionByName(_group_links(own, members, links, sketches)))
 
     rows = scratch(in_class)
     again = rows.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b").select("a", "b")
