@@ -20,8 +20,9 @@ Documents link when 100 * intersection >= 75 * union.
    groups, a group has a base set (the tokens of most of a few members; any base gives the same links), and a
    member is its difference D to the base. Two members without a common token in their differences are |D| + |D'|
    apart, so if any such pair links, both link with the member nearest to the base: one star. Any other pair with
-   a link shares a token of the differences, and a member outside the group's main component needs only
-   |D| - o + 1 of its tokens, the ones seen least, to find it, o being the least overlap that a link takes.
+   a link shares a token of the differences, and a member outside the group's main component finds it by its
+   first |D| - o + 1 tokens, rare ones first, o being the least overlap that a link takes; tokens so late in either
+   order that less than the overlap is left do not meet.
 5. Candidates pass the length bound and a parity sketch (a lower bound of the symmetric difference,
    so it loses nothing), and survivors are verified on the whole sets.
 6. Links give components; every copy takes its representative's.
@@ -290,7 +291,7 @@ def _links(docs: DataFrame, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 _BASE = pa.schema([("g", pa.int64()), ("base", pa.binary()), ("seen", pa.binary()), ("times", pa.binary())])
 _DELTA = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("a", pa.int64()), ("delta", pa.binary())])
-_TOKEN = pa.schema([("g", pa.int64()), ("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64())])
+_TOKEN = pa.schema([("g", pa.int64()), ("token", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("v", pa.int64()), ("rest", pa.int64())])
 
 
 def _base_of(key: tuple, table: pa.Table) -> pa.Table:
@@ -316,13 +317,14 @@ def _deltas(batches):
 
 
 def _tokens(batches):
-    """The first ``take`` tokens of each difference, one a row."""
+    """The first ``take`` tokens of each difference, one a row, with the tokens from there on (``rest``)."""
     for b in batches:
-        take = b.column("take").to_numpy()
+        take, a = b.column("take").to_numpy(), b.column("a").to_numpy()
         d = [np.frombuffer(x, np.int64)[:t] for x, t in zip(b.column("delta").to_pylist(), take)]
         size = np.array([len(x) for x in d], np.int64)
-        yield batch_of(_TOKEN, {"token": np.concatenate(d) if d else np.zeros(0, np.int64),
-                                **{k: np.repeat(b.column(k).to_numpy(), size) for k in ("g", "id", "n", "c")}})
+        rest = np.repeat(a, size) - np.concatenate([np.arange(k) for k in size]) if len(d) else np.zeros(0, np.int64)
+        yield batch_of(_TOKEN, {"token": np.concatenate(d) if d else np.zeros(0, np.int64), "rest": rest.astype(np.int64),
+                                **{k: np.repeat(b.column(k).to_numpy(), size) for k in ("g", "id", "n", "c", "v")}})
 
 
 def _group_links(own: DataFrame, members: DataFrame, links: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -351,16 +353,18 @@ def _group_links(own: DataFrame, members: DataFrame, links: DataFrame, sketches:
     now = scratch(deltas.drop("c").join(at, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"))
     main = now.groupBy("g", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
     main = scratch(main.where("parts > 1").select("g", F.col("m.c").alias("main")).join(nearest.select("g", "s"), "g"))
-    still = now.join(small(main, n_groups), "g")
+    still = now.join(small(main, n_groups), "g").withColumn("v", 7 * F.col("a") - F.col("n"))
     overlap = F.greatest(F.lit(1), F.ceil((7 * F.col("a") - F.col("n") + F.col("s")) / 14))
     # a difference of fewer tokens than the overlap that a link takes has none
     outside = still.where("c != main").withColumn("take", F.greatest(F.col("a") - overlap + 1, F.lit(0)).cast("long"))
-    asked = scratch(outside.select("g", "id", "n", "c", "take", "delta").mapInArrow(_tokens, _ddl(_TOKEN)))
+    parts = "g", "id", "n", "c", "v", "a", "take", "delta"
+    asked = scratch(outside.select(*parts).mapInArrow(_tokens, _ddl(_TOKEN)))
     keys = scratch(asked.select("g", "token").distinct())
-    every = still.withColumn("take", F.col("a")).select("g", "id", "n", "c", "take", "delta").mapInArrow(_tokens, _ddl(_TOKEN))
+    every = still.withColumn("take", F.col("a")).select(*parts).mapInArrow(_tokens, _ddl(_TOKEN))
     others = every.join(small(keys, keys.count()), ["g", "token"], "left_semi").select(
-        "g", "token", F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"))
-    more = asked.join(others, ["g", "token"]).where("c != oc AND " + similar).select(*pair).distinct()
+        "g", "token", F.col("id").alias("oid"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("v").alias("ov"), F.col("rest").alias("orest"))
+    # the first token that two differences share leaves room for the overlap that their link takes, on both sides
+    more = asked.join(others, ["g", "token"]).where("c != oc AND 14 * least(rest, orest) >= v + ov AND " + similar).select(*pair).distinct()
     return found.unionByName(_links(own, more, sketches))
 
 
