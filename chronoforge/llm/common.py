@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +30,42 @@ def inputs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: lists that the names of new scratch tables are added to, innermost last
+_RECORDS: list[list[str]] = []
+
+
 def scratch(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder as Parquet and read it back: lineage ends here,
     the files survive lost executors, and later reads prune columns."""
     path = f"{checkpoint_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    for names in _RECORDS:
+        names.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The names of all scratch tables made inside, for ``remove`` once nothing reads them any more."""
+    names: list[str] = []
+    _RECORDS.append(names)
+    try:
+        yield names
+    finally:
+        _RECORDS.pop()
+
+
+def remove(spark: SparkSession, names: list[str]) -> None:
+    """Delete scratch tables, and let Spark drop the shuffle files of frames that nothing refers to any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    names.clear()
+    gc.collect()
+    jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int, bound: int = BROADCAST_IDS) -> DataFrame:
     """A hint to broadcast ``df`` if its counted ``rows`` are within ``bound``; else it shuffles."""
     return F.broadcast(df) if rows <= bound else df
