@@ -301,30 +301,40 @@ def _base_of(key: tuple, table: pa.Table) -> pa.Table:
     return table_of(_BASE, {"g": [key[0].as_py()], "base": [seen[2 * times > len(sets)].tobytes()], "seen": [seen.tobytes()], "times": [times.astype("<i4").tobytes()]})
 
 
-def _deltas(batches):
-    """Differences to the base: first the tokens that the sample has least often, then the base's missing ones."""
-    for b in batches:
-        rows = []
-        for g, i, c, s, base, seen, times in zip(*(b.column(k).to_pylist() for k in ("g", "id", "c", "s", "base", "seen", "times"))):
-            x, base, seen, times = np.frombuffer(s, np.uint64), np.frombuffer(base, np.uint64), np.frombuffer(seen, np.uint64), np.frombuffer(times, "<i4")
-            own, missing = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
-            at = np.minimum(np.searchsorted(seen, own), max(len(seen) - 1, 0))
-            known = np.where(seen[at] == own, times[at], 0) if len(seen) else np.zeros(len(own), np.int64)
-            delta = np.concatenate([own[np.argsort(known, kind="stable")], missing])
-            rows.append((g, i, len(x), c, len(delta), delta.tobytes()))
-        if rows:
-            yield batch_of(_DELTA, dict(zip(_DELTA.names, zip(*rows), strict=True)))
+def _difference(s: bytes, base: bytes, seen: bytes, times: bytes) -> np.ndarray:
+    """A set's difference to the base: first its own tokens, those that the sample has least often first, then the
+    base's missing ones."""
+    x, base, seen, times = np.frombuffer(s, np.uint64), np.frombuffer(base, np.uint64), np.frombuffer(seen, np.uint64), np.frombuffer(times, "<i4")
+    own, missing = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
+    at = np.minimum(np.searchsorted(seen, own), max(len(seen) - 1, 0))
+    known = np.where(seen[at] == own, times[at], 0) if len(seen) else np.zeros(len(own), np.int64)
+    return np.concatenate([own[np.argsort(known, kind="stable")], missing])
+
+
+def _deltas(bases):
+    """Differences of ``(g, id, c, s)`` to their group's base, looked up in ``bases`` or, if None, in the row's own columns."""
+    def run(batches):
+        for b in batches:
+            columns = ("g", "id", "c", "s") if bases else ("g", "id", "c", "s", "base", "seen", "times")
+            for lo in range(0, b.num_rows, 256):
+                rows = []
+                for g, i, c, s, *base in zip(*(b.column(k).slice(lo, 256).to_pylist() for k in columns)):
+                    delta = _difference(s, *(bases.value[g] if bases else base))
+                    rows.append((g, i, len(s) // 8, c, len(delta), delta.tobytes()))
+                yield batch_of(_DELTA, dict(zip(_DELTA.names, zip(*rows), strict=True)))
+    return run
 
 
 def _tokens(batches):
     """The first ``take`` tokens of each difference, one a row, with the tokens from there on (``rest``)."""
-    for b in batches:
-        take, a = b.column("take").to_numpy(), b.column("a").to_numpy()
-        d = [np.frombuffer(x, np.int64)[:t] for x, t in zip(b.column("delta").to_pylist(), take)]
-        size = np.array([len(x) for x in d], np.int64)
-        rest = np.repeat(a, size) - np.concatenate([np.arange(k) for k in size]) if len(d) else np.zeros(0, np.int64)
-        yield batch_of(_TOKEN, {"token": np.concatenate(d) if d else np.zeros(0, np.int64), "rest": rest.astype(np.int64),
-                                **{k: np.repeat(b.column(k).to_numpy(), size) for k in ("g", "id", "n", "c", "v")}})
+    for whole in batches:
+        for b in (whole.slice(lo, 512) for lo in range(0, whole.num_rows, 512)):
+            take, a = b.column("take").to_numpy(), b.column("a").to_numpy()
+            d = [np.frombuffer(x, np.int64)[:t] for x, t in zip(b.column("delta").to_pylist(), take)]
+            size = np.array([len(x) for x in d], np.int64)
+            rest = np.repeat(a, size) - np.concatenate([np.arange(k) for k in size])
+            yield batch_of(_TOKEN, {"token": np.concatenate(d), "rest": rest.astype(np.int64),
+                                    **{k: np.repeat(b.column(k).to_numpy(), size) for k in ("g", "id", "n", "c", "v")}})
 
 
 def _group_links(own: DataFrame, members: DataFrame, links: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -341,7 +351,12 @@ def _group_links(own: DataFrame, members: DataFrame, links: DataFrame, sketches:
     sample = sample.select("g", F.explode(F.array_distinct(F.transform("p", lambda x: x["id"]))).alias("id"))
     base = scratch(sample.join(sets, "id").groupBy("g").applyInArrow(_base_of, _ddl(_BASE)))
     size = base.agg(F.sum(F.length("base") + F.length("seen") + F.length("times"))).first()[0] or 0
-    deltas = scratch(groups.join(sets, "id").join(F.broadcast(base) if size <= BROADCAST_BYTES else base, "g").mapInArrow(_deltas, _ddl(_DELTA)))
+    bases, met = None, groups.join(sets, "id")
+    if size <= BROADCAST_BYTES:  # counted above
+        bases = own.sparkSession.sparkContext.broadcast({r["g"]: (bytes(r["base"]), bytes(r["seen"]), bytes(r["times"])) for r in base.collect()})
+    else:
+        met = met.join(base, "g")
+    deltas = scratch(met.mapInArrow(_deltas(bases), _ddl(_DELTA)))
     nearest = scratch(deltas.groupBy("g").agg(F.min(F.struct((7 * F.col("a") - F.col("n")).alias("s"), "id", "n", "c")).alias("p"))
                       .select("g", F.col("p.s").alias("s"), F.col("p.id").alias("oid"), F.col("p.n").alias("on"), F.col("p.c").alias("oc")))
     n_groups = nearest.count()
