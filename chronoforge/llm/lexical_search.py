@@ -41,16 +41,16 @@ from chronoforge.llm.common import batch_of, inputs, scratch, table_of
 from chronoforge.llm.kernels import pack, text_slices, unpack
 
 #: documents of a block on average, at most; and terms of a block, unless one document has more
-BLOCK_DOCS = 2048
-BLOCK_TERMS = 500_000
+BLOCK_DOCS = 1024
+BLOCK_TERMS = 250_000
 #: postings that a task collects before it sends them on
-FLUSH_POSTINGS = 1_000_000
+FLUSH_POSTINGS = 500_000
 #: bytes of index blocks that a task weighs against each other before it visits them
-VISIT_BYTES = 12 << 20
+VISIT_BYTES = 8 << 20
 #: terms of all items that are searched together
 ITEM_TERMS = 500_000
 #: entries of a task's memory of term hashes
-MEMO = 200_000
+MEMO = 100_000
 
 _NO_ID = np.iinfo(np.int64).max
 _SEPARATORS = {*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)}
@@ -173,7 +173,7 @@ def _rows(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
     for r in rows:
         held.append(r)
         size += len(r["block"])
-        if size > 8 << 20:
+        if size > 4 << 20:
             yield pa.RecordBatch.from_pylist(held, schema=_BLOCK)
             held, size = [], 0
     if held:
