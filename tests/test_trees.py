@@ -257,3 +257,45 @@ def test_registered_tree_queries_take_the_whole_budget(spark, monkeypatch):
         assert len(seen) == 200 and {m.rounds for m in seen} == {5000} and {m.fold for m in seen} == set(range(5)), name
     import inspect
     assert inspect.signature(tr.random_search).parameters["curve_iter"].default == 2000
+
+
+# --------------------------------------------------------------------------------------------
+# Plans of wide designs
+# --------------------------------------------------------------------------------------------
+
+
+def _wide(spark, k=14, n=40):
+    names = [f"x{i}" for i in range(k)]
+    rows = [(*[float((7 * i + 3 * j) % 11) for j in range(k)], float(i % 5), i, "train" if i < 32 else "test", -1 if i < 32 else None) for i in range(n)]
+    rows.append((None, *rows[0][1:]))
+    rows.append((float("nan"), *rows[1][1:]))
+    rows.append((*rows[2][:k], None, *rows[2][k + 1:]))
+    return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names) + ", y double, idx long, split string, block int"), names
+
+
+def _conditions(plan):
+    """The most conditions that Spark inferred for a node of ``plan``, before it leaves out those of columns that are gone."""
+    below = plan.children()
+    return max([plan.validConstraints().size(), *[_conditions(below.apply(i)) for i in range(below.size())]])
+
+
+def test_dropping_missing_rows_infers_few_conditions_under_new_names(spark):
+    """na.drop's one condition over k columns has 2^k forms after renaming: the driver's heap at the tree queries' 23."""
+    from chronoforge.functions.columns import drop_missing
+
+    df, names = _wide(spark)
+    left = drop_missing(df, [*names, "y"])
+    assert sorted(left.collect()) == sorted(df.na.drop(subset=[*names, "y"]).collect()) and left.count() == 40
+    assert sorted(drop_missing(df.drop("block")).collect()) == sorted(df.drop("block").na.drop().collect())
+    assert drop_missing(df, []).count() == 43
+    renamed = left.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(names)])
+    assert _conditions(renamed._jdf.queryExecution().optimizedPlan()) < 20 * len(names)
+
+
+def test_shards_of_a_wide_design_are_planned_from_few_conditions(spark, monkeypatch):
+    df, names = _wide(spark)
+    seen = []
+    kept = bo.reliable_checkpoint
+    monkeypatch.setattr(bo, "reliable_checkpoint", lambda d: seen.append(_conditions(d._jdf.queryExecution().optimizedPlan())) or kept(d))
+    model = tr.fit(df, names, "y", tr.DEFAULT_PARAMS, 2)
+    assert model.arrays().n_trees == 2 and seen and max(seen) < 20 * len(names)
