@@ -38,6 +38,8 @@ BLOCK = 64
 #: pieces that a worker's cache holds before it starts anew, and its places by hash
 CACHE_PIECES = 1_500_000
 PLACE_BITS = 21
+#: bytes of texts that are encoded at once: a byte takes some 60 bytes of arrays meanwhile
+RUN_BYTES = 1 << 20
 
 _LETTER, _NUMBER, _OTHER, _SHORT, _LONG, _SPACE, _LAST, _WHITE, _END = range(9)
 _FRESH, _IN_LETTERS, _IN_NUMBERS, _IN_OTHER, _IN_WHITE, _AFTER_SPACE, _TWO_MORE, _ONE_MORE = range(8)
@@ -289,9 +291,9 @@ def decode(ids: np.ndarray, vocabulary: list[bytes]) -> bytes:
     return b"".join(map(vocabulary.__getitem__, ids.tolist()))
 
 
-def text_runs(column: pa.Array):
+def text_runs(column: pa.Array, limit: int = RUN_BYTES):
     """(first row, end row, texts) as Python strings, null as empty."""
-    for lo, hi, texts in K.text_slices(column):
+    for lo, hi, texts in K.text_slices(column, limit):
         yield lo, hi, [t.decode("utf-8", "replace") for t in texts]
 
 

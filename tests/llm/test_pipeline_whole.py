@@ -173,3 +173,16 @@ def test_stages_take_empty_tables_and_tables_without_length(spark, tmp_path):
         docs = spark.read.parquet(path)
         assert docs.columns == ["doc_id", "text", "source"]
     assert {1, 100, 101} <= {r["doc_id"] for r in docs.collect()}
+
+
+def test_texts_are_encoded_in_small_runs():
+    """Arrays of a run take many times its bytes: a worker holds them for a megabyte of texts or one longer text."""
+    import pyarrow as pa
+
+    from chronoforge.llm import byte_bpe as bb
+
+    texts = ["ab cd " * 50_000, None, *["ef gh, " * 20_000] * 20, "ij " * 600_000]
+    runs = list(bb.text_runs(pa.array(texts)))
+    assert [r[:2] for r in runs][0][0] == 0 and runs[-1][1] == len(texts) and all(a[1] == b[0] for a, b in zip(runs, runs[1:]))
+    assert [t for r in runs for t in r[2]] == [t or "" for t in texts]
+    assert all(sum(map(len, r[2])) <= 1 << 20 or len(r[2]) == 1 for r in runs)
