@@ -299,3 +299,44 @@ def test_shards_of_a_wide_design_are_planned_from_few_conditions(spark, monkeypa
     monkeypatch.setattr(bo, "reliable_checkpoint", lambda d: seen.append(_conditions(d._jdf.queryExecution().optimizedPlan())) or kept(d))
     model = tr.fit(df, names, "y", tr.DEFAULT_PARAMS, 2)
     assert model.arrays().n_trees == 2 and seen and max(seen) < 20 * len(names)
+
+
+# --------------------------------------------------------------------------------------------
+# Nodes that cannot split
+# --------------------------------------------------------------------------------------------
+
+
+def _drawn(n=300, k=5, seed=3):
+    r = np.random.default_rng(seed)
+    x = np.concatenate([r.integers(0, 256, (k - 2, n)), r.integers(0, 4, (1, n)), np.full((1, n), 7)])
+    return bo.Rows(x.astype(np.uint8), np.round(x[0] / 16 + x[k - 2] * 3 + r.normal(size=n), 3), np.arange(n), np.where(np.arange(n) < 240, -1, bo.TEST).astype(np.int32))
+
+
+def test_only_nodes_that_can_split_are_searched(monkeypatch):
+    """The search's rounds after convergence, small nodes and columns of one value cost no pass over the rows."""
+    searched = []
+    kept = bo._Presorted.splits
+    monkeypatch.setattr(bo._Presorted, "splits", lambda self: searched.append((len(self.nodes), *self.cells.shape)) or kept(self))
+    rows, p = _drawn(), tr.DEFAULT_PARAMS
+    still = bo.Rows(rows.codes, np.full(300, 2.5), rows.ids, rows.part)
+    alike = bo.Rows(np.repeat(rows.codes[-1:], 3, axis=0), rows.y, rows.ids, rows.part)
+    bo.train_here(bo.Model(0, p, 5), still, 2.5, 2.0 ** -26, False, True)
+    bo.train_here(bo.Model(0, p, 5), alike, 0.0, 2.0 ** -26, False, True)
+    bo.train_here(bo.Model(0, {**p, "min_child_weight": 121}, 5), rows, 0.0, 2.0 ** -26, False, True)
+    assert not searched
+    got = bo.train_here(bo.Model(0, {**p, "min_child_weight": 40}, 3), rows, 0.0, 2.0 ** -26, False, True)
+    assert {c for _, c, _ in searched} == {4} and all(40 <= h for t in got["trees"] for h in t.cover[t.cover > 0])
+    assert sum(n for n, _, _ in searched) < sum(int((t.cover > 0).sum()) for t in got["trees"])
+
+
+@pytest.mark.parametrize("p", [{}, {"min_child_weight": 5, "gamma": 2.0, "reg_alpha": 0.1}, {"subsample": 0.6, "colsample_bytree": 0.6, "max_depth": 6}])
+def test_trees_do_not_depend_on_the_size_of_a_block(monkeypatch, p):
+    rows, out = _drawn(), []
+    for cells in (1, 500, 1 << 16):
+        monkeypatch.setattr(bo, "BLOCK_CELLS", cells)
+        out.append(bo.train_here(bo.Model(0, {**tr.DEFAULT_PARAMS, **p}, 6), rows, 0.0, 2.0 ** -26, True, True))
+    for other in out[1:]:
+        assert np.array_equal(other["margin"], out[0]["margin"]) and other["history"] == out[0]["history"]
+        for a, b in zip(out[0]["trees"], other["trees"]):
+            assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in ("feature", "bin", "value", "cover", "gain"))
+    assert sum(t.depth for t in out[0]["trees"]) > 6
