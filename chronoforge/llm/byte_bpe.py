@@ -247,6 +247,11 @@ def tokenizer(path: str) -> tuple[Cache, list[bytes]]:
     return _MERGERS[path]
 
 
+def forget(path: str) -> None:
+    """Drop a vocabulary file and its cache: a worker outlives its task, and they would stay beside other stages' work."""
+    _MERGERS.pop(path, None)
+
+
 def encode(texts: list[str], cache: Cache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts, the first id of each text (n + 1), and how many ids each piece has."""
     if cache.cut and any(cache.cut.search(t) for t in texts):

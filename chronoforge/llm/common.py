@@ -17,6 +17,8 @@ from chronoforge.session import checkpoint_dir
 BROADCAST_IDS = 1_000_000
 #: a table with a binary column is broadcast up to this many bytes
 BROADCAST_BYTES = 24 << 20
+#: bytes of an Arrow batch within ``small_batches``: with its last row mostly one slice of the 2 MB and 4 MB that operators take
+BATCH_BYTES = 1_800_000
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,18 @@ def remove(spark: SparkSession, names: list[str]) -> None:
     jvm.System.gc()
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, n_bytes: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run inside hand Python batches of about ``n_bytes`` at most: executor and worker each hold whole ones."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small(df: DataFrame, rows: int, bound: int = BROADCAST_IDS) -> DataFrame:
     """A hint to broadcast ``df`` if its counted ``rows`` are within ``bound``; else it shuffles."""
     return F.broadcast(df) if rows <= bound else df

@@ -3,6 +3,7 @@ function takes the few megabytes of one Arrow batch slice and returns flat array
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Iterator
 
@@ -12,6 +13,8 @@ import pyarrow.compute as pc
 
 #: bytes of text that a kernel handles at once; a longer text forms a slice of its own
 SLICE_BYTES = 4 << 20
+#: bytes of text whose shingles are hashed at once: the arrays on the way take many times as much
+SHINGLE_BYTES = 1 << 19
 
 #: white space of the word rule [^\x20\x09-\x0D]+
 _SPACE = np.zeros(256, bool)
@@ -20,6 +23,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: glibc's; None elsewhere
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task or group: a worker outlives them."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = np.asarray(x, np.uint64).copy()
@@ -120,6 +134,15 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct hashes of the ``width``-word shingles of each text, one after the other,
     and the offset of each text. Fewer words: the whole sequence is the one shingle; none: empty."""
+    out = []
+    for lo, hi in slices(np.fromiter(map(len, texts), np.int64, len(texts)), SHINGLE_BYTES):
+        out += _shingles(texts[lo:hi], width)
+    ends = np.zeros(len(out) + 1, np.int64)
+    np.cumsum([len(x) for x in out], out=ends[1:])
+    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), ends
+
+
+def _shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
     buf, off = join_texts(texts)
     buf = lower_ascii(buf)
     ws, we = word_bounds(buf)
@@ -133,7 +156,7 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.nda
         for j in range(width):
             s += h[j:n - width + 1 + j] * k[j] if len(s) else np.uint64(0)
     s = mix64(s)
-    out, ends = [], [0]
+    out = []
     for d in range(len(texts)):
         a, m = first[d], n_words[d]
         if m == 0:
@@ -149,9 +172,8 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.nda
                 keep[0] = True
                 np.not_equal(got[1:], got[:-1], out=keep[1:])
                 got = got[keep]
-        out.append(got)
-        ends.append(ends[-1] + len(got))
-    return (np.concatenate(out) if out else s[:0]), np.array(ends, np.int64)
+        out.append(got if got.base is None else got.copy())  # not a view that keeps all of s
+    return out
 
 
 def pack(*arrays: np.ndarray) -> bytes:

@@ -40,6 +40,7 @@ have any name.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,7 +62,7 @@ PHI = 0.0003
 #: tokens that a task counts at once
 COUNT_TOKENS = 4_000_000
 #: index entries that one bucket (one task) holds on average
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 400_000
 
 _SIG = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
 _ENTRY = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())])
@@ -88,16 +89,18 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
 
 def _signatures(phi: float):
     def run(batches):
-        held, docs = [], 0
+        held, filled, docs = np.empty(COUNT_TOKENS, np.uint64), 0, 0
 
         def heavy():  # a token in phi of all sets is in phi of the sets of at least one run
-            nonlocal docs
-            u, c = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            top = c >= max(2, phi * docs)
-            zero = np.zeros(int(top.sum()), np.int64)
-            yield batch_of(_SIG, {"kind": zero.astype(np.int32) + 1, "id": u[top].view(np.int64), "n": c[top], "s1": zero, "s2": zero})
-            held.clear()
-            docs = 0
+            nonlocal filled, docs
+            v = held[:filled]
+            v.sort()
+            least = max(2, math.ceil(phi * docs))
+            u = np.unique(v[least - 1:][v[least - 1:] == v[:max(len(v) - least + 1, 0)]])  # sorted, equal so far apart
+            zero = np.zeros(len(u), np.int64)
+            yield batch_of(_SIG, {"kind": zero.astype(np.int32) + 1, "id": u.view(np.int64),
+                                  "n": np.searchsorted(v, u, side="right") - np.searchsorted(v, u), "s1": zero, "s2": zero})
+            filled = docs = 0
 
         for ids, v, off in _runs(batches):
             n = np.diff(off)
@@ -107,11 +110,15 @@ def _signatures(phi: float):
                 s1, s2 = c1[off[1:]] - c1[off[:-1]], c2[off[1:]] - c2[off[:-1]]
             zero = np.zeros(len(ids), np.int32)
             yield batch_of(_SIG, {"kind": zero, "id": ids, "n": n, "s1": s1.view(np.int64), "s2": s2.view(np.int64)})
-            held.append(v)
-            docs += len(ids)
-            if sum(map(len, held)) > COUNT_TOKENS:
+            if filled + len(v) > len(held):
                 yield from heavy()
+                held = held if len(v) <= len(held) else np.empty(len(v), np.uint64)
+            held[filled:filled + len(v)] = v
+            filled += len(v)
+            docs += len(ids)
         yield from heavy()
+        del held
+        K.give_back()
 
     return run
 
@@ -189,6 +196,7 @@ def _index(order_of, prefix_of, buckets: int, rare: int, sketch: bool, members:
             rows += [(_SKETCH, 0, int(i), int(m), p) for i, m, p in prints]
             if rows:
                 yield batch_of(_ENTRY, dict(zip(_ENTRY.names, zip(*rows), strict=True)))
+        K.give_back()
 
     return run
 
@@ -232,6 +240,7 @@ def _bucket(rare: int, members: bool):
         cn = fn[at]
         fk = fk[fb].astype(np.int64) + (key[0].as_py() << 32) if members else fk[:0].astype(np.int64)
         fi, fn = (fi[fb], fn[fb]) if members else (fi[:0], fn[:0])
+        K.give_back()
         kinds = [np.full(len(x), k, np.int32) for x, k in ((pairs, _CANDIDATE), (fi, _MEMBER), (ci, _COUNT))]
         return table_of(_PAIR, {
             "kind": np.concatenate(kinds), "a": np.r_[pairs[:, 0], fk, ci], "b": np.r_[pairs[:, 1], fi, many],

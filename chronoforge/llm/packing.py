@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoforge.llm.byte_bpe import encode, text_runs, tokenizer
+from chronoforge.llm import kernels as K
+from chronoforge.llm.byte_bpe import encode, forget, text_runs, tokenizer
 from chronoforge.llm.common import batch_of, inputs, scratch, small
 
 CAPACITY = 1024
@@ -52,7 +53,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     """(doc_id, piece, start, length, ids_crc32) of each piece of each document."""
 
     def run(batches):
-        cache, _ = tokenizer(path)
+        try:
+            yield from pieces(batches, tokenizer(path)[0])
+        finally:
+            forget(path)
+            K.give_back()
+
+    def pieces(batches, cache):
         for b in batches:
             doc = b.column("doc_id").to_pylist()
             for lo, hi, texts in text_runs(b.column("text")):

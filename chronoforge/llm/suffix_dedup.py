@@ -43,8 +43,10 @@ SPAN = 50
 ANCHOR = 24
 #: bytes of text indexed at once
 SLICE = 2 << 20
+#: bytes of text fingerprinted at once: a slice's entries are few, its running sums are not
+BLOCK = 1 << 18
 #: index entries of one bucket on average, and of one batch of a bucket's family
-BUCKET_ENTRIES = 1_000_000
+BUCKET_ENTRIES = 250_000
 BATCH_ENTRIES = 100_000
 #: different covers of one anchor in one slice from which its windows are indexed instead
 HOT = 64
@@ -63,7 +65,7 @@ _ENTRY, _WINDOW, _GONE, _OPEN = 0, 1, 2, 3
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
-        m = max(n, SLICE + 65536)
+        m = max(n, BLOCK + 65536)
         with np.errstate(over="ignore"):
             for name, b in (("up", _BASE), ("down", _INVERSE)):
                 p = np.full(m, b, np.uint64)
@@ -86,9 +88,20 @@ class Prints:
             return K.mix64((self.sums[hi] - self.sums[lo]) * self.down[lo])
 
 
+def _blocks(texts: list[bytes]) -> list[tuple[int, int]]:
+    """Runs of texts (first, end) of about ``BLOCK`` bytes together; a longer text is its own run."""
+    return list(K.slices(np.fromiter(map(len, texts), np.int64, len(texts)) + 1, BLOCK))
+
+
 def entries(texts: list[bytes], span: int = SPAN, k: int = ANCHOR):
     """The entries of some texts: text, first window, last window, anchor's print, cover's print, left
     and right side print (0: a text's edge is nearer)."""
+    found = [(_block_entries(texts[a:z], span, k), a) for a, z in _blocks(texts) or [(0, 0)]]
+    text = np.concatenate([x[0] + a for x, a in found])
+    return text, *(np.concatenate(c) for c in list(zip(*(x for x, _ in found)))[1:])
+
+
+def _block_entries(texts: list[bytes], span: int, k: int):
     buf, off = K.join_texts(texts)
     none = np.zeros(0, np.int64)
     nothing = none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(np.uint8), none.astype(np.uint8)
@@ -195,13 +208,28 @@ def _gone(key, row, lo, length, parts):
     yield from _parts(_GONE, part, key, row, lo.astype(np.uint32), length.astype(np.uint32))
 
 
-def _window_rows(key, text, lo, hi, prints, base, buckets, parts, span):
+def _window_prints(texts: list[bytes], text, lo, hi, span: int):
+    """Text, place and fingerprint of each of the windows lo..hi of some texts, block by block."""
+    o = np.argsort(text, kind="stable")
+    text, lo, hi = text[o], lo[o], hi[o]
+    found = [(np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint64))]
+    for a, z in _blocks(texts):
+        s = slice(*np.searchsorted(text, [a, z]))
+        n = hi[s] - lo[s] + 1
+        if not len(n):
+            continue
+        buf, off = K.join_texts(texts[a:z])
+        row = np.repeat(text[s], n)
+        p = np.repeat(lo[s] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        at = off[row - a] + p
+        found.append((row.astype(np.uint32), p.astype(np.uint32), Prints(buf).of(at, at + span)))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _window_rows(key, texts, text, lo, hi, buckets, parts, span):
     """Windows lo..hi of texts by their hash; of equal windows in this slice the smallest document's
     goes on, those of larger ones are decided here."""
-    n = hi - lo + 1
-    row = np.repeat(text, n)
-    p = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    wh = prints.of(base[row] + p, base[row] + p + span)
+    row, p, wh = _window_prints(texts, text, lo, hi, span)
     doc = key[0][row]
     o = np.lexsort((doc, wh))
     wh, doc, row, p = wh[o], doc[o], row[o], p[o]
@@ -239,8 +267,7 @@ def _index(buckets: int, parts: int, span: int, k: int):
         text, lo, hi, kh, cover, left, right = (x[~late] for x in (text, lo, hi, kh, cover, left, right))
         hot = np.isin(kh, u)
         if hot.any():
-            buf, off = K.join_texts(texts)
-            yield from _window_rows(key, text[hot], lo[hot], hi[hot], Prints(buf), off, buckets, parts, span)
+            yield from _window_rows(key, texts, text[hot], lo[hot], hi[hot], buckets, parts, span)
         mark = np.r_[kh[~hot], u]  # a hot anchor leaves a mark: an entry of length 0
         zero = np.zeros(len(u), np.int64)
         yield from _parts(
@@ -253,6 +280,7 @@ def _index(buckets: int, parts: int, span: int, k: int):
         for b in batches:
             for lo, hi, texts in K.text_slices(b.column("text"), SLICE):
                 yield from _emit(slice_rows(_keys(b, lo, hi), texts))
+        K.give_back()
 
     return run
 
@@ -271,10 +299,12 @@ def _family(parts: int, span: int):
         family = Family(len(kh))
         for at in range(0, len(kh), BATCH_ENTRIES):
             s = slice(at, at + BATCH_ENTRIES)
-            family.insert(kh[s], cover[s], doc[s], np.arange(at, min(at + BATCH_ENTRIES, len(kh))))
-        gone = family.covered
+            family.insert(kh[s], cover[s], doc[s], np.arange(at, min(at + BATCH_ENTRIES, len(kh)), dtype=np.int32))
+        gone, shared = family.covered, family.shared
+        del family, cover
+        K.give_back()
         # what is left of an anchor that other documents have too is open where a side agrees
-        rest = np.flatnonzero(~gone & family.shared)
+        rest = np.flatnonzero(~gone & shared)
         open_ = ~gone & np.isin(kh, hot)
         for side in (left, right):
             o = rest[side[rest] > 0]
@@ -341,11 +371,11 @@ def _open_windows(buckets: int, parts: int, span: int):
         for b in batches:
             for a, z, texts in K.text_slices(b.column("text"), SLICE):
                 key = _keys(b, a, z)
-                buf, off = K.join_texts(texts)
                 r = [np.frombuffer(x, np.uint32).reshape(-1, 2).astype(np.int64) for x in b.column("ranges").slice(a, z - a).to_pylist()]
                 text = np.repeat(np.arange(z - a), [len(x) for x in r])
                 r = np.concatenate(r)
-                yield from _emit(_window_rows(key, text, r[:, 0], r[:, 1] - 1, Prints(buf), off, buckets, parts, span))
+                yield from _emit(_window_rows(key, texts, text, r[:, 0], r[:, 1] - 1, buckets, parts, span))
+        K.give_back()
 
     return run
 
@@ -429,12 +459,12 @@ def suffix_dedup(docs: DataFrame, span: int = SPAN, k: int = ANCHOR, id_col: str
 def _left(batches):
     for b in batches:
         i = b.schema.get_field_index("__text")
-        text, ranges = b.column("__text"), b.column("ranges")
-        out = []
-        for lo, hi, texts in K.text_slices(text):
-            for x, r, valid in zip(texts, ranges.slice(lo, hi - lo).to_pylist(), text.slice(lo, hi - lo).is_valid().to_pylist()):
-                out.append(cut(x, r)[0].decode("utf-8", "ignore") if valid else None)
-        yield b.set_column(i, "__text", pa.array(out, pa.string())).drop_columns(["ranges"])
+        for lo, hi, texts in K.text_slices(b.column("__text"), SLICE):  # a batch's texts are not held twice
+            part = b.slice(lo, hi - lo)
+            valid, ranges = part.column("__text").is_valid().to_pylist(), part.column("ranges").to_pylist()
+            out = [cut(x, r)[0].decode("utf-8", "ignore") if v else None for x, r, v in zip(texts, ranges, valid)]
+            yield part.set_column(i, "__text", pa.array(out, pa.string())).drop_columns(["ranges"])
+    K.give_back()
 
 
 def cut_texts(docs: DataFrame, span: int = SPAN, k: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoforge.llm.common import having_ids, read_documents, recorded, remove, scratch
+from chronoforge.llm.common import having_ids, read_documents, recorded, remove, scratch, small_batches
 from chronoforge.llm.exact_dedup import drop_copies
 from chronoforge.llm.ngram_join import ngram_join
 from chronoforge.llm.packing import pack
@@ -34,7 +34,7 @@ def _stage(function):
         names = _LEFT.pop(app, [])
         if not any(name in file for file in docs.inputFiles() for name in names):  # docs were not written: they still read them
             remove(spark, names)
-        with recorded() as names:
+        with recorded() as names, small_batches(spark):
             out = function(spark, docs, sf_dir)
         _LEFT[app] = names
         return out
@@ -71,8 +71,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that an earlier document has already."""
-    return _with_length(cut_texts(docs), docs)
+    """Texts without the bytes that an earlier document has already; written here, so that they are cut in small batches."""
+    return scratch(_with_length(cut_texts(docs), docs))
 
 
 @_stage
@@ -93,7 +93,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = stage(spark, docs, sf_dir)
         if i == len(STAGES) - 1:
             return out
-        with recorded() as written:
+        with recorded() as written, small_batches(spark):
             docs = scratch(out)
         remove(spark, read)
         read = written
